@@ -23,8 +23,15 @@ NO_CATEGORY = "uncategorized"
 # Text cells that mean "missing".
 MISSING_TEXT = ("nan", "none", "")
 
+# Fixed value: the same characters as a regular expression class.
+_SPACE = r"[\s\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]"
 # yyyy-m-d alone or followed by h:m:s; group 1 is the date.
-DATE_PATTERN = r"^(\d{4}-\d{1,2}-\d{1,2})(?:\s+(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?$"
+DATE_PATTERN = (
+    rf"^{_SPACE}*((?!0000)\d{{4}}-\d{{1,2}}-\d{{1,2}})"
+    rf"(?:{_SPACE}+(?:[01]?\d|2[0-3]):[0-5]?\d:[0-5]?\d)?{_SPACE}*$"
+)
+# Decimal number with optional sign and exponent; group 1 is the number.
+NUMBER_PATTERN = rf"^{_SPACE}*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_SPACE}*$"
 
 # Wide enough that a sum of two parsed numbers is rounded once, at the end.
 EXACT_NUMBER = "decimal(28,16)"
@@ -38,16 +45,19 @@ def strip(text: Column) -> Column:
 def parse_date(text: Column) -> Column:
     """Date of a `yyyy-mm-dd[ hh:mm:ss]` cell, NULL when it is anything else.
 
-    The time of day is checked and dropped. One regular expression and a date
-    cast are cheaper on dirty cells than two formatters that fail by exception.
+    The time of day is checked and dropped.
     """
-    day = F.regexp_extract(strip(text), DATE_PATTERN, 1)
-    return F.when(~day.startswith("0000"), day).try_cast("date")
+    return F.regexp_extract(text, DATE_PATTERN, 1).try_cast("date")
 
 
 def parse_number(text: Column) -> Column:
-    """Exact number of a text cell; blanks, `-`, `nan` and any other text are NULL."""
-    return strip(text).try_cast(EXACT_NUMBER)
+    """Exact number of a text cell; blanks, `-`, `nan` and any other text are NULL.
+
+    The pattern keeps non-numbers away from the cast, which would raise and
+    catch an exception for each of them.
+    """
+    number = F.nullif(F.regexp_extract(text, NUMBER_PATTERN, 1), F.lit(""))
+    return number.try_cast(EXACT_NUMBER)
 
 
 def to_money(number: Column) -> Column:
@@ -60,7 +70,8 @@ def number_or_zero(text: Column) -> Column:
 
 def at_least_one_instalment(number: Column) -> Column:
     """Zero instalments count as one payment; other values stay."""
-    return F.when(number == 0, F.lit(1).cast(EXACT_NUMBER)).otherwise(number)
+    zero, one = (F.lit(n).cast(EXACT_NUMBER) for n in (0, 1))
+    return F.coalesce(F.nullif(number, zero), one)
 
 
 def truncated_int(number: Column) -> Column:

@@ -1,14 +1,15 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-`hot_keys` counts the keys of the large side (map-side combined, one row per key
-is shuffled) and returns those that hold more than one average task's worth of
+`hot_keys` counts the keys of a table (map-side combined, one row per key is
+shuffled) and returns those that hold more than one average task's worth of
 rows. There can be at most `slices` of them, so the list is small by
 construction and safe to hold on the driver and to broadcast.
 
 `spread_join` then gives each row of a hot key one of `pieces` salts, repeats
-only the matching lookup rows once per salt, and joins on (key, salt). No row is
-dropped or sampled and the result equals the plain join. Without hot keys it is
-the plain join, so co-partitioned inputs are not shuffled again.
+only the matching rows of the other side once per salt, and joins on (key,
+salt). No row is dropped or sampled and the result equals the plain join.
+Without hot keys it is the plain join, so co-partitioned inputs are not shuffled
+again.
 """
 
 from __future__ import annotations
@@ -19,12 +20,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feira.sources.local_rows import local_frame
+
 # A key below this many rows fits one task whatever its share is.
 MIN_HOT_ROWS = 1_000_000
 # Lower bound of the number of slices a table is thought to be cut into.
 MIN_SLICES = 200
 
-_SALT = "_salt"
+_LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
 _PIECES = "_pieces"
 
 
@@ -43,7 +46,7 @@ class HotKeys:
         schema = T.StructType(
             [T.StructField(self.column, self.key_type), T.StructField(_PIECES, T.IntegerType())]
         )
-        return F.broadcast(df.sparkSession.createDataFrame(list(self.pieces), schema))
+        return F.broadcast(local_frame(df.sparkSession, self.pieces, schema))
 
 
 def slices_of(df: DataFrame) -> int:
@@ -76,32 +79,50 @@ def hot_keys(
     return HotKeys(column, key_type, cut)
 
 
+def _one_salt(df: DataFrame, hot: HotKeys, salt: str, spread_by: Column | str) -> DataFrame:
+    """Each row of a hot key falls into one of the key's pieces."""
+    piece = F.pmod(F.xxhash64(spread_by), F.col(_PIECES)).cast("int")
+    return (
+        df.join(hot.frame(df), hot.column, "left")
+        .withColumn(salt, F.coalesce(piece, F.lit(0)))
+        .drop(_PIECES)
+    )
+
+
+def _every_salt(df: DataFrame, hot: HotKeys, salt: str) -> DataFrame:
+    """Rows of a hot key are repeated once per piece of the key."""
+    last = F.coalesce(F.col(_PIECES) - 1, F.lit(0))
+    return (
+        df.join(hot.frame(df), hot.column, "left")
+        .withColumn(salt, F.explode(F.sequence(F.lit(0), last)))
+        .drop(_PIECES)
+    )
+
+
 def spread_join(
     big: DataFrame,
     lookup: DataFrame,
     hot: HotKeys,
     how: str,
     spread_by: Column | str,
+    lookup_hot: HotKeys | None = None,
+    lookup_spread_by: Column | str | None = None,
 ) -> DataFrame:
     """`big.join(lookup, hot.column, how)` with the hot keys of `big` cut into pieces.
 
     `how` is inner, left or left_semi. `spread_by` must differ between the rows
     of one key and depend on the row only, so that a re-run task gives a row the
-    same salt.
+    same salt. An inner join may have hot keys on the lookup side too.
     """
-    if not hot:
-        return big.join(lookup, hot.column, how)
-    key = hot.column
-    salt = F.pmod(F.xxhash64(spread_by), F.col(_PIECES)).cast("int")
-    salted = (
-        big.join(hot.frame(big), key, "left")
-        .withColumn(_SALT, F.coalesce(salt, F.lit(0)))
-        .drop(_PIECES)
-    )
-    last = F.coalesce(F.col(_PIECES) - 1, F.lit(0))
-    repeated = (
-        lookup.join(hot.frame(lookup), key, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), last)))
-        .drop(_PIECES)
-    )
-    return salted.join(repeated, [key, _SALT], how).drop(_SALT)
+    if lookup_hot and how != "inner":
+        raise ValueError("hot keys of the lookup side need an inner join")
+    keys = [hot.column]
+    if hot:
+        big = _one_salt(big, hot, _LEFT_SALT, spread_by)
+        lookup = _every_salt(lookup, hot, _LEFT_SALT)
+        keys.append(_LEFT_SALT)
+    if lookup_hot:
+        big = _every_salt(big, lookup_hot, _RIGHT_SALT)
+        lookup = _one_salt(lookup, lookup_hot, _RIGHT_SALT, lookup_spread_by)
+        keys.append(_RIGHT_SALT)
+    return big.join(lookup, keys, how).drop(_LEFT_SALT, _RIGHT_SALT)

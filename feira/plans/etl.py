@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.keys import dense_keys, number_written_rows
-from feira.operators.skew import MIN_HOT_ROWS, hot_keys
+from feira.operators.skew import HotKeys, hot_keys
 from feira.plans import dims, quality
-from feira.plans.fact import MAX_BROADCAST_ROWS, item_rows
+from feira.plans.fact import Limits, item_rows
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS
 from feira.sources import star_store
@@ -36,6 +38,13 @@ def count_rows(tables: dict[str, DataFrame]) -> dict[str, int]:
     return {r["table"]: r["rows"] for r in counts.collect()}
 
 
+def _together(*jobs: Callable[[], None]) -> None:
+    """Run independent Spark jobs at the same time; the first failure is raised."""
+    with ThreadPoolExecutor(len(jobs)) as pool:
+        for job in [pool.submit(j) for j in jobs]:
+            job.result()
+
+
 def _write_dimension(spark: SparkSession, raw: dict[str, DataFrame], folder: str, dim: str) -> None:
     rows = DIMENSIONS[dim](raw)
     # written before numbering, which reads the rows twice
@@ -62,8 +71,7 @@ def _stage_items(spark: SparkSession, joined: DataFrame, folder: str) -> DataFra
 def run_etl(
     raw: dict[str, DataFrame],
     out: str,
-    min_hot_rows: int = MIN_HOT_ROWS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    limits: Limits = Limits(),
 ) -> Star:
     """Full reload from the eight raw tables into `out`; returns the new star.
 
@@ -75,14 +83,11 @@ def run_etl(
     folder = star_store.run_folder(out, run_id)
     raw_rows = count_rows(raw)
 
-    with ThreadPoolExecutor(len(DIMENSIONS)) as pool:
-        list(pool.map(lambda dim: _write_dimension(spark, raw, folder, dim), DIMENSIONS))
+    _together(*[partial(_write_dimension, spark, raw, folder, dim) for dim in DIMENSIONS])
     dim_tables = {dim: star_store.read_table(spark, folder, dim) for dim in DIMENSIONS}
     dim_rows = count_rows(dim_tables)
 
-    joined = item_rows(
-        raw, dim_tables, raw_rows | dim_rows, min_hot_rows, max_broadcast_rows
-    )
+    joined = item_rows(raw, dim_tables, raw_rows | dim_rows, limits)
     staged = _stage_items(spark, joined, folder)
     accepted, rejected = staged.filter(~F.col("rejeitado")), staged.filter("rejeitado")
 
@@ -97,68 +102,60 @@ def run_etl(
     def write_rejects() -> None:
         rejected.drop("rejeitado").write.mode("overwrite").parquet(f"{folder}/rejects")
 
-    with ThreadPoolExecutor(3) as pool:
-        for job in [pool.submit(f) for f in (write_fact, write_calendar, write_rejects)]:
-            job.result()
+    _together(write_fact, write_calendar, write_rejects)
 
     written = {t: star_store.read_table(spark, folder, t) for t in ("dim_data", "fato_pedido")}
     star_rows = dim_rows | count_rows(written)
-    _write_hot_keys(spark, folder, written["fato_pedido"], star_rows, min_hot_rows, max_broadcast_rows)
-    _write_metrics(spark, folder, raw, raw_rows, star_rows)
-
-    star = star_store.load_star(spark, folder, max_broadcast_rows)
-    rules = quality.star_rules(star)
-    broken = rules.filter("violations > 0").collect()
-    if broken:
-        found = "; ".join(f"{r['table']} {r['rule']}: {r['violations']}" for r in broken)
-        raise IntegrityError(f"run {run_id} not published: {found}")
+    hot = _hot_ids(written["fato_pedido"], star_rows, limits)
+    star = Star(dim_tables | written, star_rows, hot, limits.max_broadcast_rows)
+
+    def write_notes() -> None:
+        star_store.write_hot_keys(spark, folder, hot)
+        rejects = spark.read.schema(star_store.REJECTS).parquet(f"{folder}/rejects")
+        star_store.write_metrics(spark, folder, _metrics(raw, raw_rows, rejects, star_rows))
+
+    def check() -> None:
+        broken = quality.star_rules(star).filter("violations > 0").collect()
+        if broken:
+            found = "; ".join(f"{r['table']} {r['rule']}: {r['violations']}" for r in broken)
+            raise IntegrityError(f"run {run_id} not published: {found}")
+
+    _together(check, write_notes)
     star_store.publish(spark, out, run_id)
     return star
 
 
-def _write_hot_keys(
-    spark: SparkSession,
-    folder: str,
-    fact: DataFrame,
-    rows: dict[str, int],
-    min_hot_rows: int,
-    max_broadcast_rows: int,
-) -> None:
+def _hot_ids(fact: DataFrame, rows: dict[str, int], limits: Limits) -> dict[str, HotKeys]:
     """Hot ids of the dimensions that reports cannot broadcast, counted once."""
-    found = []
-    for dim in DIMENSIONS:
-        if rows[dim] > max_broadcast_rows:
-            key = PRIMARY_KEYS[dim]
-            hot = hot_keys(fact, key, rows["fato_pedido"], min_hot_rows)
-            found += [(key, value, pieces) for value, pieces in hot.pieces]
-    frame = spark.createDataFrame(found, star_store.HOT_KEYS)
-    frame.coalesce(1).write.mode("overwrite").parquet(f"{folder}/hot_keys")
+    keys = [PRIMARY_KEYS[dim] for dim in DIMENSIONS if rows[dim] > limits.max_broadcast_rows]
+    return {key: hot_keys(fact, key, rows["fato_pedido"], limits.min_hot_rows) for key in keys}
 
 
-def _write_metrics(
-    spark: SparkSession,
-    folder: str,
+def _metrics(
     raw: dict[str, DataFrame],
     raw_rows: dict[str, int],
+    rejects: DataFrame,
     star_rows: dict[str, int],
-) -> None:
-    rejects = spark.read.parquet(f"{folder}/rejects")
-    reasons = quality.reject_reasons(rejects, raw).collect()
+) -> list[tuple[str, str, int]]:
+    """Rows read, rejected by reason, joined, skipped and loaded."""
     skipped = rejects.count()
-    metrics = [("raw", table, n) for table, n in raw_rows.items()]
-    metrics += [("reject", r["reason"], r["rows"]) for r in reasons]
-    metrics += [
+    reasons = quality.reject_reasons(rejects, raw).collect()
+    return [
+        *[("raw", table, n) for table, n in raw_rows.items()],
+        *[("reject", r["reason"], r["rows"]) for r in reasons],
         ("joined", "itens", star_rows["fato_pedido"] + skipped),
         ("skipped", "fato_pedido", skipped),
+        *[("star", table, n) for table, n in star_rows.items()],
     ]
-    metrics += [("star", table, n) for table, n in star_rows.items()]
-    frame = spark.createDataFrame(metrics, star_store.METRICS)
-    frame.coalesce(1).write.mode("overwrite").parquet(f"{folder}/metrics")
 
 
 def run_etl_from_csv(
-    spark: SparkSession, folder: str, out: str, prefix: str = "", **options: int
+    spark: SparkSession,
+    folder: str,
+    out: str,
+    prefix: str = "",
+    limits: Limits = Limits(),
 ) -> Star:
     """Read the eight CSV inputs in `folder`, land them as parquet and load."""
     raw = land(read_raw(spark, folder, prefix), f"{out.rstrip('/')}/landing")
-    return run_etl(raw, out, **options)
+    return run_etl(raw, out, limits)

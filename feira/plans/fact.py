@@ -2,22 +2,22 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions import clean
 from feira.operators import orders as order_ops
 from feira.operators.dedup import keep_last
-from feira.operators.skew import MIN_HOT_ROWS, HotKeys, hot_keys, spread_join
-from feira.schema import FACT_PARTITION, FATO_PEDIDO, ROW_SEQ
+from feira.operators.skew import MIN_HOT_ROWS, hot_keys, spread_join
+from feira.schema import FACT_PARTITION, FATO_PEDIDO, NATURAL_KEYS, PRIMARY_KEYS, ROW_SEQ
 
 # A dimension of at most this many rows is broadcast. Its texts are length
 # checked (at most 250 characters a row), which bounds it to about 150 MB.
 MAX_BROADCAST_ROWS = 500_000
 
-REJECT_REASONS = ("no_purchase_date", "unknown_customer", "unknown_product", "unknown_seller", "no_price")
-
-
 def dated_orders(raw: dict[str, DataFrame]) -> DataFrame:
     """Orders with a readable purchase date, both dates parsed."""
     return (
@@ -40,13 +40,6 @@ def undated_orders(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def customer_ids(raw: dict[str, DataFrame], dim_cliente: DataFrame) -> DataFrame:
-    """customer_id -> id_cliente; the last row of a repeated customer_id counts."""
-    owners = keep_last(raw["clientes"], "customer_id", ["customer_unique_id"])
-    ids = dim_cliente.select("customer_unique_id", "id_cliente")
-    return owners.join(ids, "customer_unique_id").select("customer_id", "id_cliente")
-
-
 def priced_items(raw: dict[str, DataFrame]) -> DataFrame:
     """Item rows with exact price, freight and total; a missing part makes no total."""
     price = clean.parse_number(F.col("price"))
@@ -62,63 +55,89 @@ def priced_items(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Limits:
+    """When a lookup is broadcast and from how many rows a key counts as hot."""
+
+    max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    min_hot_rows: int = MIN_HOT_ROWS
+
+
 def lookup_id(
     big: DataFrame,
-    dim: DataFrame,
-    dim_rows: int,
-    key: str,
-    id_column: str,
-    big_rows: int,
-    min_hot_rows: int,
-    max_broadcast_rows: int,
+    dim: str,
+    dims: dict[str, DataFrame],
+    rows: dict[str, int],
+    counted: tuple[DataFrame, str],
+    spread_by: str,
+    limits: Limits,
 ) -> DataFrame:
-    """Left join of the surrogate id: broadcast if small enough, else spread."""
-    ids = dim.select(key, id_column)
-    if dim_rows <= max_broadcast_rows:
+    """Left join of a dimension's surrogate id on its natural key.
+
+    A counted small dimension is broadcast. For a larger one the hot keys of
+    `big` are counted in the raw table it stems from and spread.
+    """
+    key, id_column = NATURAL_KEYS[dim], PRIMARY_KEYS[dim]
+    ids = dims[dim].select(key, id_column)
+    if rows[dim] <= limits.max_broadcast_rows:
         return big.join(F.broadcast(ids), key, "left")
-    hot = hot_keys(big, key, big_rows, min_hot_rows)
-    return spread_join(big, ids, hot, "left", ROW_SEQ)
+    source, table = counted
+    hot = hot_keys(source, key, rows[table], limits.min_hot_rows)
+    return spread_join(big, ids, hot, "left", spread_by)
+
+
+def owned_orders(
+    raw: dict[str, DataFrame],
+    dims: dict[str, DataFrame],
+    rows: dict[str, int],
+    limits: Limits,
+) -> DataFrame:
+    """Dated orders with the id of their customer, NULL if unknown.
+
+    customer_id leads to customer_unique_id; of a repeated customer_id the last
+    row counts.
+    """
+    owners = keep_last(raw["clientes"], "customer_id", ["customer_unique_id"])
+    owners = lookup_id(
+        owners, "dim_cliente", dims, rows, (raw["clientes"], "clientes"), "customer_id", limits
+    ).select("customer_id", "id_cliente")
+    hot = hot_keys(raw["pedidos"], "customer_id", rows["pedidos"], limits.min_hot_rows)
+    return spread_join(dated_orders(raw), owners, hot, "left", ROW_SEQ)
 
 
 def item_rows(
     raw: dict[str, DataFrame],
     dims: dict[str, DataFrame],
     rows: dict[str, int],
-    min_hot_rows: int = MIN_HOT_ROWS,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    limits: Limits = Limits(),
 ) -> DataFrame:
     """All joined item rows, rejected ones included, without `id_fato`.
 
     `rows` holds the row counts of the raw tables and dimensions. The narrow item
     rows get their product and seller ids first; everything known per order is
     joined on the order side, so the wide row is built by one join on order_id.
-    Extra columns: `rejeitado`, and the natural keys of rejected rows.
+    Extra columns: `rejeitado`, the purchase month, and the natural keys of
+    rejected rows.
     """
-    limits = (min_hot_rows, max_broadcast_rows)
     raw_items = raw["itens"]
     items = priced_items(raw)
-    for dim, key, id_column in (
-        ("dim_produto", "product_id", "id_produto"),
-        ("dim_vendedor", "seller_id", "id_vendedor"),
-    ):
-        items = lookup_id(items, dims[dim], rows[dim], key, id_column, rows["itens"], *limits)
-
-    orders = dated_orders(raw)
-    hot_customers = hot_keys(raw["pedidos"], "customer_id", rows["pedidos"], min_hot_rows)
-    owners = customer_ids(raw, dims["dim_cliente"])
-    orders = spread_join(orders, owners, hot_customers, "left", ROW_SEQ)
+    for dim in ("dim_produto", "dim_vendedor"):
+        items = lookup_id(items, dim, dims, rows, (raw_items, "itens"), ROW_SEQ, limits)
 
+    orders = owned_orders(raw, dims, rows, limits)
     # the count is the base: an order without items has no item row
     per_order = (
         order_ops.items_per_order(raw_items)
         .join(order_ops.latest_review(raw["avaliacoes"]), "order_id", "left")
         .join(order_ops.order_payment(raw["pagamentos"]), "order_id", "left")
     )
-    hot_orders = hot_keys(raw["pedidos"], "order_id", rows["pedidos"], min_hot_rows)
-    orders = spread_join(orders, per_order, hot_orders, "inner", ROW_SEQ).drop(ROW_SEQ)
+    hot_orders = hot_keys(raw["pedidos"], "order_id", rows["pedidos"], limits.min_hot_rows)
+    orders = spread_join(orders, per_order, hot_orders, "inner", ROW_SEQ)
+    orders = orders.withColumnRenamed(ROW_SEQ, "_order_seq")
 
-    hot_items = hot_keys(raw_items, "order_id", rows["itens"], min_hot_rows)
-    joined = spread_join(items, orders, hot_items, "inner", ROW_SEQ)
+    # a repeated order_id multiplies its items, so either side can be hot
+    hot_items = hot_keys(raw_items, "order_id", rows["itens"], limits.min_hot_rows)
+    joined = spread_join(items, orders, hot_items, "inner", ROW_SEQ, hot_orders, "_order_seq")
 
     purchase, delivery = F.col("data_compra"), F.col("data_entrega")
     values = {
@@ -130,21 +149,24 @@ def item_rows(
         "qtd_itens": F.coalesce("qtd_itens", F.lit(1)),
         "dias_para_entrega": clean.days_between(purchase, delivery),
     }
-    fields = [f for f in FATO_PEDIDO if f.name != "id_fato"]
-    rejected = is_rejected()
+    natural_keys = ("customer_id", "product_id", "seller_id")
     return (
         joined.withColumns(values)
-        .withColumn("rejeitado", rejected)
+        .withColumn("rejeitado", is_rejected())
         .select(
-            *[F.col(f.name).cast(f.dataType).alias(f.name) for f in fields],
-            *[F.when(F.col("rejeitado"), F.col(k)).alias(k) for k in ("customer_id", "product_id", "seller_id")],
-            (F.floor(F.col("id_data_compra") / 100)).cast("int").alias(FACT_PARTITION),
+            *[
+                F.col(f.name).cast(f.dataType).alias(f.name)
+                for f in FATO_PEDIDO
+                if f.name != "id_fato"
+            ],
+            *[F.when(F.col("rejeitado"), F.col(key)).alias(key) for key in natural_keys],
+            F.floor(F.col("id_data_compra") / 100).cast("int").alias(FACT_PARTITION),
             "rejeitado",
         )
     )
 
 
-def reasons() -> dict[str, F.Column]:
+def reasons() -> dict[str, Column]:
     """Condition per reject reason of an item row; a row can have several."""
     return {
         "unknown_customer": F.col("id_cliente").isNull(),
@@ -154,12 +176,5 @@ def reasons() -> dict[str, F.Column]:
     }
 
 
-def is_rejected() -> F.Column:
-    conditions = list(reasons().values())
-    flag = conditions[0]
-    for condition in conditions[1:]:
-        flag = flag | condition
-    return flag
-
-
-__all__ = ["HotKeys", "item_rows"]
+def is_rejected() -> Column:
+    return reduce(lambda a, b: a | b, reasons().values())

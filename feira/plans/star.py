@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feira.operators.skew import HotKeys, spread_join
 from feira.plans.fact import MAX_BROADCAST_ROWS
-from feira.schema import FACT_PARTITION, PRIMARY_KEYS, STAR_TABLES
+from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
 
 
 def _day_key(day: str | datetime.date) -> int:
@@ -91,6 +91,13 @@ class Star:
         days = self._sized("dim_data").select(F.col("id_data").alias(role), *columns)
         return df.join(days, role, how)
 
+    def with_natural_keys(self) -> DataFrame:
+        """Item rows within the slicers with natural keys in place of ids."""
+        facts = self.facts()
+        for dim, key in NATURAL_KEYS.items():
+            facts = self._attach(facts, dim, (key,))
+        return facts.drop("id_fato", FACT_PARTITION, *[PRIMARY_KEYS[dim] for dim in NATURAL_KEYS])
+
     def _dated_facts(self) -> DataFrame:
         facts = self.tables["fato_pedido"]
         # the month repeats the condition for partition pruning

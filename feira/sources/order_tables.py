@@ -10,8 +10,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.schema import RAW_COLUMNS, ROW_SEQ
+from feira.sources.local_rows import local_frame
 
 
 def _text(value: Column | str) -> Column:
@@ -159,10 +161,14 @@ def _translation(spark: SparkSession) -> DataFrame:
         ("promo", "Promo"),
     ]
     rows = [(name, english, n) for n, (name, english) in enumerate(pairs)]
-    return spark.createDataFrame(
-        rows,
-        "product_category_name string, product_category_name_english string, row_seq bigint",
+    schema = T.StructType(
+        [
+            T.StructField("product_category_name", T.StringType()),
+            T.StructField("product_category_name_english", T.StringType()),
+            T.StructField(ROW_SEQ, T.LongType()),
+        ]
     )
+    return local_frame(spark, rows, schema)
 
 
 def raw_from_order_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:

@@ -19,7 +19,8 @@ from pyspark.sql import types as T
 from feira.operators.skew import HotKeys
 from feira.plans.fact import MAX_BROADCAST_ROWS
 from feira.plans.star import Star
-from feira.schema import FACT_PARTITION, PRIMARY_KEYS, STAR_TABLES
+from feira.schema import FACT_PARTITION, FATO_PEDIDO, PRIMARY_KEYS, STAR_TABLES
+from feira.sources.local_rows import local_frame
 
 PUBLISHED = T.StructType(
     [T.StructField("run_id", T.StringType()), T.StructField("published_at", T.TimestampType())]
@@ -39,6 +40,13 @@ HOT_KEYS = T.StructType(
     ]
 )
 
+# Rejected item rows: the fact without its id, then the natural keys.
+REJECTS = T.StructType(
+    [f for f in FATO_PEDIDO if f.name != "id_fato"]
+    + [T.StructField(c, T.StringType()) for c in ("customer_id", "product_id", "seller_id")]
+    + [T.StructField(FACT_PARTITION, T.IntegerType())]
+)
+
 
 def new_run_id() -> str:
     return f"{datetime.datetime.now(datetime.UTC):%Y%m%dT%H%M%S}-{uuid.uuid4().hex[:8]}"
@@ -67,11 +75,20 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(table_schema(table)).parquet(f"{folder}/{table}")
 
 
+def write_hot_keys(spark: SparkSession, folder: str, hot: dict[str, HotKeys]) -> None:
+    rows = [(key, value, n) for key, keys in hot.items() for value, n in keys.pieces]
+    local_frame(spark, rows, HOT_KEYS).write.mode("overwrite").parquet(f"{folder}/hot_keys")
+
+
+def write_metrics(spark: SparkSession, folder: str, rows: list[tuple[str, str, int]]) -> None:
+    local_frame(spark, rows, METRICS).coalesce(1).write.mode("overwrite").parquet(
+        f"{folder}/metrics"
+    )
+
+
 def publish(spark: SparkSession, out: str, run_id: str) -> None:
     row = [(run_id, datetime.datetime.now(datetime.UTC))]
-    spark.createDataFrame(row, PUBLISHED).coalesce(1).write.mode("append").parquet(
-        f"{out.rstrip('/')}/published"
-    )
+    local_frame(spark, row, PUBLISHED).write.mode("append").parquet(f"{out.rstrip('/')}/published")
 
 
 def latest_run(spark: SparkSession, out: str) -> str:
@@ -91,7 +108,7 @@ def read_metrics(spark: SparkSession, out: str, run_id: str | None = None) -> Da
 def read_rejects(spark: SparkSession, out: str, run_id: str | None = None) -> DataFrame:
     """Rejected item rows of a run with their natural keys."""
     folder = run_folder(out, run_id or latest_run(spark, out))
-    return spark.read.parquet(f"{folder}/rejects")
+    return spark.read.schema(REJECTS).parquet(f"{folder}/rejects")
 
 
 def load_star(

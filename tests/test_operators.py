@@ -1,0 +1,201 @@
+from __future__ import annotations
+
+import random
+from collections import Counter
+from decimal import Decimal
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from feira.operators.dedup import keep_first, keep_last, missing_rows
+from feira.operators.keys import dense_keys, number_written_rows
+from feira.operators.orders import items_per_order, latest_review, order_payment
+from feira.operators.skew import HotKeys, hot_keys, slices_of, spread_join
+
+
+def rows(df):
+    return sorted((tuple(r) for r in df.collect()), key=repr)
+
+
+def test_keep_first_and_last(spark):
+    df = spark.createDataFrame(
+        [("a", "x", 2), ("a", "y", 1), ("a", "z", 3), ("", "blank", 9), ("b", None, 4)],
+        "k string, v string, row_seq bigint",
+    ).repartition(4)
+    assert rows(keep_first(df, "k", ["v"])) == [("", "blank"), ("a", "y"), ("b", None)]
+    assert rows(keep_last(df, "k", ["v"])) == [("", "blank"), ("a", "z"), ("b", None)]
+
+
+def test_missing_rows_skips_known_keys(spark):
+    incoming = spark.createDataFrame(
+        [("a", "new", 1), ("b", "first", 2), ("b", "second", 3)],
+        "k string, v string, row_seq bigint",
+    )
+    target = spark.createDataFrame([("a", "old")], "k string, v string")
+    assert rows(missing_rows(incoming, target, "k")) == [("b", "first")]
+
+
+def test_latest_review(spark):
+    cells = [
+        ("o1", "5", "2018-01-01 09:00:00", 1),
+        ("o1", "3", "2018-02-01 08:00:00", 2),
+        # same day, later hour: the hour is dropped, the first row wins
+        ("o1", "1", "2018-02-01 23:00:00", 3),
+        # undated rows come last
+        ("o2", "2", "", 1),
+        ("o2", "4", "2000-01-01", 2),
+        # undated only: first row
+        ("o3", "4", "x", 5),
+        ("o3", "2", "", 6),
+        # the latest score is unreadable and stays missing
+        ("o4", "5", "2018-01-01", 1),
+        ("o4", "x", "2018-01-02", 2),
+        ("o5", "4.9", "2018-01-02", 2),
+    ]
+    df = spark.createDataFrame(
+        cells,
+        "order_id string, review_score string, review_answer_timestamp string, row_seq bigint",
+    ).repartition(5)
+    assert rows(latest_review(df)) == [("o1", 3), ("o2", 4), ("o3", 4), ("o4", None), ("o5", 4)]
+
+
+def test_order_payment(spark):
+    cells = [
+        ("o1", "boleto", "1", "10.00", 1),
+        ("o1", "credit_card", "8", "30.00", 2),
+        ("o1", "voucher", "n/a", "30.00", 3),
+        # all unreadable: ties at zero, first row
+        ("o2", "voucher", "0", "bad", 8),
+        ("o2", "boleto", "", "", 9),
+        ("o3", "", "2.7", "1.005", 1),
+    ]
+    df = spark.createDataFrame(
+        cells,
+        "order_id string, payment_type string, payment_installments string, "
+        "payment_value string, row_seq bigint",
+    ).repartition(5)
+    assert rows(order_payment(df)) == [
+        ("o1", "credit_card", 8, Decimal("70.00")),
+        ("o2", "voucher", 1, Decimal("0.00")),
+        ("o3", "", 2, Decimal("1.01")),
+    ]
+
+
+def test_items_per_order(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("",)], "order_id string")
+    assert rows(items_per_order(df)) == [("", 1), ("a", 2)]
+
+
+@pytest.fixture(scope="module")
+def skewed(spark):
+    """A third of 30,000 rows under one key, the rest spread over 3,000 keys."""
+    n = F.col("id")
+    key = F.when(n % 3 == 0, F.lit(-1)).otherwise(n % 4000)
+    return spark.range(30_000).select(key.cast("bigint").alias("k"), n.alias("row"))
+
+
+def test_hot_keys_finds_only_heavy_keys(skewed):
+    hot = hot_keys(skewed, "k", 30_000, min_rows=1000)
+    assert [k for k, _ in hot.pieces] == [-1]
+    assert hot.pieces[0][1] >= 10
+    assert not hot_keys(skewed, "k", 30_000, min_rows=20_000)
+    # a table below the floor is not even read
+    assert not hot_keys(skewed, "k", 30_000)
+
+
+def test_hot_keys_are_bounded(spark):
+    df = spark.range(4000).select((F.col("id") % 400).alias("k"))
+    assert len(hot_keys(df, "k", 4000, min_rows=1).pieces) <= slices_of(df)
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi"])
+def test_spread_join_equals_plain_join(spark, skewed, how):
+    lookup = spark.range(-1, 3000).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
+    hot = hot_keys(skewed, "k", 30_000, min_rows=1000)
+    got = spread_join(skewed, lookup, hot, how, "row")
+    want = skewed.join(lookup, "k", how)
+    assert got.columns == want.columns
+    assert rows(got) == rows(want)
+
+
+def test_spread_join_with_hot_keys_on_both_sides(spark):
+    left = spark.range(600).select(
+        F.when(F.col("id") < 200, 0).otherwise(F.col("id")).cast("bigint").alias("k"),
+        F.col("id").alias("a"),
+    )
+    right = spark.range(300).select(
+        F.when(F.col("id") < 100, 0).otherwise(F.col("id")).cast("bigint").alias("k"),
+        F.col("id").alias("b"),
+    )
+    long = T.LongType()
+    both = (HotKeys("k", long, ((0, 7), (250, 2))), HotKeys("k", long, ((0, 5), (299, 3))))
+    got = spread_join(left, right, both[0], "inner", "a", both[1], "b")
+    assert rows(got) == rows(left.join(right, "k"))
+    only_right = spread_join(left, right, HotKeys("k", long), "inner", "a", both[1], "b")
+    assert rows(only_right) == rows(left.join(right, "k"))
+    with pytest.raises(ValueError, match="inner"):
+        spread_join(left, right, both[0], "left", "a", both[1], "b")
+
+
+def test_spread_join_cuts_the_hot_key(spark, skewed):
+    """No task sees more than a small part of the hot key's rows."""
+    lookup = spark.range(-1, 4000).select(F.col("id").alias("k"))
+    hot = hot_keys(skewed, "k", 30_000, min_rows=500)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "32")
+    try:
+        joined = spread_join(skewed, lookup, hot, "inner", "row")
+        sizes = Counter(
+            r[0] for r in joined.select(F.spark_partition_id()).collect()
+        )
+        plain = skewed.join(lookup, "k")
+        plain_sizes = Counter(r[0] for r in plain.select(F.spark_partition_id()).collect())
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+    assert max(plain_sizes.values()) >= 10_000
+    assert max(sizes.values()) < 4_000
+
+
+def test_string_hot_key_including_blank(spark):
+    df = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("")).otherwise(F.col("id").cast("string")).alias("k"),
+        F.struct(F.lit(0).alias("part"), F.col("id").alias("place")).alias("row_seq"),
+    )
+    lookup = spark.createDataFrame([("", 1), ("7", 2)], "k string, v int")
+    hot = hot_keys(df, "k", 3000, min_rows=100)
+    assert [k for k, _ in hot.pieces] == [""]
+    got = spread_join(df, lookup, hot, "left", "row_seq")
+    assert rows(got) == rows(df.join(lookup, "k", "left"))
+
+
+@pytest.mark.parametrize("buckets", [1, 7, 500])
+def test_dense_keys(spark, buckets):
+    names = [f"k{i}" for i in range(300)]
+    random.Random(1).shuffle(names)
+    df = spark.createDataFrame([(n, n.upper()) for n in names], "k string, v string")
+    numbered = dense_keys(df.repartition(5), "k", "id", buckets)
+    assert numbered.columns == ["id", "k", "v"]
+    got = {r["k"]: r["id"] for r in numbered.collect()}
+    assert sorted(got.values()) == list(range(1, 301))
+    # the same keys give the same ids, however the rows are laid out
+    again = {r["k"]: r["id"] for r in dense_keys(df.coalesce(1), "k", "id", buckets).collect()}
+    assert got == again
+
+
+def test_number_written_rows(spark, tmp_path):
+    path = str(tmp_path / "t")
+    spark.range(1000).withColumn("odd", F.col("id") % 2 == 1).repartition(6).write.partitionBy(
+        "odd"
+    ).parquet(path)
+    df = spark.read.parquet(path)
+    numbered = number_written_rows(df, "n")
+    got = numbered.collect()
+    assert sorted(r["n"] for r in got) == list(range(1, 1001))
+    assert sorted(r["id"] for r in got) == list(range(1000))
+    odd = number_written_rows(df.filter("odd = 'true'"), "n").collect()
+    assert sorted(r["n"] for r in odd) == list(range(1, 501))
+
