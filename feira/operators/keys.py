@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from feira.operators.skew import slices_of
 
-# File offsets are broadcast up to this many files (two short columns each).
-MAX_BROADCAST_FILES = 1_000_000
+# File offsets are broadcast up to this many files: a path and a number each,
+# about 300 MB at the limit. 100 TB in files of 128 MB are 0.8 million.
+MAX_BROADCAST_FILES = 2_000_000
 
 
 def dense_keys(df: DataFrame, key: str, id_column: str, buckets: int | None = None) -> DataFrame:

@@ -69,4 +69,4 @@ def order_payment(payments: DataFrame) -> DataFrame:
 
 def items_per_order(items: DataFrame) -> DataFrame:
     """order_id, qtd_itens over all items, also those rejected later."""
-    return items.groupBy("order_id").agg(F.count("*").cast("int").alias("qtd_itens"))
+    return items.groupBy("order_id").agg(F.count("*").alias("qtd_itens"))

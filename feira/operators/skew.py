@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 from feira.sources.local_rows import local_frame
 
 # A key below this many rows fits one task whatever its share is.
-MIN_HOT_ROWS = 1_000_000
+MIN_HOT_ROWS = 100_000
 # Lower bound of the number of slices a table is thought to be cut into.
 MIN_SLICES = 200
 

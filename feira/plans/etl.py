@@ -12,7 +12,15 @@ from pyspark.sql import functions as F
 from feira.operators.keys import dense_keys, number_written_rows
 from feira.operators.skew import HotKeys, hot_keys
 from feira.plans import dims, quality
-from feira.plans.fact import Limits, item_rows
+from feira.plans.fact import (
+    ORDER_KEYS,
+    Inputs,
+    Limits,
+    Size,
+    hot_key_of,
+    item_rows,
+    table_sizes,
+)
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS
 from feira.sources import star_store
@@ -72,22 +80,32 @@ def run_etl(
     raw: dict[str, DataFrame],
     out: str,
     limits: Limits = Limits(),
+    strict: bool = False,
 ) -> Star:
     """Full reload from the eight raw tables into `out`; returns the new star.
 
     `out` must be on storage that all executors share. Raises IntegrityError,
-    without publishing, when a rule of `quality.star_rules` is broken.
+    without publishing, when a key, foreign key or not-null rule is broken.
+    Overlong texts and oversized counters are stored whole and recorded in the
+    run's `quality` table; with `strict` they stop the run too.
     """
     spark = raw["pedidos"].sparkSession
     run_id = star_store.new_run_id()
     folder = star_store.run_folder(out, run_id)
     raw_rows = count_rows(raw)
+    hot: dict[tuple[str, str], HotKeys] = {}
 
-    _together(*[partial(_write_dimension, spark, raw, folder, dim) for dim in DIMENSIONS])
+    def find_hot(table: str, column: str) -> None:
+        hot[table, column] = hot_key_of(raw, raw_rows, table, column, limits)
+
+    _together(
+        *[partial(_write_dimension, spark, raw, folder, dim) for dim in DIMENSIONS],
+        *[partial(find_hot, *key) for key in ORDER_KEYS],
+    )
     dim_tables = {dim: star_store.read_table(spark, folder, dim) for dim in DIMENSIONS}
-    dim_rows = count_rows(dim_tables)
+    sizes = table_sizes(dim_tables)
 
-    joined = item_rows(raw, dim_tables, raw_rows | dim_rows, limits)
+    joined = item_rows(Inputs(raw, raw_rows, dim_tables, sizes, hot, limits))
     staged = _stage_items(spark, joined, folder)
     accepted, rejected = staged.filter(~F.col("rejeitado")), staged.filter("rejeitado")
 
@@ -105,37 +123,37 @@ def run_etl(
     _together(write_fact, write_calendar, write_rejects)
 
     written = {t: star_store.read_table(spark, folder, t) for t in ("dim_data", "fato_pedido")}
-    star_rows = dim_rows | count_rows(written)
-    hot = _hot_ids(written["fato_pedido"], star_rows, limits)
-    star = Star(dim_tables | written, star_rows, hot, limits.max_broadcast_rows)
-
-    def write_notes() -> None:
-        star_store.write_hot_keys(spark, folder, hot)
-        rejects = spark.read.schema(star_store.REJECTS).parquet(f"{folder}/rejects")
-        star_store.write_metrics(spark, folder, _metrics(raw, raw_rows, rejects, star_rows))
-
-    def check() -> None:
-        broken = quality.star_rules(star).filter("violations > 0").collect()
-        if broken:
-            found = "; ".join(f"{r['table']} {r['rule']}: {r['violations']}" for r in broken)
-            raise IntegrityError(f"run {run_id} not published: {found}")
-
-    _together(check, write_notes)
+    fact_rows = count_rows({"fato_pedido": written["fato_pedido"]})["fato_pedido"]
+    # the fact is never a lookup, so only its rows are counted
+    sizes |= table_sizes({"dim_data": written["dim_data"]}) | {"fato_pedido": Size(fact_rows, 2**62)}
+    hot_ids = {
+        PRIMARY_KEYS[dim]: hot_keys(
+            written["fato_pedido"], PRIMARY_KEYS[dim], fact_rows, limits.min_hot_rows
+        )
+        for dim in DIMENSIONS
+        if sizes[dim].bytes > limits.max_broadcast_bytes
+    }
+    star = Star(dim_tables | written, sizes, hot_ids, limits.max_broadcast_bytes)
+    rejects = spark.read.schema(star_store.REJECTS).parquet(f"{folder}/rejects")
+
+    with ThreadPoolExecutor(2) as pool:
+        checked = pool.submit(quality.star_rules(star).collect)
+        counted = pool.submit(_metrics, raw, raw_rows, rejects, sizes)
+        findings, metrics = [tuple(r) for r in checked.result()], counted.result()
+    star_store.write_notes(spark, folder, sizes, hot_ids, metrics, findings)
+    broken = [f for f in findings if f[2] and (strict or quality.is_blocking(f[0]))]
+    if broken:
+        listed = "; ".join(f"{table} {rule}: {n}" for rule, table, n in broken)
+        raise IntegrityError(f"run {run_id} not published: {listed}")
     star_store.publish(spark, out, run_id)
     return star
 
 
-def _hot_ids(fact: DataFrame, rows: dict[str, int], limits: Limits) -> dict[str, HotKeys]:
-    """Hot ids of the dimensions that reports cannot broadcast, counted once."""
-    keys = [PRIMARY_KEYS[dim] for dim in DIMENSIONS if rows[dim] > limits.max_broadcast_rows]
-    return {key: hot_keys(fact, key, rows["fato_pedido"], limits.min_hot_rows) for key in keys}
-
-
 def _metrics(
     raw: dict[str, DataFrame],
     raw_rows: dict[str, int],
     rejects: DataFrame,
-    star_rows: dict[str, int],
+    sizes: dict[str, Size],
 ) -> list[tuple[str, str, int]]:
     """Rows read, rejected by reason, joined, skipped and loaded."""
     skipped = rejects.count()
@@ -143,9 +161,9 @@ def _metrics(
     return [
         *[("raw", table, n) for table, n in raw_rows.items()],
         *[("reject", r["reason"], r["rows"]) for r in reasons],
-        ("joined", "itens", star_rows["fato_pedido"] + skipped),
+        ("joined", "itens", sizes["fato_pedido"].rows + skipped),
         ("skipped", "fato_pedido", skipped),
-        *[("star", table, n) for table, n in star_rows.items()],
+        *[("star", table, size.rows) for table, size in sizes.items()],
     ]
 
 
@@ -155,7 +173,8 @@ def run_etl_from_csv(
     out: str,
     prefix: str = "",
     limits: Limits = Limits(),
+    strict: bool = False,
 ) -> Star:
     """Read the eight CSV inputs in `folder`, land them as parquet and load."""
     raw = land(read_raw(spark, folder, prefix), f"{out.rstrip('/')}/landing")
-    return run_etl(raw, out, limits)
+    return run_etl(raw, out, limits, strict)

@@ -7,16 +7,48 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.functions import clean
 from feira.operators import orders as order_ops
 from feira.operators.dedup import keep_last
-from feira.operators.skew import MIN_HOT_ROWS, hot_keys, spread_join
+from feira.operators.skew import MIN_HOT_ROWS, HotKeys, hot_keys, spread_join
 from feira.schema import FACT_PARTITION, FATO_PEDIDO, NATURAL_KEYS, PRIMARY_KEYS, ROW_SEQ
 
-# A dimension of at most this many rows is broadcast. Its texts are length
-# checked (at most 250 characters a row), which bounds it to about 150 MB.
-MAX_BROADCAST_ROWS = 500_000
+# A dimension measured at most this large is broadcast, see `table_sizes`.
+MAX_BROADCAST_BYTES = 100 * 2**20
+# Allowance per row for keys, numbers and the hash table.
+ROW_OVERHEAD_BYTES = 64
+
+
+@dataclass(frozen=True)
+class Size:
+    rows: int
+    bytes: int
+
+
+@dataclass(frozen=True)
+class Limits:
+    """When a lookup is broadcast and from how many rows a key counts as hot."""
+
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES
+    min_hot_rows: int = MIN_HOT_ROWS
+
+
+def table_sizes(tables: dict[str, DataFrame]) -> dict[str, Size]:
+    """Rows and broadcast size of several tables, counted in one job."""
+    parts = []
+    for name, df in tables.items():
+        texts = [f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)]
+        length = sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in texts), F.lit(0))
+        measured = df.agg(
+            F.count("*").alias("rows"),
+            F.coalesce(F.sum(length + ROW_OVERHEAD_BYTES), F.lit(0)).alias("bytes"),
+        )
+        parts.append(measured.select(F.lit(name).alias("table"), "rows", "bytes"))
+    measured = reduce(DataFrame.unionByName, parts).collect()
+    return {r["table"]: Size(r["rows"], r["bytes"]) for r in measured}
+
 
 def dated_orders(raw: dict[str, DataFrame]) -> DataFrame:
     """Orders with a readable purchase date, both dates parsed."""
@@ -55,88 +87,82 @@ def priced_items(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
+# Keys whose weight decides how the orders and items are joined.
+ORDER_KEYS = (("pedidos", "customer_id"), ("pedidos", "order_id"), ("itens", "order_id"))
+
+
 @dataclass(frozen=True)
-class Limits:
-    """When a lookup is broadcast and from how many rows a key counts as hot."""
+class Inputs:
+    """What the joins need to know: raw tables, dimensions with ids, sizes, hot keys."""
 
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS
-    min_hot_rows: int = MIN_HOT_ROWS
+    raw: dict[str, DataFrame]
+    raw_rows: dict[str, int]
+    dims: dict[str, DataFrame]
+    sizes: dict[str, Size]
+    hot: dict[tuple[str, str], HotKeys]
+    limits: Limits = Limits()
+
+
+def hot_key_of(
+    raw: dict[str, DataFrame], rows: dict[str, int], table: str, column: str, limits: Limits
+) -> HotKeys:
+    return hot_keys(raw[table], column, rows[table], limits.min_hot_rows)
 
 
-def lookup_id(
-    big: DataFrame,
-    dim: str,
-    dims: dict[str, DataFrame],
-    rows: dict[str, int],
-    counted: tuple[DataFrame, str],
-    spread_by: str,
-    limits: Limits,
-) -> DataFrame:
+def lookup_id(big: DataFrame, dim: str, inputs: Inputs, table: str, spread_by: str) -> DataFrame:
     """Left join of a dimension's surrogate id on its natural key.
 
-    A counted small dimension is broadcast. For a larger one the hot keys of
+    A dimension measured small is broadcast. For a larger one the hot keys of
     `big` are counted in the raw table it stems from and spread.
     """
     key, id_column = NATURAL_KEYS[dim], PRIMARY_KEYS[dim]
-    ids = dims[dim].select(key, id_column)
-    if rows[dim] <= limits.max_broadcast_rows:
+    ids = inputs.dims[dim].select(key, id_column)
+    if inputs.sizes[dim].bytes <= inputs.limits.max_broadcast_bytes:
         return big.join(F.broadcast(ids), key, "left")
-    source, table = counted
-    hot = hot_keys(source, key, rows[table], limits.min_hot_rows)
+    hot = hot_key_of(inputs.raw, inputs.raw_rows, table, key, inputs.limits)
     return spread_join(big, ids, hot, "left", spread_by)
 
 
-def owned_orders(
-    raw: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
-    rows: dict[str, int],
-    limits: Limits,
-) -> DataFrame:
+def owned_orders(inputs: Inputs) -> DataFrame:
     """Dated orders with the id of their customer, NULL if unknown.
 
     customer_id leads to customer_unique_id; of a repeated customer_id the last
     row counts.
     """
-    owners = keep_last(raw["clientes"], "customer_id", ["customer_unique_id"])
-    owners = lookup_id(
-        owners, "dim_cliente", dims, rows, (raw["clientes"], "clientes"), "customer_id", limits
-    ).select("customer_id", "id_cliente")
-    hot = hot_keys(raw["pedidos"], "customer_id", rows["pedidos"], limits.min_hot_rows)
-    return spread_join(dated_orders(raw), owners, hot, "left", ROW_SEQ)
-
-
-def item_rows(
-    raw: dict[str, DataFrame],
-    dims: dict[str, DataFrame],
-    rows: dict[str, int],
-    limits: Limits = Limits(),
-) -> DataFrame:
+    owners = keep_last(inputs.raw["clientes"], "customer_id", ["customer_unique_id"])
+    owners = lookup_id(owners, "dim_cliente", inputs, "clientes", "customer_id").select(
+        "customer_id", "id_cliente"
+    )
+    hot = inputs.hot["pedidos", "customer_id"]
+    return spread_join(dated_orders(inputs.raw), owners, hot, "left", ROW_SEQ)
+
+
+def item_rows(inputs: Inputs) -> DataFrame:
     """All joined item rows, rejected ones included, without `id_fato`.
 
-    `rows` holds the row counts of the raw tables and dimensions. The narrow item
-    rows get their product and seller ids first; everything known per order is
-    joined on the order side, so the wide row is built by one join on order_id.
-    Extra columns: `rejeitado`, the purchase month, and the natural keys of
-    rejected rows.
+    The narrow item rows get their product and seller ids first; everything
+    known per order is joined on the order side, so the wide row is built by one
+    join on order_id. Extra columns: `rejeitado`, the purchase month, and the
+    natural keys of rejected rows.
     """
-    raw_items = raw["itens"]
+    raw = inputs.raw
     items = priced_items(raw)
     for dim in ("dim_produto", "dim_vendedor"):
-        items = lookup_id(items, dim, dims, rows, (raw_items, "itens"), ROW_SEQ, limits)
+        items = lookup_id(items, dim, inputs, "itens", ROW_SEQ)
 
-    orders = owned_orders(raw, dims, rows, limits)
+    orders = owned_orders(inputs)
     # the count is the base: an order without items has no item row
     per_order = (
-        order_ops.items_per_order(raw_items)
+        order_ops.items_per_order(raw["itens"])
         .join(order_ops.latest_review(raw["avaliacoes"]), "order_id", "left")
         .join(order_ops.order_payment(raw["pagamentos"]), "order_id", "left")
     )
-    hot_orders = hot_keys(raw["pedidos"], "order_id", rows["pedidos"], limits.min_hot_rows)
+    hot_orders = inputs.hot["pedidos", "order_id"]
     orders = spread_join(orders, per_order, hot_orders, "inner", ROW_SEQ)
     orders = orders.withColumnRenamed(ROW_SEQ, "_order_seq")
 
     # a repeated order_id multiplies its items, so either side can be hot
-    hot_items = hot_keys(raw_items, "order_id", rows["itens"], limits.min_hot_rows)
+    hot_items = inputs.hot["itens", "order_id"]
     joined = spread_join(items, orders, hot_items, "inner", ROW_SEQ, hot_orders, "_order_seq")
 
     purchase, delivery = F.col("data_compra"), F.col("data_entrega")

@@ -1,7 +1,9 @@
 """Integrity rules as queries: (rule, table, violations).
 
-The star rules are what a relational store enforces on write; a run that breaks
-one is not published. The raw rules only report.
+The star rules are what a relational store enforces on write. A run that breaks
+a key, foreign key or not-null rule is not published; text lengths and counter
+ranges are findings, since the tables keep such values whole. The raw rules only
+report.
 """
 
 from __future__ import annotations
@@ -25,7 +27,12 @@ from feira.schema import (
     STAR_TABLES,
 )
 
-COLUMNS = ("rule", "table", "violations")
+# Rules whose violation makes reports wrong.
+BLOCKING = ("primary_key", "natural_key", "foreign_key", "not_null")
+
+
+def is_blocking(rule: str) -> bool:
+    return rule.startswith(BLOCKING)
 
 
 def _union(frames: list[DataFrame]) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feira.operators.skew import HotKeys, spread_join
-from feira.plans.fact import MAX_BROADCAST_ROWS
+from feira.plans.fact import MAX_BROADCAST_BYTES, Size
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
 
 
@@ -22,16 +22,16 @@ def _day_key(day: str | datetime.date) -> int:
 
 @dataclass(frozen=True)
 class Star:
-    """Star tables with their row counts and the hot dimension keys of the fact.
+    """Star tables with their measured sizes and the hot dimension keys of the fact.
 
-    Row counts decide how a dimension is joined: up to `max_broadcast_rows` it
-    is broadcast, beyond that the fact is shuffled with its hot keys spread.
+    The size decides how a dimension is joined: up to `max_broadcast_bytes` it is
+    broadcast, beyond that the fact is shuffled with its hot keys spread.
     """
 
     tables: dict[str, DataFrame]
-    rows: dict[str, int]
+    sizes: dict[str, Size]
     hot: dict[str, HotKeys] = field(default_factory=dict)
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES
     date_from: int | None = None
     date_to: int | None = None
     states: tuple[str, ...] | None = None
@@ -115,7 +115,10 @@ class Star:
 
     def _sized(self, table: str) -> DataFrame:
         df = self.tables[table]
-        return F.broadcast(df) if self.rows[table] <= self.max_broadcast_rows else df
+        return F.broadcast(df) if self._is_small(table) else df
+
+    def _is_small(self, table: str) -> bool:
+        return self.sizes[table].bytes <= self.max_broadcast_bytes
 
     def _attach(self, facts: DataFrame, dim: str, columns: tuple[str, ...]) -> DataFrame:
         """Inner join of dimension columns; the customer is limited to the states."""
@@ -124,7 +127,7 @@ class Star:
         if dim == "dim_cliente" and self.states is not None:
             lookup = lookup.filter(F.col("estado").isin(*self.states))
         lookup = lookup.select(key, *columns)
-        if self.rows[dim] <= self.max_broadcast_rows:
+        if self._is_small(dim):
             return facts.join(F.broadcast(lookup), key)
         hot = self.hot.get(key, HotKeys(key, facts.schema[key].dataType))
         return spread_join(facts, lookup, hot, "inner", "id_fato")

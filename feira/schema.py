@@ -70,8 +70,8 @@ DIM_VENDEDOR = T.StructType(
     ]
 )
 
-# The four counters of the fact are SMALLINT in the contract. They are stored as
-# INT so that an oversized value (one order with 40,000 items) is kept and
+# The four counters of the fact are SMALLINT in the contract. They are stored
+# wider so that an oversized value (an order with 40,000 items) is kept and
 # reported by the range rule instead of being lost.
 FATO_PEDIDO = T.StructType(
     [
@@ -90,7 +90,7 @@ FATO_PEDIDO = T.StructType(
         T.StructField("parcelas", T.IntegerType()),
         T.StructField("valor_pago", MONEY),
         T.StructField("nota_avaliacao", T.IntegerType()),
-        T.StructField("qtd_itens", T.IntegerType()),
+        T.StructField("qtd_itens", T.LongType()),
         T.StructField("dias_para_entrega", T.IntegerType()),
     ]
 )

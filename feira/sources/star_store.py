@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira.operators.skew import HotKeys
-from feira.plans.fact import MAX_BROADCAST_ROWS
+from feira.plans.fact import MAX_BROADCAST_BYTES, Size
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, FATO_PEDIDO, PRIMARY_KEYS, STAR_TABLES
 from feira.sources.local_rows import local_frame
@@ -32,6 +32,20 @@ METRICS = T.StructType(
         T.StructField("rows", T.LongType()),
     ]
 )
+SIZES = T.StructType(
+    [
+        T.StructField("table", T.StringType()),
+        T.StructField("rows", T.LongType()),
+        T.StructField("bytes", T.LongType()),
+    ]
+)
+QUALITY = T.StructType(
+    [
+        T.StructField("rule", T.StringType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("violations", T.LongType()),
+    ]
+)
 HOT_KEYS = T.StructType(
     [
         T.StructField("column", T.StringType()),
@@ -75,15 +89,24 @@ def read_table(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.schema(table_schema(table)).parquet(f"{folder}/{table}")
 
 
-def write_hot_keys(spark: SparkSession, folder: str, hot: dict[str, HotKeys]) -> None:
-    rows = [(key, value, n) for key, keys in hot.items() for value, n in keys.pieces]
-    local_frame(spark, rows, HOT_KEYS).write.mode("overwrite").parquet(f"{folder}/hot_keys")
-
-
-def write_metrics(spark: SparkSession, folder: str, rows: list[tuple[str, str, int]]) -> None:
-    local_frame(spark, rows, METRICS).coalesce(1).write.mode("overwrite").parquet(
-        f"{folder}/metrics"
-    )
+def write_notes(
+    spark: SparkSession,
+    folder: str,
+    sizes: dict[str, Size],
+    hot: dict[str, HotKeys],
+    metrics: list[tuple[str, str, int]],
+    findings: list[tuple[str, str, int]],
+) -> None:
+    """Small tables about a run: sizes, hot keys, row counts, rule results."""
+    keys = [(key, value, n) for key, found in hot.items() for value, n in found.pieces]
+    for name, rows, schema in (
+        ("sizes", [(t, s.rows, s.bytes) for t, s in sizes.items()], SIZES),
+        ("hot_keys", keys, HOT_KEYS),
+        ("metrics", metrics, METRICS),
+        ("quality", findings, QUALITY),
+    ):
+        frame = local_frame(spark, rows, schema).coalesce(1)
+        frame.write.mode("overwrite").parquet(f"{folder}/{name}")
 
 
 def publish(spark: SparkSession, out: str, run_id: str) -> None:
@@ -111,11 +134,17 @@ def read_rejects(spark: SparkSession, out: str, run_id: str | None = None) -> Da
     return spark.read.schema(REJECTS).parquet(f"{folder}/rejects")
 
 
+def read_quality(spark: SparkSession, out: str, run_id: str | None = None) -> DataFrame:
+    """(rule, table, violations) found when a run was loaded."""
+    folder = run_folder(out, run_id or latest_run(spark, out))
+    return spark.read.schema(QUALITY).parquet(f"{folder}/quality")
+
+
 def load_star(
-    spark: SparkSession, folder: str, max_broadcast_rows: int = MAX_BROADCAST_ROWS
+    spark: SparkSession, folder: str, max_broadcast_bytes: int = MAX_BROADCAST_BYTES
 ) -> Star:
-    metrics = spark.read.schema(METRICS).parquet(f"{folder}/metrics")
-    rows = {r["table"]: r["rows"] for r in metrics.filter("stage = 'star'").collect()}
+    measured = spark.read.schema(SIZES).parquet(f"{folder}/sizes").collect()
+    sizes = {r["table"]: Size(r["rows"], r["bytes"]) for r in measured}
     # at most one average task's share per key, see operators.skew
     found = spark.read.schema(HOT_KEYS).parquet(f"{folder}/hot_keys").collect()
     hot = {}
@@ -124,16 +153,16 @@ def load_star(
         if pieces:
             hot[key] = HotKeys(key, T.LongType(), pieces)
     tables = {table: read_table(spark, folder, table) for table in STAR_TABLES}
-    return Star(tables, rows, hot, max_broadcast_rows)
+    return Star(tables, sizes, hot, max_broadcast_bytes)
 
 
 def open_star(
     spark: SparkSession,
     out: str,
     run_id: str | None = None,
-    max_broadcast_rows: int = MAX_BROADCAST_ROWS,
+    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
 ) -> Star:
     """The newest published star in `out`, or the one of `run_id`."""
     return load_star(
-        spark, run_folder(out, run_id or latest_run(spark, out)), max_broadcast_rows
+        spark, run_folder(out, run_id or latest_run(spark, out)), max_broadcast_bytes
     )

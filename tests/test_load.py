@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira import open_star, run_etl, run_etl_from_csv
-from feira.plans import marts, quality
+from feira.plans import dims, etl, marts, quality
 from feira.plans.etl import IntegrityError, count_rows
 from feira.plans.fact import Limits
 from feira.schema import RAW_COLUMNS
@@ -153,11 +153,11 @@ def test_spread_path_matches_model(spark, tmp_path):
     """No broadcast, and every key of some weight is cut into pieces."""
     tables = dirty_tables(3)
     write_csv(tables, tmp_path / "in")
-    limits = Limits(max_broadcast_rows=0, min_hot_rows=3)
+    limits = Limits(max_broadcast_bytes=0, min_hot_rows=3)
     star = run_etl_from_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"), PREFIX, limits)
     check_against_model(star, tables)
     assert star.hot["id_produto"] and star.hot["id_cliente"] and star.hot["id_vendedor"]
-    reopened = open_star(spark, str(tmp_path / "out"), max_broadcast_rows=0)
+    reopened = open_star(spark, str(tmp_path / "out"), max_broadcast_bytes=0)
     assert reopened.hot == star.hot
     small = open_star(spark, str(tmp_path / "out"))
     for report in (marts.top_categories, marts.top_states, marts.delivery_by_state, marts.revenue_by_month):
@@ -219,20 +219,33 @@ def test_missing_input_is_named_before_anything_runs(spark, tmp_path):
     assert not out.exists()
 
 
-def test_broken_rule_is_not_published(spark, tmp_path):
+def test_findings_are_kept_and_strict_stops(spark, tmp_path):
     out = str(tmp_path / "out")
     tables = dirty_tables(1)
-    write_csv(tables, tmp_path / "good")
-    good = run_etl_from_csv(spark, str(tmp_path / "good"), out, PREFIX)
-    before = as_rows(marts.row_counts(good))
     tables["vendedores"][0]["seller_state"] = "TOO LONG"
     tables["pagamentos"][0].update(order_id="o1", payment_installments="40000")
-    write_csv(tables, tmp_path / "bad")
-    with pytest.raises(IntegrityError, match="dim_vendedor text_length: 1") as error:
-        run_etl_from_csv(spark, str(tmp_path / "bad"), out, PREFIX)
-    assert "fato_pedido smallint_range" in str(error.value)
+    write_csv(tables, tmp_path / "in")
+    star = run_etl_from_csv(spark, str(tmp_path / "in"), out, PREFIX)
+    check_against_model(star, tables)
+    found = {(r["table"], r["rule"]): r["violations"] for r in star_store.read_quality(spark, out).collect()}
+    assert found["dim_vendedor", "text_length"] == 1
+    assert found["fato_pedido", "smallint_range"] > 0
+    assert found["fato_pedido", "primary_key"] == 0
+    with pytest.raises(IntegrityError, match="dim_vendedor text_length: 1"):
+        run_etl_from_csv(spark, str(tmp_path / "in"), out, PREFIX, strict=True)
     # readers still get the previous run
-    assert as_rows(marts.row_counts(open_star(spark, out))) == before
+    assert as_rows(marts.row_counts(open_star(spark, out))) == as_rows(marts.row_counts(star))
+
+
+def test_broken_key_is_not_published(spark, raw, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    monkeypatch.setitem(
+        etl.DIMENSIONS, "dim_vendedor", lambda r: dims.sellers(r).unionByName(dims.sellers(r))
+    )
+    with pytest.raises(IntegrityError, match="dim_vendedor natural_key: 10"):
+        run_etl(raw, out)
+    with pytest.raises(FileNotFoundError, match="no published star"):
+        open_star(spark, out)
 
 
 def test_second_run_replaces_the_first(spark, raw, star_out, tmp_path):
@@ -242,14 +255,14 @@ def test_second_run_replaces_the_first(spark, raw, star_out, tmp_path):
     run_etl(fewer, out)
     star = open_star(spark, out)
     full = open_star(spark, star_out)
-    assert 0 < star.rows["fato_pedido"] < full.rows["fato_pedido"]
+    assert 0 < star.sizes["fato_pedido"].rows < full.sizes["fato_pedido"].rows
     assert star.tables["fato_pedido"].filter("order_id >= '2'").count() == 0
     assert star.tables["fato_pedido"].agg(F.min("id_fato")).first()[0] == 1
 
 
 def test_expected_star_counts(spark, raw, star, star_out):
     """Counts worked out beforehand for the given tables."""
-    assert star.rows == {
+    assert {t: s.rows for t, s in star.sizes.items()} == {
         "dim_data": 1621,
         "dim_cliente": 150,
         "dim_produto": 199,
@@ -265,7 +278,7 @@ def test_expected_star_counts(spark, raw, star, star_out):
         "unknown_seller": 0,
         "no_price": 0,
     }
-    assert rejects.count() + star.rows["fato_pedido"] == 5868
+    assert rejects.count() + star.sizes["fato_pedido"].rows == 5868
 
 
 def test_star_rules_hold_and_catch(spark, star):
@@ -285,7 +298,7 @@ def test_star_rules_hold_and_catch(spark, star):
     )
     sellers = star.tables["dim_vendedor"]
     tables = star.tables | {"fato_pedido": broken, "dim_vendedor": sellers.unionByName(sellers.limit(2))}
-    found = quality.star_rules(type(star)(tables, star.rows)).filter("violations > 0").collect()
+    found = quality.star_rules(type(star)(tables, star.sizes)).filter("violations > 0").collect()
     assert {(r["rule"], r["table"]): r["violations"] for r in found} == {
         ("primary_key", "fato_pedido"): 1,
         ("primary_key", "dim_vendedor"): 2,

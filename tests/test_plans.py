@@ -11,7 +11,7 @@ import pytest
 import __spark_entry__ as entry
 from feira.plans import dashboard, marts
 from feira.plans.etl import DIMENSIONS, count_rows
-from feira.plans.fact import Limits, item_rows
+from feira.plans.fact import ORDER_KEYS, Inputs, Limits, hot_key_of, item_rows
 from tests.conftest import SF
 
 
@@ -81,7 +81,7 @@ def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, star):
 
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        large = plan(marts.top_states(replace(star, max_broadcast_rows=0)))
+        large = plan(marts.top_states(replace(star, max_broadcast_bytes=0)))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "BroadcastHashJoin" not in large and "SortMergeJoin" in large
@@ -89,11 +89,13 @@ def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, star):
 
 def test_order_side_is_shuffled_once_without_hot_keys(spark, raw, star):
     """Count, review and payment meet where their aggregation left them."""
-    rows = count_rows(raw) | star.rows
+    rows = count_rows(raw)
     dims = {dim: star.tables[dim] for dim in DIMENSIONS}
+    hot = {key: hot_key_of(raw, rows, *key, Limits()) for key in ORDER_KEYS}
+    inputs = Inputs(raw, rows, dims, star.sizes, hot)
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
-        text = plan(item_rows(raw, dims, rows, Limits()))
+        text = plan(item_rows(inputs))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     by_order = re.findall(r"Arguments: hashpartitioning\(order_id#\d+, 8\)", text)

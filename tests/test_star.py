@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira.plans import dashboard, marts
+from feira.plans.fact import Size
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, STAR_TABLES
 
@@ -61,7 +62,7 @@ def tiny_star(spark, facts):
         ),
         "fato_pedido": spark.createDataFrame(rows, schema),
     }
-    return Star(tables, {t: 10 for t in STAR_TABLES})
+    return Star(tables, {t: Size(10, 1000) for t in STAR_TABLES})
 
 
 def test_status_null_is_a_group_but_not_active(spark):
