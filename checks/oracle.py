@@ -153,7 +153,7 @@ avaliacao AS (
 SELECT order_id, CAST(trunc({_number("review_score")}) AS BIGINT) AS nota
 FROM raw_avaliacoes
 QUALIFY row_number() OVER (PARTITION BY order_id
-        ORDER BY {_date("review_answer_timestamp")} DESC NULLS LAST, row_seq) = 1),
+        ORDER BY {_date("review_answer_timestamp")} DESC NULLS LAST, row_seq, nota NULLS FIRST) = 1),
 pagamento_linha AS (
 SELECT order_id, payment_type, row_seq,
        coalesce({_number("payment_value")}, 0) AS valor,
@@ -162,7 +162,7 @@ SELECT order_id, payment_type, row_seq,
 FROM raw_pagamentos),
 pagamento_tipo AS (
 SELECT order_id, payment_type FROM pagamento_linha
-QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY valor DESC, row_seq) = 1),
+QUALIFY row_number() OVER (PARTITION BY order_id ORDER BY valor DESC, row_seq, payment_type) = 1),
 pagamento AS (
 SELECT s.order_id, t.payment_type AS tipo_pagamento, s.parcelas, s.valor_pago
 FROM (SELECT order_id, CAST(trunc(max(vezes)) AS BIGINT) AS parcelas, sum(valor) AS valor_pago

@@ -18,8 +18,9 @@ def latest_review(reviews: DataFrame) -> DataFrame:
     """order_id, review_score of the review answered last.
 
     The order is by answer date only (the time of day is dropped), undated
-    reviews come last, and the first row wins a tie. A score that is not a
-    number is NULL and can still be the latest one.
+    reviews come last, and the first row wins a tie; should two rows claim one
+    position, the smallest score does. A score that is not a number is NULL and
+    can still be the latest one.
     """
     age = -F.unix_date(clean.parse_date(F.col("review_answer_timestamp")))
     return (
@@ -31,7 +32,7 @@ def latest_review(reviews: DataFrame) -> DataFrame:
             F.coalesce(age.cast("long"), F.lit(2**62)).alias("_age"),
         )
         .groupBy("order_id")
-        .agg(first_by("review_score", "_age", ROW_SEQ).alias("review_score"))
+        .agg(first_by("review_score", "_age", ROW_SEQ, "review_score").alias("review_score"))
     )
 
 
@@ -54,7 +55,9 @@ def order_payment(payments: DataFrame) -> DataFrame:
         )
         .groupBy("order_id")
         .agg(
-            first_by("payment_type", -F.col("_value"), ROW_SEQ).alias("tipo_pagamento"),
+            first_by("payment_type", -F.col("_value"), ROW_SEQ, "payment_type").alias(
+                "tipo_pagamento"
+            ),
             F.max("_instalments").alias("_instalments"),
             F.sum("_value").alias("_value"),
         )

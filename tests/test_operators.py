@@ -199,3 +199,21 @@ def test_number_written_rows(spark, tmp_path):
     odd = number_written_rows(df.filter("odd = 'true'"), "n").collect()
     assert sorted(r["n"] for r in odd) == list(range(1, 501))
 
+
+
+def test_rows_claiming_one_position_are_settled_by_content(spark):
+    """Otherwise a re-run task could keep another row."""
+    paid = [("o", t, "1", "5.00", 1) for t in ("voucher", "boleto", "credit_card")]
+    payments = spark.createDataFrame(
+        paid,
+        "order_id string, payment_type string, payment_installments string, "
+        "payment_value string, row_seq bigint",
+    )
+    scored = [("o", s, "2018-01-01", 1) for s in ("4", "2", "5")]
+    reviews = spark.createDataFrame(
+        scored,
+        "order_id string, review_score string, review_answer_timestamp string, row_seq bigint",
+    )
+    for parts in (1, 3):
+        assert order_payment(payments.repartition(parts)).first()["tipo_pagamento"] == "boleto"
+        assert latest_review(reviews.repartition(parts)).first()["review_score"] == 2
