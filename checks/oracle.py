@@ -370,6 +370,23 @@ SELECT order_id, {_day_key("data_compra")} AS id_data_compra, {_day_key("data_en
        {_dbl("valor_frete")}, {_dbl("valor_total")}, tipo_pagamento, {_big("parcelas")},
        {_dbl("valor_pago")}, {_big("nota_avaliacao")}, {_big("qtd_itens")}, {_big("dias_para_entrega")}
 FROM fato""",
+    "clean_orders": """
+SELECT order_id, customer_id, status_pedido, CAST(data_compra AS VARCHAR) AS data_compra,
+       CAST(data_entrega AS VARCHAR) AS data_entrega,
+       CASE WHEN data_entrega >= data_compra THEN date_diff('day', data_compra, data_entrega) END
+           AS dias_para_entrega
+FROM pedidos WHERE data_compra IS NOT NULL""",
+    "clean_items": f"""
+SELECT order_id, product_id, seller_id, {_dbl(_number("price"), "valor_produto")},
+       {_dbl(_number("freight_value"), "valor_frete")},
+       {_dbl(f"{_number('price')} + {_number('freight_value')}", "valor_total")}
+FROM raw_itens""",
+    "customer_owner": "SELECT customer_id, customer_unique_id FROM dono",
+    "seller_append": """
+SELECT CAST(s_suppkey AS VARCHAR) AS seller_id, n_name AS cidade,
+       CAST(s_nationkey + 10 AS VARCHAR) AS estado
+FROM supplier JOIN nation ON s_nationkey = n_nationkey
+WHERE CAST(s_suppkey AS VARCHAR) NOT IN (SELECT seller_id FROM dim_vendedor)""",
     "latest_review": f"SELECT order_id, {_big('nota', 'review_score')} FROM avaliacao",
     "order_payment": f"""
 SELECT order_id, tipo_pagamento, {_big("parcelas")}, {_dbl("valor_pago")} FROM pagamento""",
@@ -386,8 +403,8 @@ FROM (SELECT 'dim_cliente' AS "table", count(*) AS n FROM dim_cliente
       UNION ALL SELECT 'dim_produto', count(*) FROM dim_produto
       UNION ALL SELECT 'dim_vendedor', count(*) FROM dim_vendedor
       UNION ALL SELECT 'fato_pedido', count(*) FROM fato)""",
-    "csv_round_trip": ROW_COUNTS,
 }
+STAR_PIECES["csv_round_trip"] = STAR_PIECES["fact_rows"]
 
 
 def _row_rule(table: str, source: str, rule: str, condition: str) -> str:

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from feira.functions import calendar, clean
 from feira.operators.dedup import keep_first
-from feira.schema import DIM_DATA
+from feira.operators.sizing import Limits, table_sizes
+from feira.operators.skew import hot_keys, spread_join
+from feira.schema import DIM_DATA, ROW_SEQ
 
 
-def customers(raw: dict[str, DataFrame]) -> DataFrame:
+def customers(raw: dict[str, DataFrame], limits: Limits = Limits()) -> DataFrame:
     """customer_unique_id, cidade, estado: first row per customer."""
     kept = keep_first(raw["clientes"], "customer_unique_id", ["customer_city", "customer_state"])
     return kept.select(
@@ -20,12 +22,13 @@ def customers(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def products(raw: dict[str, DataFrame]) -> DataFrame:
+def products(raw: dict[str, DataFrame], limits: Limits = Limits()) -> DataFrame:
     """product_id, categoria, categoria_en: first row per product, translated.
 
     Product categories are trimmed, translation keys are not. Both sides are
     reduced to one row per key before they meet, so a repeated translation
-    cannot multiply products; the sizes are left to Spark's own join selection.
+    cannot multiply products. One category may hold a third of the products, so
+    the translation is broadcast once measured small, else its hot keys spread.
     """
     kept = keep_first(raw["produtos"], "product_id", ["product_category_name"]).select(
         "product_id", clean.strip(F.col("product_category_name")).alias("categoria")
@@ -37,7 +40,13 @@ def products(raw: dict[str, DataFrame]) -> DataFrame:
         F.col("product_category_name_english").alias("_english"),
     )
     category = F.col("categoria")
-    return kept.join(translation, "categoria", "left").select(
+    size = table_sizes({"traducao": raw["traducao"].drop(ROW_SEQ)})["traducao"]
+    if size.bytes <= limits.max_broadcast_bytes:
+        named = kept.join(F.broadcast(translation), "categoria", "left")
+    else:
+        hot = hot_keys(kept, "categoria", kept.count(), limits.min_hot_rows)
+        named = spread_join(kept, translation, hot, "left", "product_id")
+    return named.select(
         "product_id",
         clean.named_category(category).alias("categoria"),
         clean.blank_to_null(clean.translated_category(category, F.col("_english"))).alias(
@@ -46,7 +55,7 @@ def products(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def sellers(raw: dict[str, DataFrame]) -> DataFrame:
+def sellers(raw: dict[str, DataFrame], limits: Limits = Limits()) -> DataFrame:
     """seller_id, cidade, estado: first row per seller."""
     kept = keep_first(raw["vendedores"], "seller_id", ["seller_city", "seller_state"])
     return kept.select(

@@ -10,17 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.operators.keys import dense_keys, number_written_rows
+from feira.operators.sizing import Limits, Size, count_rows, table_sizes
 from feira.operators.skew import HotKeys, hot_keys
 from feira.plans import dims, quality
-from feira.plans.fact import (
-    ORDER_KEYS,
-    Inputs,
-    Limits,
-    Size,
-    hot_key_of,
-    item_rows,
-    table_sizes,
-)
+from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS
 from feira.sources import star_store
@@ -37,15 +30,6 @@ class IntegrityError(ValueError):
     """The loaded tables break an integrity rule; nothing was published."""
 
 
-def count_rows(tables: dict[str, DataFrame]) -> dict[str, int]:
-    """Row counts of several tables in one job."""
-    counts = None
-    for name, df in tables.items():
-        one = df.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
-        counts = one if counts is None else counts.unionByName(one)
-    return {r["table"]: r["rows"] for r in counts.collect()}
-
-
 def _together(*jobs: Callable[[], None]) -> None:
     """Run independent Spark jobs at the same time; the first failure is raised."""
     with ThreadPoolExecutor(len(jobs)) as pool:
@@ -53,8 +37,10 @@ def _together(*jobs: Callable[[], None]) -> None:
             job.result()
 
 
-def _write_dimension(spark: SparkSession, raw: dict[str, DataFrame], folder: str, dim: str) -> None:
-    rows = DIMENSIONS[dim](raw)
+def _write_dimension(
+    spark: SparkSession, raw: dict[str, DataFrame], folder: str, limits: Limits, dim: str
+) -> None:
+    rows = DIMENSIONS[dim](raw, limits)
     # written before numbering, which reads the rows twice
     staged = f"{folder}/staging/{dim}"
     rows.write.mode("overwrite").parquet(staged)
@@ -67,12 +53,13 @@ def _stage_items(spark: SparkSession, joined: DataFrame, folder: str) -> DataFra
     """Write the joined item rows once; calendar, fact and rejects read them back.
 
     Rebalancing gathers each month's rows into files of the advisory size and
-    splits a month that is larger than that.
+    splits a month that is larger than that. Only adaptive execution can split,
+    so without it the rows are written where the join left them.
     """
     path = f"{folder}/staging/items"
-    joined.hint("rebalance", "rejeitado", FACT_PARTITION).write.mode("overwrite").partitionBy(
-        "rejeitado"
-    ).parquet(path)
+    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
+        joined = joined.hint("rebalance", "rejeitado", FACT_PARTITION)
+    joined.write.mode("overwrite").partitionBy("rejeitado").parquet(path)
     return spark.read.schema(joined.schema).parquet(path)
 
 
@@ -99,7 +86,7 @@ def run_etl(
         hot[table, column] = hot_key_of(raw, raw_rows, table, column, limits)
 
     _together(
-        *[partial(_write_dimension, spark, raw, folder, dim) for dim in DIMENSIONS],
+        *[partial(_write_dimension, spark, raw, folder, limits, dim) for dim in DIMENSIONS],
         *[partial(find_hot, *key) for key in ORDER_KEYS],
     )
     dim_tables = {dim: star_store.read_table(spark, folder, dim) for dim in DIMENSIONS}

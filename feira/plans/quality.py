@@ -58,50 +58,41 @@ def _any(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)
 
 
-def surrogate_key_properties(star: Star) -> DataFrame:
-    """rows, smallest, largest and distinct surrogate id per table.
+def _id_bitmaps(df: DataFrame, key: str) -> DataFrame:
+    """Rows, smallest, largest and distinct ids per range of 32,768 ids.
 
-    Distinct ids are counted by bitmap: ids are dense, so a scan meets long runs
-    of the same bitmap and ships one 4 KB bitmap for up to 32,768 rows.
+    Ids are dense, so a scan meets long runs of one range and ships a single
+    4 KB bitmap for all of them.
     """
-    frames = []
-    for table, key in PRIMARY_KEYS.items():
-        if table == "dim_data":
-            continue
-        bitmaps = (
-            star.tables[table]
-            .groupBy(F.bitmap_bucket_number(key).alias("_bucket"))
+    ids = df.select(F.col(key).cast("long").alias("id"))
+    return ids.groupBy(F.bitmap_bucket_number("id").alias("range")).agg(
+        F.count("*").alias("n"),
+        F.min("id").alias("low"),
+        F.max("id").alias("high"),
+        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position("id"))).alias("d"),
+    )
+
+
+def surrogate_key_properties(star: Star) -> DataFrame:
+    """rows, smallest, largest and distinct surrogate id per table."""
+    return _union(
+        [
+            _id_bitmaps(star.tables[table], key)
             .agg(
-                F.count("*").alias("n"),
-                F.min(key).alias("smallest"),
-                F.max(key).alias("largest"),
-                F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(key))).alias("d"),
+                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+                F.min("low").alias("smallest"),
+                F.max("high").alias("largest"),
+                F.coalesce(F.sum("d"), F.lit(0)).alias("distinct_ids"),
             )
-        )
-        frames.append(
-            bitmaps.agg(
-                F.sum("n").alias("rows"),
-                F.min("smallest").alias("smallest"),
-                F.max("largest").alias("largest"),
-                F.sum("d").alias("distinct_ids"),
-            ).select(
-                F.lit(table).alias("table"),
-                F.coalesce("rows", F.lit(0)).alias("rows"),
-                "smallest",
-                "largest",
-                F.coalesce("distinct_ids", F.lit(0)).alias("distinct_ids"),
-            )
-        )
-    return _union(frames)
+            .select(F.lit(table).alias("table"), "*")
+            for table, key in PRIMARY_KEYS.items()
+            if table != "dim_data"
+        ]
+    )
 
 
 def _primary_key(star: Star, table: str) -> DataFrame:
-    key = PRIMARY_KEYS[table]
-    keys = star.tables[table].select(F.col(key).cast("long").alias(key))
-    bitmaps = keys.groupBy(F.bitmap_bucket_number(key)).agg(
-        F.count("*").alias("n"),
-        F.bitmap_count(F.bitmap_construct_agg(F.bitmap_bit_position(key))).alias("d"),
-    )
+    bitmaps = _id_bitmaps(star.tables[table], PRIMARY_KEYS[table])
     return _finding(bitmaps, "primary_key", table, F.sum(F.col("n") - F.col("d")))
 
 

@@ -9,8 +9,8 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys, spread_join
-from feira.plans.fact import MAX_BROADCAST_BYTES, Size
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
 
 

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys
-from feira.plans.fact import MAX_BROADCAST_BYTES, Size
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, FATO_PEDIDO, PRIMARY_KEYS, STAR_TABLES
 from feira.sources.local_rows import local_frame

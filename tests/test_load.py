@@ -10,9 +10,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira import open_star, run_etl, run_etl_from_csv
+from feira.operators.sizing import Limits, count_rows
 from feira.plans import dims, etl, marts, quality
-from feira.plans.etl import IntegrityError, count_rows
-from feira.plans.fact import Limits
+from feira.plans.etl import IntegrityError
 from feira.schema import RAW_COLUMNS
 from feira.sources import star_store
 from feira.sources.csv_files import csv_paths, read_raw
@@ -240,7 +240,7 @@ def test_findings_are_kept_and_strict_stops(spark, tmp_path):
 def test_broken_key_is_not_published(spark, raw, tmp_path, monkeypatch):
     out = str(tmp_path / "out")
     monkeypatch.setitem(
-        etl.DIMENSIONS, "dim_vendedor", lambda r: dims.sellers(r).unionByName(dims.sellers(r))
+        etl.DIMENSIONS, "dim_vendedor", lambda r, _: dims.sellers(r).unionByName(dims.sellers(r))
     )
     with pytest.raises(IntegrityError, match="dim_vendedor natural_key: 10"):
         run_etl(raw, out)

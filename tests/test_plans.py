@@ -10,8 +10,9 @@ import pytest
 
 import __spark_entry__ as entry
 from feira.plans import dashboard, marts
-from feira.plans.etl import DIMENSIONS, count_rows
-from feira.plans.fact import ORDER_KEYS, Inputs, Limits, hot_key_of, item_rows
+from feira.operators.sizing import Limits, count_rows
+from feira.plans.etl import DIMENSIONS
+from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows
 from tests.conftest import SF
 
 

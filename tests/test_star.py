@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feira.plans import dashboard, marts
-from feira.plans.fact import Size
+from feira.operators.sizing import Size
 from feira.plans.star import Star
 from feira.schema import FACT_PARTITION, STAR_TABLES
 
