@@ -50,7 +50,8 @@ def order_payment(payments: DataFrame) -> DataFrame:
             "order_id",
             ROW_SEQ,
             "payment_type",
-            clean.at_least_one_instalment(instalments).alias("_instalments"),
+            # cut to whole numbers first: the largest stays the largest
+            clean.truncated_int(clean.at_least_one_instalment(instalments)).alias("parcelas"),
             value.alias("_value"),
         )
         .groupBy("order_id")
@@ -58,13 +59,13 @@ def order_payment(payments: DataFrame) -> DataFrame:
             first_by("payment_type", -F.col("_value"), ROW_SEQ, "payment_type").alias(
                 "tipo_pagamento"
             ),
-            F.max("_instalments").alias("_instalments"),
+            F.max("parcelas").alias("parcelas"),
             F.sum("_value").alias("_value"),
         )
         .select(
             "order_id",
             "tipo_pagamento",
-            clean.truncated_int(F.col("_instalments")).alias("parcelas"),
+            "parcelas",
             clean.to_money(F.col("_value")).alias("valor_pago"),
         )
     )

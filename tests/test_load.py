@@ -345,3 +345,27 @@ def test_count_rows(raw):
         "itens": 6000,
         "traducao": 5,
     }
+
+
+def test_layout_of_the_input_does_not_matter(spark, raw, star, tmp_path):
+    """Rows in other tasks and another order give the same star, ids of dimensions included."""
+    shuffled = {t: df.repartition(7, F.xxhash64(F.col(df.columns[-2]))) for t, df in raw.items()}
+    other = run_etl(shuffled, str(tmp_path / "out"))
+    assert as_rows(other.with_natural_keys()) == as_rows(star.with_natural_keys())
+    for dim in ("dim_cliente", "dim_produto", "dim_vendedor", "dim_data"):
+        assert as_rows(other.tables[dim]) == as_rows(star.tables[dim])
+
+
+@pytest.mark.parametrize("empty", [("itens",), tuple(RAW_COLUMNS)])
+def test_empty_inputs_load_an_empty_fact(spark, tmp_path, empty):
+    tables = dirty_tables(7)
+    for table in empty:
+        tables[table] = [dict.fromkeys(tables[table][0], "")]
+    write_csv(tables, tmp_path / "in")
+    raw = read_raw(spark, str(tmp_path / "in"), PREFIX)
+    raw |= {t: raw[t].filter(F.lit(False)) for t in empty}
+    star = run_etl(raw, str(tmp_path / "out"))
+    assert star.sizes["fato_pedido"].rows == 0
+    assert star.sizes["dim_data"].rows == 0
+    assert marts.revenue_by_month(star).collect() == []
+    assert marts.review_mean(star).collect()[0][0] is None
