@@ -158,34 +158,48 @@ def top_states(star: Star) -> DataFrame:
 def top_sellers(star: Star) -> DataFrame:
     """Ten sellers with most product revenue.
 
-    A seller is one id, so the fact is reduced per id before the seller's texts
-    are joined; that join has one row per seller on both sides.
+    Sums per seller combine on the map side and settle who the ten are. Only
+    their rows are then read for the distinct orders, which would otherwise
+    shuffle one row per seller and order of the whole fact.
     """
-    per_seller = (
-        star.facts()
-        .filter(active())
-        .groupBy("id_vendedor")
-        .agg(
-            order_count().alias("qtd_pedidos"),
-            F.sum("valor_produto").alias("faturamento"),
-            mean("nota_avaliacao", 2).alias("nota_media"),
-            mean("dias_para_entrega", 1).alias("prazo_medio_dias"),
-        )
+    sales = star.facts().filter(active())
+    per_seller = sales.groupBy("id_vendedor").agg(
+        F.sum("valor_produto").alias("faturamento"),
+        mean("nota_avaliacao", 2).alias("nota_media"),
+        mean("dias_para_entrega", 1).alias("prazo_medio_dias"),
     )
-    return (
+    order = largest_first("faturamento", "seller_id")
+    winners = (
         per_seller.join(star.tables["dim_vendedor"], "id_vendedor")
         .select(
+            "id_vendedor",
             "seller_id",
             F.col("cidade").alias("cidade_vendedor"),
             F.col("estado").alias("estado_vendedor"),
-            "qtd_pedidos",
             "faturamento",
             "nota_media",
             "prazo_medio_dias",
         )
-        .orderBy(*largest_first("faturamento", "seller_id"))
+        .orderBy(*order)
         .limit(TOP)
     )
+    # ten rows
+    return (
+        sales.select("id_vendedor", "order_id")
+        .join(F.broadcast(winners), "id_vendedor")
+        .groupBy(*winners.columns)
+        .agg(order_count().alias("qtd_pedidos"))
+        .select(
+            "seller_id",
+            "cidade_vendedor",
+            "estado_vendedor",
+            "qtd_pedidos",
+            "faturamento",
+            "nota_media",
+            "prazo_medio_dias",
+        )
+        .orderBy(*order)
+    )
 
 
 def orders_by_weekday(star: Star) -> DataFrame:
