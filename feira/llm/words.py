@@ -38,8 +38,7 @@ def _power_table(base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
         size = max(n, SLICE_BYTES * 2)
         inverse = pow(base, -1, 1 << 64)
         known = tuple(
-            np.cumprod(np.concatenate([[1], np.full(size - 1, b, _U64)]).astype(_U64))
-            for b in (base, inverse)
+            np.cumprod(np.append(_U64(1), np.full(size - 1, b, _U64))) for b in (base, inverse)
         )
         if n <= SLICE_BYTES * 2:
             _powers[base] = known
