@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import quality
+from feira.llm import mixing, near_dedup, pieces, quality, substring_dedup
 from feira.llm.shared import table, written
 
 
@@ -18,8 +18,32 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, table(spark, sf_dir, "labels"))
 
 
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group linked at 0.8 over five-word shingles."""
+    return near_dedup.keep_one(docs, width=5, percent=80)
+
+
+def drop_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the 50-word windows that a smaller document has too."""
+    return substring_dedup.remove_duplicates(docs)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The training stream, documents repeated as taken, in order of training position."""
+    return mixing.mixed_documents(docs)
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """doc_id, n_chars, n_pieces, ids, decoded_sha256, round_trip per document taken."""
+    return pieces.round_trips(docs)
+
+
 STAGES = [
     ("quality", keep_quality),
+    ("near copies", drop_near_copies),
+    ("repeated spans", drop_repeated_spans),
+    ("mixing", mix_sources),
+    ("encoding", encode),
 ]
 
 # Model scores and token ids are beyond SQL; tests hold each stage against brute force.
@@ -30,5 +54,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows of the last stage over the table `documents`."""
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), f"stage-{name}")
+        docs = written(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")
     return docs

@@ -35,3 +35,90 @@ SELECT doc_id, n AS n_shingles, coalesce(c, doc_id) AS component_id,
        coalesce(c, doc_id) = doc_id AS kept
 FROM sizes LEFT JOIN component ON a = doc_id
 """
+
+SUBSTRING_DEDUP = f"""
+WITH words AS (
+    SELECT doc_id, {WORDS.format(text="coalesce(text, '')")} AS w FROM documents
+), windows AS (
+    SELECT doc_id, i, array_to_string(w[i:i + 49], ' ') AS x
+    FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM words)
+), first AS (
+    SELECT x, min(doc_id) AS owner FROM windows GROUP BY x
+), copied AS (
+    SELECT doc_id, i FROM windows JOIN first USING (x) WHERE doc_id > owner
+), gone AS (
+    SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS j FROM copied
+), marked AS (
+    SELECT doc_id, list(j) AS js FROM gone GROUP BY doc_id
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(js), 0)::BIGINT AS n_removed,
+       sha256(array_to_string(CASE WHEN js IS NULL THEN w ELSE
+           list_transform(list_filter(range(1, len(w) + 1), lambda k: NOT list_contains(js, k)),
+                          lambda k: w[k]) END, ' ')) AS kept_sha256
+FROM words LEFT JOIN marked USING (doc_id)
+"""
+
+# Knots of the three schedules as in `mixing`: (from, to, weight at from, weight at to).
+_PIECES = {
+    0: [(0.0, 1.0, 1.5, 0.5)],
+    1: [(0.0, 0.5, 1.0, 1.25), (0.5, 1.0, 1.25, 0.75)],
+    2: [(0.0, 1.0, 0.5, 1.5)],
+}
+
+
+def _time(share: str) -> str:
+    cases = []
+    for k, pieces in _PIECES.items():
+        whole = sum((b - a) * (v + w) / 2 for a, b, v, w in pieces)
+        done, inner = 0.0, []
+        for a, b, v, w in pieces:
+            asked = f"({share} * {whole}::DOUBLE - {done}::DOUBLE)"
+            slope = 2 * (w - v) / (b - a)
+            root = f"sqrt(greatest({v * v}::DOUBLE + {asked} * ({slope})::DOUBLE, 0.0::DOUBLE))"
+            time = f"{a}::DOUBLE + {asked} * 2.0::DOUBLE / ({root} + {v}::DOUBLE)"
+            done += (b - a) * (v + w) / 2
+            inner.append(f"WHEN {share} * {whole}::DOUBLE < {done}::DOUBLE THEN {time}")
+        cases.append(f"WHEN class % 3 = {k} THEN CASE {' '.join(inner)} ELSE 1.0::DOUBLE END")
+    return f"round(CASE {' '.join(cases)} END, 9)"
+
+
+MIXING = f"""
+WITH sized AS (
+    SELECT doc_id, source, len({WORDS.format(text="coalesce(text, '')")})::BIGINT AS size,
+           md5(coalesce(doc_id::VARCHAR, '')) AS h
+    FROM documents
+), sources AS (
+    SELECT source, sum(size)::DOUBLE AS s, 2.0::DOUBLE * sum(size)::DOUBLE AS most,
+           ((row_number() OVER (ORDER BY source NULLS LAST)) - 1) % 3 AS class
+    FROM sized GROUP BY source
+), weighed AS (
+    SELECT *, [5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE][class + 1] AS w FROM sources
+), levels AS (
+    SELECT *, (sum(s) OVER () * 1.5::DOUBLE - coalesce(sum(most) OVER below, 0))
+              / (sum(w) OVER () - coalesce(sum(w) OVER below, 0)) AS level
+    FROM weighed
+    WINDOW below AS (ORDER BY most / w, source NULLS LAST
+                     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), water AS (
+    SELECT arg_min(level, most / w) AS level FROM levels WHERE level * w <= most
+), targets AS (
+    SELECT source, s::BIGINT AS source_size, class,
+           round(least(most, coalesce((SELECT level FROM water) * w, most)), 6) AS target
+    FROM weighed
+), streamed AS (
+    SELECT d.*, t.source_size, t.target, t.class,
+           floor(t.target + 0.5)::BIGINT AS quota,
+           (sum(size) OVER (PARTITION BY d.source ORDER BY h, doc_id, size
+                            ROWS UNBOUNDED PRECEDING) - size)::BIGINT AS start
+    FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
+), passes AS (
+    SELECT *, CASE WHEN source_size > 0 THEN quota // source_size ELSE 0 END AS p FROM streamed
+), takes AS (
+    SELECT *, p * size + least(greatest(quota - p * source_size - start, 0), size) AS taken FROM passes
+)
+SELECT doc_id, source, size, source_size, target, taken::BIGINT AS taken,
+       CASE WHEN taken > 0 THEN {_time("(start / greatest(target, 1.0::DOUBLE))")} END AS "position",
+       CASE WHEN taken > size THEN
+           {_time("((start + source_size) / greatest(target, 1.0::DOUBLE))")} END AS again
+FROM takes
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import near_dedup, oracle, quality
+from feira.llm import mixing, near_dedup, oracle, pieces, quality, substring_dedup
 from feira.llm.shared import table
 
 
@@ -14,18 +14,36 @@ def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.round_trips(table(spark, sf_dir, "documents"))
+
+
+def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_table(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op3_sentencepiece": op3_sentencepiece,
+        "op8_substring_dedup": op8_substring_dedup,
         "op9_quality": op9_quality,
+        "op10_mixing": op10_mixing,
     }
 
 
 def oracle_sql() -> dict[str, str]:
+    """Statements of the queries that SQL can express."""
     return {
         "op1_near_dedup": oracle.NEAR_DEDUP,
+        "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
+        "op10_mixing": oracle.MIXING,
     }
