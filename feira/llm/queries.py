@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from feira.llm import mixing, near_dedup, oracle, pieces, quality, substring_dedup
+from feira.llm import fingerprints, mixing, near_dedup, oracle, pieces, quality, substring_dedup
 from feira.llm.shared import table
 
 
@@ -18,6 +18,10 @@ def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trips(table(spark, sf_dir, "documents"))
 
 
+def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -34,6 +38,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
         "op3_sentencepiece": op3_sentencepiece,
+        "op5_fingerprints": op5_fingerprints,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality": op9_quality,
         "op10_mixing": op10_mixing,
