@@ -122,3 +122,41 @@ SELECT doc_id, source, size, source_size, target, taken::BIGINT AS taken,
            {_time("((start + source_size) / greatest(target, 1.0::DOUBLE))")} END AS again
 FROM takes
 """
+
+URL_RULES = r"""
+WITH rules (verdict, host, path) AS (
+    VALUES ('block', 'net', '/'), ('allow', 'example.net', '/en/'),
+           ('block', 'example.com', '/de/'), ('allow', 'org', '/fr/')
+), parts AS (
+    SELECT page_id,
+           translate(regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1),
+                     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+           regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path
+    FROM pages
+), fits AS (
+    SELECT p.page_id, p.host, p.path, r.host || r.path AS rule, r.verdict
+    FROM parts p LEFT JOIN rules r
+      ON (p.host = r.host OR p.host LIKE '%.' || r.host) AND starts_with(p.path, r.path)
+)
+SELECT page_id, host, path, arg_max(rule, length(rule)) AS rule,
+       coalesce(arg_max(verdict, length(rule)), 'allow') AS verdict
+FROM fits GROUP BY page_id, host, path
+"""
+
+TOP_K = """
+WITH usable AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(x::DOUBLE * 1024)::BIGINT) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id, list_sum(list_transform(
+               range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
+    FROM usable q JOIN usable c ON q.vec_id != c.vec_id
+    WHERE q.vec_id % 100 = 0
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank,
+       vec_id, score
+FROM scores
+QUALIFY rank <= 10
+"""

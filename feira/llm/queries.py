@@ -5,23 +5,60 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-
-from feira.llm import fingerprints, mixing, near_dedup, oracle, pieces, quality, substring_dedup
+from pyspark.sql import functions as F
+
+from feira.llm import (
+    fingerprints,
+    html_text,
+    mixing,
+    near_dedup,
+    oracle,
+    pieces,
+    quality,
+    substring_dedup,
+    top_k,
+    url_rules,
+    warc,
+)
 from feira.llm.shared import table
 
+#: The rules of the registered URL query.
+RULES = (
+    url_rules.Rule("block", "net", "/"),
+    url_rules.Rule("allow", "example.net", "/en/"),
+    url_rules.Rule("block", "example.com", "/de/"),
+    url_rules.Rule("allow", "org", "/fr/"),
+)
+
 
 def op1_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, sf_dir, "documents"), width=4, percent=80)
 
 
+def op2_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.round_trips(table(spark, sf_dir, "documents"))
 
 
+def op4_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+
+
 def op5_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.fingerprints(table(spark, sf_dir, "documents"))
 
 
+def op6_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
+def op7_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_rules.judge(table(spark, sf_dir, "pages"), RULES)
+
+
 def op8_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.digests(table(spark, sf_dir, "documents"))
 
@@ -37,8 +74,12 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
+        "op2_top_k": op2_top_k,
         "op3_sentencepiece": op3_sentencepiece,
+        "op4_warc": op4_warc,
         "op5_fingerprints": op5_fingerprints,
+        "op6_html_text": op6_html_text,
+        "op7_url_rules": op7_url_rules,
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality": op9_quality,
         "op10_mixing": op10_mixing,
@@ -49,6 +90,8 @@ def oracle_sql() -> dict[str, str]:
     """Statements of the queries that SQL can express."""
     return {
         "op1_near_dedup": oracle.NEAR_DEDUP,
+        "op2_top_k": oracle.TOP_K,
+        "op7_url_rules": oracle.URL_RULES,
         "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
         "op10_mixing": oracle.MIXING,
     }

@@ -3,7 +3,10 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from feira.sources.shared import shared_folder
@@ -22,3 +25,34 @@ def written(df: DataFrame, name: str) -> DataFrame:
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def per_group(rows: DataFrame, key: list[str], work, schema: str) -> DataFrame:
+    """work(batch) for the rows of each key, whole and one key at a time.
+
+    key: integer columns. Rows are shuffled and sorted by the key and streamed, so a task
+    holds one group and one batch at a time.
+    """
+
+    def keys(batch: pa.RecordBatch) -> np.ndarray:
+        return np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept: list[pa.RecordBatch] = []  # the last group may go on in the next batch
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            k = keys(batch)
+            edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+            if kept and (keys(kept[-1].slice(0, 1))[0] != k[0]).any():
+                yield from work(pa.concat_batches(kept))
+                kept = []
+            for a, b in zip(np.r_[0, edges], np.r_[edges, batch.num_rows], strict=True):
+                kept.append(batch.slice(a, b - a))
+                if b < batch.num_rows:
+                    yield from work(pa.concat_batches(kept))
+                    kept = []
+        if kept:
+            yield from work(pa.concat_batches(kept))
+
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
