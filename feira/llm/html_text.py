@@ -205,6 +205,8 @@ def main_text(html: str | None) -> str:
         return ""
     tree = _Tree()
     tree.feed(html)
+    if tree.rawdata.startswith("<!--"):  # a comment that never ends
+        tree.rawdata = ""
     tree.close()
     density, sums, chars, link_chars = _densities(tree)
     if not chars[0]:

@@ -1,0 +1,122 @@
+import hashlib
+import re
+from itertools import pairwise
+
+import pytest
+
+from feira.llm import mixing
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def size(text):
+    return len(WORD.findall(text or ""))
+
+
+def brute_targets(rows):
+    """The rule as it is stated: share by weight, cap, reshare the excess."""
+    sizes = {}
+    for _, t, s in rows:
+        sizes[s] = sizes.get(s, 0) + size(t)
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: (5, 2, 1)[k % 3] for k, s in enumerate(order)}
+    whole = 1.5 * sum(sizes.values())
+    target = {s: whole * weight[s] / sum(weight.values()) for s in order}
+    capped = set()
+    while True:
+        above = {s for s in order if s not in capped and target[s] > 2 * sizes[s] + 1e-9}
+        if not above:
+            return sizes, target
+        excess = sum(target[s] - 2 * sizes[s] for s in above)
+        for s in above:
+            target[s] = 2.0 * sizes[s]
+        capped |= above
+        rest = [s for s in order if s not in capped]
+        for s in rest:
+            target[s] += excess * weight[s] / sum(weight[r] for r in rest)
+
+
+def sample():
+    rows = []
+    for k in range(200):
+        source = None if k % 17 == 0 else f"s{k % 7}" if k % 3 else "big"
+        rows.append((k, " ".join(f"w{j}" for j in range(k * 7919 % 97)), source))
+    return rows
+
+
+def test_targets_and_taken_words(documents, awkward):
+    rows = sample() + [(i if i is None else i + 1000, t, s) for i, t, s in awkward]
+    sizes, targets = brute_targets([(r + ("a",))[:3] for r in rows])
+    found = mixing.mix_table(documents(rows, extra=True)).collect()
+    assert len(found) == len(rows)
+    taken = {}
+    for r in found:
+        assert r.source_size == sizes[r.source]
+        assert r.target == pytest.approx(targets[r.source], abs=1e-5)
+        assert 0 <= r.taken <= 2 * r.size
+        assert (r.position is None) == (r.taken == 0)
+        assert (r.again is None) == (r.taken <= r.size)
+        taken[r.source] = taken.get(r.source, 0) + r.taken
+    for s, words in taken.items():
+        assert abs(words - targets[s]) <= 0.51
+    assert sorted(str(r.doc_id) for r in found) == sorted(str(r[0]) for r in rows)
+
+
+def test_order_of_a_source_and_reruns(documents):
+    docs = documents(sample())
+    found = mixing.mix_table(docs).collect()
+    assert found == mixing.mix_table(docs.repartition(7)).collect()
+    positions = [r.position for r in found if r.position is not None]
+    assert positions == sorted(positions)
+    for source in ("big", "s1", None):
+        mine = [r for r in found if r.source == source and r.taken > 0]
+        mine.sort(key=lambda r: hashlib.md5(str(r.doc_id).encode()).hexdigest())
+        at = [r.position for r in mine]
+        assert at == sorted(at)
+
+
+def test_results_do_not_depend_on_bins(documents, monkeypatch):
+    docs = documents(sample())
+    wanted = mixing.mix_table(docs).collect()
+    monkeypatch.setattr(mixing, "_bins", lambda rows: 1)
+    assert mixing.mix_table(docs).collect() == wanted
+
+
+@pytest.mark.parametrize("knots", mixing.SCHEDULES)
+def test_time_is_the_inverse_of_demand(spark, knots):
+    from pyspark.sql import functions as F
+
+    def demand(t):
+        done = whole = 0.0
+        for (a, v), (b, w) in pairwise(knots):
+            whole += (b - a) * (v + w) / 2
+            x = min(max(t - a, 0.0), b - a)
+            done += x * v + x * x * (w - v) / (b - a) / 2
+        return done / whole
+
+    shares = [k / 50 for k in range(51)]
+    rows = spark.createDataFrame([(s,) for s in shares], "s double")
+    for s, t in rows.select("s", mixing.demand_time(F.col("s"), knots)).collect():
+        assert demand(t) == pytest.approx(s, abs=1e-9)
+
+
+def test_stage_repeats_documents_as_taken(documents, awkward):
+    rows = sample() + [(i if i is None else i + 1000, t, s) for i, t, s in awkward]
+    docs = documents(rows, extra=True)
+    stream = mixing.mixed_documents(docs)
+    assert stream.columns == docs.columns
+    words, table = {}, {}
+    for r in stream.collect():
+        words[r.doc_id] = words.get(r.doc_id, 0) + size(r.text)
+        assert r.n_chars == len(r.text)
+    for r in mixing.mix_table(docs).collect():
+        if r.taken:
+            table[r.doc_id] = table.get(r.doc_id, 0) + r.taken
+    assert words == table
+
+
+def test_empty_table_and_sources_without_words(documents):
+    assert mixing.mix_table(documents([])).collect() == []
+    assert mixing.mixed_documents(documents([])).collect() == []
+    found = mixing.mix_table(documents([(1, None, "a"), (2, " ", None)])).collect()
+    assert [(r.size, r.target, r.taken) for r in found] == [(0, 0.0, 0)] * 2

@@ -1,0 +1,111 @@
+import numpy as np
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from feira.llm import quality
+from feira.llm.shared import table
+
+SF = "/root/testdata/sf0.01"
+
+
+def labels_of(spark, rows):
+    return spark.createDataFrame(rows, "doc_id long, quality int, toxic int")
+
+
+@pytest.fixture(scope="module")
+def judged(spark):
+    found = quality.classify(table(spark, SF, "documents"), table(spark, SF, "labels"))
+    return found.toPandas()
+
+
+def test_held_out_accuracy(spark, judged):
+    labels = table(spark, SF, "labels").toPandas()
+    rows = judged[judged.held_out].merge(labels, on="doc_id")
+    assert len(rows) > 50
+    assert (rows.predicted == rows.quality).mean() > 0.95
+    good, bad = rows.score[rows.quality == 1], rows.score[rows.quality == 0]
+    assert (good.values[:, None] > bad.values[None, :]).mean() > 0.97
+
+
+def test_folds_and_ranges(spark, judged):
+    import zlib
+
+    assert judged.held_out.tolist() == [zlib.crc32(str(i).encode()) % 5 == 0 for i in judged.doc_id]
+    assert judged.score.between(0, 1).all()
+    assert (judged.predicted == (judged.score >= 0.3)).all()
+    assert len(judged) == table(spark, SF, "documents").count()
+
+
+def test_held_out_labels_teach_nothing(spark):
+    docs = table(spark, SF, "documents")
+    labels = table(spark, SF, "labels")
+    turned = F.when(quality.held_out(F.col("doc_id")), 1 - F.col("quality")).otherwise(F.col("quality"))
+    a = quality.classify(docs, labels).orderBy("doc_id").collect()
+    b = quality.classify(docs, labels.withColumn("quality", turned)).orderBy("doc_id").collect()
+    assert np.allclose([r.score for r in a], [r.score for r in b], atol=1e-9)
+
+
+def test_scores_are_log_density_differences():
+    """Against the densities written out with inverses and determinants."""
+    rng = np.random.default_rng(0)
+    d = len(quality.STATISTICS)
+    means, covs, factors, norms = [], [], [], []
+    for _ in range(2):
+        a = rng.normal(size=(d, d))
+        cov = a @ a.T + np.eye(d)
+        lower = np.linalg.cholesky(cov)
+        means.append(rng.normal(size=d))
+        covs.append(cov)
+        factors.append(np.linalg.inv(lower))
+        norms.append(-np.log(np.diag(lower)).sum())
+    model = quality.Model(0.7, np.zeros(d), np.ones(d), tuple(means), tuple(factors), tuple(norms))
+    x = rng.normal(size=(20, d))
+    logs = []
+    for mean, cov in zip(means, covs, strict=True):
+        y = x - mean
+        away = np.einsum("ij,jk,ik->i", y, np.linalg.inv(cov), y)
+        logs.append(-0.5 * (away + np.linalg.slogdet(cov)[1]))
+    wanted = 1 / (1 + 0.3 / 0.7 * np.exp(logs[0] - logs[1]))
+    assert np.allclose(model.score(x), wanted)
+
+
+def test_awkward_rows(spark, documents, awkward):
+    labels = labels_of(
+        spark, [(1, 1, 0), (2, 0, 0), (3, None, 0), (4, 0, 1), (4, 0, 1), (None, 1, 0), (777, 1, 0)]
+    )
+    docs = documents(awkward, extra=True)
+    found = quality.classify(docs, labels).collect()
+    assert len(found) == len(awkward)
+    assert all(0 <= r.score <= 1 for r in found)
+    by_id = {}
+    for r in found:
+        assert by_id.setdefault(r.doc_id, r.score) == r.score
+    assert by_id[3] == by_id[4]  # null and empty
+
+
+@pytest.mark.parametrize("rows, score", [([], 0.5), ([(1, 1, 0), (2, 1, 0)], 1.0), ([(2, 0, 0)], 0.0)])
+def test_classes_without_rows(spark, documents, rows, score):
+    found = quality.classify(documents([(1, "a b", "a"), (2, "c", "a")]), labels_of(spark, rows))
+    assert [r.score for r in found.collect()] == [score] * 2
+
+
+def test_empty_table(spark, documents):
+    assert quality.classify(documents([]), labels_of(spark, [])).collect() == []
+    assert quality.keep_good(documents([]), labels_of(spark, [])).collect() == []
+
+
+def test_stage_keeps_what_the_query_accepts(spark, judged):
+    docs = table(spark, SF, "documents").withColumn("score", F.lit("own"))
+    kept = quality.keep_good(docs, table(spark, SF, "labels"))
+    assert kept.columns == docs.columns
+    assert {r.doc_id for r in kept.collect()} == set(judged.doc_id[judged.predicted == 1])
+
+
+def test_statistics_do_not_depend_on_slices(monkeypatch):
+    texts = pa.array(["A b c.", None, "", "x " * 500, "É!!\n\nÉ!!", "1 2, 3"] * 5)
+    whole = quality.statistics(texts)
+    monkeypatch.setattr(quality, "word_slices", lambda t: __import__(
+        "feira.llm.words", fromlist=["word_slices"]).word_slices(t, 7))
+    assert np.allclose(quality.statistics(texts), whole)
+    assert whole.shape == (30, len(quality.STATISTICS))

@@ -1,0 +1,83 @@
+import math
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feira.llm import top_k
+
+SCHEMA = "vec_id long, embedding array<float>, score string, rank int"
+
+
+def usable(rows):
+    out = {}
+    for i, v, *_ in rows:
+        if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
+            continue
+        whole = [math.floor(1024 * float(np.float32(x))) for x in v]
+        out[i] = min(out.get(i, whole), whole)
+    return out
+
+
+def brute(rows, k=10):
+    vectors = usable(rows)
+    out = []
+    for q, a in vectors.items():
+        if q % 100 == 0:
+            scores = sorted(
+                (-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in vectors.items() if i != q
+            )
+            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
+    return sorted(out)
+
+
+def rows_of(kind, n=400):
+    rng = random.Random(kind)
+    if kind == "ties":
+        return [(k * 5, [rng.choice([-0.5, 0.0, 0.5]) for _ in range(3)], "s", 1) for k in range(n)]
+    if kind == "clusters":
+        centres = [[rng.gauss(0, 1) for _ in range(16)] for _ in range(5)]
+        return [
+            (k * 4, [x + rng.gauss(0, 0.1) for x in rng.choice(centres)], "s", 1) for k in range(n)
+        ]
+    odd = [(None, [1.0], "s", 1), (1, None, "s", 1), (2, [1.0, None], "s", 1), (3, [float("nan")], "s", 1)]
+    odd += [(4, [float("inf")], "s", 1), (5, [], "s", 1), (100, [], "s", 1), (200, [0.0, -0.0], "s", 1)]
+    odd += [(300, [1.0, 2.0], "s", 1)] * 2 + [(300, [0.5, 9.0], "s", 1), (7, [1.0, 1.0, 1.0], "s", 1)]
+    return odd
+
+
+@pytest.mark.parametrize("kind", ["ties", "clusters", "odd"])
+@pytest.mark.parametrize("blocks", [(8192, 512), (64, 3)])
+def test_equals_brute_force(spark, monkeypatch, kind, blocks):
+    monkeypatch.setattr(top_k, "VECTOR_BLOCK", blocks[0])
+    monkeypatch.setattr(top_k, "QUERY_BLOCK", blocks[1])
+    rows = rows_of(kind)
+    found = top_k.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0)
+    assert sorted(map(tuple, found.collect())) == brute(rows)
+
+
+def test_empty_table_and_no_query(spark):
+    queries = F.col("vec_id") % 100 == 0
+    assert top_k.top_k(spark.createDataFrame([], SCHEMA), queries).collect() == []
+    assert top_k.top_k(spark.createDataFrame([(1, [1.0], "s", 1)], SCHEMA), queries).collect() == []
+    assert top_k.top_k(spark.createDataFrame([(100, [1.0], "s", 1)], SCHEMA), queries).collect() == []
+
+
+def test_reading_stops_early():
+    """A steep best score ends the reading before the lists do."""
+    rng = np.random.default_rng(1)
+    vectors = rng.integers(-50, 50, (5000, 4))
+    vectors[:10] += 500
+    lists = top_k.Lists(np.arange(5000), vectors)
+    scored = []
+
+    class Counted(np.ndarray):
+        def __matmul__(self, other):
+            scored.append(len(self))
+            return np.asarray(self) @ other
+
+    lists.vectors = vectors.view(Counted)
+    ids, scores = lists.top(-1, np.array([3, 2, 1, 5]), 10)
+    assert sorted(ids.tolist()) == list(range(10))
+    assert sum(scored) < 200
