@@ -6,14 +6,17 @@ of 2 m groups only, about the square root of what independent tables need. Two d
 meet in some table if they agree on some A and on some B.
 
 Links are confirmed on full shingle sets. In each bucket every document is tried against
-the bucket's smallest id first; linked documents are then joined into components, and
-only pairs of one bucket that are still in different components are compared further, in
-blocks, on size and on their minhash values, before their full sets are. A large group of
-copies therefore costs links in proportion to its size, and nothing is capped.
+the bucket's smallest id, its first, and linked documents are joined into components.
+What is left are documents of one bucket, so with the same first, in different
+components. They are compared in blocks, first by size and minhash values, which leaves
+the documents with a promising partner, then by the intersections of their full sets. No
+pairs are sent around: a block gives the documents it suspects and the links that join
+components. A group of copies that are linked to its first costs in proportion to its
+size; only documents that are near it and yet not linked cost comparisons with the rest
+of their group. Nothing is capped.
 
 With groups of 2 hashes and m = 8 a pair of similarity 0.8 meets with probability
-1 - 6e-4, one of 0.85 with 1 - 7e-5; the comparison of minhash values in mixed buckets
-drops a pair of similarity 0.8 with probability 3e-5.
+1 - 6e-4, one of 0.85 with 1 - 7e-5; the comparison of minhash values drops a pair of similarity 0.8 with probability 3e-5.
 
 Defined cases: a document without words (null, empty or white space only) has an empty
 set and no links. Texts with fewer words than a shingle have one shingle, their whole
@@ -163,15 +166,11 @@ def _promising(pairs: DataFrame, nodes: DataFrame, percent: int) -> DataFrame:
     return pairs.mapInArrow(run, "u long, v long").distinct()
 
 
-def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> DataFrame:
+def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> DataFrame:
     """The pairs (u, v) with 100 * intersection >= percent * union of their full sets."""
-    pairs = written(pairs, "pairs")
-    ids = pairs.select(F.explode(F.array("u", "v")).alias("doc_id")).distinct()
-    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
     for side in ("u", "v"):
-        pairs = pairs.join(
-            texts.select(F.col("doc_id").alias(side), F.col("text").alias(f"t_{side}")), side
-        )
+        names = {"doc_id": side, "text": f"t_{side}"}
+        pairs = pairs.join(texts.withColumnsRenamed(names), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -188,62 +187,30 @@ def confirmed(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Da
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def _compare(first, second, same: bool, percent: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Promising pairs of two blocks of (id, component, size, minhash bytes)."""
-    out = []
-    for k in range(len(first[0])):
-        rest = slice(k + 1, None) if same else slice(None)
-        ids, comp, size, mins = (x[rest] for x in second)
-        far = comp != first[1][k]
-        if far.any():
-            near = _near(first[2][k], size[far], first[3][k], mins[far], percent)
-            found = ids[far][near]
-            out.append((np.full(len(found), first[0][k]), found))
-    return out
+def _in_blocks(stars: DataFrame) -> DataFrame:
+    """Rows of (first, ...) with `low`, `high` and `own`: pairs of blocks of a group.
 
-
-def _mixed_pairs(members: DataFrame, nodes: DataFrame, comps: DataFrame, percent: int) -> DataFrame:
-    """Promising pairs of buckets whose documents are in different components."""
-    known = members.join(comps, members.doc_id == comps.node, "left").select(
-        "key", "doc_id", F.coalesce("component", "doc_id").alias("component")
-    )
-    mixed = known.groupBy("key").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
-    )
-    mixed = mixed.where("low < high").select(
-        "key", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
-    )
-    rows = known.join(mixed, "key").join(
-        nodes.select("doc_id", "n_shingles", "mins"), "doc_id"
+    A group of n documents has ceil(n / BLOCK_ROWS) blocks by a hash of doc_id; every two
+    of its documents meet in one pair of blocks. Groups of two need no comparison: their
+    only pair is the one that was tried.
+    """
+    sizes = stars.groupBy("first").agg(F.count("*").alias("n"))
+    sizes = sizes.where("n > 2").select(
+        "first", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
     )
-    own = F.pmod(F.xxhash64("doc_id"), "blocks").cast("int")
-    rows = rows.withColumn("own", own)
+    rows = stars.join(sizes, "first")
+    rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
-    rows = rows.select(
-        "key", "low", "high", "own", "doc_id", "component", "n_shingles", "mins"
-    ).repartition("key", "low", "high")
-
-    def pairs(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        key = np.column_stack(
-            [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "low", "high")]
-        )
-        ids, comp, size, own = (
-            batch.column(c).to_numpy() for c in ("doc_id", "component", "n_shingles", "own")
-        )
-        mins = _bytes(batch.column("mins"))
-        edges = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
-        found = []
-        for a, b in zip(np.r_[0, edges], np.r_[edges, len(key)], strict=True):
-            same = key[a, 1] == key[a, 2]
-            block = [x[a:b] for x in (ids, comp, size, mins)]
-            left = own[a:b] == key[a, 1]
-            first = block if same else [x[left] for x in block]
-            second = block if same else [x[~left] for x in block]
-            found += _compare(first, second, same, percent)
-        if found:
-            u, v = (np.concatenate(x) for x in zip(*found, strict=True))
-            yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], ["u", "v"])
+    return rows.drop("blocks", "other")
+
+
+def _per_group(rows: DataFrame, work, schema: str) -> DataFrame:
+    """work(batch) for the rows of each (first, low, high), whole and one at a time."""
+    key = ["first", "low", "high"]
+
+    def keys(batch: pa.RecordBatch) -> np.ndarray:
+        return np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept = None  # the last group may go on in the next batch
@@ -252,19 +219,98 @@ def _mixed_pairs(members: DataFrame, nodes: DataFrame, comps: DataFrame, percent
                 continue
             if kept is not None:
                 batch = pa.concat_batches([kept, batch])
-            key = np.column_stack(
-                [batch.column(c).to_numpy().astype(np.int64) for c in ("key", "low", "high")]
-            )
-            cut = int(np.flatnonzero((key != key[-1]).any(axis=1)).max(initial=-1)) + 1
-            kept = batch.slice(cut)
-            if cut:
-                yield from pairs(batch.slice(0, cut))
+            k = keys(batch)
+            edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
+            starts = np.r_[0, edges]
+            for a, b in zip(starts[:-1], starts[1:], strict=True):
+                yield from work(batch.slice(a, b - a))
+            kept = batch.slice(int(starts[-1]))
         if kept is not None:
-            yield from pairs(kept)
+            yield from work(kept)
+
+    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+
+
+def _sides(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Row numbers of the two blocks of a group; the same twice within one block."""
+    own = batch.column("own").to_numpy()
+    low, high = (batch.column(c)[0].as_py() for c in ("low", "high"))
+    return np.flatnonzero(own == low), np.flatnonzero(own == high)
+
+
+def _suspects(rows: DataFrame, percent: int) -> DataFrame:
+    """(first, doc_id) that may be linked to a document of another component.
+
+    Told by sizes and minhash values; one row per document and pair of blocks at most.
+    """
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        comp, size = (batch.column(c).to_numpy() for c in ("component", "n_shingles"))
+        if (comp == comp[0]).all():
+            return
+        mins = _bytes(batch.column("mins"))
+        left, right = _sides(batch)
+        hit = np.zeros(batch.num_rows, bool)
+        for k in left:
+            far = right[comp[right] != comp[k]]
+            near = far[_near(size[k], size[far], mins[k], mins[far], percent)]
+            hit[near] = True
+            hit[k] |= len(near) > 0
+        yield batch.select(["first", "doc_id"]).filter(pa.array(hit))
+
+    return _per_group(rows, work, "first long, doc_id long").distinct()
+
+
+def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections, by products of 0/1 matrices over the shared values."""
+    values = np.concatenate([*left, *right])
+    owner = np.repeat(np.arange(len(left) + len(right)), [len(x) for x in (*left, *right)])
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    new = np.r_[True, values[1:] != values[:-1]]
+    column = np.cumsum(new) - 1
+    often = np.bincount(column)[column] > 1
+    column, owner = column[often], owner[often]
+    out = np.zeros((len(left), len(right)), np.float32)
+    column = np.unique(column, return_inverse=True)[1]
+    columns = int(column.max(initial=-1)) + 1
+    step = min(8192, columns)
+    for at in range(0, columns, max(step, 1)):
+        here = (column >= at) & (column < at + step)
+        ones = np.zeros((len(left) + len(right), step), np.float32)
+        ones[owner[here], column[here] - at] = 1
+        out += ones[: len(left)] @ ones[len(left) :].T
+    return out
 
-    rows = rows.sortWithinPartitions("key", "low", "high")
-    found = rows.mapInArrow(run, "u long, v long")
-    return found.select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct()
+
+def _missing_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
+    """Links (u, v) between components, told on full sets.
+
+    rows: first, low, high, own, doc_id, component, text. One link per document and other
+    component is enough to join them, so a group gives no more rows than that.
+    """
+
+    def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        comp, ids = (batch.column(c).to_numpy() for c in ("component", "doc_id"))
+        if (comp == comp[0]).all():
+            return
+        sets = _sets_of(batch.column("text"), width)
+        left, right = _sides(batch)
+        for at in range(0, len(left), 256):
+            some = left[at : at + 256]
+            both = _intersections([sets[k] for k in some], [sets[k] for k in right])
+            size = [np.array([len(sets[k]) for k in side]) for side in (some, right)]
+            union = size[0][:, None] + size[1][None, :] - both
+            link = (100 * both >= percent * union) & (union > 0)
+            link &= comp[some][:, None] != comp[right][None, :]
+            a, b = np.nonzero(link)
+            if len(a):
+                one = np.unique(np.column_stack([a, comp[right][b]]), axis=0, return_index=True)[1]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids[some[a[one]]]), pa.array(ids[right[b[one]]])], ["u", "v"]
+                )
+
+    return _per_group(rows, work, "u long, v long")
 
 
 def near_components(docs: DataFrame, width: int, percent: int = 80) -> tuple[DataFrame, DataFrame]:
@@ -283,16 +329,29 @@ def near_components(docs: DataFrame, width: int, percent: int = 80) -> tuple[Dat
     keys = nodes.select("doc_id", F.expr(tables).alias("key"))
     shared = keys.groupBy("key").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"))
     members = keys.join(shared.where("first < last").select("key", "first"), "key")
-    members = written(members.select("key", "first", "doc_id"), "members")
-
-    star = members.where("doc_id != first").select(F.col("first").alias("u"), F.col("doc_id").alias("v"))
-    links = confirmed(docs, _promising(star.distinct(), nodes, percent), width, percent)
-    links = written(links.unionByName(copies.toDF("u", "v")), "links")
-    first_comps = components(links)
-    more = confirmed(docs, _mixed_pairs(members, nodes, first_comps, percent), width, percent)
-    more = written(more, "more-links")
+    stars = members.select("first", "doc_id").distinct()
+    stars = written(stars, "stars-of-buckets")
+    ids = stars.select("doc_id").distinct()
+    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+
+    pairs = stars.where("doc_id != first").toDF("u", "v")
+    pairs = written(_promising(pairs, nodes, percent), "pairs")
+    links = written(_links(pairs, texts, width, percent).unionByName(copies.toDF("u", "v")), "links")
+    comps = components(links)
+
+    light = nodes.select("doc_id", "n_shingles", "mins")
+    component = F.coalesce("component", "doc_id").alias("component")
+    placed = stars.join(comps, stars["doc_id"] == comps["node"], "left")
+    placed = written(placed.select("first", "doc_id", component), "placed")
+    mixed = placed.groupBy("first").agg(
+        F.min("component").alias("low"), F.max("component").alias("high")
+    )
+    mixed = placed.join(mixed.where("low < high").select("first"), "first")
+    suspects = written(_suspects(_in_blocks(mixed).join(light, "doc_id"), percent), "suspects")
+    suspects = _in_blocks(placed.join(suspects, ["first", "doc_id"]))
+    more = written(_missing_links(suspects.join(texts, "doc_id"), width, percent), "more-links")
     if more.isEmpty():
-        return drawn, first_comps
+        return drawn, comps
     return drawn, components(links.unionByName(more))
 
 
