@@ -23,6 +23,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def unbounded(df: DataFrame) -> DataFrame:
+    """Mark a side of a join whose size nothing bounds: both sides are shuffled.
+
+    Without the mark Spark broadcasts what happens to be small, and the plan that was
+    measured on little data isn't the one that runs on much.
+    """
+    return df.hint("merge")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

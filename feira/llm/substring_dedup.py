@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feira.llm.shared import written
+from feira.llm.shared import unbounded, written
 from feira.llm.words import Words, span_hashes, word_slices
 
 WINDOW, GRAM = 50, 16
@@ -128,7 +128,8 @@ def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW
     """
     index = block_index(identified, window)
     ends = index.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
-    shared = index.join(ends.where("low < high").select("anchor"), "anchor")
+    ends = ends.where("low < high").select("anchor")
+    shared = index.join(unbounded(ends), "anchor")
     shared = written(shared.select("anchor", "content", "doc_id", "s", "e"), "blocks")
 
     owners = written(
@@ -152,7 +153,7 @@ def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW
     opened = opened.toDF("__opened_id", "opened")
     texts = identified.toDF(*[f"c{k}" if k != text_at else "text" for k in range(len(names))])
     id_name = f"c{names.index('doc_id')}"
-    texts = texts.join(opened, texts[id_name] == opened["__opened_id"])
+    texts = texts.join(unbounded(opened), texts[id_name] == opened["__opened_id"])
     texts = texts.drop("__opened_id").withColumnRenamed(id_name, "doc_id")
     windows = texts.mapInArrow(run, "doc_id long, anchor long, hash long, i int")
     windows = written(windows, "windows")
@@ -166,7 +167,7 @@ def _with_spans(docs: DataFrame, window: int) -> DataFrame:
     """`docs` with a column `spans`; rows without doc_id have none."""
     identified = docs.where("doc_id is not null")
     spans = duplicate_spans(docs, identified, window).withColumnRenamed("doc_id", "__span_id")
-    found = identified.join(spans, identified["doc_id"] == spans["__span_id"], "left")
+    found = identified.join(unbounded(spans), identified["doc_id"] == spans["__span_id"], "left")
     without = docs.where("doc_id is null").withColumn("spans", F.lit(None).cast(_SPANS))
     return found.drop("__span_id").unionByName(without)
 
