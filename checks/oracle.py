@@ -102,12 +102,13 @@ def _day_key(date: str) -> str:
 
 
 def ratio(numerator: str, denominator: str, digits: int) -> str:
-    """Half-up quotient; both inputs whole once the numerator is scaled."""
+    """Quotient rounded half away from zero; both inputs whole once the numerator is scaled."""
     scale = 10**digits
+    above, below = (f"abs(CAST(({x}) AS HUGEINT))" for x in (f"({numerator}) * {scale}", denominator))
+    sign = f"(CASE WHEN (({numerator}) < 0) <> (({denominator}) < 0) THEN -1 ELSE 1 END)"
     return (
-        f"(CASE WHEN ({denominator}) <> 0 THEN CAST((2 * CAST(({numerator}) * {scale} AS HUGEINT)"
-        f" + CAST(({denominator}) AS HUGEINT)) // (2 * CAST(({denominator}) AS HUGEINT)) AS DOUBLE)"
-        f" / {scale} END)"
+        f"(CASE WHEN ({denominator}) <> 0 THEN {sign} * CAST((2 * {above} + {below})"
+        f" // (2 * {below}) AS DOUBLE) / {scale} END)"
     )
 
 
@@ -201,6 +202,7 @@ dim_data AS (
 SELECT {_day_key("data")} AS id_data, data,
        day(data) AS dia, month(data) AS mes, (month(data) - 1) // 3 + 1 AS trimestre,
        year(data) AS ano, isodow(data) - 1 AS dia_semana_num,
+       -- fixed values: month and weekday names
        ['Janeiro', 'Fevereiro', 'Março', 'Abril', 'Maio', 'Junho', 'Julho', 'Agosto', 'Setembro',
         'Outubro', 'Novembro', 'Dezembro'][month(data)] AS nome_mes,
        ['Segunda-feira', 'Terça-feira', 'Quarta-feira', 'Quinta-feira', 'Sexta-feira', 'Sábado',
@@ -212,14 +214,19 @@ ALL_FACTS = "fato AS (SELECT * FROM aceitos)"
 ACTIVE = "status_pedido NOT IN ('canceled', 'unavailable')"
 
 
-def sliced_facts(date_from: str, date_to: str, states: tuple[str, ...]) -> str:
-    listed = ", ".join(f"'{s}'" for s in states)
+def sliced_facts(date_from: str, date_to: str, states: tuple[str | None, ...]) -> str:
     return (
         f"fato AS (SELECT * FROM aceitos WHERE data_compra BETWEEN DATE '{date_from}' "
-        f"AND DATE '{date_to}' AND estado_cliente IN ({listed}))"
+        f"AND DATE '{date_to}' AND {in_states(states)})"
     )
 
 
+def in_states(states: tuple[str | None, ...]) -> str:
+    listed = ", ".join(f"'{s}'" for s in states if s is not None)
+    blank = " OR estado_cliente IS NULL" if None in states else ""
+    return f"(estado_cliente IN ({listed}){blank})"
+
+
 def _statement(body: str, facts: str = ALL_FACTS) -> str:
     return f"WITH {RAW.strip()},\n{STAR.strip()},\n{facts}\n{body.strip()}"
 
@@ -434,23 +441,24 @@ def _longer(**limits: int) -> str:
     return " OR ".join(f"length({c}) > {n}" for c, n in limits.items())
 
 
-def _quality() -> str:
+def _quality(names: dict[str, str] = {}, repeated_fact: str = "order_id IS NULL") -> str:
+    """Rules over the star; `names` gives other sources, `repeated_fact` tells copied rows."""
     dims = {
         "dim_cliente": "customer_unique_id",
         "dim_produto": "product_id",
         "dim_vendedor": "seller_id",
     }
     parts = [
-        _unique("dim_data", "dim_data", "primary_key", "id_data"),
+        _unique("dim_data", names.get("dim_data", "dim_data"), "primary_key", "id_data"),
         # ids are made by numbering the rows, so the row itself stands for its id
-        _row_rule("fato_pedido", "fato", "primary_key", "order_id IS NULL"),
+        _row_rule("fato_pedido", "fato", "primary_key", repeated_fact),
     ]
     for table, key in dims.items():
-        parts.append(_unique(table, table, "primary_key", key))
-        parts.append(_unique(table, table, "natural_key", key))
+        parts.append(_unique(table, names.get(table, table), "primary_key", key))
+        parts.append(_unique(table, names.get(table, table), "natural_key", key))
     parts += [
-        _orphans("id_data_compra", "data_compra", "dim_data", "data"),
-        _orphans("id_data_entrega", "data_entrega", "dim_data", "data"),
+        _orphans("id_data_compra", "data_compra", names.get("dim_data", "dim_data"), "data"),
+        _orphans("id_data_entrega", "data_entrega", names.get("dim_data", "dim_data"), "data"),
         _orphans("id_cliente", "customer_unique_id", "dim_cliente", "customer_unique_id"),
         _orphans("id_produto", "product_id", "dim_produto", "product_id"),
         _orphans("id_vendedor", "seller_id", "dim_vendedor", "seller_id"),
@@ -475,7 +483,7 @@ def _quality() -> str:
         ),
         _row_rule(
             "dim_cliente",
-            "dim_cliente",
+            names.get("dim_cliente", "dim_cliente"),
             "text_length",
             _longer(customer_unique_id=50, cidade=100, estado=2),
         ),
@@ -503,6 +511,7 @@ def _quality() -> str:
                 for c in ("parcelas", "nota_avaliacao", "qtd_itens", "dias_para_entrega")
             ),
         ),
+        _row_rule("fato_pedido", "fato", "numeric_range valor_pago", "abs(valor_pago) >= 10000000000"),
     ]
     return "\nUNION ALL ".join(parts)
 
@@ -545,6 +554,84 @@ def _metrics() -> str:
     return "\nUNION ALL ".join(parts)
 
 
+def _when(n: int, rest: int, value: str, column: str, key: str = "order_id") -> str:
+    return f"CASE WHEN CAST({key} AS BIGINT) % {n} = {rest} THEN {value} ELSE {column} END AS {column}"
+
+
+LONG_TEXT = "repeat('x', 120)"
+# The defects of checks.planted.broken_star.
+BROKEN_FACTS = f"""
+estragos AS (
+SELECT * REPLACE ({_when(50, 7, "NULL", "valor_produto")}, {_when(60, 11, "'-1'", "product_id")},
+                  {_when(70, 13, "10000000005.00", "valor_pago")}, {_when(40, 3, "40000", "qtd_itens")},
+                  {_when(80, 9, LONG_TEXT, "status_pedido")})
+FROM aceitos),
+fato AS (
+SELECT *, false AS repetida FROM estragos
+UNION ALL SELECT *, true FROM estragos WHERE CAST(order_id AS BIGINT) % 90 = 21),
+vendedores_estragados AS (
+SELECT * FROM dim_vendedor
+UNION ALL SELECT * FROM dim_vendedor WHERE CAST(seller_id AS BIGINT) % 5 = 0),
+clientes_estragados AS (
+SELECT * REPLACE ({_when(10, 3, LONG_TEXT, "cidade", "customer_unique_id")}) FROM dim_cliente),
+dias_estragados AS (SELECT * FROM dim_data WHERE dia <> 28)"""
+BROKEN_NAMES = {
+    "dim_data": "dias_estragados",
+    "dim_cliente": "clientes_estragados",
+    "dim_vendedor": "vendedores_estragados",
+}
+
+
+def _ranges() -> str:
+    """Counts of checks.planted.wide_numbers, from the rows it plants in."""
+
+    def planted(rule: str, table: str, *where: tuple[int, int]) -> str:
+        hit = " OR ".join(f"CAST(order_id AS BIGINT) % {n} = {rest}" for n, rest in where)
+        return _row_rule(table, f"raw_{table}", f"numeric_range {rule}", hit or "false")
+
+    # where the price is planted wide the total is too, unless the freight is missing
+    total = _row_rule(
+        "itens",
+        "raw_itens",
+        "numeric_range valor_total",
+        "CAST(order_id AS BIGINT) % 30 = 1 OR (CAST(order_id AS BIGINT) % 30 = 2 "
+        f"AND {_number('freight_value')} IS NOT NULL)",
+    )
+    return "\nUNION ALL ".join(
+        [
+            planted("price", "itens", (30, 2)),
+            planted("freight_value", "itens", (30, 3)),
+            total,
+            planted("payment_value", "pagamentos", (30, 4)),
+            planted("payment_installments", "pagamentos", (30, 6)),
+            planted("review_score", "avaliacoes", (30, 7)),
+        ]
+    )
+
+
+def _times(factor: int) -> str:
+    columns = ", ".join(f"{c} * {factor} AS {c}" for c in ("valor_produto", "valor_frete", "valor_total"))
+    return f"fato AS (SELECT * REPLACE ({columns}) FROM aceitos)"
+
+
+def planted_statements(
+    slicer: tuple[str, str, tuple[str, ...]], blank: tuple[str | None, ...]
+) -> dict[str, str]:
+    """Statements over planted defects, chained slicers and a blank state."""
+    no_type = f"fato AS (SELECT * REPLACE ({_when(13, 0, 'NULL', 'tipo_pagamento')}) FROM aceitos)"
+    return {
+        "quality_rules_planted": _join(_quality(BROKEN_NAMES, "repetida"), BROKEN_FACTS.strip()),
+        "range_rules_planted": _join(_ranges(), ALL_FACTS),
+        "payment_methods_planted": _join(REPORTS["payment_methods"], no_type),
+        "category_share_zero_total": _join(DASHBOARD["category_share_top5"], _times(0)),
+        "top_categories_refunds": _join(REPORTS["top_categories"], _times(-1)),
+        "revenue_by_state_blank": _join(
+            DASHBOARD["revenue_by_state"], f"fato AS (SELECT * FROM aceitos WHERE {in_states(blank)})"
+        ),
+        "kpi_cards_chained": _join(DASHBOARD["kpi_cards"], sliced_facts(*slicer)),
+    }
+
+
 def statements(slicer: tuple[str, str, tuple[str, ...]], sliced: tuple[str, ...]) -> dict[str, str]:
     """Statement per query name; `sliced` names get a `_sliced` twin."""
     bodies = REPORTS | DASHBOARD | STAR_PIECES

@@ -33,9 +33,11 @@ DATE_PATTERN = (
 # Decimal number with optional sign and exponent; group 1 is the number.
 NUMBER_PATTERN = rf"^{_SPACE}*([+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?){_SPACE}*$"
 
-# Wide enough that a sum of two parsed numbers is rounded once, at the end.
-EXACT_NUMBER = "decimal(28,16)"
+# 22 whole digits, and wide enough that a sum of two parsed numbers is rounded once,
+# at the end. A longer number has no value here; `is_misfit` finds it.
+EXACT_NUMBER = "decimal(38,16)"
 MONEY = "decimal(12,2)"
+MONEY_SUM = "decimal(18,2)"
 
 
 def strip(text: Column) -> Column:
@@ -64,6 +66,22 @@ def to_money(number: Column) -> Column:
     return number.try_cast(MONEY)
 
 
+def is_number(text: Column) -> Column:
+    return F.coalesce(text.rlike(NUMBER_PATTERN), F.lit(False))
+
+
+def is_misfit(is_given: Column, stored: Column) -> Column:
+    """A value was given and the stored type has no room for it."""
+    return is_given & stored.isNull()
+
+
+def fitting(number: Column, kind: str, name: str) -> Column:
+    """Cast that fails the job, instead of losing the value, when it doesn't fit."""
+    cast = number.try_cast(kind)
+    lost = F.raise_error(F.concat(F.lit(f"{name} is out of range: "), number.cast("string")))
+    return F.when(is_misfit(number.isNotNull(), cast), lost.cast(kind)).otherwise(cast)
+
+
 def number_or_zero(text: Column) -> Column:
     return F.coalesce(parse_number(text), F.lit(0).cast(EXACT_NUMBER))
 
@@ -74,8 +92,8 @@ def at_least_one_instalment(number: Column) -> Column:
     return F.coalesce(F.nullif(number, zero), one)
 
 
-def truncated_int(number: Column) -> Column:
-    return number.try_cast("int")
+def truncated_whole(number: Column) -> Column:
+    return number.try_cast("long")
 
 
 def missing_to_null(text: Column) -> Column:

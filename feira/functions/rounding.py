@@ -19,11 +19,11 @@ def rounded_ratio(numerator: Column, denominator: Column, digits: int) -> Column
     Inputs may carry up to two decimals.
     """
     scale = 10**digits
-    whole = F.nullif(denominator.cast(_WIDE), F.lit(0).cast(_WIDE))
+    whole = F.nullif(F.abs(denominator.cast(_WIDE)), F.lit(0).cast(_WIDE))
     doubled = (F.abs(numerator).cast("decimal(30,2)") * F.lit(2 * scale)).cast(_WIDE)
     # floor((2ab + d) / 2d) is a/d rounded half up in units of 1/scale
     units = F.call_function("div", (doubled + whole).cast(_WIDE), (whole * 2).cast(_WIDE))
-    signed = F.when(numerator < 0, -units).otherwise(units)
+    signed = F.when((numerator < 0) != (denominator < 0), -units).otherwise(units)
     return (signed.cast("decimal(20,0)") / F.lit(scale)).cast(f"decimal(20,{digits})")
 
 

@@ -27,7 +27,7 @@ def latest_review(reviews: DataFrame) -> DataFrame:
         reviews.select(
             "order_id",
             ROW_SEQ,
-            clean.truncated_int(clean.parse_number(F.col("review_score"))).alias("review_score"),
+            clean.truncated_whole(clean.parse_number(F.col("review_score"))).alias("review_score"),
             # undated: later than every dated review
             F.coalesce(age.cast("long"), F.lit(2**62)).alias("_age"),
         )
@@ -51,7 +51,7 @@ def order_payment(payments: DataFrame) -> DataFrame:
             ROW_SEQ,
             "payment_type",
             # cut to whole numbers first: the largest stays the largest
-            clean.truncated_int(clean.at_least_one_instalment(instalments)).alias("parcelas"),
+            clean.truncated_whole(clean.at_least_one_instalment(instalments)).alias("parcelas"),
             value.alias("_value"),
         )
         .groupBy("order_id")
@@ -66,7 +66,7 @@ def order_payment(payments: DataFrame) -> DataFrame:
             "order_id",
             "tipo_pagamento",
             "parcelas",
-            clean.to_money(F.col("_value")).alias("valor_pago"),
+            clean.fitting(F.col("_value"), clean.MONEY_SUM, "valor_pago").alias("valor_pago"),
         )
     )
 

@@ -9,9 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.functions.rounding import mean, percent, rounded_ratio
+from feira.functions.rounding import percent, rounded_ratio
 from feira.plans.marts import DELIVERED, TOP, active, largest_first, order_count, share_of_all
 from feira.plans.star import Star
+from feira.schema import FACT_STATE
 
 # Fixed values.
 SHARE_TOP = 5
@@ -48,12 +49,29 @@ def kpi_cards(star: Star) -> DataFrame:
     )
 
 
+def _per_category(star: Star) -> DataFrame:
+    """categoria, total revenue, and sum and number of the item values, of active rows.
+
+    The items are added up per product before the product is looked up, so a join
+    moves one row per product and not one per item.
+    """
+    per_product = star.facts().filter(active()).groupBy("id_produto").agg(
+        F.sum("valor_total").alias("total"),
+        F.sum("valor_produto").alias("produto"),
+        F.count("valor_produto").alias("itens"),
+    )
+    return star.name_products(per_product, "categoria").groupBy("categoria").agg(
+        F.sum("total").alias("total"),
+        F.sum("produto").alias("produto"),
+        F.sum("itens").alias("itens"),
+    )
+
+
 def top_categories_total(star: Star) -> DataFrame:
     """Ten source-language categories with most total revenue (freight included)."""
     return (
-        star.with_product("categoria", where=active())
-        .groupBy("categoria")
-        .agg(F.sum("valor_total").alias("faturamento_total"))
+        _per_category(star)
+        .select("categoria", F.col("total").alias("faturamento_total"))
         .orderBy(*largest_first("faturamento_total", "categoria"))
         .limit(TOP)
     )
@@ -61,25 +79,23 @@ def top_categories_total(star: Star) -> DataFrame:
 
 def category_share_top5(star: Star) -> DataFrame:
     """Share of total revenue of the five largest categories and of all others."""
-    per_category = (
-        star.with_product("categoria", where=active())
-        .groupBy("categoria")
-        .agg(F.sum("valor_total").alias("total"))
+    per_category = _per_category(star).select("categoria", "total")
+    order = largest_first("total", "categoria")
+    top = per_category.orderBy(*order).limit(SHARE_TOP)
+    # five rows
+    placed = top.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
+    others = per_category.join(
+        F.broadcast(top.select(F.col("categoria").alias("_top"))),
+        F.col("categoria").eqNullSafe(F.col("_top")),
+        "left_anti",
     )
-    # one row per category
-    rank = F.row_number().over(Window.orderBy(*largest_first("total", "categoria")))
-    named = per_category.withColumn("_rank", rank).select(
-        F.when(F.col("_rank") <= SHARE_TOP, F.col("categoria"))
-        .otherwise(F.lit(OTHERS))
-        .alias("categoria"),
-        F.when(F.col("_rank") <= SHARE_TOP, F.col("_rank"))
-        .otherwise(F.lit(SHARE_TOP + 1))
-        .alias("posicao"),
-        "total",
+    others = others.agg(F.sum("total").alias("total"), F.count("*").alias("_rows"))
+    others = others.filter("_rows > 0").select(
+        F.lit(OTHERS).alias("categoria"), "total", F.lit(SHARE_TOP + 1).alias("posicao")
     )
     return (
-        named.groupBy("posicao", "categoria")
-        .agg(F.sum("total").alias("faturamento_total"))
+        placed.unionByName(others)
+        .withColumnRenamed("total", "faturamento_total")
         .withColumn("pct", share_of_all("faturamento_total"))
         .orderBy("posicao")
     )
@@ -88,9 +104,8 @@ def category_share_top5(star: Star) -> DataFrame:
 def ticket_by_category(star: Star) -> DataFrame:
     """Mean item value of every category, dearest first."""
     return (
-        star.with_product("categoria", where=active())
-        .groupBy("categoria")
-        .agg(mean("valor_produto", 2).alias("ticket_medio"))
+        _per_category(star)
+        .select("categoria", rounded_ratio(F.col("produto"), F.col("itens"), 2).alias("ticket_medio"))
         .orderBy(*largest_first("ticket_medio", "categoria"))
     )
 
@@ -98,8 +113,9 @@ def ticket_by_category(star: Star) -> DataFrame:
 def revenue_by_state(star: Star) -> DataFrame:
     """Total revenue of every customer state."""
     return (
-        star.with_customer("estado", where=active())
-        .groupBy("estado")
+        star.facts()
+        .filter(active())
+        .groupBy(F.col(FACT_STATE).alias("estado"))
         .agg(F.sum("valor_total").alias("faturamento_total"))
         .orderBy(*largest_first("faturamento_total", "estado"))
     )

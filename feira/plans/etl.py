@@ -72,7 +72,8 @@ def run_etl(
     """Full reload from the eight raw tables into `out`; returns the new star.
 
     `out` must be on storage that all executors share. Raises IntegrityError,
-    without publishing, when a key, foreign key or not-null rule is broken.
+    without publishing, when a key, foreign key, not-null or numeric range rule is
+    broken.
     Overlong texts and oversized counters are stored whole and recorded in the
     run's `quality` table; with `strict` they stop the run too.
     """
@@ -85,7 +86,13 @@ def run_etl(
     def find_hot(table: str, column: str) -> None:
         hot[table, column] = hot_key_of(raw, raw_rows, table, column, limits)
 
+    ranges: list[tuple[str, str, int]] = []
+
+    def find_misfits() -> None:
+        ranges.extend(tuple(r) for r in quality.range_rules(raw).collect())
+
     _together(
+        find_misfits,
         *[partial(_write_dimension, spark, raw, folder, limits, dim) for dim in DIMENSIONS],
         *[partial(find_hot, *key) for key in ORDER_KEYS],
     )
@@ -126,7 +133,8 @@ def run_etl(
     with ThreadPoolExecutor(2) as pool:
         checked = pool.submit(quality.star_rules(star).collect)
         counted = pool.submit(_metrics, raw, raw_rows, rejects, sizes)
-        findings, metrics = [tuple(r) for r in checked.result()], counted.result()
+        findings = [*ranges, *[tuple(r) for r in checked.result()]]
+        metrics = counted.result()
     star_store.write_notes(spark, folder, sizes, hot_ids, metrics, findings)
     broken = [f for f in findings if f[2] and (strict or quality.is_blocking(f[0]))]
     if broken:

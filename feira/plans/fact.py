@@ -13,7 +13,15 @@ from feira.operators import orders as order_ops
 from feira.operators.dedup import keep_last
 from feira.operators.sizing import Limits, Size
 from feira.operators.skew import HotKeys, hot_keys, spread_join
-from feira.schema import FACT_PARTITION, FATO_PEDIDO, NATURAL_KEYS, PRIMARY_KEYS, ROW_SEQ
+from feira.schema import (
+    FACT_PARTITION,
+    FACT_STATE,
+    FATO_PEDIDO,
+    NATURAL_KEYS,
+    PRIMARY_KEYS,
+    ROW_SEQ,
+)
+
 
 def dated_orders(raw: dict[str, DataFrame]) -> DataFrame:
     """Orders with a readable purchase date, both dates parsed."""
@@ -74,14 +82,16 @@ def hot_key_of(
     return hot_keys(raw[table], column, rows[table], limits.min_hot_rows)
 
 
-def lookup_id(big: DataFrame, dim: str, inputs: Inputs, table: str, spread_by: str) -> DataFrame:
-    """Left join of a dimension's surrogate id on its natural key.
+def lookup_id(
+    big: DataFrame, dim: str, inputs: Inputs, table: str, spread_by: str, *columns: str
+) -> DataFrame:
+    """Left join of a dimension's surrogate id, and other columns, on its natural key.
 
     A dimension measured small is broadcast. For a larger one the hot keys of
     `big` are counted in the raw table it stems from and spread.
     """
     key, id_column = NATURAL_KEYS[dim], PRIMARY_KEYS[dim]
-    ids = inputs.dims[dim].select(key, id_column)
+    ids = inputs.dims[dim].select(key, id_column, *columns)
     if inputs.sizes[dim].bytes <= inputs.limits.max_broadcast_bytes:
         return big.join(F.broadcast(ids), key, "left")
     hot = hot_key_of(inputs.raw, inputs.raw_rows, table, key, inputs.limits)
@@ -89,15 +99,14 @@ def lookup_id(big: DataFrame, dim: str, inputs: Inputs, table: str, spread_by: s
 
 
 def owned_orders(inputs: Inputs) -> DataFrame:
-    """Dated orders with the id of their customer, NULL if unknown.
+    """Dated orders with the id and state of their customer, NULL if unknown.
 
     customer_id leads to customer_unique_id; of a repeated customer_id the last
     row counts.
     """
     owners = keep_last(inputs.raw["clientes"], "customer_id", ["customer_unique_id"])
-    owners = lookup_id(owners, "dim_cliente", inputs, "clientes", "customer_id").select(
-        "customer_id", "id_cliente"
-    )
+    owners = lookup_id(owners, "dim_cliente", inputs, "clientes", "customer_id", "estado")
+    owners = owners.select("customer_id", "id_cliente", F.col("estado").alias(FACT_STATE))
     hot = inputs.hot["pedidos", "customer_id"]
     return spread_join(dated_orders(inputs.raw), owners, hot, "left", ROW_SEQ)
 
@@ -151,6 +160,7 @@ def item_rows(inputs: Inputs) -> DataFrame:
                 if f.name != "id_fato"
             ],
             *[F.when(F.col("rejeitado"), F.col(key)).alias(key) for key in natural_keys],
+            FACT_STATE,
             F.floor(F.col("id_data_compra") / 100).cast("int").alias(FACT_PARTITION),
             "rejeitado",
         )

@@ -8,7 +8,10 @@ their sums and averages are weighted by items, as the reports define them.
 without a status is not active.
 
 Shares of a total use a window over the aggregated frame, which has one row per
-status, score, payment type or category, never one per order or item.
+status, score or payment type. Categories are free text and may be many: their total
+is one row beside the ten largest.
+
+Output column names are the contract of the reports.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark.sql import functions as F
 
 from feira.functions.rounding import mean, percent
 from feira.plans.star import Star
-from feira.schema import STAR_TABLES
+from feira.schema import FACT_STATE, STAR_TABLES
 
 # Fixed values.
 INACTIVE = ("canceled", "unavailable")
@@ -48,10 +51,23 @@ def smallest_first(*keys: str) -> list[Column]:
 
 
 def share_of_all(part: str) -> Column:
-    """Percentage of the sum over all rows of an aggregated frame."""
+    """Percentage of the sum over all rows of an aggregated frame of few rows."""
     return percent(F.col(part), F.sum(part).over(Window.partitionBy()))
 
 
+def share_of_total(top: DataFrame, everything: DataFrame, part: str, name: str) -> DataFrame:
+    """`top` with the percentage of `part` in the sum over `everything`.
+
+    The sum is one row next to the few of `top`, so no window meets all groups.
+    """
+    total = everything.agg(F.sum(part).alias("_total"))
+    whole = F.max("_total").over(Window.partitionBy())
+    # the total's own row has no place in `top`
+    marked = top.withColumn("_listed", F.lit(True)).unionByName(total, allowMissingColumns=True)
+    shared = marked.withColumn(name, percent(F.col(part), whole))
+    return shared.filter("_listed").select(*top.columns, name)
+
+
 def row_counts(star: Star) -> DataFrame:
     """Rows of the five tables."""
     counts = [
@@ -78,7 +94,7 @@ def revenue_by_month(star: Star) -> DataFrame:
 
 def top_categories(star: Star) -> DataFrame:
     """Ten categories with most product revenue; the share is of all categories."""
-    return (
+    per_category = (
         star.with_product("categoria_en", where=active())
         .groupBy(F.col("categoria_en").alias("categoria"))
         .agg(
@@ -87,10 +103,12 @@ def top_categories(star: Star) -> DataFrame:
             F.sum("valor_produto").alias("faturamento"),
             mean("valor_produto", 2).alias("ticket_medio"),
         )
-        .withColumn("pct_total", share_of_all("faturamento"))
-        .orderBy(*largest_first("faturamento", "categoria"))
-        .limit(TOP)
     )
+    order = largest_first("faturamento", "categoria")
+    top = per_category.orderBy(*order).limit(TOP)
+    sales = star.facts().filter(active())
+    sales = sales.select(F.col("valor_produto").alias("faturamento"))
+    return share_of_total(top, sales, "faturamento", "pct_total").orderBy(*order)
 
 
 def orders_by_status(star: Star) -> DataFrame:
@@ -128,8 +146,9 @@ def delivery_by_state(star: Star) -> DataFrame:
     days = F.col("dias_para_entrega")
     delivered = (F.col("status_pedido") == DELIVERED) & days.isNotNull() & (days >= 0)
     return (
-        star.with_customer("estado", where=delivered)
-        .groupBy("estado")
+        star.facts()
+        .filter(delivered)
+        .groupBy(F.col(FACT_STATE).alias("estado"))
         .agg(
             order_count().alias("pedidos_entregues"),
             mean("dias_para_entrega", 1).alias("prazo_medio_dias"),
@@ -142,8 +161,9 @@ def delivery_by_state(star: Star) -> DataFrame:
 
 def top_states(star: Star) -> DataFrame:
     return (
-        star.with_customer("estado", where=active())
-        .groupBy("estado")
+        star.facts()
+        .filter(active())
+        .groupBy(F.col(FACT_STATE).alias("estado"))
         .agg(
             F.count_distinct("id_cliente").alias("qtd_clientes"),
             order_count().alias("qtd_pedidos"),

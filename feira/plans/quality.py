@@ -2,8 +2,8 @@
 
 The star rules are what a relational store enforces on write. A run that breaks
 a key, foreign key or not-null rule is not published; text lengths and counter
-ranges are findings, since the tables keep such values whole. The raw rules only
-report.
+SMALLINT ranges are findings, since the tables keep such values whole. A number that
+its column can't hold stops the run too. The other raw rules only report.
 """
 
 from __future__ import annotations
@@ -19,6 +19,7 @@ from feira.plans.star import Star
 from feira.schema import (
     FOREIGN_KEYS,
     MAX_LENGTH,
+    MONEY_LIMIT,
     NATURAL_KEYS,
     NOT_NULL,
     PRIMARY_KEYS,
@@ -27,8 +28,8 @@ from feira.schema import (
     STAR_TABLES,
 )
 
-# Rules whose violation makes reports wrong.
-BLOCKING = ("primary_key", "natural_key", "foreign_key", "not_null")
+# Rules whose violation makes reports wrong, or loses a value.
+BLOCKING = ("primary_key", "natural_key", "foreign_key", "not_null", "numeric_range")
 
 
 def is_blocking(rule: str) -> bool:
@@ -131,9 +132,42 @@ def _row_rules(star: Star, table: str) -> DataFrame:
                 for c in SMALLINT_COLUMNS[table]
             ]
         )
+    if table == "fato_pedido":
+        paid = F.col("valor_pago")
+        rules["numeric_range valor_pago"] = F.coalesce(F.abs(paid) >= MONEY_LIMIT, F.lit(False))
     return _findings(star.tables[table], table, rules)
 
 
+def range_rules(raw: dict[str, DataFrame]) -> DataFrame:
+    """Cells that hold a number for which the column it is stored in has no room.
+
+    Such a value would be missing from the star, so a load stops on it. One pass over
+    each of the three tables with numbers.
+    """
+
+    def misfit(column: str, store) -> Column:
+        text = F.col(column)
+        return clean.is_misfit(clean.is_number(text), store(clean.parse_number(text)))
+
+    price, freight = (clean.parse_number(F.col(c)) for c in ("price", "freight_value"))
+    total = price + freight
+    rules = {
+        "itens": {
+            "numeric_range price": misfit("price", clean.to_money),
+            "numeric_range freight_value": misfit("freight_value", clean.to_money),
+            "numeric_range valor_total": clean.is_misfit(total.isNotNull(), clean.to_money(total)),
+        },
+        "pagamentos": {
+            "numeric_range payment_value": misfit("payment_value", clean.to_money),
+            "numeric_range payment_installments": misfit(
+                "payment_installments", clean.truncated_whole
+            ),
+        },
+        "avaliacoes": {"numeric_range review_score": misfit("review_score", clean.truncated_whole)},
+    }
+    return _union([_findings(raw[table], table, found) for table, found in rules.items()])
+
+
 def star_rules(star: Star) -> DataFrame:
     """Every rule over every star table; violations are rows breaking the rule."""
     frames = [_primary_key(star, table) for table in STAR_TABLES]

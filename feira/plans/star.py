@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys, spread_join
-from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
+from feira.schema import FACT_PARTITION, FACT_STATE, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
 
 
 def _day_key(day: str | datetime.date) -> int:
@@ -34,21 +34,28 @@ class Star:
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES
     date_from: int | None = None
     date_to: int | None = None
-    states: tuple[str, ...] | None = None
+    states: tuple[str | None, ...] | None = None
 
     def slice(
         self,
         date_from: str | datetime.date | None = None,
         date_to: str | datetime.date | None = None,
-        states: Iterable[str] | None = None,
+        states: Iterable[str | None] | None = None,
     ) -> Star:
         """The same star seen through the slicers: purchase dates (both ends
-        included) and customer states. Every report takes the result."""
+        included) and customer states, None among them for customers without one.
+        Every report takes the result. Slicing again narrows: the later start, the
+        earlier end, the states named both times."""
+        bounds = [self.date_from, None if date_from is None else _day_key(date_from)]
+        ends = [self.date_to, None if date_to is None else _day_key(date_to)]
+        named = self.states if states is None else tuple(states)
+        if states is not None and self.states is not None:
+            named = tuple(s for s in named if s in self.states)
         return replace(
             self,
-            date_from=None if date_from is None else _day_key(date_from),
-            date_to=None if date_to is None else _day_key(date_to),
-            states=None if states is None else tuple(states),
+            date_from=max((b for b in bounds if b is not None), default=None),
+            date_to=min((e for e in ends if e is not None), default=None),
+            states=named,
         )
 
     def register_views(self) -> None:
@@ -61,17 +68,19 @@ class Star:
         facts = self._dated_facts()
         if self.states is None:
             return facts
-        return self._attach(facts, "dim_cliente", ())
-
-    def with_customer(self, *columns: str, where: F.Column | None = None) -> DataFrame:
-        """Item rows within the slicers, joined with columns of the customer."""
-        facts = self._dated_facts()
-        return self._attach(facts if where is None else facts.filter(where), "dim_cliente", columns)
+        state = F.col(FACT_STATE)
+        chosen = state.isin(*[s for s in self.states if s is not None])
+        return facts.filter(chosen | state.isNull() if None in self.states else chosen)
 
     def with_product(self, *columns: str, where: F.Column | None = None) -> DataFrame:
         facts = self.facts()
         return self._attach(facts if where is None else facts.filter(where), "dim_produto", columns)
 
+    def name_products(self, per_product: DataFrame, *columns: str) -> DataFrame:
+        """Columns of the product joined to a frame with one row per `id_produto`."""
+        lookup = self._sized("dim_produto").select(PRIMARY_KEYS["dim_produto"], *columns)
+        return per_product.join(lookup, PRIMARY_KEYS["dim_produto"])
+
     def with_calendar(
         self,
         *columns: str,
@@ -96,7 +105,8 @@ class Star:
         facts = self.facts()
         for dim, key in NATURAL_KEYS.items():
             facts = self._attach(facts, dim, (key,))
-        return facts.drop("id_fato", FACT_PARTITION, *[PRIMARY_KEYS[dim] for dim in NATURAL_KEYS])
+        ids = [PRIMARY_KEYS[dim] for dim in NATURAL_KEYS]
+        return facts.drop("id_fato", FACT_STATE, FACT_PARTITION, *ids)
 
     def _dated_facts(self) -> DataFrame:
         facts = self.tables["fato_pedido"]
@@ -121,12 +131,9 @@ class Star:
         return self.sizes[table].bytes <= self.max_broadcast_bytes
 
     def _attach(self, facts: DataFrame, dim: str, columns: tuple[str, ...]) -> DataFrame:
-        """Inner join of dimension columns; the customer is limited to the states."""
+        """Inner join of dimension columns."""
         key = PRIMARY_KEYS[dim]
-        lookup = self.tables[dim]
-        if dim == "dim_cliente" and self.states is not None:
-            lookup = lookup.filter(F.col("estado").isin(*self.states))
-        lookup = lookup.select(key, *columns)
+        lookup = self.tables[dim].select(key, *columns)
         if self._is_small(dim):
             return facts.join(F.broadcast(lookup), key)
         hot = self.hot.get(key, HotKeys(key, facts.schema[key].dataType))

@@ -27,6 +27,10 @@ RAW_COLUMNS = {
 ROW_SEQ = "row_seq"
 
 MONEY = T.DecimalType(12, 2)
+# The contract stores the paid value as MONEY too. The sum of an order's payments
+# is kept wider, so that a sum beyond the contract is found by the range rule.
+MONEY_SUM = T.DecimalType(18, 2)
+MONEY_LIMIT = 10**10
 
 DIM_DATA = T.StructType(
     [
@@ -87,9 +91,9 @@ FATO_PEDIDO = T.StructType(
         T.StructField("valor_frete", MONEY),
         T.StructField("valor_total", MONEY),
         T.StructField("tipo_pagamento", T.StringType()),
-        T.StructField("parcelas", T.IntegerType()),
-        T.StructField("valor_pago", MONEY),
-        T.StructField("nota_avaliacao", T.IntegerType()),
+        T.StructField("parcelas", T.LongType()),
+        T.StructField("valor_pago", MONEY_SUM),
+        T.StructField("nota_avaliacao", T.LongType()),
         T.StructField("qtd_itens", T.LongType()),
         T.StructField("dias_para_entrega", T.IntegerType()),
     ]
@@ -97,6 +101,9 @@ FATO_PEDIDO = T.StructType(
 
 # Purchase month (yyyymm): the directory the fact is partitioned by.
 FACT_PARTITION = "mes_compra"
+# The customer's state, stored with the fact: the state slicer and the reports by
+# state read it there. A reload rebuilds it together with the dimension.
+FACT_STATE = "estado_cliente"
 
 STAR_TABLES = {
     "dim_data": DIM_DATA,

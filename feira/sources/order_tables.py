@@ -30,7 +30,10 @@ def _file_position() -> Column:
 
 
 def _line_position() -> Column:
-    """Unique within an order at every scale."""
+    """Unique within an order while suppliers stay below 1,000.
+
+    Beyond that two lines may share a position; such ties are settled by content.
+    """
     return (
         F.col("l_partkey") * 100000 + F.col("l_suppkey") * 100 + F.col("l_quantity").cast("int")
     )

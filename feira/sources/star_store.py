@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys
 from feira.plans.star import Star
-from feira.schema import FACT_PARTITION, FATO_PEDIDO, PRIMARY_KEYS, STAR_TABLES
+from feira.schema import FACT_PARTITION, FACT_STATE, FATO_PEDIDO, PRIMARY_KEYS, STAR_TABLES
 from feira.sources.local_rows import local_frame
 
 PUBLISHED = T.StructType(
@@ -58,7 +58,7 @@ HOT_KEYS = T.StructType(
 REJECTS = T.StructType(
     [f for f in FATO_PEDIDO if f.name != "id_fato"]
     + [T.StructField(c, T.StringType()) for c in ("customer_id", "product_id", "seller_id")]
-    + [T.StructField(FACT_PARTITION, T.IntegerType())]
+    + [T.StructField(FACT_STATE, T.StringType()), T.StructField(FACT_PARTITION, T.IntegerType())]
 )
 
 
@@ -73,7 +73,11 @@ def run_folder(out: str, run_id: str) -> str:
 def table_schema(table: str) -> T.StructType:
     schema = STAR_TABLES[table]
     if table == "fato_pedido":
-        return T.StructType([*schema.fields, T.StructField(FACT_PARTITION, T.IntegerType())])
+        physical = [
+            T.StructField(FACT_STATE, T.StringType()),
+            T.StructField(FACT_PARTITION, T.IntegerType()),
+        ]
+        return T.StructType([*schema.fields, *physical])
     return schema
 
 

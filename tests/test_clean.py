@@ -84,6 +84,24 @@ def test_money_rounds_half_up_once(spark):
     assert apply(spark, rule, cells) == want
 
 
+def test_numbers_without_room_are_found(spark):
+    def misfit(c):
+        return clean.is_misfit(clean.is_number(c), clean.to_money(clean.parse_number(c)))
+
+    cells = ["9999999999.99", "9999999999.995", "99999999999", "1e30", "-1e10", "", "x", "nan", "-"]
+    assert apply(spark, misfit, cells) == [False, True, True, True, True] + [False] * 4
+    wide = ["1234567890123456789012.5", "3000000000", "1e22"]
+    got = apply(spark, lambda c: clean.parse_number(c), wide)
+    assert got == [Decimal("1234567890123456789012.5"), Decimal(3000000000), None]
+
+
+def test_fitting_fails_loudly(spark):
+    df = spark.createDataFrame([("10000000000000000.00",)], "v string")
+    wide = clean.fitting(clean.parse_number(F.col("v")), clean.MONEY_SUM, "valor_pago")
+    with pytest.raises(Exception, match="valor_pago is out of range: 10000000000000000"):
+        df.select(wide).collect()
+
+
 def test_total_adds_before_rounding_and_keeps_missing(spark):
     rows = [("0.004", "0.004"), ("10.00", "-"), ("", "1.00"), ("1.10", "2.20")]
     df = spark.createDataFrame(rows, "p string, f string")
@@ -100,7 +118,7 @@ def test_number_or_zero_and_instalments(spark):
     assert apply(spark, clean.number_or_zero, ["x", "", "2"]) == [0, 0, 2]
 
     def rule(c):
-        return clean.truncated_int(clean.at_least_one_instalment(clean.number_or_zero(c)))
+        return clean.truncated_whole(clean.at_least_one_instalment(clean.number_or_zero(c)))
 
     cells = ["0", "n/a", "3", "2.9", "-1"]
     assert apply(spark, rule, cells) == [1, 1, 3, 2, -1]

@@ -18,8 +18,10 @@ def exact(numerator, denominator, digits):
 def test_ratio_matches_exact_arithmetic(spark):
     rng = random.Random(7)
     rows = [(Decimal("15000.00"), 3_000_001), (Decimal("0.50"), 100), (Decimal("-0.50"), 100)]
+    rows += [(Decimal(s), n) for s, n in ((2, -3), (200, -3), (-2, -3), (-2, 3), (0, -3), (1, -200))]
     for _ in range(500):
         rows.append((Decimal(rng.randrange(-(10**9), 10**13)) / 100, rng.randrange(1, 10**6)))
+        rows.append((Decimal(rng.randrange(-(10**9), 10**13)) / 100, -rng.randrange(1, 10**6)))
     # sums of groups far beyond 10^10 rows, one cent below and at a rounding boundary
     rows += [
         (Decimal("50000000000.49"), 10**13),
@@ -45,6 +47,8 @@ def test_mean_ignores_null_and_rounds_smallint(spark):
 
 
 def test_percent(spark):
-    df = spark.createDataFrame([(1, 3), (1, 8), (0, 5), (5, 0)], "a bigint, b bigint")
+    rows = [(1, 3), (1, 8), (0, 5), (5, 0), (-1, -3), (1, -3), (-2, 3)]
+    df = spark.createDataFrame(rows, "a bigint, b bigint")
     got = [r[0] for r in df.select(percent(F.col("a"), F.col("b"))).collect()]
-    assert got == [Decimal("33.33"), Decimal("12.50"), Decimal("0.00"), None]
+    assert got[:4] == [Decimal("33.33"), Decimal("12.50"), Decimal("0.00"), None]
+    assert got[4:] == [Decimal("33.33"), Decimal("-33.33"), Decimal("-66.67")]

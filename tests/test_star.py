@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 from feira.plans import dashboard, marts
 from feira.operators.sizing import Size
 from feira.plans.star import Star
-from feira.schema import FACT_PARTITION, STAR_TABLES
+from feira.schema import FACT_PARTITION, FACT_STATE, STAR_TABLES
 
 
 def tiny_star(spark, facts):
@@ -33,13 +33,19 @@ def tiny_star(spark, facts):
         "valor_produto": Decimal("10.00"),
     }
     schema = T.StructType(
-        [*STAR_TABLES["fato_pedido"].fields, T.StructField(FACT_PARTITION, T.IntegerType())]
+        [
+            *STAR_TABLES["fato_pedido"].fields,
+            T.StructField(FACT_STATE, T.StringType()),
+            T.StructField(FACT_PARTITION, T.IntegerType()),
+        ]
     )
+    states = {1: "SP", 2: "RJ", 3: None}
     rows = []
     for i, given in enumerate(facts):
         row = defaults | {"id_fato": i + 1, "order_id": f"o{i}"} | given
         row["valor_total"] = row["valor_produto"] + row["valor_frete"]
         row[FACT_PARTITION] = row["id_data_compra"] // 100
+        row[FACT_STATE] = states[row["id_cliente"]]
         rows.append(tuple(row[f.name] for f in schema.fields))
     day = spark.sql("SELECT explode(sequence(date'2018-01-01', date'2018-03-31')) AS data")
     from feira.plans.dims import calendar_days
@@ -186,6 +192,32 @@ def test_slicers(spark):
     assert [r["estado"] for r in dashboard.revenue_by_state(star.slice(states=["RJ"])).collect()] == ["RJ"]
 
 
+def test_slicers_narrow_when_chained(star):
+    dates, states = ("1996-03-10", "1996-04-10"), ["11", "15"]
+    once = star.slice(*dates, states=states)
+    assert once.facts().count() > 0
+    for other in (
+        star.slice(*dates).slice(states=states),
+        star.slice(states=states).slice(*dates),
+        star.slice(dates[0]).slice(date_to=dates[1]).slice(states=states),
+        star.slice("1990-01-01", "1996-04-10", ["11", "15", None]).slice(*dates, states=["15", "11", "99"]),
+    ):
+        assert set(other.states) == set(states)
+        assert other.facts().count() == once.facts().count()
+        assert (other.date_from, other.date_to) == (once.date_from, once.date_to)
+    assert star.slice(states=["11"]).slice(states=["15"]).facts().count() == 0
+
+
+def test_a_blank_state_can_be_chosen(spark, star):
+    tiny = tiny_star(spark, [{"id_cliente": c} for c in (1, 2, 3, 3)])
+    assert tiny.slice(states=[None]).facts().count() == 2
+    assert tiny.slice(states=[None, "SP"]).facts().count() == 3
+    found = dashboard.revenue_by_state(tiny.slice(states=[None])).collect()
+    assert [r["estado"] for r in found] == [None]
+    blank = star.tables["dim_cliente"].filter("estado is null").count()
+    assert blank > 0 and star.slice(states=[None]).facts().count() > 0
+
+
 def test_role_dates_keep_items_without_delivery(spark):
     star = tiny_star(
         spark,
@@ -237,5 +269,5 @@ def test_tables_have_the_contract_columns(star, table):
         (f.name, f.dataType) for f in want
     ]
     assert [f.name for f in fields[len(want) :]] == (
-        [FACT_PARTITION] if table == "fato_pedido" else []
+        [FACT_STATE, FACT_PARTITION] if table == "fato_pedido" else []
     )
