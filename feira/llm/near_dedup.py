@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from feira.llm.components import components
-from feira.llm.shared import written
+from feira.llm.shared import per_group, unbounded, written
 from feira.llm.words import Words, mix, span_hashes, word_slices
 
 GROUPS, GROUP_HASHES = 8, 2
@@ -170,7 +170,7 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     """The pairs (u, v) with 100 * intersection >= percent * union of their full sets."""
     for side in ("u", "v"):
         names = {"doc_id": side, "text": f"t_{side}"}
-        pairs = pairs.join(texts.withColumnsRenamed(names), side)
+        pairs = unbounded(pairs).join(texts.withColumnsRenamed(names), side)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -206,29 +206,7 @@ def _in_blocks(stars: DataFrame) -> DataFrame:
 
 
 def _per_group(rows: DataFrame, work, schema: str) -> DataFrame:
-    """work(batch) for the rows of each (first, low, high), whole and one at a time."""
-    key = ["first", "low", "high"]
-
-    def keys(batch: pa.RecordBatch) -> np.ndarray:
-        return np.column_stack([batch.column(c).to_numpy().astype(np.int64) for c in key])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = None  # the last group may go on in the next batch
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            if kept is not None:
-                batch = pa.concat_batches([kept, batch])
-            k = keys(batch)
-            edges = np.flatnonzero((k[1:] != k[:-1]).any(axis=1)) + 1
-            starts = np.r_[0, edges]
-            for a, b in zip(starts[:-1], starts[1:], strict=True):
-                yield from work(batch.slice(a, b - a))
-            kept = batch.slice(int(starts[-1]))
-        if kept is not None:
-            yield from work(kept)
-
-    return rows.repartition(*key).sortWithinPartitions(*key).mapInArrow(run, schema)
+    return per_group(rows, ["first", "low", "high"], work, schema)
 
 
 def _sides(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
@@ -332,7 +310,8 @@ def near_components(docs: DataFrame, width: int, percent: int = 80) -> tuple[Dat
     stars = members.select("first", "doc_id").distinct()
     stars = written(stars, "stars-of-buckets")
     ids = stars.select("doc_id").distinct()
-    texts = written(docs.select("doc_id", "text").join(ids, "doc_id", "left_semi"), "texts")
+    texts = docs.select("doc_id", "text").join(unbounded(ids), "doc_id", "left_semi")
+    texts = written(texts, "texts")
 
     pairs = stars.where("doc_id != first").toDF("u", "v")
     pairs = written(_promising(pairs, nodes, percent), "pairs")
@@ -349,7 +328,8 @@ def near_components(docs: DataFrame, width: int, percent: int = 80) -> tuple[Dat
     mixed = placed.join(mixed.where("low < high").select("first"), "first")
     suspects = written(_suspects(_in_blocks(mixed).join(light, "doc_id"), percent), "suspects")
     suspects = _in_blocks(placed.join(suspects, ["first", "doc_id"]))
-    more = written(_missing_links(suspects.join(texts, "doc_id"), width, percent), "more-links")
+    suspects = unbounded(suspects).join(texts, "doc_id")
+    more = written(_missing_links(suspects, width, percent), "more-links")
     if more.isEmpty():
         return drawn, comps
     return drawn, components(links.unionByName(more))
@@ -375,4 +355,4 @@ def keep_one(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:
     """
     _, comps = near_components(docs, width, percent)
     gone = comps.where("node != component").select(F.col("node").alias("doc_id"))
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns).dropDuplicates()
+    return docs.join(unbounded(gone), "doc_id", "left_anti").select(docs.columns).dropDuplicates()
