@@ -64,18 +64,22 @@ def hot_keys(
 
     At most `slices` keys can qualify, which bounds the collected list.
     """
-    key_type = df.schema[column].dataType
+    if total_rows < min_rows:
+        return HotKeys(column, df.schema[column].dataType)
+    counts = df.groupBy(column).agg(F.count("*").alias("_rows"))
+    return counted_hot_keys(counts, column, "_rows", total_rows, min_rows)
+
+
+def counted_hot_keys(
+    counts: DataFrame, column: str, rows: str, total_rows: int, min_rows: int = MIN_HOT_ROWS
+) -> HotKeys:
+    """`hot_keys` from a table with one row per key and its number of rows."""
+    key_type = counts.schema[column].dataType
     if total_rows < min_rows:
         return HotKeys(column, key_type)
-    slices = slices_of(df)
-    threshold = max(min_rows, -(-total_rows // slices))
-    found = (
-        df.groupBy(column)
-        .agg(F.count("*").alias("_rows"))
-        .filter((F.col("_rows") >= threshold) & F.col(column).isNotNull())
-        .collect()
-    )
-    cut = tuple(sorted((row[column], -(-row["_rows"] // threshold) + 1) for row in found))
+    threshold = max(min_rows, -(-total_rows // slices_of(counts)))
+    found = counts.filter((F.col(rows) >= threshold) & F.col(column).isNotNull()).collect()
+    cut = tuple(sorted((row[column], -(-row[rows] // threshold) + 1) for row in found))
     return HotKeys(column, key_type, cut)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Collection
 from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
@@ -11,7 +11,8 @@ from pyspark.sql import functions as F
 
 from feira.operators.keys import dense_keys, number_written_rows
 from feira.operators.sizing import Limits, Size, count_rows, table_sizes
-from feira.operators.skew import HotKeys, hot_keys
+from feira.operators.orders import items_per_order
+from feira.operators.skew import HotKeys, counted_hot_keys, hot_keys
 from feira.plans import dims, quality
 from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows
 from feira.plans.star import Star
@@ -68,6 +69,7 @@ def run_etl(
     out: str,
     limits: Limits = Limits(),
     strict: bool = False,
+    run_id: str | None = None,
 ) -> Star:
     """Full reload from the eight raw tables into `out`; returns the new star.
 
@@ -75,17 +77,30 @@ def run_etl(
     without publishing, when a key, foreign key, not-null or numeric range rule is
     broken.
     Overlong texts and oversized counters are stored whole and recorded in the
-    run's `quality` table; with `strict` they stop the run too.
+    run's `quality` table; with `strict` they stop the run too. Loads that overlap
+    don't meet: each works in the folder of its own run. What is only needed while
+    loading is removed after publishing; `star_store.remove_old_runs` removes runs.
     """
     spark = raw["pedidos"].sparkSession
-    run_id = star_store.new_run_id()
+    run_id = run_id or star_store.new_run_id()
     folder = star_store.run_folder(out, run_id)
     raw_rows = count_rows(raw)
     hot: dict[tuple[str, str], HotKeys] = {}
 
+    counts_folder = f"{folder}/staging/items_per_order"
+
     def find_hot(table: str, column: str) -> None:
         hot[table, column] = hot_key_of(raw, raw_rows, table, column, limits)
 
+    def count_items() -> None:
+        """Items per order, counted once: for the rows and for their hot keys."""
+        counts = items_per_order(raw["itens"])
+        counts.write.mode("overwrite").parquet(counts_folder)
+        written = spark.read.schema(counts.schema).parquet(counts_folder)
+        hot["itens", "order_id"] = counted_hot_keys(
+            written, "order_id", "qtd_itens", raw_rows["itens"], limits.min_hot_rows
+        )
+
     ranges: list[tuple[str, str, int]] = []
 
     def find_misfits() -> None:
@@ -94,12 +109,14 @@ def run_etl(
     _together(
         find_misfits,
         *[partial(_write_dimension, spark, raw, folder, limits, dim) for dim in DIMENSIONS],
-        *[partial(find_hot, *key) for key in ORDER_KEYS],
+        count_items,
+        *[partial(find_hot, *key) for key in ORDER_KEYS if key[0] != "itens"],
     )
     dim_tables = {dim: star_store.read_table(spark, folder, dim) for dim in DIMENSIONS}
     sizes = table_sizes(dim_tables)
 
-    joined = item_rows(Inputs(raw, raw_rows, dim_tables, sizes, hot, limits))
+    counts = spark.read.schema("order_id string, qtd_itens long").parquet(counts_folder)
+    joined = item_rows(Inputs(raw, raw_rows, dim_tables, sizes, hot, limits, counts))
     staged = _stage_items(spark, joined, folder)
     accepted, rejected = staged.filter(~F.col("rejeitado")), staged.filter("rejeitado")
 
@@ -141,6 +158,7 @@ def run_etl(
         listed = "; ".join(f"{table} {rule}: {n}" for rule, table, n in broken)
         raise IntegrityError(f"run {run_id} not published: {listed}")
     star_store.publish(spark, out, run_id)
+    star_store.remove_folder(spark, f"{folder}/staging")
     return star
 
 
@@ -169,7 +187,12 @@ def run_etl_from_csv(
     prefix: str = "",
     limits: Limits = Limits(),
     strict: bool = False,
+    splittable: Collection[str] = (),
 ) -> Star:
     """Read the eight CSV inputs in `folder`, land them as parquet and load."""
-    raw = land(read_raw(spark, folder, prefix), f"{out.rstrip('/')}/landing")
-    return run_etl(raw, out, limits, strict)
+    run_id = star_store.new_run_id()
+    landing = f"{star_store.run_folder(out, run_id)}/landing"
+    raw = land(read_raw(spark, folder, prefix, splittable), landing)
+    star = run_etl(raw, out, limits, strict, run_id)
+    star_store.remove_folder(spark, landing)
+    return star

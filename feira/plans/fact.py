@@ -74,6 +74,11 @@ class Inputs:
     sizes: dict[str, Size]
     hot: dict[tuple[str, str], HotKeys]
     limits: Limits = Limits()
+    counts: DataFrame | None = None
+
+    def items_per_order(self) -> DataFrame:
+        """order_id, qtd_itens: as written by the load, else counted here."""
+        return self.counts or order_ops.items_per_order(self.raw["itens"])
 
 
 def hot_key_of(
@@ -127,7 +132,7 @@ def item_rows(inputs: Inputs) -> DataFrame:
     orders = owned_orders(inputs)
     # the count is the base: an order without items has no item row
     per_order = (
-        order_ops.items_per_order(raw["itens"])
+        inputs.items_per_order()
         .join(order_ops.latest_review(raw["avaliacoes"]), "order_id", "left")
         .join(order_ops.order_payment(raw["pagamentos"]), "order_id", "left")
     )

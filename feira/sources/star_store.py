@@ -118,6 +118,47 @@ def publish(spark: SparkSession, out: str, run_id: str) -> None:
     local_frame(spark, row, PUBLISHED).write.mode("append").parquet(f"{out.rstrip('/')}/published")
 
 
+def _file_system(spark: SparkSession, path: str):
+    """Hadoop's file system of a path, and the path."""
+    jvm = spark.sparkContext._jvm
+    where = jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), where
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    files, where = _file_system(spark, path)
+    files.delete(where, True)
+
+
+def remove_old_runs(
+    spark: SparkSession,
+    out: str,
+    keep: int = 1,
+    unpublished_after: datetime.timedelta = datetime.timedelta(days=1),
+) -> list[str]:
+    """Remove all runs but the `keep` newest published ones; returns their ids.
+
+    A run that was never published goes when it began longer ago than
+    `unpublished_after`: a younger one may still be loading.
+    """
+    if keep < 1:
+        raise ValueError("the newest published run stays")
+    log = spark.read.schema(PUBLISHED).parquet(f"{out.rstrip('/')}/published")
+    newest = log.orderBy(F.col("published_at").desc()).limit(keep).collect()
+    published = {r["run_id"] for r in log.select("run_id").collect()}
+    oldest = f"{datetime.datetime.now(datetime.UTC) - unpublished_after:%Y%m%dT%H%M%S}"
+    files, runs = _file_system(spark, f"{out.rstrip('/')}/runs")
+    gone = []
+    for status in files.listStatus(runs):
+        run_id = status.getPath().getName()
+        kept = run_id in {r["run_id"] for r in newest}
+        loading = run_id not in published and run_id[:15] >= oldest
+        if not kept and not loading:
+            files.delete(status.getPath(), True)
+            gone.append(run_id)
+    return sorted(gone)
+
+
 def latest_run(spark: SparkSession, out: str) -> str:
     try:
         log = spark.read.schema(PUBLISHED).parquet(f"{out.rstrip('/')}/published")

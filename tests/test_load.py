@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import csv
 import random
+from decimal import Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -186,7 +187,9 @@ def test_split_file_keeps_row_order(spark, tmp_path):
     write_csv(tables, tmp_path / "in")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     try:
-        raw = read_raw(spark, str(tmp_path / "in"), PREFIX)
+        whole = read_raw(spark, str(tmp_path / "in"), PREFIX)
+        assert whole["itens"].rdd.getNumPartitions() == 1
+        raw = read_raw(spark, str(tmp_path / "in"), PREFIX, splittable=set(tables) - {"avaliacoes"})
         assert raw["itens"].rdd.getNumPartitions() > 4
         for table in ("itens", "pagamentos", "clientes"):
             got = [tuple(r)[:-1] for r in raw[table].orderBy("row_seq").collect()]
@@ -210,6 +213,147 @@ def test_csv_cells_stay_text(spark, tmp_path):
     assert raw["avaliacoes"].columns == [*RAW_COLUMNS["avaliacoes"], "row_seq"]
 
 
+def test_line_breaks_in_any_file(spark, tmp_path):
+    tables = dirty_tables(8)
+    tables["vendedores"][0] = {"seller_id": "s1", "seller_city": 'rio\n"novo", RJ', "seller_state": "RJ"}
+    tables["clientes"][0].update(customer_city="são\r\npaulo")
+    tables["pedidos"][0].update(order_status="deli\nvered")
+    write_csv(tables, tmp_path / "in")
+    star = run_etl_from_csv(spark, str(tmp_path / "in"), str(tmp_path / "out"), PREFIX)
+    cities = {r["seller_id"]: r["cidade"] for r in star.tables["dim_vendedor"].collect()}
+    assert cities["s1"] == 'rio\n"novo", RJ'
+    raw = read_raw(spark, str(tmp_path / "in"), PREFIX)
+    for table in ("vendedores", "clientes", "pedidos"):
+        assert raw[table].count() == len(tables[table])
+
+
+def replace_with_parts(folder, name, *texts):
+    path = folder / name
+    lines = path.read_text(encoding="utf-8").splitlines()
+    path.unlink()
+    path.mkdir()
+    (path / "part 0.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+    for k, text in enumerate(texts, 1):
+        (path / f"part {k}.csv").write_text(text, encoding="utf-8")
+
+
+@pytest.mark.parametrize("splittable", [(), ("vendedores",)])
+@pytest.mark.parametrize(
+    "part",
+    [
+        "seller_id,seller_state,seller_city\ns9,SP,x\n",
+        "seller_state,seller_city,seller_id\nSP,x,s9,more\n",
+        "seller_state,seller_city,seller_id\nSP,x\n",
+    ],
+    ids=["other order", "long row", "short row"],
+)
+def test_parts_that_differ_stop_with_their_name(spark, tmp_path, part, splittable):
+    write_csv(dirty_tables(1), tmp_path / "in")
+    replace_with_parts(tmp_path / "in", f"{PREFIX}sellers_dataset.csv", part)
+    out = str(tmp_path / "out")
+    with pytest.raises(Exception, match=r"part(%20| )1\.csv"):
+        run_etl_from_csv(spark, str(tmp_path / "in"), out, PREFIX, splittable=splittable)
+    with pytest.raises(FileNotFoundError):
+        open_star(spark, out)
+
+
+def plain_tables():
+    """One order of one item, paid twice."""
+    order = {"order_id": "a", "customer_id": "c", "order_status": "delivered"}
+    order |= {"order_purchase_timestamp": "2018-01-01", "order_delivered_customer_date": ""}
+    item = {"order_id": "a", "product_id": "p", "seller_id": "s", "price": "1.00", "freight_value": "1"}
+    paid = {"order_id": "a", "payment_type": "boleto", "payment_installments": "1", "payment_value": "5.00"}
+    card = paid | {"payment_type": "credit_card", "payment_value": "4.00"}
+    review = {"order_id": "a", "review_score": "5", "review_answer_timestamp": "2018-02-01"}
+    return {
+        "pedidos": [order],
+        "itens": [item],
+        "clientes": [dict(zip(RAW_COLUMNS["clientes"], ("c", "u", "rio", "RJ")))],
+        "produtos": [{"product_id": "p", "product_category_name": "x"}],
+        "vendedores": [{"seller_id": "s", "seller_city": "", "seller_state": ""}],
+        "avaliacoes": [review],
+        "pagamentos": [paid, card],
+        "traducao": [{"product_category_name": "x", "product_category_name_english": "X"}],
+    }
+
+
+@pytest.mark.parametrize(
+    "table, row, cells, stored, broken",
+    [
+        ("itens", 0, {"price": "9999999999.00", "freight_value": "5.00"}, None, "itens numeric_range valor_total: 1"),
+        ("itens", 0, {"price": "2000000000000"}, None, "itens numeric_range price: 1"),
+        ("pagamentos", None, {"payment_value": "9999999999.00"}, None, "fato_pedido numeric_range valor_pago: 1"),
+        ("pagamentos", 1, {"payment_value": "2000000000000"}, None, "pagamentos numeric_range payment_value: 1"),
+        ("pagamentos", 1, {"payment_installments": "3000000000"}, {"parcelas": 3_000_000_000}, None),
+        ("avaliacoes", 0, {"review_score": "3000000000"}, {"nota_avaliacao": 3_000_000_000}, None),
+        ("avaliacoes", 0, {"review_score": "1e19"}, None, "avaliacoes numeric_range review_score: 1"),
+        ("itens", 0, {"price": "9999999999.98", "freight_value": "0.01"}, {"valor_total": Decimal("9999999999.99")}, None),
+    ],
+)
+def test_wide_numbers_are_stored_or_stop_the_load(spark, tmp_path, table, row, cells, stored, broken):
+    tables = plain_tables()
+    for k, line in enumerate(tables[table]):
+        if row in (None, k):
+            line.update(cells)
+    frames = {
+        t: spark.createDataFrame(
+            [(*[r[c] for c in RAW_COLUMNS[t]], k) for k, r in enumerate(rows)],
+            ", ".join([*[f"{c} string" for c in RAW_COLUMNS[t]], "row_seq long"]),
+        )
+        for t, rows in tables.items()
+    }
+    out = str(tmp_path / "out")
+    if broken:
+        with pytest.raises(IntegrityError, match=broken):
+            run_etl(frames, out)
+        with pytest.raises(FileNotFoundError):
+            open_star(spark, out)
+    else:
+        fact = run_etl(frames, out).tables["fato_pedido"].first()
+        assert {c: fact[c] for c in stored} == stored
+
+
+def test_overlapping_loads_keep_to_themselves(spark, tmp_path, monkeypatch):
+    """A second load that lands while the first is under way changes nothing in it."""
+    first, second = dirty_tables(1), dirty_tables(2)
+    write_csv(first, tmp_path / "in")
+    write_csv(second, tmp_path / "other")
+    out = str(tmp_path / "out")
+    plain = etl.run_etl
+
+    def interrupted(raw, *args):
+        monkeypatch.setattr(etl, "run_etl", plain)
+        etl.run_etl_from_csv(spark, str(tmp_path / "other"), out, PREFIX)
+        return plain(raw, *args)
+
+    monkeypatch.setattr(etl, "run_etl", interrupted)
+    star = etl.run_etl_from_csv(spark, str(tmp_path / "in"), out, PREFIX)
+    check_against_model(star, first)
+
+
+def test_old_runs_and_scratch_are_removed(spark, raw, tmp_path):
+    import datetime
+
+    out = str(tmp_path / "out")
+    fewer = {t: df.filter(F.col("order_id") < "2") if t == "pedidos" else df for t, df in raw.items()}
+    for _ in range(3):
+        run_etl(fewer, out)
+    runs = tmp_path / "out" / "runs"
+    assert all(not (run / "staging").exists() for run in runs.iterdir())
+    (runs / "20010101T000000-leftover" / "staging").mkdir(parents=True)
+    young = runs / star_store.new_run_id()
+    young.mkdir()
+    before = {run.name for run in runs.iterdir()}
+    newest = star_store.latest_run(spark, out)
+    gone = star_store.remove_old_runs(spark, out, keep=2)
+    left = {run.name for run in runs.iterdir()}
+    assert before - left == set(gone) and len(gone) == 2 and "20010101T000000-leftover" in gone
+    assert {newest, young.name} <= left
+    star_store.remove_old_runs(spark, out, unpublished_after=datetime.timedelta(0))
+    assert {run.name for run in runs.iterdir()} == {newest}
+    assert open_star(spark, out).tables["fato_pedido"].count() > 0
+
+
 def test_missing_input_is_named_before_anything_runs(spark, tmp_path):
     write_csv(dirty_tables(1), tmp_path / "in")
     (tmp_path / "in" / "product_category_name_translation.csv").unlink()
