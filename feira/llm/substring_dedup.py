@@ -149,7 +149,7 @@ def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW
             if batch.num_rows:
                 yield from _windows_of(batch, text_at, window)
 
-    names = identified.columns
+    names = identified.columns  # columns get positions for names, so that none clashes
     opened = opened.toDF("__opened_id", "opened")
     texts = identified.toDF(*[f"c{k}" if k != text_at else "text" for k in range(len(names))])
     id_name = f"c{names.index('doc_id')}"
@@ -164,12 +164,12 @@ def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW
 
 
 def _with_spans(docs: DataFrame, window: int) -> DataFrame:
-    """`docs` with a column `spans`; rows without doc_id have none."""
+    """`docs` with a last column `__spans`; rows without doc_id have none."""
     identified = docs.where("doc_id is not null")
-    spans = duplicate_spans(docs, identified, window).withColumnRenamed("doc_id", "__span_id")
+    spans = duplicate_spans(docs, identified, window).toDF("__span_id", "__spans")
     found = identified.join(unbounded(spans), identified["doc_id"] == spans["__span_id"], "left")
-    without = docs.where("doc_id is null").withColumn("spans", F.lit(None).cast(_SPANS))
-    return found.drop("__span_id").unionByName(without)
+    without = docs.where("doc_id is null").withColumn("__spans", F.lit(None).cast(_SPANS))
+    return found.drop("__span_id").union(without)
 
 
 def _removed(spans, count: int, window: int) -> np.ndarray:
@@ -205,7 +205,7 @@ def digests(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     found = _with_spans(docs.select("doc_id", "text"), window)
     kind = docs.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
-    return found.select("doc_id", "text", "spans").mapInArrow(run, schema)
+    return found.mapInArrow(run, schema)
 
 
 def _cut_text(text: str, spans, window: int) -> str | None:
