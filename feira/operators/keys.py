@@ -53,7 +53,8 @@ def number_written_rows(df: DataFrame, id_column: str) -> DataFrame:
     starts = per_file.select(
         "_file", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_start")
     )
-    if len(df.inputFiles()) <= MAX_BROADCAST_FILES:
+    # counted by the tasks: the list of paths stays off the driver
+    if placed.select("_file").distinct().count() <= MAX_BROADCAST_FILES:
         starts = F.broadcast(starts)
     return placed.join(starts, "_file").select(
         (F.col("_start") + F.col("_row") + 1).alias(id_column), *df.columns

@@ -491,6 +491,16 @@ def test_count_rows(raw):
     }
 
 
+def test_adaptive_execution_does_not_matter(spark, raw, star, tmp_path):
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        other = run_etl(raw, str(tmp_path / "out"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+    assert as_rows(other.with_natural_keys()) == as_rows(star.with_natural_keys())
+
+
 def test_layout_of_the_input_does_not_matter(spark, raw, star, tmp_path):
     """Rows in other tasks and another order give the same star, ids of dimensions included."""
     shuffled = {t: df.repartition(7, F.xxhash64(F.col(df.columns[-2]))) for t, df in raw.items()}

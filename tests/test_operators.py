@@ -201,6 +201,16 @@ def test_number_written_rows(spark, tmp_path):
 
 
 
+def test_numbers_do_not_depend_on_the_broadcast(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "rows")
+    spark.range(100).withColumn("v", F.col("id") * 2).repartition(5).write.parquet(path)
+    df = spark.read.parquet(path)
+    wanted = rows(number_written_rows(df, "n"))
+    monkeypatch.setattr("feira.operators.keys.MAX_BROADCAST_FILES", 0)
+    assert rows(number_written_rows(df, "n")) == wanted
+    assert sorted(r[0] for r in wanted) == list(range(1, 101))
+
+
 def test_rows_claiming_one_position_are_settled_by_content(spark):
     """Otherwise a re-run task could keep another row."""
     paid = [("o", t, "1", "5.00", 1) for t in ("voucher", "boleto", "credit_card")]
