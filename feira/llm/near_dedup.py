@@ -252,7 +252,7 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
     out = np.zeros((len(left), len(right)), np.float32)
     column = np.unique(column, return_inverse=True)[1]
     columns = int(column.max(initial=-1)) + 1
-    step = min(8192, columns)
+    step = min(2048, columns)
     for at in range(0, columns, max(step, 1)):
         here = (column >= at) & (column < at + step)
         ones = np.zeros((len(left) + len(right), step), np.float32)

@@ -2,7 +2,7 @@
 
 A word is a run of bytes other than space and \\x09-\\x0D. UTF-8 continuation bytes are
 never among these, so working on bytes splits exactly where working on code points
-would. A null text counts as empty. Texts are taken a few megabytes at a time, so memory
+would. A null text counts as empty. Texts are taken some 256 KB at a time, so memory
 follows the longest text and not the batch.
 """
 
@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 _U64 = np.uint64
 # Odd multipliers of the byte and word polynomials and of the mixing step.
