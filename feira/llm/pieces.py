@@ -14,7 +14,7 @@ first, then the blocks of a text, then the way back fixes the entry and exit pie
 every block and of every chunk. Each chunk then traces its own path, independent of the
 others. Shorter texts are one chunk. Between places that no piece can cross (before a
 run of spaces, around a line break that no piece holds) the lattice falls apart into
-words, encoded once per worker and kept in a bounded cache.
+words, and the library encodes what lies between two such places.
 
 U+2581, the model's mark for a space, is encoded as bytes where a text has it, so that
 decoding gives every text back. Defined cases: a null or empty text has no ids and
@@ -43,7 +43,7 @@ from feira.llm.shared import written
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 CHUNK, BLOCK = 32_768, 256
 MAX_MODEL_BYTES = 64 << 20
-CACHE_WORDS = 200_000
+BATCH_ROWS = 200
 MARK = "▁"
 START, END = 0, -1
 
@@ -77,7 +77,11 @@ class Pieces:
             self.surface[k] = bytes([value])
         lone = MARK if any("\n" in p for p in normal) else MARK + "\n"
         self.words = re.compile(f" +[^ {lone}]*|[^ {lone}]+|[{lone}]")
-        self.cache: dict[str, list[int]] = {MARK: [byte[b] for b in MARK.encode()]}
+        self.mark = [byte[b] for b in MARK.encode()]
+        # surfaces one after another, for decoding many ids at once
+        self.lengths = np.array([len(s) for s in self.surface], np.int64)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+        self.bytes = np.frombuffer(b"".join(self.surface), np.uint8)
         self.neighbours = lru_cache(1 << 18)(self._neighbours)
 
     def _merged(self, text: str) -> list[str]:
@@ -100,29 +104,35 @@ class Pieces:
         known = self.vocabulary.get(piece)
         return [known[0]] if known else [self.byte[b] for b in piece.encode()]
 
-    def word(self, word: str) -> list[int]:
-        ids = self.cache.get(word)
-        if ids is None:
-            if len(self.cache) > CACHE_WORDS:
-                self.cache = {MARK: self.cache[MARK]}
-            ids = self.library.EncodeAsIds(word)
-            if len(word) <= 64:
-                self.cache[word] = ids
-        return ids
-
-    def plain(self, text: str) -> list[int]:
-        """Ids of a text that begins and ends where no piece can cross."""
-        out: list[int] = []
-        for word in self.words.findall(text):
-            out += self.word(word)
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        """Ids of texts that begin and end where no piece can cross."""
+        plain = [k for k, text in enumerate(texts) if MARK not in text]
+        found = self.library.Encode([texts[k] for k in plain], out_type=int, num_threads=1)
+        out: list[list[int]] = [[] for _ in texts]
+        for k, ids in zip(plain, found, strict=True):
+            out[k] = ids
+        for k, text in enumerate(texts):
+            if MARK in text:
+                first, *rest = self.library.Encode(text.split(MARK), out_type=int, num_threads=1)
+                out[k] = first + [i for ids in rest for i in (*self.mark, *ids)]
         return out
 
     def prefixed(self, text: str) -> str:
         return " " + text if text and self.dummy_prefix else text
 
-    def decode(self, ids) -> str:
-        text = b"".join([self.surface[k] for k in ids]).decode("utf-8", "replace")
-        return text[1:] if self.dummy_prefix and text.startswith(" ") else text
+    def decode(self, ids: np.ndarray, ends: np.ndarray) -> list[str]:
+        """Texts of several encodings, one after another in `ids`."""
+        lengths = self.lengths[ids]
+        stops = np.cumsum(lengths)
+        at = np.repeat(self.starts[ids] - (stops - lengths), lengths) + np.arange(lengths.sum())
+        data = self.bytes[at].tobytes()
+        cuts = np.append(0, stops)[np.append(0, ends)].tolist()
+        texts = [
+            data[a:b].decode("utf-8", "replace") for a, b in zip(cuts[:-1], cuts[1:], strict=True)
+        ]
+        if self.dummy_prefix:
+            texts = [t[1:] if t.startswith(" ") else t for t in texts]
+        return texts
 
     # -- lattice of one chunk: `text` with context, the chunk being text[a:b] --
 
@@ -208,7 +218,7 @@ class Pieces:
             return self._path(text, seed, b, goal)
         head = self._path(text, seed, cut[0], None)
         tail = self._path(text, (cut[1], cut[1]), b, goal)
-        return head + self.plain(text[cut[0] : cut[1]]) + tail
+        return head + self.encode([text[cut[0] : cut[1]]])[0] + tail
 
     def _path(self, text: str, seed: tuple[int, int], limit: int, goal) -> list[int]:
         met = self.walk(text, {seed: 1}, limit)
@@ -254,10 +264,26 @@ def broadcast_model(docs: DataFrame, path: str):
 def _lists(rows: list) -> pa.Array:
     offsets = np.zeros(len(rows) + 1, np.int32)
     np.cumsum([len(r) for r in rows], out=offsets[1:])
-    flat = np.fromiter((x for r in rows for x in r), np.int32, int(offsets[-1]))
+    flat = np.concatenate([np.zeros(0, np.int32), *[np.array(r, np.int32) for r in rows]])
     return pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat))
 
 
+def _decoded(known: Pieces, lists: pa.ListArray) -> list[str]:
+    lengths = lists.value_lengths().fill_null(0).to_numpy()
+    return known.decode(lists.flatten().to_numpy(), np.cumsum(lengths))
+
+
+def _encoded(known: Pieces, texts: list[str | None]) -> pa.ListArray:
+    return _lists(known.encode([known.prefixed(t or "") for t in texts]))
+
+
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Batches of few rows, which bounds what a worker holds."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(at, BATCH_ROWS)
+
+
 def _multiplied(frame: pd.DataFrame, by: str) -> list[tuple[int, dict[int, set[int]]]]:
     """Per step in order: exit -> entries."""
     steps = []
@@ -382,29 +408,31 @@ def _giant(texts: DataFrame, model, size: int) -> DataFrame:
     return whole.select("sha", F.flatten(F.transform("parts", lambda p: p["ids"])).alias("ids"))
 
 
+def _long(chunk: int):
+    return F.char_length(F.coalesce("text", F.lit(""))) >= chunk
+
+
+def _giant_rows(docs: DataFrame, model, chunk: int) -> DataFrame:
+    """doc_id, text and ids of the rows with long texts; equal texts are encoded once."""
+    long = docs.where(_long(chunk)).withColumn("sha", F.sha2("text", 256))
+    texts = long.groupBy("sha").agg(F.min("text").alias("text"))
+    return long.join(_giant(texts, model, chunk), "sha").select("doc_id", "text", "ids")
+
+
 def encode(docs: DataFrame, path: str = MODEL, chunk: int = CHUNK) -> DataFrame:
     """doc_id, text and ids of every row of `docs` (doc_id, text)."""
     model = broadcast_model(docs, path)
     docs = docs.select("doc_id", "text")
-    is_long = F.char_length(F.coalesce("text", F.lit(""))) >= chunk
     schema = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, text string, ids array<int>"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _pieces(model)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                texts = part.column(1).to_pylist()
-                ids = [known.plain(known.prefixed(t)) if t else [] for t in texts]
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), part.column(1), _lists(ids)], ["doc_id", "text", "ids"]
-                )
+        for part in _parts(batches):
+            ids = _encoded(known, part.column(1).to_pylist())
+            yield pa.RecordBatch.from_arrays([*part.columns, ids], ["doc_id", "text", "ids"])
 
-    short = docs.where(~is_long).mapInArrow(run, schema)
-    long = docs.where(is_long).withColumn("sha", F.sha2("text", 256))
-    texts = long.groupBy("sha").agg(F.min("text").alias("text"))
-    giant = long.join(_giant(texts, model, chunk), "sha").select("doc_id", "text", "ids")
-    return short.unionByName(giant)
+    short = docs.where(~_long(chunk)).mapInArrow(run, schema)
+    return short.unionByName(_giant_rows(docs, model, chunk))
 
 
 def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
@@ -414,29 +442,49 @@ def decode(encoded: DataFrame, path: str = MODEL) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _pieces(model)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
-                lists = part.column(place)
-                flat, ends = lists.flatten().to_pylist(), lists.value_lengths().fill_null(0)
-                ends = np.cumsum(ends.to_numpy())
-                texts = [
-                    known.decode(flat[a:b]) for a, b in zip(np.r_[0, ends[:-1]], ends, strict=True)
-                ]
-                yield part.append_column("decoded", pa.array(texts, pa.string()))
+        for part in _parts(batches):
+            texts = _decoded(known, part.column(place))
+            yield part.append_column("decoded", pa.array(texts, pa.string()))
 
     return encoded.mapInArrow(run, T.StructType([*encoded.schema]).add("decoded", "string"))
 
 
 def round_trips(docs: DataFrame, path: str = MODEL, chunk: int = CHUNK) -> DataFrame:
-    """doc_id, n_chars, n_pieces, ids, decoded_sha256 and whether decoding gave the text back."""
-    text = F.coalesce("text", F.lit(""))
-    rows = decode(encode(docs, path, chunk), path)
-    return rows.select(
-        "doc_id",
-        F.char_length(text).cast("long").alias("n_chars"),
-        F.size("ids").cast("long").alias("n_pieces"),
-        "ids",
-        F.sha2("decoded", 256).alias("decoded_sha256"),
-        (F.col("decoded") == text).alias("round_trip"),
+    """doc_id, n_chars, n_pieces, ids, decoded_sha256 and whether decoding gave the text back.
+
+    Texts are encoded and decoded in one pass, so they leave the JVM once.
+    """
+    model = broadcast_model(docs, path)
+    docs = docs.select("doc_id", "text")
+    schema = (
+        f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, n_chars long, n_pieces long, "
+        "ids array<int>, decoded_sha256 string, round_trip boolean"
     )
+
+    def rows(ids, texts: list[str], doc_ids, known: Pieces) -> pa.RecordBatch:
+        decoded = _decoded(known, ids)
+        return pa.RecordBatch.from_arrays(
+            [
+                doc_ids,
+                pa.array([len(t) for t in texts], pa.int64()),
+                ids.value_lengths().cast(pa.int64()),
+                ids,
+                pa.array([hashlib.sha256(t.encode()).hexdigest() for t in decoded], pa.string()),
+                pa.array([a == b for a, b in zip(decoded, texts, strict=True)], pa.bool_()),
+            ],
+            ["doc_id", "n_chars", "n_pieces", "ids", "decoded_sha256", "round_trip"],
+        )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _pieces(model)
+        for part in _parts(batches):
+            texts = [t or "" for t in part.column(1).to_pylist()]
+            yield rows(_encoded(known, texts), texts, part.column(0), known)
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = _pieces(model)
+        for part in _parts(batches):
+            yield rows(part.column(2), part.column(1).to_pylist(), part.column(0), known)
+
+    short = docs.where(~_long(chunk)).mapInArrow(run, schema)
+    return short.unionByName(_giant_rows(docs, model, chunk).mapInArrow(check, schema))
