@@ -32,26 +32,29 @@ from pyspark.sql import functions as F
 from feira.llm.shared import written
 
 SAMPLES = 32
-RANGE_ROWS, MAX_RANGES = 2048, 65_536
+# A task takes RANGES_PER_TASK ranges on average: so few documents that the counts of
+# their words fit its memory.
+RANGE_ROWS, MAX_RANGES, RANGES_PER_TASK = 512, 65_536, 2
 _LOWEST = -(1 << 63)
 _KEY = ["k", "h"]
 
 
-def _unit(bits: Column) -> Column:
-    """The lower 32 bits as a number between 0 and 1."""
-    return (bits.bitwiseAND(F.lit(0xFFFFFFFF)) + 0.5) * F.lit(2.0**-32)
+def _unit(bits: Column, shift: int) -> Column:
+    """21 bits of a hash as a number between 0 and 1."""
+    part = F.shiftrightunsigned(bits, shift).bitwiseAND(F.lit(0x1FFFFF))
+    return (part + 0.5) * F.lit(2.0**-21)
 
 
 def _sample(s: int) -> Column:
     """ln(a) in fixed point above 32 bits of (term, t); the smallest is the sample."""
-    x, y, z = (F.xxhash64("term", F.lit(3 * s + k)) for k in range(3))
-    r = -F.ln(_unit(x) * _unit(F.shiftrightunsigned(x, 32)))
-    c = -F.ln(_unit(y) * _unit(F.shiftrightunsigned(y, 32)))
-    b = _unit(z)
+    x, y = (F.xxhash64("term", F.lit(2 * s + k)) for k in range(2))
+    r = -F.ln(_unit(x, 0) * _unit(x, 21))
+    c = -F.ln(_unit(y, 0) * _unit(y, 21))
+    b = _unit(x, 42)
     t = F.floor(F.col("log_weight") / r + b)
     log_a = F.ln(c) - r * (t - b + 1.0)
     fixed = F.greatest(((log_a + 100.0) * F.lit(2.0**23)).cast("long"), F.lit(0))
-    name = (F.shiftrightunsigned(z, 32) + t * 0x9E3779B1).bitwiseAND(F.lit(0xFFFFFFFF))
+    name = (x.bitwiseXOR(y) + t * 0x9E3779B1).bitwiseAND(F.lit(0xFFFFFFFF))
     return F.shiftleft(fixed, 32).bitwiseOR(name)
 
 
@@ -127,7 +130,8 @@ def with_next(docs: DataFrame, keys: DataFrame) -> DataFrame:
     fronts = rows.join(F.broadcast(last), (F.col("k") == F.col("lk")) & (F.col("h") == F.col("lh")))
     fronts = fronts.select(F.col("above").alias("range"), F.lit(0).alias("own"), "k", "h", "text")
     rows = rows.select(place.alias("range"), F.lit(1).alias("own"), "k", "h", "text")
-    both = rows.unionByName(fronts).repartition(F.col("range"))
+    tasks = len(bounds) // RANGES_PER_TASK + 1
+    both = rows.unionByName(fronts).repartition(tasks, "range")
     order = Window.partitionBy("range").orderBy("own", "k", "h")
     before = {c: F.lag(c).over(order) for c in ("own", "k", "h", "text")}
     both = both.select("*", *[column.alias(f"next_{c}") for c, column in before.items()])
