@@ -37,11 +37,15 @@ from feira.llm.words import Words, span_hashes, word_slices
 
 WINDOW, GRAM = 50, 16
 
-_SPANS = "array<struct<s:int,e:int>>"
+# Where a block's windows start, first to last; `more` are the places of the same block
+# later in the text, pairs of 32-bit integers: text that goes round in circles has few
+# different blocks.
+_PLACE = ("s", "e", "more")
+_SPANS = "array<struct<s:int,e:int,more:binary>>"
 
 
 def _blocks(words: Words, window: int):
-    """Per block: text number, anchor, content, first and last window start in the text."""
+    """Per different block of a text: text number, anchor, content, place, more places."""
     hashes = words.hashes()
     grams = window - GRAM + 1
     count = words.counts()
@@ -52,7 +56,7 @@ def _blocks(words: Words, window: int):
     at = at + np.arange(len(at))  # first word of every window
     if not len(at):
         none = np.zeros(0, np.int64)
-        return none, none, none, none, none
+        return none, none, none, none, none, []
     views = np.lib.stride_tricks.sliding_window_view(gram, grams)
     anchor = np.empty(len(at), np.int64)
     for k in range(0, len(at), 1 << 16):
@@ -64,24 +68,37 @@ def _blocks(words: Words, window: int):
     last = np.append(first[1:], len(at)) - 1
     content = span_hashes(hashes, at[first], at[last] + window)
     text = np.searchsorted(words.bounds, at[first], side="right") - 1
-    base = words.bounds[text]
+    places = np.column_stack([at[first], at[last]]) - words.bounds[text][:, None]
+    places = places.astype(np.int32)
+    gram = gram[anchor[first]]
+    order = np.lexsort((content, gram, text))  # stable: places stay in order
+    text, gram, content, places = (x[order] for x in (text, gram, content, places))
+    new = np.ones(len(text), bool)
+    new[1:] = (text[1:] != text[:-1]) | (gram[1:] != gram[:-1]) | (content[1:] != content[:-1])
+    start = np.flatnonzero(new)
+    stop = np.append(start[1:], len(text))
+    more = [
+        places[a + 1 : b].tobytes() if b > a + 1 else None
+        for a, b in zip(start.tolist(), stop.tolist(), strict=True)
+    ]
     return (
-        text + words.first,
-        gram[anchor[first]].view(np.int64),
-        content.view(np.int64),
-        at[first] - base,
-        at[last] - base,
+        text[start] + words.first,
+        gram[start].view(np.int64),
+        content[start].view(np.int64),
+        places[start, 0],
+        places[start, 1],
+        more,
     )
 
 
 def block_index(docs: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id, anchor, content, s, e of every block of `docs` (doc_id, text)."""
+    """doc_id, anchor, content, s, e, more of every different block of `docs`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).cast(pa.int64())
             for words in word_slices(batch.column(1)):
-                text, anchor, content, s, e = _blocks(words, window)
+                text, anchor, content, s, e, more = _blocks(words, window)
                 yield pa.RecordBatch.from_arrays(
                     [
                         ids.take(pa.array(text)),
@@ -89,11 +106,12 @@ def block_index(docs: DataFrame, window: int = WINDOW) -> DataFrame:
                         pa.array(content),
                         pa.array(s.astype(np.int32)),
                         pa.array(e.astype(np.int32)),
+                        pa.array(more, pa.binary()),
                     ],
-                    ["doc_id", "anchor", "content", "s", "e"],
+                    ["doc_id", "anchor", "content", *_PLACE],
                 )
 
-    schema = "doc_id long, anchor long, content long, s int, e int"
+    schema = "doc_id long, anchor long, content long, s int, e int, more binary"
     return docs.select("doc_id", "text").mapInArrow(run, schema)
 
 
@@ -106,6 +124,15 @@ def _windows_of(batch: pa.RecordBatch, text_at: int, window: int) -> Iterator[pa
         lists = part.flatten()
         owner = np.repeat(np.arange(len(part)), part.value_lengths().fill_null(0).to_numpy())
         s, e, anchor = (lists.field(k).to_numpy() for k in range(3))
+        more = lists.field(3).to_pylist()
+        again = [k for k, places in enumerate(more) if places]
+        if again:  # every place of a block is opened
+            pairs = [np.frombuffer(more[k], np.int32).reshape(-1, 2) for k in again]
+            times = [len(p) for p in pairs]
+            s = np.concatenate([s, *[p[:, 0] for p in pairs]])
+            e = np.concatenate([e, *[p[:, 1] for p in pairs]])
+            owner = np.append(owner, np.repeat(owner[again], times))
+            anchor = np.append(anchor, np.repeat(anchor[again], times))
         length = e - s + 1
         row = np.repeat(owner, length)
         i = np.repeat(s - (np.cumsum(length) - length), length) + np.arange(length.sum())
@@ -122,7 +149,7 @@ def _windows_of(batch: pa.RecordBatch, text_at: int, window: int) -> Iterator[pa
 
 
 def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW) -> DataFrame:
-    """doc_id and `spans`: ranges (s, e) of window starts that a smaller document has too.
+    """doc_id and `spans`: places of window starts that a smaller document has too.
 
     identified: the rows of `docs` that have a doc_id, as they are joined later.
     """
@@ -130,18 +157,21 @@ def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW
     ends = index.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
     ends = ends.where("low < high").select("anchor")
     shared = index.join(unbounded(ends), "anchor")
-    shared = written(shared.select("anchor", "content", "doc_id", "s", "e"), "blocks")
+    shared = written(shared.select("anchor", "content", "doc_id", *_PLACE), "blocks")
 
     owners = written(
         shared.groupBy("anchor", "content").agg(F.min("doc_id").alias("owner")), "owners"
     )
     several = owners.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1")
-    owners = owners.join(several.select("anchor", F.lit(True).alias("several")), "anchor", "left")
+    # written, so that the join's sides are plain shuffles, which Spark can split: an
+    # anchor may have very many blocks
+    several = written(several.select("anchor", F.lit(True).alias("several")), "several")
+    owners = owners.join(unbounded(several), "anchor", "left")
     judged = written(shared.join(owners, ["anchor", "content"]), "judged")
 
-    inside = judged.where("doc_id > owner").select("doc_id", "s", "e")
+    inside = judged.where("doc_id > owner").select("doc_id", *_PLACE)
     opened = judged.where("doc_id = owner and several").groupBy("doc_id")
-    opened = opened.agg(F.collect_list(F.struct("s", "e", "anchor")).alias("opened"))
+    opened = opened.agg(F.collect_list(F.struct("s", "e", "anchor", "more")).alias("opened"))
     text_at = identified.columns.index("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,8 +189,9 @@ def duplicate_spans(docs: DataFrame, identified: DataFrame, window: int = WINDOW
     windows = written(windows, "windows")
     firsts = windows.groupBy("anchor", "hash").agg(F.min("doc_id").alias("owner"))
     at_ends = windows.join(firsts, ["anchor", "hash"]).where("doc_id > owner")
-    spans = inside.unionByName(at_ends.select("doc_id", F.col("i").alias("s"), F.col("i").alias("e")))
-    return spans.groupBy("doc_id").agg(F.collect_list(F.struct("s", "e")).alias("spans"))
+    single = (F.col("i").alias("s"), F.col("i").alias("e"), F.lit(None).cast("binary").alias("more"))
+    spans = inside.unionByName(at_ends.select("doc_id", *single))
+    return spans.groupBy("doc_id").agg(F.collect_list(F.struct(*_PLACE)).alias("spans"))
 
 
 def _with_spans(docs: DataFrame, window: int) -> DataFrame:
@@ -178,6 +209,10 @@ def _removed(spans, count: int, window: int) -> np.ndarray:
     for span in spans or ():
         edges[span["s"]] += 1
         edges[span["e"] + window] -= 1
+        if span["more"]:
+            more = np.frombuffer(span["more"], np.int32).reshape(-1, 2)
+            np.add.at(edges, more[:, 0], 1)
+            np.add.at(edges, more[:, 1] + window, -1)
     return np.cumsum(edges[:-1]) > 0
 
 

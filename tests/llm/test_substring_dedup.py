@@ -61,6 +61,24 @@ def test_words_that_repeat_over_and_over(documents):
     assert {r.doc_id: r.n_removed for r in found} == {1: 0, 2: 60, 3: 0, 4: 50}
 
 
+def test_lines_that_repeat_in_many_documents(documents):
+    """The same line over and over, with and without other text between."""
+    rng = random.Random(6)
+    line = [f"l{k}" for k in range(23)]
+    rows = []
+    for k in range(30):
+        words = [f"a{rng.randrange(9)}" for _ in range(rng.randrange(60))]
+        for _ in range(rng.randrange(12)):
+            words += line
+            if rng.random() < 0.2:
+                words += [f"b{rng.randrange(9)}" for _ in range(rng.randrange(60))]
+        rows.append((rng.randrange(1000), " ".join(words)))
+    found = substring_dedup.digests(documents(rows)).collect()
+    assert sorted((tuple(r) for r in found), key=str) == brute(rows)
+    index = substring_dedup.block_index(documents([(1, " ".join(line * 100))]))
+    assert index.count() < 10
+
+
 def test_longer_match_in_a_later_document_than_the_first(documents):
     """The smallest document with the anchor isn't the one with the whole window."""
     text = [f"w{k}" for k in range(80)]
