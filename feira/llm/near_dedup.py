@@ -187,15 +187,14 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def _in_blocks(stars: DataFrame) -> DataFrame:
+def _in_blocks(stars: DataFrame, least: int) -> DataFrame:
     """Rows of (first, ...) with `low`, `high` and `own`: pairs of blocks of a group.
 
     A group of n documents has ceil(n / BLOCK_ROWS) blocks by a hash of doc_id; every two
-    of its documents meet in one pair of blocks. Groups of two need no comparison: their
-    only pair is the one that was tried.
+    of its documents meet in one pair of blocks. Groups of fewer than `least` are left out.
     """
     sizes = stars.groupBy("first").agg(F.count("*").alias("n"))
-    sizes = sizes.where("n > 2").select(
+    sizes = sizes.where(F.col("n") >= least).select(
         "first", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
     )
     rows = stars.join(sizes, "first")
@@ -326,8 +325,11 @@ def near_components(docs: DataFrame, width: int, percent: int = 80) -> tuple[Dat
         F.min("component").alias("low"), F.max("component").alias("high")
     )
     mixed = placed.join(mixed.where("low < high").select("first"), "first")
-    suspects = written(_suspects(_in_blocks(mixed).join(light, "doc_id"), percent), "suspects")
-    suspects = _in_blocks(placed.join(suspects, ["first", "doc_id"]))
+    # a whole group of two is its first and one other, a pair that was tried; two suspects
+    # of a larger group may both be others
+    whole = _in_blocks(mixed, least=3).join(light, "doc_id")
+    suspects = written(_suspects(whole, percent), "suspects")
+    suspects = _in_blocks(placed.join(suspects, ["first", "doc_id"]), least=2)
     suspects = unbounded(suspects).join(texts, "doc_id")
     more = written(_missing_links(suspects, width, percent), "more-links")
     if more.isEmpty():

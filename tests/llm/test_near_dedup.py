@@ -76,6 +76,20 @@ def test_groups_larger_than_a_block(documents, monkeypatch):
     assert len(set(wanted.values())) > 2
 
 
+def test_two_linked_documents_below_a_larger_first(documents):
+    """The first of their buckets holds the shingles of both, but is too large to be linked."""
+    rows = []
+    for group in range(40):
+        base = [f"g{group}w{k}" for k in range(203)]
+        more = [f"g{group}x{k}" for k in range(32)]
+        texts = [base + more, base[:-19], base[19:]]
+        rows += [(group * 10 + k, " ".join(words)) for k, words in enumerate(texts)]
+    found = near_dedup.near_duplicates(documents(rows), 4).collect()
+    wanted = brute(rows, 4)
+    assert [wanted[k] for k in range(3)] == [0, 1, 1]
+    assert {r.doc_id: r.component_id for r in found} == wanted
+
+
 def test_rows_sharing_an_id_are_one_document(documents):
     a, b = ("a b c d e f g h i j", "q r s t u v w x y z")
     rows = [(1, a), (5, a), (5, b), (9, b), (9, b)]
