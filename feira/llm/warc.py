@@ -26,9 +26,13 @@ from pyspark.sql import DataFrame
 
 VERSION = "WARC/1.1"
 HIDDEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(script|style|noscript|template|head)\b[^>]*>.*?(?:</\1\s*>|\Z)",
-    re.IGNORECASE | re.DOTALL,
+    r"<!--|<(/?head|body|title|script|style|noscript|template)(?=[\s/>])[^>]*>", re.IGNORECASE
 )
+ENDS = {"": re.compile("-->")} | {
+    name: re.compile(rf"</{name}\s*>", re.IGNORECASE)
+    for name in ("title", "script", "style", "noscript", "template")
+}
+HEAD_END = re.compile(r"<(?:/head|body)(?=[\s/>])", re.IGNORECASE)
 BREAKS = re.compile(
     r"<(?:/?(?:p|div|h[1-6]|li|ul|ol|table|tr|section|article|header|footer|nav|aside|main|"
     r"blockquote|pre|form|figure|dl|dt|dd|body|html)|br|hr)\b[^>]*>",
@@ -76,9 +80,38 @@ def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     return named, rest[: int(named.get("content-length", len(rest)))]
 
 
+def _shown(markup: str) -> str:
+    """`markup` without comments, scripts, styles, noscripts, templates and the head's title.
+
+    Comments, scripts and styles that are never closed reach to the end of the page. Of
+    other elements only closed ones are left out, and a head needs no end tag: its title
+    is the only text it can hold.
+    """
+    parts: list[str] = []
+    kept = look = 0
+    in_head, unclosed = False, set()
+    while found := HIDDEN.search(markup, look):
+        look = found.end()
+        name = (found[1] or "").lower()
+        if name in ("head", "/head", "body"):
+            in_head = name == "head"
+            continue
+        if name in unclosed or (name == "title" and not in_head):
+            continue
+        end = ENDS[name].search(markup, look)
+        if name == "title" and end and HEAD_END.search(markup, look, end.start()):
+            end = None
+        if end is None and name in ("title", "noscript", "template"):
+            unclosed.add(name)
+            continue
+        parts.append(markup[kept : found.start()])
+        kept = look = end.end() if end else len(markup)
+    return " ".join([*parts, markup[kept:]])
+
+
 def plain_text(markup: str) -> str:
     """Visible text, one line per block."""
-    text = BREAKS.sub("\n", HIDDEN.sub(" ", markup))
+    text = BREAKS.sub("\n", _shown(markup))
     lines = (" ".join(line.split()) for line in html.unescape(TAG.sub("", text)).split("\n"))
     return "\n".join(line for line in lines if line)
 

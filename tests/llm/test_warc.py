@@ -1,6 +1,8 @@
 import base64
 import hashlib
 
+import pytest
+
 from feira.llm import warc
 
 PAGE = """<html><head><title>A &amp; b</title><style>p{}</style></head><body><h1>Head</h1>
@@ -68,6 +70,30 @@ def test_plain_text_of_broken_markup():
     assert time.perf_counter() - start < 5
 
 
+@pytest.mark.parametrize(
+    "markup, text",
+    [
+        ("<html><head><title>t</title><body><p>whole article</p></body></html>", "whole article"),
+        ("<head><title>t</title><script>'<p>'</script><meta name=a><p>one<p>two", "one\ntwo"),
+        ("<head><title>t</title>no <b>blocks</b> at all", "no blocks at all"),
+        ("<head><title>open<body><p>one</p><svg><title>s</title></svg>", "open\none\ns"),
+        ("<body><noscript>a<p>b</p><template>c<p>d", "a\nb\nc\nd"),
+        ("<body><noscript>a</noscript>b<template>c</template>d<noscript> e", "b d e"),
+        ("<body>a<style>b<p>c", "a"),
+    ],
+)
+def test_elements_without_end_tag(markup, text):
+    assert warc.plain_text(markup) == text
+
+
+def test_unclosed_noscripts_take_linear_time():
+    import time
+
+    start = time.perf_counter()
+    warc.plain_text("<head>" + "<noscript><template><title>" * 20_000)
+    assert time.perf_counter() - start < 5
+
+
 def test_rows_in_spark(spark):
     rows = [(1, "http://u\r\nX: y", PAGE, "a")] * 2
     rows += [(2, None, None, "b"), (None, "u", "", "c"), (3, "v", "w " * 200_000, "d")]
