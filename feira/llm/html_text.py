@@ -7,9 +7,12 @@ link tags below it, and the same numbers of the body (index b), the density is
 
 characters per tag, lowered where text is link text (a zero divisor counts as 1). A
 node's sum is the sum of its children's densities. The node of the largest sum leads to
-the article; the smallest density on the path from the body to it is the threshold that
-neighbouring containers must reach to belong to the article, and that containers of links
-inside the article must reach to stay.
+the article; the smallest density on the path from the body to it is the threshold.
+Without an article or main element the text of the body is the article, if all containers
+beside the path reach the threshold. Otherwise each neighbour of the path is judged by
+itself: it belongs to the article if it isn't mostly links and, being a container or list,
+has a tenth of the threshold or the density of the sparsest block of the article's node.
+Containers of links inside the article must reach the threshold to stay.
 
 Elements that are never main text by their tag, role or class (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) are taken out first;
@@ -61,6 +64,11 @@ NOISE = re.compile(
 )
 
 
+#: Share of the threshold that a neighbour needs. Parts of one article differ by less, and
+#: lines such as a date or a copyright notice are below it.
+NEIGHBOUR = 0.1
+
+
 class _Tree(HTMLParser):
     """Nodes of a page in document order, as parallel lists."""
 
@@ -178,8 +186,11 @@ def _densities(tree: _Tree) -> tuple[list[float], list[float], list[int], list[i
     return density, sums, chars, link_chars
 
 
-def _article(tree: _Tree, density: list[float], sums: list[float]) -> tuple[int, float]:
-    """Root of the main text and the threshold of the path that leads to it."""
+def _article(
+    tree: _Tree, density: list[float], sums: list[float], chars: list[int], link_chars: list[int]
+) -> tuple[int, float, set[int]]:
+    """Root of the main text, the threshold of the path that leads to it, and nodes below
+    the root that are left out."""
     best = max(range(len(sums)), key=lambda node: (sums[node], -node))
     path = [best]
     while tree.parents[path[-1]] >= 0:
@@ -188,15 +199,28 @@ def _article(tree: _Tree, density: list[float], sums: list[float]) -> tuple[int,
     threshold = min(below, default=0.0)
     for node in path:
         if tree.tags[node] in ("article", "main"):
-            return node, threshold
+            return node, threshold, set()
+    blocks = [density[k] for k in tree.children[best] if tree.tags[k] in BLOCKS - HEADINGS]
+    floor = min([threshold * NEIGHBOUR, *(x for x in blocks if x > 0)])
     root = next(node for node in path if tree.tags[node] in CONTAINERS)
+    out: set[int] = set()
+    mixed = False  # some neighbour on the way is below the threshold
     while tree.parents[root] >= 0:
         parent = tree.parents[root]
         others = [k for k in tree.children[parent] if k != root and density[k] > 0]
-        if any(density[k] < threshold and tree.tags[k] in CONTAINERS for k in others):
-            break
+        mixed |= any(density[k] < threshold and tree.tags[k] in CONTAINERS for k in others)
+        if mixed:
+            out.update(
+                k
+                for k in others
+                if tree.tags[k] not in HEADINGS
+                and (
+                    2 * link_chars[k] > chars[k]
+                    or (tree.tags[k] in CONTAINERS | LISTS and density[k] < floor)
+                )
+            )
         root = parent
-    return root, threshold
+    return root, threshold, out
 
 
 def main_text(html: str | None) -> str:
@@ -211,7 +235,7 @@ def main_text(html: str | None) -> str:
     density, sums, chars, link_chars = _densities(tree)
     if not chars[0]:
         return ""
-    root, threshold = _article(tree, density, sums)
+    root, threshold, out = _article(tree, density, sums, chars, link_chars)
     lines: list[str] = []
     block: list[str] = []
 
@@ -239,7 +263,7 @@ def main_text(html: str | None) -> str:
             )
             if tag in ("br", "hr"):
                 block.append(" ")
-            if tree.dropped[below] or linked:
+            if tree.dropped[below] or linked or below in out:
                 continue
             if tag in BLOCKS:
                 end_block()

@@ -64,6 +64,29 @@ def test_content_split_over_containers():
     assert found.count("\n") == 5
 
 
+def part(name, words, count=6, tag="section"):
+    return f"<{tag}>" + "".join(f"<p>{name}{k} {'word ' * words}</p>" for k in range(count)) + f"</{tag}>"
+
+
+@pytest.mark.parametrize("wrap", ["<body>{}</body>", "<body><div><div>{}</div></div></body>"])
+@pytest.mark.parametrize("tag", ["section", "div"])
+def test_parts_of_unequal_density(wrap, tag):
+    links = "<div>" + "".join(f"<a href=/{k}>Read number {k}</a> " for k in range(9)) + "</div>"
+    parts = [
+        part("a", 125, tag=tag),
+        "<div>By A. Writer</div>",
+        part("b", 100, tag=tag),
+        links,
+        part("c", 30, count=2, tag=tag),
+        part("d", 100, count=1, tag=tag),
+        "<p>In short</p>",
+    ]
+    found = main_text(wrap.format("".join(parts)))
+    names = [line.split()[0] for line in found.split("\n")]
+    wanted = [f"{n}{k}" for n, count in (("a", 6), ("b", 6), ("c", 2), ("d", 1)) for k in range(count)]
+    assert names == [*wanted, "In"]
+
+
 def test_many_rows_and_long_pages(spark):
     long = "<p>" + "word " * 100_000 + "</p>"
     rows = [(1, "u", PAGE.format(tag="article"), "x")] * 2
