@@ -16,8 +16,11 @@ Containers of links inside the article must reach the threshold to stay.
 
 Elements that are never main text by their tag, role or class (menus, headers, footers,
 sidebars, notices, adverts, forms, scripts, styles, reader comments) are taken out first;
-of a header inside an article the headings stay. A paragraph ends where the next block
-begins, closed or not.
+of a header inside an article the headings stay. Classes and ids count as whole words or
+compounds of such, so has-sidebar is none. A form, or an element marked by role, class or
+id, that holds the main element or the largest article, or most of its characters outside
+of links (of the page's, without these), is left to the densities. A paragraph ends where
+the next block begins, closed or not.
 
 Defined cases: null or empty html, and pages without text, give an empty text. Html
 without tags is one block. Rows are judged one by one; repeated rows give equal rows.
@@ -38,7 +41,7 @@ VOID = frozenset(
     "area base br col embed hr img input link meta param source track wbr".split()
 )
 DROPPED = frozenset(
-    "head script style noscript template iframe object svg canvas nav footer aside form "
+    "head script style noscript template iframe object svg canvas nav footer aside "
     "button select textarea input dialog menu title".split()
 )
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
@@ -53,15 +56,22 @@ ROLES = frozenset(
     "navigation banner contentinfo complementary search dialog alertdialog alert form menu "
     "menubar toolbar".split()
 )
-#: Words of a class or id that mark an element as no main text.
+#: Words of a class or id that mark an element as no main text, and as readers' comments.
+READERS = re.compile(r"comments?|commentlist|respond|replies|disqus", re.IGNORECASE)
 NOISE = re.compile(
-    r"(?:^|[^a-z])(?:ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|"
+    r"ads?|adv|advert\w*|adsense|sponsor\w*|promo\w*|banners?|cookies?|consent|gdpr|"
     r"notices?|alerts?|popup|modal|overlay|newsletter|subscribe|subscription|nav|navbar|navigation|"
     r"menus?|breadcrumbs?|topbar|masthead|header|footer|sidebars?|aside|widgets?|related|recommended|"
-    r"share|sharing|social|comments?|commentlist|respond|replies|disqus|login|signup|search|pager|"
-    r"pagination|skip)(?:[^a-z]|$)",
+    r"share|sharing|social|login|signup|search|pager|pagination|skip|" + READERS.pattern,
     re.IGNORECASE,
 )
+#: Words that don't change what a compound with a word of NOISE means.
+PLACES = frozenset(
+    "site page global main top bottom left right primary secondary box bar block container "
+    "wrapper wrap area list link links item items button buttons inner outer section form "
+    "message the and to".split()
+)
+WORD = re.compile(r"[a-z]+", re.IGNORECASE)
 
 
 #: Share of the threshold that a neighbour needs. Parts of one article differ by less, and
@@ -69,6 +79,15 @@ NOISE = re.compile(
 NEIGHBOUR = 0.1
 
 
+def _marks_noise(mark: str) -> bool:
+    """Whether a class or id is a word of NOISE, or a compound of such and of PLACES."""
+    words = WORD.findall(mark)
+    noise = [bool(NOISE.fullmatch(word)) for word in words]
+    return any(noise) and all(
+        x or word.lower() in PLACES for x, word in zip(noise, words, strict=True)
+    )
+
+
 class _Tree(HTMLParser):
     """Nodes of a page in document order, as parallel lists."""
 
@@ -77,6 +96,7 @@ class _Tree(HTMLParser):
         self.tags: list[str] = ["html"]
         self.parents: list[int] = [-1]
         self.dropped: list[bool] = [False]
+        self.doubted: dict[int, bool] = {}  # dropped unless it holds the article; is it comments?
         self.texts: list[list[tuple[int, str]]] = [[]]  # (number of children before, text)
         self.children: list[list[int]] = [[]]
         self.open: list[int] = [0]
@@ -118,7 +138,10 @@ class _Tree(HTMLParser):
         node = len(self.tags)
         self.tags.append(tag)
         self.parents.append(parent)
-        self.dropped.append(self.dropped[parent] or self._noise(tag, dict(attrs), parent))
+        named = dict(attrs)
+        self.dropped.append(self.dropped[parent] or self._noise(tag, named))
+        if not self.dropped[node]:
+            self._doubt(node, tag, named)
         self.texts.append([])
         self.children.append([])
         self.children[parent].append(node)
@@ -129,17 +152,67 @@ class _Tree(HTMLParser):
     def handle_startendtag(self, tag: str, attrs: list[tuple[str, str | None]]) -> None:
         self.handle_starttag(tag, attrs)
 
-    def _noise(self, tag: str, attrs: dict[str, str | None], parent: int) -> bool:
+    def _noise(self, tag: str, attrs: dict[str, str | None]) -> bool:
         if tag in DROPPED or tag == "header":
             return not (tag == "header" and self._in_article())
-        if "hidden" in attrs or attrs.get("aria-hidden") == "true":
-            return True
+        return "hidden" in attrs or attrs.get("aria-hidden") == "true"
+
+    def _doubt(self, node: int, tag: str, attrs: dict[str, str | None]) -> None:
         if tag in ("html", "body", "article", "main") or tag in HEADINGS:
-            return False
-        if (attrs.get("role") or "").lower() in ROLES:
-            return True
-        marks = f"{attrs.get('class') or ''} {attrs.get('id') or ''}"
-        return bool(marks != " " and NOISE.search(marks))
+            return
+        marks = f"{attrs.get('class') or ''} {attrs.get('id') or ''}".split()
+        noise = [mark for mark in marks if _marks_noise(mark)]
+        if noise or tag == "form" or (attrs.get("role") or "").lower() in ROLES:
+            readers = any(READERS.fullmatch(word) for mark in noise for word in WORD.findall(mark))
+            self.doubted[node] = readers
+
+    def _sizes(self, left_out: list[bool]) -> list[int]:
+        """Characters below each node, without those of nodes left out."""
+        chars = [0] * len(self.tags)
+        for node in range(len(chars) - 1, -1, -1):
+            if not left_out[node]:
+                chars[node] += sum(len("".join(text.split())) for _, text in self.texts[node])
+            if node:
+                chars[self.parents[node]] += chars[node]
+        return chars
+
+    def _below(self, nodes) -> list[bool]:
+        """Whether each node is one of `nodes` or below one."""
+        out = [0 in nodes] + [False] * (len(self.tags) - 1)
+        for node in range(1, len(out)):
+            out[node] = out[self.parents[node]] or node in nodes
+        return out
+
+    def drop_doubted(self) -> None:
+        """Drop the doubted elements that hold neither the article nor most of its text.
+
+        The article is the largest article element of the largest main element, or of the
+        page, characters of links and of readers' comments not counted; else the main
+        element; else the page, where readers' comments count too.
+        """
+        if not self.doubted:
+            return
+        n = len(self.tags)
+        linked = self._below({k for k in range(n) if self.tags[k] == "a"})
+        readers = self._below({k for k, is_readers in self.doubted.items() if is_readers})
+        chars = self._sizes([a or b for a, b in zip(linked, readers, strict=True)])
+        scope, inside, keep = 0, [True] * n, set()
+        for tag in ("main", "article"):
+            found = [k for k in range(n) if self.tags[k] == tag and inside[k] and chars[k]]
+            if found:
+                scope = max(found, key=lambda k: (chars[k], -k))
+                inside = self._below({scope})
+                node = scope
+                while node >= 0 and node not in keep:
+                    keep.add(node)
+                    node = self.parents[node]
+        if not scope:
+            chars = self._sizes(linked)
+        keep.update(k for k in self.doubted if inside[k] and 2 * chars[k] > chars[scope])
+        for node in range(1, n):
+            if (node in self.doubted and node not in keep) or self.dropped[self.parents[node]]:
+                self.dropped[node] = True
+                self.texts[node] = []
 
     def _in_article(self) -> bool:
         return bool(self.names.get("article") or self.names.get("main"))
@@ -232,6 +305,7 @@ def main_text(html: str | None) -> str:
     if tree.rawdata.startswith("<!--"):  # a comment that never ends
         tree.rawdata = ""
     tree.close()
+    tree.drop_doubted()
     density, sums, chars, link_chars = _densities(tree)
     if not chars[0]:
         return ""

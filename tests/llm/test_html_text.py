@@ -87,6 +87,50 @@ def test_parts_of_unequal_density(wrap, tag):
     assert names == [*wanted, "In"]
 
 
+WRAPPERS = [
+    "<div class='has-sidebar'>{}</div>",
+    "<div class='layout no-sidebar'><div id=x>{}</div></div>",
+    "<div class='header-fixed page'>{}</div>",
+    "<div class='post share-enabled'>{}</div>",
+    "<form id=aspnetForm action=/>{}</form>",
+    "<div role=form><table class=header><tr><td class='search nav'>{}</table></div>",
+]
+
+
+@pytest.mark.parametrize("wrapper", WRAPPERS)
+@pytest.mark.parametrize("tag", ["article", "main", "div"])
+def test_wrappers_of_the_article_stay(wrapper, tag):
+    inner = f"<h1>Title</h1>{part('a', 30)}<div class='related-work'>{part('b', 30)}</div>"
+    menu = "<div class='main-nav'>Some words <a href=a>Menu</a></div>"
+    page = "<body>" + menu + wrapper.format(f"<{tag}>{inner}</{tag}>") + "<div class=sidebar>Side</div></body>"
+    names = [line.split()[0] for line in main_text(page).split("\n")]
+    assert names == ["Title", *[f"{n}{k}" for n in "ab" for k in range(6)]]
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<article><p>A teaser</p></article><div class=header><article>{}</article></div>",
+        "<main><div class=header><article>{}</article></div></main>",
+        "<main><div class=search>{}</div><div id=comments><p>I say</p></div></main>",
+        "<article><section class=widget>{}</section></article><p>Side</p>",
+        "<div class='page comments'>{}</div><div class=nav>Menu</div>",
+    ],
+)
+def test_marked_elements_that_hold_the_text_stay(page):
+    found = main_text(f"<body>{page.format(part('a', 30))}</body>")
+    assert [line.split()[0] for line in found.split("\n")] == [f"a{k}" for k in range(6)]
+
+
+def test_marked_elements_beside_the_article_go():
+    comment = "<article class=comment-body>" + "<p>I say a lot about this</p>" * 99 + "</article>"
+    readers = f"<div id=comments>{comment}</div>"
+    aside = f"<form><p>{'Fill in this. ' * 200}</p></form><div class='cookie-bar'>{'We use. ' * 200}</div>"
+    for page in (readers + "<article><p>Short text</p></article>" + aside,
+                 f"<div class=header><main><p>Short text</p></main></div>{readers}{aside}"):
+        assert main_text(f"<body>{page}</body>") == "Short text"
+
+
 def test_many_rows_and_long_pages(spark):
     long = "<p>" + "word " * 100_000 + "</p>"
     rows = [(1, "u", PAGE.format(tag="article"), "x")] * 2
