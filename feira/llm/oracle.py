@@ -160,3 +160,50 @@ SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, v
 FROM scores
 QUALIFY rank <= 10
 """
+
+_SHARE = "(1 + (1000000000::HUGEINT * ({n} + 1)) // ({total}))::BIGINT"
+
+DIVERGENCE = rf"""
+WITH found AS (
+    SELECT row_number() OVER () AS r, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+           regexp_extract_all({LOWER.format(text="coalesce(text, '')")},
+                              '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') AS terms
+    FROM documents
+), words AS (
+    SELECT r, lang, source, unnest(terms) AS term FROM found
+), counts AS (
+    SELECT lang, source, term, count(*) AS n FROM words GROUP BY ALL
+), kept AS (
+    SELECT lang, term, count(*) AS lang_n FROM words GROUP BY lang, term HAVING count(DISTINCT r) >= 3
+), langs AS (
+    SELECT lang, count(*) AS v, sum(lang_n) AS lang_sum FROM kept GROUP BY lang
+), sums AS (
+    SELECT lang, source, sum(n) AS n_sum FROM counts JOIN kept USING (lang, term) GROUP BY lang, source
+), groups AS (
+    SELECT lang, source, coalesce(v, 0) AS v, coalesce(n_sum, 0) + coalesce(v, 0) AS total,
+           coalesce(lang_sum, 0) + coalesce(v, 0) AS lang_total
+    FROM (SELECT DISTINCT lang, source FROM found) LEFT JOIN langs USING (lang)
+         LEFT JOIN sums USING (lang, source)
+), shares AS (
+    SELECT g.lang, g.source, k.term, coalesce(c.n, 0) AS n,
+           {_SHARE.format(n="coalesce(c.n, 0)", total="g.total")} AS p,
+           {_SHARE.format(n="k.lang_n", total="g.lang_total")} AS q
+    FROM groups g JOIN kept k ON k.lang = g.lang
+         LEFT JOIN counts c ON c.lang = g.lang AND c.source = g.source AND c.term = k.term
+), costs AS (
+    SELECT a.lang, a.source, b.source AS item, sum(((a.p - b.p) * (a.p - b.p)) // b.p)::BIGINT AS value
+    FROM shares a JOIN shares b ON a.lang = b.lang AND a.term = b.term AND a.source != b.source
+    GROUP BY ALL
+), pairs AS (
+    SELECT a.lang, a.source, 'pair' AS part, b.source AS item, coalesce(value, 0)::BIGINT AS value
+    FROM groups a JOIN groups b ON a.lang = b.lang AND a.source != b.source
+         LEFT JOIN costs c ON c.lang = a.lang AND c.source = a.source AND c.item = b.source
+), terms AS (
+    SELECT lang, source, 'term' AS part, term AS item, (((p - q) * (p - q)) // q)::BIGINT AS value
+    FROM shares WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value, (row_number() OVER (
+           PARTITION BY lang, source, part ORDER BY value DESC, encode(item)))::INTEGER AS rank
+FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
+QUALIFY part = 'pair' OR rank <= 200
+"""

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feira.llm import (
+    divergence,
     fingerprints,
     html_text,
     mixing,
@@ -71,6 +72,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
 
+def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_near_dedup": op1_near_dedup,
@@ -83,6 +88,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality": op9_quality,
         "op10_mixing": op10_mixing,
+        "op13_source_divergence": op13_source_divergence,
     }
 
 
@@ -94,4 +100,5 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_rules": oracle.URL_RULES,
         "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
         "op10_mixing": oracle.MIXING,
+        "op13_source_divergence": oracle.DIVERGENCE,
     }
