@@ -207,3 +207,53 @@ SELECT lang, source, part, item, value, (row_number() OVER (
 FROM (SELECT * FROM pairs UNION ALL SELECT * FROM terms)
 QUALIFY part = 'pair' OR rank <= 200
 """
+
+
+def _codes() -> str:
+    steps = []
+    for k in range(7):
+        steps.append(f"""d{k} AS (
+    SELECT p.rid, p.j, b.e, b.c, list_sum(list_transform(range(1, len(p.x) + 1),
+               lambda i: (p.x[i] - b.c[i]) * (p.x[i] - b.c[i])))::BIGINT AS d
+    FROM parts p JOIN b{k} b ON p.j = b.j
+), a{k} AS (
+    SELECT rid, j, e, c, d FROM d{k} QUALIFY row_number() OVER (PARTITION BY rid, j ORDER BY d, e) = 1
+)""")
+        if k < 6:  # floored means; an entry without parts stays
+            steps.append(f"""m{k} AS (
+    SELECT j, e, i, sum(x[i])::HUGEINT AS s, count(*) AS n
+    FROM (SELECT a.j, a.e, p.x, unnest(range(1, len(p.x) + 1)) AS i
+          FROM a{k} a JOIN parts p ON a.rid = p.rid AND a.j = p.j)
+    GROUP BY j, e, i
+), b{k + 1} AS (
+    SELECT b.j, b.e, coalesce(l.c, b.c) AS c
+    FROM b{k} b LEFT JOIN (
+        SELECT j, e, list(((s - ((s % n) + n) % n) // n)::BIGINT ORDER BY i) AS c FROM m{k} GROUP BY j, e
+    ) l ON b.j = l.j AND b.e = l.e
+)""")
+    chain = ",\n".join(s.replace(" AS (", " AS MATERIALIZED (", 1) for s in steps)
+    return f"""
+WITH usable AS MATERIALIZED (
+    SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) AS rid, vec_id, label,
+           list_transform(embedding, lambda x: floor(x::DOUBLE * 4096)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+    SELECT rid, j, v[j * (len(v) // 8) + 1 : (j + 1) * (len(v) // 8)] AS x
+    FROM usable, (SELECT unnest(range(0, 8)) AS j)
+), b0 AS MATERIALIZED (
+    SELECT j, rid - 1 AS e, x AS c FROM parts WHERE rid <= 16
+), {chain}, found AS (
+    SELECT rid, string_agg(printf('%02x', e::INTEGER), '' ORDER BY j) AS code, sum(d)::BIGINT AS error
+    FROM a6 GROUP BY rid
+), labels AS (
+    SELECT label, sum(error)::BIGINT AS label_error FROM found JOIN usable USING (rid) GROUP BY label
+), sha AS (
+    SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY j, e)) AS codebooks_sha256 FROM b6
+)
+SELECT vec_id, code, error, label_error, codebooks_sha256
+FROM found JOIN usable u USING (rid) JOIN labels l ON u.label IS NOT DISTINCT FROM l.label, sha
+"""
+
+
+VECTOR_CODES = _codes()

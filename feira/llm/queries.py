@@ -19,6 +19,7 @@ from feira.llm import (
     substring_dedup,
     top_k,
     url_rules,
+    vector_codes,
     warc,
 )
 from feira.llm.shared import table
@@ -72,6 +73,10 @@ def op10_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_table(table(spark, sf_dir, "documents"))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -88,6 +93,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_substring_dedup": op8_substring_dedup,
         "op9_quality": op9_quality,
         "op10_mixing": op10_mixing,
+        "op11_vector_codes": op11_vector_codes,
         "op13_source_divergence": op13_source_divergence,
     }
 
@@ -100,5 +106,6 @@ def oracle_sql() -> dict[str, str]:
         "op7_url_rules": oracle.URL_RULES,
         "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
         "op10_mixing": oracle.MIXING,
+        "op11_vector_codes": oracle.VECTOR_CODES,
         "op13_source_divergence": oracle.DIVERGENCE,
     }

@@ -10,17 +10,41 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 from feira.sources.shared import shared_folder
+from feira.sources.star_store import remove_folder
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """`df` as a Parquet table in the folder all executors share, read back.
+def _intermediates(spark: SparkSession) -> str:
+    return f"{shared_folder(spark)}/feira-llm"
+
+
+def written_at(df: DataFrame, name: str) -> tuple[str, DataFrame]:
+    """`df` as a Parquet table in the folder all executors share: its path, and it read back.
 
     Cuts the lineage: a lost executor costs its running tasks, not the work before.
     """
     spark = df.sparkSession
-    path = f"{shared_folder(spark)}/feira-llm/{name}-{uuid.uuid4().hex}"
+    path = f"{_intermediates(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return path, spark.read.schema(df.schema).parquet(path)
+
+
+def written(df: DataFrame, name: str) -> DataFrame:
+    """`df` written to the shared folder and read back."""
+    return written_at(df, name)[1]
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a table that `written_at` wrote; nothing may read it any more."""
+    remove_folder(spark, path)
+
+
+def remove_intermediates(spark: SparkSession) -> None:
+    """Remove all tables that operators wrote to cut lineage.
+
+    For the end of a job: results that weren't stored elsewhere can't be read afterwards,
+    nor can those of other jobs that share the folder.
+    """
+    remove_folder(spark, _intermediates(spark))
 
 
 def unbounded(df: DataFrame) -> DataFrame:
