@@ -257,3 +257,32 @@ FROM found JOIN usable u USING (rid) JOIN labels l ON u.label IS NOT DISTINCT FR
 
 
 VECTOR_CODES = _codes()
+
+# Texts as hexadecimal digits: two of them are a byte.
+REPEATED_BYTES = """
+WITH texts AS (
+    SELECT row_number() OVER () AS r, doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), windows AS (
+    SELECT r, i, md5(substr(h, 2 * i + 1, 800)) AS x
+    FROM (SELECT r, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM texts)
+), repeated AS (
+    SELECT r, i FROM windows SEMI JOIN (SELECT x FROM windows GROUP BY x HAVING count(*) > 1) USING (x)
+), stretches AS (
+    SELECT r, min(i) AS a, max(i) + 400 AS b
+    FROM (SELECT r, i, sum(new) OVER (PARTITION BY r ORDER BY i ROWS UNBOUNDED PRECEDING) AS k
+          FROM (SELECT r, i, CASE WHEN i - lag(i) OVER (PARTITION BY r ORDER BY i) <= 400 THEN 0 ELSE 1 END AS new
+                FROM repeated))
+    GROUP BY r, k
+), kept AS (
+    SELECT r, b AS a, lead(a) OVER (PARTITION BY r ORDER BY a) AS b FROM stretches
+    UNION ALL SELECT r, 0, min(a) FROM stretches GROUP BY r
+), cut AS (
+    SELECT r, string_agg(substr(h, 2 * a + 1, 2 * (coalesce(b, length(h) // 2) - a)), '' ORDER BY a) AS k
+    FROM kept JOIN texts USING (r) GROUP BY r
+), spans AS (
+    SELECT r, count(*) AS n, sum(b - a) AS gone FROM stretches GROUP BY r
+)
+SELECT doc_id, (length(h) // 2)::BIGINT AS n_bytes, coalesce(gone, 0)::BIGINT AS n_removed,
+       coalesce(n, 0)::BIGINT AS n_spans, sha256(unhex(coalesce(k, h))) AS kept_sha256
+FROM texts LEFT JOIN spans USING (r) LEFT JOIN cut USING (r)
+"""

@@ -16,6 +16,7 @@ from feira.llm import (
     oracle,
     pieces,
     quality,
+    repeated_bytes,
     substring_dedup,
     top_k,
     url_rules,
@@ -77,6 +78,10 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.vector_codes(table(spark, sf_dir, "embeddings"))
 
 
+def op12_repeated_bytes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_bytes.digests(table(spark, sf_dir, "documents"))
+
+
 def op13_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
@@ -94,6 +99,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_quality": op9_quality,
         "op10_mixing": op10_mixing,
         "op11_vector_codes": op11_vector_codes,
+        "op12_repeated_bytes": op12_repeated_bytes,
         "op13_source_divergence": op13_source_divergence,
     }
 
@@ -107,5 +113,6 @@ def oracle_sql() -> dict[str, str]:
         "op8_substring_dedup": oracle.SUBSTRING_DEDUP,
         "op10_mixing": oracle.MIXING,
         "op11_vector_codes": oracle.VECTOR_CODES,
+        "op12_repeated_bytes": oracle.REPEATED_BYTES,
         "op13_source_divergence": oracle.DIVERGENCE,
     }
