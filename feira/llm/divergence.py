@@ -23,7 +23,7 @@ Counts may reach 9 * 10**15 per group.
 from __future__ import annotations
 
 import re
-from collections import Counter, defaultdict
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,6 +32,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.llm.shared import unbounded, written
+from feira.llm.words import text_slices
 from feira.operators.keys import dense_keys
 
 MIN_DOCUMENTS = 3
@@ -39,53 +40,82 @@ TOP_TERMS = 200
 SCALE = 10**9
 BLOCK = 1 << 16
 TILE = 8
-#: Counts of terms are handed on after so many different ones in a worker.
-FLUSH_TERMS = 200_000
+#: Texts are counted some at a time, together about so long.
+SLICE_BYTES = 1 << 24
 #: A table of groups is broadcast up to this many rows.
 MAX_BROADCAST_GROUPS = 100_000
 
-# bytes.lower() and this class see ASCII letters and the bytes of all other characters
+# Bytes of a term: ASCII letters and everything beyond ASCII.
+_IN_TERM = np.zeros(256, bool)
+_IN_TERM[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _TERM = re.compile(rb"[a-z\x80-\xff]+")
 
 
+def _terms(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Text number and term number of every term of some texts, and the different terms."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = _IN_TERM[data]
+    begins = inside[1:-1] & ~inside[:-2]
+    closes = inside[1:-1] & ~inside[2:]
+    edges = offsets[(offsets > 0) & (offsets < len(data))]
+    begins[edges] = inside[edges + 1]
+    closes[edges - 1] = inside[edges]
+    starts = np.flatnonzero(begins)
+    ends = np.flatnonzero(closes) + 1
+    letters = data[inside[1:-1]]
+    letters = letters + ((letters >= 65) & (letters <= 90)).astype(np.uint8) * np.uint8(32)
+    places = np.append(0, np.cumsum(ends - starts)).astype(np.int64)
+    found = pa.Array.from_buffers(
+        pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(letters)]
+    ).dictionary_encode()
+    text = np.searchsorted(offsets, starts, side="right") - 1
+    return text, found.indices.to_numpy().astype(np.int64), found.dictionary
+
+
+def _summed(group: np.ndarray, text: np.ndarray, term: np.ndarray, different: int):
+    """Groups, terms, occurrences and documents of every (group, term)."""
+    pairs, often = np.unique(text * different + term, return_counts=True)
+    keys = group[pairs // different] * different + pairs % different
+    order = np.argsort(keys, kind="stable")
+    keys, often = keys[order], often[order]
+    first = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
+    docs = np.diff(np.append(first, len(keys)))
+    return keys[first] // different, keys[first] % different, np.add.reduceat(often, first), docs
+
+
 def _batch_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, source, term, n and docs of some documents each time."""
-    held: dict[tuple[str, str], tuple[Counter, Counter]] = defaultdict(lambda: (Counter(), Counter()))
-
-    def flushed() -> pa.RecordBatch:
-        langs, sources, terms, n, docs = [], [], [], [], []
-        for (lang, source), (counts, documents) in held.items():
-            langs += [lang] * len(counts)
-            sources += [source] * len(counts)
-            terms += counts.keys()
-            n += counts.values()
-            docs += [documents[t] for t in counts]
-        held.clear()
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array(langs, pa.string()),
-                pa.array(sources, pa.string()),
-                pa.array(terms, pa.binary()).cast(pa.string()),
-                pa.array(n, pa.int64()),
-                pa.array(docs, pa.int64()),
-            ],
-            ["lang", "source", "term", "n", "docs"],
-        )
-
-    different = 0
+    names = ["lang", "source", "term", "n", "docs"]
     for batch in batches:
-        langs, sources = batch.column(1).to_pylist(), batch.column(2).to_pylist()
-        for k, text in enumerate(batch.column(0)):
-            own = Counter(_TERM.findall((text.as_py() or "").encode().lower()))
-            counts, documents = held[langs[k], sources[k]]
-            counts.update(own)
-            documents.update(own.keys())
-            different += len(own)
-            if different > FLUSH_TERMS:
-                yield flushed()
-                different = 0
-    if held:
-        yield flushed()
+        langs, sources = batch.column("lang"), batch.column("source")
+        for first, last, data, offsets in text_slices(batch.column("text"), SLICE_BYTES):
+            if len(data) > 2 * SLICE_BYTES:  # one very long text
+                own = Counter(m.group() for m in _TERM.finditer(data.tobytes().lower()))
+                if own:
+                    n = len(own)
+                    columns = [[langs[first].as_py()] * n, [sources[first].as_py()] * n]
+                    terms = pa.array(own.keys(), pa.binary()).cast(pa.string())
+                    counts = [pa.array(own.values(), pa.int64()), pa.array([1] * n, pa.int64())]
+                    yield pa.RecordBatch.from_arrays([*map(pa.array, columns), terms, *counts], names)
+                continue
+            text, term, different = _terms(data, offsets)
+            if not len(term):
+                continue
+            size = last - first
+            codes = [c.slice(first, size).dictionary_encode() for c in (langs, sources)]
+            lang, source = (c.indices.to_numpy().astype(np.int64) for c in codes)
+            many = len(codes[1].dictionary)
+            group, term, n, docs = _summed(lang * many + source, text, term, len(different))
+            yield pa.RecordBatch.from_arrays(
+                [
+                    codes[0].dictionary.take(pa.array(group // many)),
+                    codes[1].dictionary.take(pa.array(group % many)),
+                    different.take(pa.array(term)).cast(pa.binary()).cast(pa.string()),
+                    pa.array(n),
+                    pa.array(docs),
+                ],
+                names,
+            )
 
 
 def _share(count: str, total: str) -> Column:
