@@ -391,6 +391,9 @@ def repeated_places(texts: DataFrame, packed: DataFrame) -> DataFrame:
     """
     cells = texts.mapInArrow(_cells_of, "core long, whole long, row long, place long")
     again = cells.groupBy("core").agg(F.count("*").alias("n")).where("n > 1").select("core")
+    # written, so that the join's sides are plain shuffles, which Spark can split: a core may
+    # have very many cells
+    again = written(again, "shared-cores")
     cells = written(cells.join(unbounded(again), "core"), "cells")
     kinds = written(
         cells.groupBy("core", "whole").agg(
