@@ -412,6 +412,13 @@ FROM (SELECT 'dim_cliente' AS "table", count(*) AS n FROM dim_cliente
       UNION ALL SELECT 'fato_pedido', count(*) FROM fato)""",
 }
 STAR_PIECES["csv_round_trip"] = STAR_PIECES["fact_rows"]
+STAR_PIECES["fact_rows_appended"] = STAR_PIECES["fact_rows"]
+STAR_PIECES["seller_append_published"] = f"""
+, todos AS (
+    SELECT seller_id, cidade, estado, FALSE AS added, TRUE AS old_id FROM dim_vendedor
+    UNION ALL SELECT seller_id, cidade, estado, TRUE, FALSE FROM ({STAR_PIECES["seller_append"].strip()})
+)
+SELECT *, (SELECT count(*) FROM todos) AS largest_id, CAST(2 AS BIGINT) AS versions FROM todos"""
 
 
 def _row_rule(table: str, source: str, rule: str, condition: str) -> str:

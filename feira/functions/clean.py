@@ -52,14 +52,23 @@ def parse_date(text: Column) -> Column:
     return F.regexp_extract(text, DATE_PATTERN, 1).try_cast("date")
 
 
-def parse_number(text: Column) -> Column:
-    """Exact number of a text cell; blanks, `-`, `nan` and any other text are NULL.
+def digits(text: Column) -> Column:
+    """The number in a text cell as text, "" if it holds none."""
+    return F.coalesce(F.regexp_extract(text, NUMBER_PATTERN, 1), F.lit(""))
+
+
+def number(found: Column) -> Column:
+    """Exact number that `digits` found, NULL for none.
 
     The pattern keeps non-numbers away from the cast, which would raise and
     catch an exception for each of them.
     """
-    number = F.nullif(F.regexp_extract(text, NUMBER_PATTERN, 1), F.lit(""))
-    return number.try_cast(EXACT_NUMBER)
+    return F.nullif(found, F.lit("")).try_cast(EXACT_NUMBER)
+
+
+def parse_number(text: Column) -> Column:
+    """Exact number of a text cell; blanks, `-`, `nan` and any other text are NULL."""
+    return number(digits(text))
 
 
 def to_money(number: Column) -> Column:
@@ -67,7 +76,7 @@ def to_money(number: Column) -> Column:
 
 
 def is_number(text: Column) -> Column:
-    return F.coalesce(text.rlike(NUMBER_PATTERN), F.lit(False))
+    return digits(text) != ""
 
 
 def is_misfit(is_given: Column, stored: Column) -> Column:
@@ -82,8 +91,12 @@ def fitting(number: Column, kind: str, name: str) -> Column:
     return F.when(is_misfit(number.isNotNull(), cast), lost.cast(kind)).otherwise(cast)
 
 
+def or_zero(number: Column) -> Column:
+    return F.coalesce(number, F.lit(0).cast(EXACT_NUMBER))
+
+
 def number_or_zero(text: Column) -> Column:
-    return F.coalesce(parse_number(text), F.lit(0).cast(EXACT_NUMBER))
+    return or_zero(parse_number(text))
 
 
 def at_least_one_instalment(number: Column) -> Column:

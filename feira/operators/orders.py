@@ -6,15 +6,38 @@ order and leaves only pre-aggregated rows to shuffle.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions import clean
 from feira.operators.dedup import first_by
+from feira.operators.watching import Watcher, not_watched
 from feira.schema import ROW_SEQ
 
 
-def latest_review(reviews: DataFrame) -> DataFrame:
+def numbered_reviews(reviews: DataFrame) -> DataFrame:
+    """Reviews with the score as a number, and whether one was given."""
+    cells = reviews.select(
+        "order_id",
+        ROW_SEQ,
+        clean.digits(F.col("review_score")).alias("_cell"),
+        clean.parse_date(F.col("review_answer_timestamp")).alias("_answered"),
+    )
+    return cells.select(
+        "order_id",
+        ROW_SEQ,
+        clean.truncated_whole(clean.number(F.col("_cell"))).alias("review_score"),
+        (F.col("_cell") != "").alias("_given"),
+        "_answered",
+    )
+
+
+def review_misfits() -> dict[str, Column]:
+    """Rules over `numbered_reviews`: a number without room in its column."""
+    return {"numeric_range review_score": clean.is_misfit(F.col("_given"), F.col("review_score"))}
+
+
+def latest_review(reviews: DataFrame, watch: Watcher = not_watched) -> DataFrame:
     """order_id, review_score of the review answered last.
 
     The order is by answer date only (the time of day is dropped), undated
@@ -22,37 +45,60 @@ def latest_review(reviews: DataFrame) -> DataFrame:
     position, the smallest score does. A score that is not a number is NULL and
     can still be the latest one.
     """
-    age = -F.unix_date(clean.parse_date(F.col("review_answer_timestamp")))
+    numbered = watch("avaliacoes", numbered_reviews(reviews), review_misfits())
+    # undated: later than every dated review
+    age = F.coalesce((-F.unix_date("_answered")).cast("long"), F.lit(2**62))
     return (
-        reviews.select(
-            "order_id",
-            ROW_SEQ,
-            clean.truncated_whole(clean.parse_number(F.col("review_score"))).alias("review_score"),
-            # undated: later than every dated review
-            F.coalesce(age.cast("long"), F.lit(2**62)).alias("_age"),
-        )
+        numbered.select("order_id", ROW_SEQ, "review_score", age.alias("_age"))
         .groupBy("order_id")
         .agg(first_by("review_score", "_age", ROW_SEQ, "review_score").alias("review_score"))
     )
 
 
-def order_payment(payments: DataFrame) -> DataFrame:
+def numbered_payments(payments: DataFrame) -> DataFrame:
+    """Payments with value and instalments as numbers, and whether these were given."""
+    cells = payments.select(
+        "order_id",
+        ROW_SEQ,
+        "payment_type",
+        clean.digits(F.col("payment_value")).alias("_value_cell"),
+        clean.digits(F.col("payment_installments")).alias("_parts_cell"),
+    )
+    return cells.select(
+        "order_id",
+        ROW_SEQ,
+        "payment_type",
+        *[clean.number(F.col(f"_{c}_cell")).alias(f"_{c}") for c in ("value", "parts")],
+        *[(F.col(f"_{c}_cell") != "").alias(f"_{c}_given") for c in ("value", "parts")],
+    )
+
+
+def payment_misfits() -> dict[str, Column]:
+    """Rules over `numbered_payments`: a number without room in its column."""
+    value, parts = clean.to_money(F.col("_value")), clean.truncated_whole(F.col("_parts"))
+    return {
+        "numeric_range payment_value": clean.is_misfit(F.col("_value_given"), value),
+        "numeric_range payment_installments": clean.is_misfit(F.col("_parts_given"), parts),
+    }
+
+
+def order_payment(payments: DataFrame, watch: Watcher = not_watched) -> DataFrame:
     """order_id, tipo_pagamento, parcelas, valor_pago: one row per paid order.
 
     The type is that of the largest single payment (the first one on a tie), the
     instalments are the largest number and the value is the sum. Unreadable
     values count as 0 and unreadable or zero instalments as 1.
     """
-    value = clean.number_or_zero(F.col("payment_value"))
-    instalments = clean.number_or_zero(F.col("payment_installments"))
+    numbered = watch("pagamentos", numbered_payments(payments), payment_misfits())
+    instalments = clean.at_least_one_instalment(clean.or_zero(F.col("_parts")))
     return (
-        payments.select(
+        numbered.select(
             "order_id",
             ROW_SEQ,
             "payment_type",
             # cut to whole numbers first: the largest stays the largest
-            clean.truncated_whole(clean.at_least_one_instalment(instalments)).alias("parcelas"),
-            value.alias("_value"),
+            clean.truncated_whole(instalments).alias("parcelas"),
+            clean.or_zero(F.col("_value")).alias("_value"),
         )
         .groupBy("order_id")
         .agg(

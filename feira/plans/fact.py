@@ -13,6 +13,7 @@ from feira.operators import orders as order_ops
 from feira.operators.dedup import keep_last
 from feira.operators.sizing import Limits, Size
 from feira.operators.skew import HotKeys, hot_keys, spread_join
+from feira.operators.watching import Watcher, not_watched
 from feira.schema import (
     FACT_PARTITION,
     FACT_STATE,
@@ -23,20 +24,18 @@ from feira.schema import (
 )
 
 
-def dated_orders(raw: dict[str, DataFrame]) -> DataFrame:
+def dated_orders(raw: dict[str, DataFrame], watch: Watcher = not_watched) -> DataFrame:
     """Orders with a readable purchase date, both dates parsed."""
-    return (
-        raw["pedidos"]
-        .select(
-            "order_id",
-            "customer_id",
-            F.col("order_status").alias("status_pedido"),
-            clean.parse_date(F.col("order_purchase_timestamp")).alias("data_compra"),
-            clean.parse_date(F.col("order_delivered_customer_date")).alias("data_entrega"),
-            ROW_SEQ,
-        )
-        .filter(F.col("data_compra").isNotNull())
+    orders = raw["pedidos"].select(
+        "order_id",
+        "customer_id",
+        F.col("order_status").alias("status_pedido"),
+        clean.parse_date(F.col("order_purchase_timestamp")).alias("data_compra"),
+        clean.parse_date(F.col("order_delivered_customer_date")).alias("data_entrega"),
+        ROW_SEQ,
     )
+    undated = F.col("data_compra").isNull()
+    return watch("pedidos", orders, {"no_purchase_date": undated}).filter(~undated)
 
 
 def undated_orders(raw: dict[str, DataFrame]) -> DataFrame:
@@ -45,17 +44,53 @@ def undated_orders(raw: dict[str, DataFrame]) -> DataFrame:
     )
 
 
-def priced_items(raw: dict[str, DataFrame]) -> DataFrame:
+def numbered_items(items: DataFrame) -> DataFrame:
+    """Item rows with price and freight as numbers, and whether a number was given."""
+    cells = items.select(
+        "order_id",
+        "product_id",
+        "seller_id",
+        clean.digits(F.col("price")).alias("_price_cell"),
+        clean.digits(F.col("freight_value")).alias("_freight_cell"),
+        ROW_SEQ,
+    )
+    return cells.select(
+        "order_id",
+        "product_id",
+        "seller_id",
+        *[clean.number(F.col(f"_{c}_cell")).alias(f"_{c}") for c in ("price", "freight")],
+        *[(F.col(f"_{c}_cell") != "").alias(f"_{c}_given") for c in ("price", "freight")],
+        ROW_SEQ,
+    )
+
+
+def _total() -> Column:
+    return F.col("_price") + F.col("_freight")
+
+
+def item_misfits() -> dict[str, Column]:
+    """Rules over `numbered_items`: a number without room in its column."""
+
+    def misfit(given: Column, number: Column) -> Column:
+        return clean.is_misfit(given, clean.to_money(number))
+
+    return {
+        "numeric_range price": misfit(F.col("_price_given"), F.col("_price")),
+        "numeric_range freight_value": misfit(F.col("_freight_given"), F.col("_freight")),
+        "numeric_range valor_total": misfit(_total().isNotNull(), _total()),
+    }
+
+
+def priced_items(raw: dict[str, DataFrame], watch: Watcher = not_watched) -> DataFrame:
     """Item rows with exact price, freight and total; a missing part makes no total."""
-    price = clean.parse_number(F.col("price"))
-    freight = clean.parse_number(F.col("freight_value"))
-    return raw["itens"].select(
+    numbered = watch("itens", numbered_items(raw["itens"]), item_misfits())
+    return numbered.select(
         "order_id",
         "product_id",
         "seller_id",
-        clean.to_money(price).alias("valor_produto"),
-        clean.to_money(freight).alias("valor_frete"),
-        clean.to_money(price + freight).alias("valor_total"),
+        clean.to_money(F.col("_price")).alias("valor_produto"),
+        clean.to_money(F.col("_freight")).alias("valor_frete"),
+        clean.to_money(_total()).alias("valor_total"),
         ROW_SEQ,
     )
 
@@ -75,6 +110,7 @@ class Inputs:
     hot: dict[tuple[str, str], HotKeys]
     limits: Limits = Limits()
     counts: DataFrame | None = None
+    watch: Watcher = not_watched
 
     def items_per_order(self) -> DataFrame:
         """order_id, qtd_itens: as written by the load, else counted here."""
@@ -113,7 +149,8 @@ def owned_orders(inputs: Inputs) -> DataFrame:
     owners = lookup_id(owners, "dim_cliente", inputs, "clientes", "customer_id", "estado")
     owners = owners.select("customer_id", "id_cliente", F.col("estado").alias(FACT_STATE))
     hot = inputs.hot["pedidos", "customer_id"]
-    return spread_join(dated_orders(inputs.raw), owners, hot, "left", ROW_SEQ)
+    orders = dated_orders(inputs.raw, inputs.watch)
+    return spread_join(orders, owners, hot, "left", ROW_SEQ)
 
 
 def item_rows(inputs: Inputs) -> DataFrame:
@@ -125,7 +162,7 @@ def item_rows(inputs: Inputs) -> DataFrame:
     natural keys of rejected rows.
     """
     raw = inputs.raw
-    items = priced_items(raw)
+    items = priced_items(raw, inputs.watch)
     for dim in ("dim_produto", "dim_vendedor"):
         items = lookup_id(items, dim, inputs, "itens", ROW_SEQ)
 
@@ -133,8 +170,8 @@ def item_rows(inputs: Inputs) -> DataFrame:
     # the count is the base: an order without items has no item row
     per_order = (
         inputs.items_per_order()
-        .join(order_ops.latest_review(raw["avaliacoes"]), "order_id", "left")
-        .join(order_ops.order_payment(raw["pagamentos"]), "order_id", "left")
+        .join(order_ops.latest_review(raw["avaliacoes"], inputs.watch), "order_id", "left")
+        .join(order_ops.order_payment(raw["pagamentos"], inputs.watch), "order_id", "left")
     )
     hot_orders = inputs.hot["pedidos", "order_id"]
     orders = spread_join(orders, per_order, hot_orders, "inner", ROW_SEQ)

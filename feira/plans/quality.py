@@ -14,7 +14,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feira.functions import clean
-from feira.plans.fact import reasons, undated_orders
+from feira.operators import orders as order_ops
+from feira.plans.fact import item_misfits, numbered_items, reasons, undated_orders
 from feira.plans.star import Star
 from feira.schema import (
     FOREIGN_KEYS,
@@ -119,7 +120,12 @@ def _foreign_key(star: Star, column: str, dim: str, key: str) -> DataFrame:
     return _finding(orphans, f"foreign_key {column}", "fato_pedido", F.sum("n"))
 
 
-def _row_rules(star: Star, table: str) -> DataFrame:
+def dimension_rules(tables: dict[str, DataFrame]) -> DataFrame:
+    """Rules that rows of dimensions can break on their own."""
+    return _union([_row_rules(df, table) for table, df in tables.items()])
+
+
+def _row_rules(df: DataFrame, table: str) -> DataFrame:
     rules = {"not_null": _any([F.col(c).isNull() for c in NOT_NULL[table]])}
     rules["text_length"] = _any(
         [F.coalesce(F.length(c) > n, F.lit(False)) for c, n in MAX_LENGTH[table].items()]
@@ -135,37 +141,29 @@ def _row_rules(star: Star, table: str) -> DataFrame:
     if table == "fato_pedido":
         paid = F.col("valor_pago")
         rules["numeric_range valor_pago"] = F.coalesce(F.abs(paid) >= MONEY_LIMIT, F.lit(False))
-    return _findings(star.tables[table], table, rules)
+    return _findings(df, table, rules)
+
+
+RANGE_RULES = {
+    "itens": (numbered_items, item_misfits),
+    "pagamentos": (order_ops.numbered_payments, order_ops.payment_misfits),
+    "avaliacoes": (order_ops.numbered_reviews, order_ops.review_misfits),
+}
 
 
 def range_rules(raw: dict[str, DataFrame]) -> DataFrame:
     """Cells that hold a number for which the column it is stored in has no room.
 
     Such a value would be missing from the star, so a load stops on it. One pass over
-    each of the three tables with numbers.
+    each of the three tables with numbers; a load takes the counts on its way, see
+    `Watch`.
     """
-
-    def misfit(column: str, store) -> Column:
-        text = F.col(column)
-        return clean.is_misfit(clean.is_number(text), store(clean.parse_number(text)))
-
-    price, freight = (clean.parse_number(F.col(c)) for c in ("price", "freight_value"))
-    total = price + freight
-    rules = {
-        "itens": {
-            "numeric_range price": misfit("price", clean.to_money),
-            "numeric_range freight_value": misfit("freight_value", clean.to_money),
-            "numeric_range valor_total": clean.is_misfit(total.isNotNull(), clean.to_money(total)),
-        },
-        "pagamentos": {
-            "numeric_range payment_value": misfit("payment_value", clean.to_money),
-            "numeric_range payment_installments": misfit(
-                "payment_installments", clean.truncated_whole
-            ),
-        },
-        "avaliacoes": {"numeric_range review_score": misfit("review_score", clean.truncated_whole)},
-    }
-    return _union([_findings(raw[table], table, found) for table, found in rules.items()])
+    found = [
+        _findings(numbered(raw[table]), table, misfits())
+        for table, (numbered, misfits) in RANGE_RULES.items()
+        if table in raw
+    ]
+    return _union(found)
 
 
 def star_rules(star: Star) -> DataFrame:
@@ -176,7 +174,7 @@ def star_rules(star: Star) -> DataFrame:
         for table, key in NATURAL_KEYS.items()
     ]
     frames += [_foreign_key(star, *edge) for edge in FOREIGN_KEYS]
-    frames += [_row_rules(star, table) for table in STAR_TABLES]
+    frames += [_row_rules(star.tables[table], table) for table in STAR_TABLES]
     return _union(frames)
 
 
@@ -221,13 +219,19 @@ def raw_rules(raw: dict[str, DataFrame]) -> DataFrame:
     return _union(frames)
 
 
+def reject_counts(rejects: DataFrame) -> DataFrame:
+    """One row: `rows`, and rejected item rows per reason; a row can have several."""
+    counted = [F.count_if(c).alias(name) for name, c in reasons().items()]
+    return rejects.agg(F.count("*").alias("rows"), *counted)
+
+
 def reject_reasons(rejects: DataFrame, raw: dict[str, DataFrame]) -> DataFrame:
     """(reason, rows): orders without a purchase date, then rejected item rows.
 
     An item row can have several reasons.
     """
     undated = undated_orders(raw).agg(F.count("*").alias("rows"))
-    per_reason = rejects.agg(*[F.count_if(c).alias(name) for name, c in reasons().items()])
+    per_reason = reject_counts(rejects).drop("rows")
     return undated.select(F.lit("no_purchase_date").alias("reason"), "rows").unionByName(
         per_reason.unpivot([], list(reasons()), "reason", "rows")
     )

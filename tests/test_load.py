@@ -187,13 +187,13 @@ def test_split_file_keeps_row_order(spark, tmp_path):
     write_csv(tables, tmp_path / "in")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "300")
     try:
-        whole = read_raw(spark, str(tmp_path / "in"), PREFIX)
-        assert whole["itens"].rdd.getNumPartitions() == 1
-        raw = read_raw(spark, str(tmp_path / "in"), PREFIX, splittable=set(tables) - {"avaliacoes"})
-        assert raw["itens"].rdd.getNumPartitions() > 4
-        for table in ("itens", "pagamentos", "clientes"):
-            got = [tuple(r)[:-1] for r in raw[table].orderBy("row_seq").collect()]
-            assert got == [tuple(r[c] for c in RAW_COLUMNS[table]) for r in tables[table]]
+        for known in ((), set(tables) - {"avaliacoes"}):
+            raw = read_raw(spark, str(tmp_path / "in"), PREFIX, splittable=known)
+            assert raw["itens"].rdd.getNumPartitions() > 4
+            assert raw["avaliacoes"].rdd.getNumPartitions() > 4  # its texts hold line breaks
+            for table in ("itens", "pagamentos", "clientes", "avaliacoes"):
+                got = [tuple(r)[:-1] for r in raw[table].orderBy("row_seq").collect()]
+                assert got == [tuple(r[c] for c in RAW_COLUMNS[table]) for r in tables[table]]
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
 
