@@ -1,0 +1,153 @@
+"""Product codes against plain rounds of assigning and averaging."""
+
+import hashlib
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from feira.llm import vector_codes
+from feira.llm.vector_codes import Bounds
+
+
+def plain(rows, entries=16, rounds=6, parts=8):
+    """rows: (vec_id, vector, label) -> sorted result rows, in exact integers."""
+    kept = []
+    for vec_id, vector, label in rows:
+        if vector is not None and all(x is not None and np.isfinite(x) for x in vector):
+            kept.append((vec_id, [int(np.floor(4096 * x)) for x in vector], label))
+    if not kept:
+        return []
+    width = max(parts, -(-max(len(v) for _, v, _ in kept) // parts) * parts)
+    size = width // parts
+    order = sorted(kept, key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+    cut = [[(v + [0] * width)[j * size : (j + 1) * size] for j in range(parts)] for _, v, _ in kept]
+    start = [[(v + [0] * width)[j * size : (j + 1) * size] for j in range(parts)] for _, v, _ in order]
+    books = [[list(row[j]) for row in start[:entries]] for j in range(parts)]
+
+    def nearest(part, book):
+        costs = [sum((a - b) ** 2 for a, b in zip(part, entry)) for entry in book]
+        return min(zip(costs, range(len(book))))
+
+    for _ in range(rounds):
+        for j in range(parts):
+            own = [nearest(c[j], books[j])[1] for c in cut]
+            for e in range(len(books[j])):
+                mine = [c[j] for c, o in zip(cut, own) if o == e]
+                if mine:
+                    books[j][e] = [sum(x) // len(mine) for x in zip(*mine)]
+    text = ",".join(str(x) for book in books for entry in book for x in entry)
+    sha = hashlib.sha256(text.encode()).hexdigest()
+    out, per_label = [], {}
+    for (vec_id, _, label), c in zip(kept, cut):
+        found = [nearest(c[j], books[j]) for j in range(parts)]
+        error = sum(d for d, _ in found)
+        per_label[label] = per_label.get(label, 0) + error
+        out.append([vec_id, "".join(f"{e:02x}" for _, e in found), error, label])
+    return sorted(((i, c, e, per_label[lab], sha) for i, c, e, lab in out), key=repr)
+
+
+def table(spark, rows):
+    return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+
+
+def result(spark, rows):
+    found = vector_codes.vector_codes(table(spark, rows))
+    assert found.columns == ["vec_id", "code", "error", "label_error", "codebooks_sha256"]
+    return sorted((tuple(r) for r in found.collect()), key=repr)
+
+
+def vectors(seed, n, width=16, spread=1.0):
+    rng = np.random.default_rng(seed)
+    centres = rng.normal(0, spread, (5, width))
+    return [
+        (int(i), [float(np.float32(x)) for x in centres[rng.integers(5)] + rng.normal(0, 0.1, width)], int(rng.integers(3)))
+        for i in rng.permutation(n * 3)[:n]
+    ]
+
+
+@pytest.mark.parametrize("seed, n", [(1, 300), (2, 40), (3, 16), (4, 7), (5, 1), (6, 2)])
+def test_equals_plain_rounds(spark, seed, n):
+    rows = vectors(seed, n)
+    assert result(spark, rows) == plain(rows)
+
+
+def test_awkward_rows(spark):
+    rows = vectors(7, 30, 16)
+    good = rows[0][1]
+    rows += [
+        (900, None, 1),
+        (901, [*good[:-1], float("nan")], 1),
+        (902, [*good[:-1], float("inf")], 1),
+        (903, [*good[:-1], None], 1),
+        (904, [], 2),  # all zeros
+        (905, good[:5], None),
+        (906, good, None),
+        (906, good, None),
+        (906, rows[1][1], 0),
+        (None, good, 0),
+        (907, [0.0] * 16, 0),
+    ]
+    assert result(spark, rows) == plain(rows)
+    assert result(spark, rows[30:34]) == [] == plain(rows[30:34])
+    assert result(spark, []) == []
+
+
+def test_ties_go_to_the_lower_entry(spark):
+    """Vectors on a coarse grid: many equal distances and repeated first entries."""
+    rng = random.Random(8)
+    rows = [(i, [rng.choice([0.0, 0.25, 0.5]) for _ in range(8)], i % 2) for i in range(200)]
+    assert result(spark, rows) == plain(rows)
+
+
+def test_other_columns_do_not_matter(spark):
+    rows = vectors(9, 30)
+    extra = table(spark, rows).select("*", *[F.lit(f"own {c}").alias(c) for c in ("v", "code", "error", "near", "__label")])
+    found = vector_codes.vector_codes(extra)
+    assert sorted((tuple(r) for r in found.collect()), key=repr) == plain(rows)
+
+
+@pytest.mark.parametrize("b", [1, 2, 4, 15])
+def test_bounds_settle_what_distances_say(b):
+    """Entries that jump about: every part ends at its nearest entry, and bounds hold."""
+    rng = np.random.default_rng(b)
+    parts = rng.integers(-50, 50, (400, 3))
+    book = rng.integers(-50, 50, (16, 3))
+    bounds = Bounds.fresh(parts, book, b)
+    settled = 0
+    for step in (1, 1, 3, 40, 1, 0):
+        new = book + rng.integers(-step, step + 1, book.shape)
+        way = vector_codes._above(np.sqrt(((new - book) ** 2).sum(axis=1).astype(float))).astype(float)
+        book = new
+        bounds.moved(way)
+        needed = bounds.assigned(parts, book)
+        settled += int((needed <= b).sum())
+        exact = ((parts[:, None, :] - book) ** 2).sum(axis=2)
+        assert (bounds.near[:, 0] == exact.argmin(axis=1)).all()
+        root = np.sqrt(exact.astype(float))
+        assert (bounds.upper >= root.min(axis=1)).all()
+        for j in range(b + 1):  # each bound holds for its entry and all behind it
+            listed = np.take_along_axis(np.ones_like(exact, bool), bounds.near[:, : j + 1].astype(int), 1)
+            behind = np.ones(exact.shape, bool)
+            np.put_along_axis(behind, bounds.near[:, : j + 1].astype(int), ~listed, 1)
+            least = np.where(behind, root, np.inf).min(axis=1)
+            assert (bounds.lower[:, j] <= least).all()
+    assert settled > 200
+
+
+def test_most_parts_need_no_comparison_of_all_entries(spark):
+    """On the given vectors bounds do the work."""
+    rows = [
+        tuple(r) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").select("vec_id", "embedding", "label").collect()
+    ]
+    v = np.floor(np.array([r[1] for r in rows], np.float64) * 4096).astype(np.int64)[:, :8]
+    book = v[:16].copy()
+    bounds, compared = Bounds.fresh(v, book, 4), []
+    for _ in range(6):
+        own = bounds.near[:, 0]
+        new = np.array([v[own == e].sum(axis=0) // max(1, (own == e).sum()) if (own == e).any() else book[e] for e in range(16)])
+        bounds.moved(vector_codes._above(np.sqrt(((new - book) ** 2).sum(axis=1).astype(float))).astype(float))
+        book = new
+        compared.append((bounds.assigned(v, book) == 5).mean())
+    assert compared[-1] < 0.6
