@@ -1,8 +1,8 @@
 """Exact top-k by inner product with the threshold algorithm.
 
-Components become integers, floor(1024 * x). Vectors are dealt into blocks by a hash of
-vec_id, queries likewise, and every block of queries meets every block of vectors. In a
-block each dimension has a list of its vectors sorted by that component. For a query the
+Components become integers, floor(1024 * x). Equal rows are folded and counted. Vectors
+are dealt into blocks by a hash of the row, and the queries, in blocks of their own that
+are as large, go to every block of vectors. In a block each dimension has a list of its vectors sorted by that component. For a query the
 lists are read from their better end in step. Vectors seen in any list are scored in
 full; the sum of the components last read, each times the query's, bounds the score of
 every vector not yet seen. Reading stops when that bound is below the k-th best score
@@ -10,9 +10,11 @@ every vector not yet seen. Reading stops when that bound is below the k-th best
 are merged per query, k rows of each block at most being compared.
 
 Defined cases: a vector that is null, or has a null, NaN or infinite component, takes no
-part, nor does a null vec_id. Rows that share a vec_id count once, with the smallest of
-their vectors. Shorter vectors count as filled up with zeros, so an empty vector scores 0
-everywhere. A query is never its own candidate. Scores are exact while they fit a bigint.
+part, nor does a null vec_id. Every row is a candidate for the queries of other vec_ids,
+so a vec_id with several rows can be found several times; query rows that share a vec_id
+are one query, whose results are the best of their pairs. Shorter vectors count as filled
+up with zeros, so an empty vector scores 0 everywhere. Scores are exact while they fit a
+bigint.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from pyspark.sql import functions as F
 from feira.llm.shared import per_group, written
 
 SCALE = 1024
-VECTOR_BLOCK, QUERY_BLOCK = 8192, 512
+VECTOR_BLOCK, QUERY_BLOCK = 4096, 16384
 FIRST_DEPTH = 16
 
 
@@ -45,12 +47,12 @@ class Lists:
     """The sorted lists of a block of vectors."""
 
     def __init__(self, ids: np.ndarray, vectors: np.ndarray) -> None:
-        order = np.argsort(ids, kind="stable")  # ties go to the smaller id
-        self.ids, self.vectors = ids[order], vectors[order]
+        self.order = np.argsort(ids, kind="stable")  # ties go to the smaller id
+        self.ids, self.vectors = ids[self.order], vectors[self.order]
         self.rising = np.argsort(self.vectors, axis=0, kind="stable")
 
     def top(self, query_id: int, query: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """Ids and scores of the k best vectors other than the query."""
+        """Positions, in the order of ids, and scores of the k best vectors of other ids."""
         n = len(self.ids)
         used = np.flatnonzero(query)
         up = query[used] > 0
@@ -82,7 +84,7 @@ class Lists:
                 if scores.min() > bound:
                     break
         best = np.lexsort((places, -scores))
-        return self.ids[places[best]], scores[best]
+        return places[best], scores[best]
 
 
 def _matrix(column: pa.Array, width: int) -> np.ndarray:
@@ -99,11 +101,16 @@ def _block_top(batch: pa.RecordBatch, k: int) -> Iterator[pa.RecordBatch]:
         return
     width = int(batch.column("v").value_lengths().to_numpy().max())
     ids, vectors = batch.column("vec_id").to_numpy(), _matrix(batch.column("v"), width)
+    copies = batch.column("copies").to_numpy()
     lists = Lists(ids[~is_query], vectors[~is_query])
+    many = copies[~is_query][lists.order]
     out = []
-    for query_id, query in zip(ids[is_query], vectors[is_query], strict=True):
+    for query_id, query, asked in zip(ids[is_query], vectors[is_query], copies[is_query], strict=True):
         found, scores = lists.top(query_id, query, k)
-        out.append((np.full(len(found), query_id), found, scores))
+        # a pair of equal rows is found as often as there are such pairs, k times at most
+        times = np.minimum(many[found] * asked, k)
+        found, scores = np.repeat(found, times)[:k], np.repeat(scores, times)[:k]
+        out.append((np.full(len(found), query_id), lists.ids[found], scores))
     yield pa.RecordBatch.from_arrays(
         [pa.array(np.concatenate(x)) for x in zip(*out, strict=True)],
         ["query_id", "vec_id", "score"],
@@ -117,13 +124,13 @@ def top_k(vectors: DataFrame, queries: Column, k: int = 10) -> DataFrame:
     """
     usable = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), scaled("embedding").alias("v"))
     usable = usable.where("vec_id is not null and v is not null")
-    usable = written(usable.groupBy("vec_id").agg(F.min("v").alias("v")), "vectors")
+    usable = written(usable.groupBy("vec_id", "v").agg(F.count("*").alias("copies")), "vectors")
     counts = usable.agg(F.count("*").alias("n"), F.count(F.when(queries, 1)).alias("q")).first()
     blocks = max(1, -(-counts["n"] // VECTOR_BLOCK))
     query_blocks = max(1, -(-counts["q"] // QUERY_BLOCK))
 
     def dealt(rows: DataFrame, own: str, n: int, other: str, copies: int) -> DataFrame:
-        rows = rows.withColumn(own, F.pmod(F.xxhash64("vec_id"), F.lit(n)).cast("int"))
+        rows = rows.withColumn(own, F.pmod(F.xxhash64("vec_id", "v"), F.lit(n)).cast("int"))
         return rows.withColumn(other, F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
 
     candidates = dealt(usable, "vb", blocks, "qb", query_blocks).withColumn("is_query", F.lit(False))

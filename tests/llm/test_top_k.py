@@ -5,31 +5,27 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from feira.llm import top_k
+from feira.llm import oracle, top_k
 
 SCHEMA = "vec_id long, embedding array<float>, score string, rank int"
 
 
 def usable(rows):
-    out = {}
+    out = []
     for i, v, *_ in rows:
         if i is None or v is None or any(x is None or not math.isfinite(x) for x in v):
             continue
-        whole = [math.floor(1024 * float(np.float32(x))) for x in v]
-        out[i] = min(out.get(i, whole), whole)
+        out.append((i, [math.floor(1024 * float(np.float32(x))) for x in v]))
     return out
 
 
 def brute(rows, k=10):
     vectors = usable(rows)
-    out = []
-    for q, a in vectors.items():
+    pairs = {q: [] for q, _ in vectors if q % 100 == 0}
+    for q, a in vectors:
         if q % 100 == 0:
-            scores = sorted(
-                (-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in vectors.items() if i != q
-            )
-            out += [(q, rank, i, -s) for rank, (s, i) in enumerate(scores[:k], 1)]
-    return sorted(out)
+            pairs[q] += [(-sum(x * y for x, y in zip(a, b, strict=False)), i) for i, b in vectors if i != q]
+    return sorted((q, rank, i, -s) for q, p in pairs.items() for rank, (s, i) in enumerate(sorted(p)[:k], 1))
 
 
 def rows_of(kind, n=400):
@@ -41,13 +37,16 @@ def rows_of(kind, n=400):
         return [
             (k * 4, [x + rng.gauss(0, 0.1) for x in rng.choice(centres)], "s", 1) for k in range(n)
         ]
+    if kind == "repeated":
+        rows = [(k % 60 * 10, [rng.gauss(0, 1) for _ in range(4)], "s", 1) for k in range(n)]
+        return rows + rows[:50] + rows[3:5] * 20
     odd = [(None, [1.0], "s", 1), (1, None, "s", 1), (2, [1.0, None], "s", 1), (3, [float("nan")], "s", 1)]
     odd += [(4, [float("inf")], "s", 1), (5, [], "s", 1), (100, [], "s", 1), (200, [0.0, -0.0], "s", 1)]
     odd += [(300, [1.0, 2.0], "s", 1)] * 2 + [(300, [0.5, 9.0], "s", 1), (7, [1.0, 1.0, 1.0], "s", 1)]
     return odd
 
 
-@pytest.mark.parametrize("kind", ["ties", "clusters", "odd"])
+@pytest.mark.parametrize("kind", ["ties", "clusters", "odd", "repeated"])
 @pytest.mark.parametrize("blocks", [(8192, 512), (64, 3)])
 def test_equals_brute_force(spark, monkeypatch, kind, blocks):
     monkeypatch.setattr(top_k, "VECTOR_BLOCK", blocks[0])
@@ -57,6 +56,24 @@ def test_equals_brute_force(spark, monkeypatch, kind, blocks):
     assert sorted(map(tuple, found.collect())) == brute(rows)
 
 
+def test_every_row_of_a_vec_id_is_a_candidate(spark):
+    rows = [(1, [1.0, 1.0], "s", 1), (1, [9.0, 9.0], "s", 1), (2, [2.0, 2.0], "s", 1), (100, [1.0, 0.0], "s", 1)]
+    found = top_k.top_k(spark.createDataFrame(rows, SCHEMA), F.col("vec_id") % 100 == 0)
+    unit = 1024 * 1024
+    assert sorted(map(tuple, found.collect())) == [(100, 1, 1, 9 * unit), (100, 2, 2, 2 * unit), (100, 3, 1, unit)]
+
+
+def test_equals_the_sql_on_repeated_ids(spark, con):
+    """The registered statement on rows that share ids, whole rows among them."""
+    rows = [r[:2] for r in rows_of("repeated")]
+    frame = spark.createDataFrame(rows, "vec_id long, embedding array<float>")
+    found = top_k.top_k(frame, F.col("vec_id") % 100 == 0).select("query_id", "rank", "vec_id", "score")
+    values = ", ".join(f"({i}, [{', '.join(f'{np.float32(x):.9g}::FLOAT' for x in v)}])" for i, v in rows)
+    table = f"embeddings(vec_id, embedding) AS (VALUES {values})"
+    want = con.execute(oracle.TOP_K.replace("WITH usable", f"WITH {table}, usable", 1)).fetchall()
+    assert sorted(map(tuple, found.collect())) == sorted(want)
+
+
 def test_empty_table_and_no_query(spark):
     queries = F.col("vec_id") % 100 == 0
     assert top_k.top_k(spark.createDataFrame([], SCHEMA), queries).collect() == []
@@ -78,6 +95,6 @@ def test_reading_stops_early():
             return np.asarray(self) @ other
 
     lists.vectors = vectors.view(Counted)
-    ids, scores = lists.top(-1, np.array([3, 2, 1, 5]), 10)
-    assert sorted(ids.tolist()) == list(range(10))
+    places, scores = lists.top(-1, np.array([3, 2, 1, 5]), 10)
+    assert sorted(lists.ids[places].tolist()) == list(range(10))
     assert sum(scored) < 200
