@@ -6,10 +6,17 @@ the conversion and preserves the source's status line, HTTP headers, date and di
 and tells whether the payload still has the digest it came with. Ids are derived from the
 source's id, so a rerun or a repeated task gives the same records.
 
+The digest is that of the payload as it is stored. For the text, chunks are put together
+and gzip and deflate undone first; of a damaged body what comes before the fault counts.
+
 Defined cases: null html is an empty payload, a null URL leaves the target URI out. Rows
-that repeat give records that repeat. A record that is null or no response gives nothing;
-a response without HTTP headers counts as bare payload. Bytes that the declared charset
-(else UTF-8) can't decode are replaced. Line breaks inside a URL are percent-encoded.
+that repeat give records that repeat. A record that is null or no response gives nothing,
+nor does a damaged one: without a WARC header, or with a length that is no number. The
+function `damaged` lists those. A response without HTTP headers counts as bare payload. A
+payload that is no text (by its type, compared without case, or in another encoding) gives
+the metadata record alone. Bytes that the declared charset can't decode are replaced, and
+a charset that isn't known counts as UTF-8. Line breaks inside a URL are percent-encoded.
+Text of any markup takes time in proportion to its length.
 """
 
 from __future__ import annotations
@@ -19,6 +26,7 @@ import hashlib
 import html
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -39,7 +47,8 @@ BREAKS = re.compile(
     re.IGNORECASE,
 )
 TAG = re.compile(r"<[/!?a-zA-Z][^>]*>")
-TITLE = re.compile(r"<title\b[^>]*>(.*?)</title\s*>", re.IGNORECASE | re.DOTALL)
+TITLE = re.compile(r"<title\b[^>]*>", re.IGNORECASE)
+TEXT_TYPE = re.compile(r"text/.*|application/([\w.-]+\+)?(xml|json)|application/javascript")
 CHARSET = re.compile(r"charset\s*=\s*\"?([\w.:-]+)", re.IGNORECASE)
 
 
@@ -70,14 +79,90 @@ def _fields(head: bytes) -> tuple[str, list[tuple[str, str]]]:
     return first, fields
 
 
+class DamagedRecord(ValueError):
+    """Bytes that can't be read as a WARC record."""
+
+
 def parse(data: bytes) -> tuple[dict[str, str], bytes]:
     """Header fields, by lower-case name, and block of a record."""
     head, _, rest = data.partition(b"\r\n\r\n")
     first, fields = _fields(head)
     if not first.startswith("WARC/"):
-        raise ValueError(f"not a WARC record: {first[:40]!r}")
+        raise DamagedRecord(f"not a WARC record: {first[:40]!r}")
     named = {name.lower(): value for name, value in fields}
-    return named, rest[: int(named.get("content-length", len(rest)))]
+    length = named.get("content-length", str(len(rest)))
+    if not (length.isascii() and length.isdigit()):
+        raise DamagedRecord(f"not a length: {length[:40]!r}")
+    return named, rest[: int(length[:18])]
+
+
+def _dechunked(body: bytes) -> bytes:
+    """The chunks of a chunked body; what follows a damaged chunk is left out."""
+    parts, at = [], 0
+    while True:
+        end = body.find(b"\r\n", at)
+        size = body[at:end].partition(b";")[0].strip() if end >= 0 else b""
+        if not re.fullmatch(rb"[0-9A-Fa-f]{1,15}", size) or not int(size, 16):
+            return b"".join(parts)
+        start, length = end + 2, int(size, 16)
+        parts.append(body[start : start + length])
+        at = start + length + 2
+
+
+def _inflated(body: bytes, kind: str) -> bytes:
+    """A gzip or deflate body, as far as it can be read."""
+    out = []
+    while body:
+        tries = (31,) if kind == "gzip" else (15, -15)  # deflate comes with and without a head
+        for bits in tries:
+            reader = zlib.decompressobj(bits)
+            try:
+                out.append(reader.decompress(body))
+                break
+            except zlib.error:
+                reader = None
+        if reader is None:  # damaged: bytes one by one, to the fault
+            reader = zlib.decompressobj(tries[0])
+            try:
+                for k in range(len(body)):
+                    out.append(reader.decompress(body[k : k + 1]))
+            except zlib.error:
+                pass
+            break
+        body = reader.unused_data if reader.eof and kind == "gzip" else b""
+    return b"".join(out)
+
+
+def decoded(payload: bytes, fields: list[tuple[str, str]]) -> bytes | None:
+    """The body without its transfer and content encodings; None if one isn't known."""
+
+    def codings(name: str) -> list[str]:
+        values = [v for k, v in fields if k.lower() == name]
+        return [c.strip().lower() for c in ",".join(values).split(",") if c.strip()]
+
+    # undone in the reverse order of their application
+    for coding in reversed([*codings("content-encoding"), *codings("transfer-encoding")]):
+        if coding == "chunked":
+            payload = _dechunked(payload)
+        elif coding in ("gzip", "x-gzip", "deflate"):
+            payload = _inflated(payload, coding.removeprefix("x-"))
+        elif coding != "identity":
+            return None
+    return payload
+
+
+def _text(payload: bytes, kind: str) -> str:
+    charset = CHARSET.search(kind)
+    try:
+        return payload.decode(charset[1] if charset else "utf-8", "replace")
+    except (LookupError, ValueError):  # no such charset, or one that isn't for text
+        return payload.decode("utf-8", "replace")
+
+
+def _title(markup: str) -> str:
+    begin = TITLE.search(markup, 0, markup.rfind(">") + 1)
+    end = ENDS["title"].search(markup, begin.end()) if begin else None
+    return " ".join(html.unescape(markup[begin.end() : end.start()]).split()) if end else ""
 
 
 def _shown(markup: str) -> str:
@@ -90,7 +175,8 @@ def _shown(markup: str) -> str:
     parts: list[str] = []
     kept = look = 0
     in_head, unclosed = False, set()
-    while found := HIDDEN.search(markup, look):
+    tags_end = markup.rfind(">") + 1  # no tag ends behind it, so none is looked for
+    while found := HIDDEN.search(markup, look, tags_end):
         look = found.end()
         name = (found[1] or "").lower()
         if name in ("head", "/head", "body"):
@@ -106,13 +192,16 @@ def _shown(markup: str) -> str:
             continue
         parts.append(markup[kept : found.start()])
         kept = look = end.end() if end else len(markup)
-    return " ".join([*parts, markup[kept:]])
+    comment = markup.find("<!--", max(look, tags_end))  # never closed
+    return " ".join([*parts, markup[kept : comment if comment >= 0 else len(markup)]])
 
 
 def plain_text(markup: str) -> str:
     """Visible text, one line per block."""
-    text = BREAKS.sub("\n", _shown(markup))
-    lines = (" ".join(line.split()) for line in html.unescape(TAG.sub("", text)).split("\n"))
+    text = _shown(markup)
+    cut = text.rfind(">") + 1
+    text = TAG.sub("", BREAKS.sub("\n", text[:cut])) + text[cut:]
+    lines = (" ".join(line.split()) for line in html.unescape(text).split("\n"))
     return "\n".join(line for line in lines if line)
 
 
@@ -150,7 +239,7 @@ def responses(pages: DataFrame, date: str = "2024-01-01T00:00:00Z") -> DataFrame
 
 
 def derived(data: bytes) -> list[dict]:
-    """The metadata and the conversion record of a response record."""
+    """The metadata and (for text) the conversion record of a response record."""
     head, block = parse(data)
     if head.get("warc-type") != "response":
         return []
@@ -161,29 +250,27 @@ def derived(data: bytes) -> list[dict]:
     else:
         status, fields, payload = "", [], block
     kind = next((value for name, value in fields if name.lower() == "content-type"), "")
-    charset = CHARSET.search(kind)
-    try:
-        markup = payload.decode(charset[1] if charset else "utf-8", "replace")
-    except LookupError:
-        markup = payload.decode("utf-8", "replace")
-    text = plain_text(markup) if "html" in kind or not kind else " ".join(markup.split())
+    media = kind.partition(";")[0].strip().lower()
+    body = decoded(payload, fields)
+    readable = body is not None and (not media or bool(TEXT_TYPE.fullmatch(media)))
+    markup = _text(body, kind) if readable else ""
+    is_html = "html" in media or not media
+    text = plain_text(markup) if is_html else " ".join(markup.split())
     found = digest(payload)
     stated = head.get("warc-payload-digest")
     ids = {what: record_id(what, source or "") for what in ("metadata", "conversion")}
-    title = TITLE.search(markup)
-    body = [
-        ("derivedConversion", ids["conversion"]),
+    lines = [
+        *([("derivedConversion", ids["conversion"])] if readable else []),
         ("sourceStatus", status),
         *[("sourceHeader", f"{name}: {value}") for name, value in fields],
         ("sourceBlockDigest", head.get("warc-block-digest", digest(block))),
         ("sourcePayloadDigest", stated or found),
-        ("payloadDigestMatches", str(stated is None or stated == found).lower()),
-        ("title", " ".join(html.unescape(title[1]).split()) if title else ""),
+        ("payloadDigestMatches", str(stated in (None, found, digest(body or b""))).lower()),
+        ("title", _title(markup) if is_html else ""),
     ]
-    blocks = {
-        "metadata": "".join(f"{name}: {value}\r\n" for name, value in body).encode(),
-        "conversion": text.encode("utf-8", "replace"),
-    }
+    blocks = {"metadata": "".join(f"{name}: {value}\r\n" for name, value in lines).encode()}
+    if readable:
+        blocks["conversion"] = text.encode("utf-8", "replace")
     types = {"metadata": "application/warc-fields", "conversion": "text/plain; charset=utf-8"}
     out = []
     for what, block in blocks.items():
@@ -195,7 +282,7 @@ def derived(data: bytes) -> list[dict]:
             ("WARC-Refers-To-Date", date),
             ("WARC-Date", date),
             ("WARC-Target-URI", target),
-            ("WARC-Concurrent-To", ids["conversion"] if what == "metadata" else None),
+            ("WARC-Concurrent-To", ids["conversion"] if what == "metadata" and readable else None),
             ("Content-Type", types[what]),
         ]
         out.append(
@@ -213,6 +300,13 @@ def derived(data: bytes) -> list[dict]:
     return out
 
 
+def _derived_or_nothing(data: bytes | None) -> list[dict]:
+    try:
+        return derived(data) if data is not None else []
+    except DamagedRecord:
+        return []
+
+
 _FIELDS = {
     "warc_type": pa.string(),
     "record_id": pa.string(),
@@ -226,7 +320,8 @@ _FIELDS = {
 
 
 def derivatives(records: DataFrame) -> DataFrame:
-    """Two rows per response of `records` (page_id, record): its metadata and conversion."""
+    """A row per record derived from the responses of `records` (page_id, record): the
+    metadata and, of text, the conversion."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -234,7 +329,7 @@ def derivatives(records: DataFrame) -> DataFrame:
                 part = batch.slice(at, 500)
                 ids, rows = [], []
                 for k, data in enumerate(part.column(1).to_pylist()):
-                    made = derived(data) if data is not None else []
+                    made = _derived_or_nothing(data)
                     rows += made
                     ids += [k] * len(made)
                 yield pa.RecordBatch.from_arrays(
@@ -252,3 +347,23 @@ def derivatives(records: DataFrame) -> DataFrame:
         "record binary"
     )
     return records.select("page_id", "record").mapInArrow(run, schema)
+
+
+def damaged(records: DataFrame) -> DataFrame:
+    """page_id and `problem` of the rows of `records` that can't be read as records."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids, problems = [], []
+            for k, data in enumerate(batch.column(1)):
+                try:
+                    if data.is_valid:
+                        parse(data.as_py())
+                except DamagedRecord as error:
+                    ids.append(k)
+                    problems.append(str(error))
+            columns = [batch.column(0).take(pa.array(ids, pa.int64())), pa.array(problems, pa.string())]
+            yield pa.RecordBatch.from_arrays(columns, ["page_id", "problem"])
+
+    kind = records.schema["page_id"].dataType.simpleString()
+    return records.select("page_id", "record").mapInArrow(run, f"page_id {kind}, problem string")
