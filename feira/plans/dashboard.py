@@ -10,37 +10,38 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feira.functions.rounding import percent, rounded_ratio
-from feira.plans.marts import DELIVERED, TOP, active, largest_first, order_count, share_of_all
+from feira.plans.marts import DELIVERED, TOP, active, by_items, largest_first, share_of_all
 from feira.plans.star import Star
 from feira.schema import FACT_STATE
 
 # Fixed values.
 SHARE_TOP = 5
 OTHERS = "Outros"
+# Into how many parts categories are cut to find the largest.
+BUCKETS = 64
 
 
 def kpi_cards(star: Star) -> DataFrame:
     """One row: orders, revenue, mean item value, mean score, delivery rate.
 
-    Items are folded to one row per order first, so both order counts come from
-    one shuffle on order_id instead of two distinct counts.
+    Where an order_id has several rows these are folded first, so both order counts come
+    from one shuffle instead of two distinct counts.
     """
     counted = F.coalesce(active(), F.lit(False))
-    per_order = (
-        star.facts()
-        .groupBy("order_id")
-        .agg(
-            F.max(F.coalesce(F.col("status_pedido") == DELIVERED, F.lit(False)).cast("int")).alias(
-                "delivered"
-            ),
-            F.sum(F.when(counted, F.col("valor_total"))).alias("revenue"),
-            F.sum(F.when(counted, F.col("valor_produto"))).alias("product"),
-            F.count(F.when(counted, F.col("valor_produto"))).alias("items"),
-            F.sum("nota_avaliacao").alias("score"),
-            F.count("nota_avaliacao").alias("scores"),
-        )
+    delivered = F.coalesce(F.col("status_pedido") == DELIVERED, F.lit(False)).cast("int")
+    orders = star.orders().select(
+        "order_id",
+        delivered.alias("delivered"),
+        F.when(counted, F.col("soma_total")).alias("revenue"),
+        F.when(counted, F.col("soma_produto")).alias("product"),
+        F.when(counted, F.col("itens_produto")).alias("items"),
+        by_items("nota_avaliacao").alias("score"),
+        F.when(F.col("nota_avaliacao").isNotNull(), F.col("itens")).alias("scores"),
     )
-    return per_order.agg(
+    if not star.orders_are_unique():
+        sums = [F.sum(c).alias(c) for c in ("revenue", "product", "items", "score", "scores")]
+        orders = orders.groupBy("order_id").agg(F.max("delivered").alias("delivered"), *sums)
+    return orders.agg(
         F.count("*").alias("total_pedidos"),
         F.sum("revenue").alias("faturamento_total"),
         rounded_ratio(F.sum("product"), F.sum("items"), 2).alias("ticket_medio"),
@@ -78,27 +79,53 @@ def top_categories_total(star: Star) -> DataFrame:
 
 
 def category_share_top5(star: Star) -> DataFrame:
-    """Share of total revenue of the five largest categories and of all others."""
-    per_category = _per_category(star).select("categoria", "total")
+    """Share of total revenue of the five largest categories and of all others.
+
+    One pass: categories fall into buckets, each of which keeps its five largest and the
+    sums of all of it; only those few rows meet.
+    """
     order = largest_first("total", "categoria")
-    top = per_category.orderBy(*order).limit(SHARE_TOP)
-    # five rows
-    placed = top.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
-    others = per_category.join(
-        F.broadcast(top.select(F.col("categoria").alias("_top"))),
-        F.col("categoria").eqNullSafe(F.col("_top")),
-        "left_anti",
-    )
-    others = others.agg(F.sum("total").alias("total"), F.count("*").alias("_rows"))
-    others = others.filter("_rows > 0").select(
-        F.lit(OTHERS).alias("categoria"), "total", F.lit(SHARE_TOP + 1).alias("posicao")
+    bucket = Window.partitionBy("_bucket")
+    per_bucket = (
+        _per_category(star)
+        .select("categoria", "total", F.pmod(F.xxhash64("categoria"), F.lit(BUCKETS)).alias("_bucket"))
+        .withColumns(
+            {
+                "_rank": F.row_number().over(bucket.orderBy(*order)),
+                "_sum": F.sum("total").over(bucket),
+                "_sums": F.count("total").over(bucket),
+                "_rows": F.count("*").over(bucket),
+            }
+        )
+        .filter(F.col("_rank") <= SHARE_TOP)
     )
-    return (
-        placed.unionByName(others)
-        .withColumnRenamed("total", "faturamento_total")
-        .withColumn("pct", share_of_all("faturamento_total"))
-        .orderBy("posicao")
+    # at most SHARE_TOP rows per bucket
+    few = Window.partitionBy()
+    placed = per_bucket.withColumn("posicao", F.row_number().over(Window.orderBy(*order)))
+    listed, once = F.col("posicao") <= SHARE_TOP, F.col("_rank") == 1
+
+    def others(whole: str, part: F.Column) -> F.Column:
+        everything = F.sum(F.when(once, F.col(whole))).over(few)
+        return everything - F.coalesce(F.sum(F.when(listed, part)).over(few), F.lit(0))
+
+    values = F.col("total").isNotNull().cast("int")
+    rest = placed.withColumns(
+        {
+            # NULL if no other category has a value, as the sum of nothing is
+            "_others": F.when(others("_sums", values) > 0, others("_sum", F.col("total"))),
+            "_count": others("_rows", F.lit(1)),
+        }
+    ).filter(listed)
+    kind = rest.schema["total"].dataType
+    own = F.struct("categoria", F.col("total").alias("faturamento_total"), "posicao")
+    added = F.struct(
+        F.lit(OTHERS).alias("categoria"),
+        F.col("_others").cast(kind).alias("faturamento_total"),
+        F.lit(SHARE_TOP + 1).alias("posicao"),
     )
+    has_others = (F.col("posicao") == 1) & (F.col("_count") > 0)
+    rows = rest.select(F.inline(F.when(has_others, F.array(own, added)).otherwise(F.array(own))))
+    return rows.withColumn("pct", share_of_all("faturamento_total")).orderBy("posicao")
 
 
 def ticket_by_category(star: Star) -> DataFrame:
@@ -129,9 +156,9 @@ def role_dates(star: Star) -> DataFrame:
 
     def role(name: str, key: str, how: str) -> DataFrame:
         return (
-            star.with_calendar("ano", "mes", role=key, how=how)
+            star.join_calendar(star.orders(), "ano", "mes", role=key, how=how)
             .groupBy("ano", "mes")
-            .agg(F.count("*").alias("qtd_itens"), order_count().alias("qtd_pedidos"))
+            .agg(F.sum("itens").alias("qtd_itens"), star.order_count().alias("qtd_pedidos"))
             .select(F.lit(name).alias("papel"), "ano", "mes", "qtd_itens", "qtd_pedidos")
         )
 

@@ -17,8 +17,8 @@ from feira.operators.skew import HotKeys, counted_hot_keys, hot_keys
 from feira.operators.watching import Watch
 from feira.plans import dims, quality
 from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows, undated_orders
-from feira.plans.star import Star
-from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
+from feira.plans.star import OrderSummary, Star, per_order
+from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES, SUMMARY
 from feira.sources import star_store
 from feira.sources.csv_files import land, read_raw
 
@@ -158,13 +158,12 @@ def append_dimensions(
         star_store.remove_folder(spark, folder)
         return old
     tables = base.tables | {dim: (*base.tables[dim], f"runs/{run_id}/{dim}") for dim in incoming}
-    version = star_store.Version(base.number + 1, run_id, tables)
     findings = [tuple(r) for r in quality.dimension_rules(new).collect()]
     metrics = [("added", dim, size.rows) for dim, size in added.items()]
     sizes = old.sizes | _with_old(added, old)
     star_store.write_notes(spark, folder, sizes, old.hot, metrics, findings)
     _stop_on_broken(run_id, findings, strict)
-    star_store.publish(spark, out, run_id, base, tables)
+    version = star_store.publish(spark, out, run_id, base, tables, base.unique_orders)
     star_store.remove_folder(spark, f"{folder}/staging")
     return star_store.load_star(spark, out, version, max_broadcast_bytes)
 
@@ -252,7 +251,14 @@ def _load(
     def write_rejects() -> None:
         rejected.drop("rejeitado").write.mode("overwrite").parquet(f"{folder}/rejects")
 
-    _together(write_fact, write_calendar, write_rejects)
+    unique: list[bool] = []
+
+    def write_summary() -> None:
+        columns = star_store.table_schema(SUMMARY).fieldNames()
+        star_store.write_table(per_order(accepted).select(*columns), folder, SUMMARY)
+        unique.append(_unique_orders(added(SUMMARY), old))
+
+    _together(write_fact, write_calendar, write_rejects, write_summary)
 
     written = {t: added(t) for t in ("dim_data", "fato_pedido")}
     fact_rows = count_rows({"fato_pedido": written["fato_pedido"]})["fato_pedido"]
@@ -268,7 +274,8 @@ def _load(
         for dim in DIMENSIONS
         if sizes[dim].bytes > limits.max_broadcast_bytes
     }
-    star = Star(star_tables, sizes, hot_ids, limits.max_broadcast_bytes)
+    summary = OrderSummary(star_tables["fato_pedido"], whole(SUMMARY), unique[0])
+    star = Star(star_tables, sizes, hot_ids, limits.max_broadcast_bytes, summary=summary)
     # of the fact only the new rows, whose ids lie behind the checked ones
     new_rows = Star(star_tables | {"fato_pedido": written["fato_pedido"]}, sizes)
     rejects = spark.read.schema(star_store.REJECTS).parquet(f"{folder}/rejects")
@@ -281,11 +288,21 @@ def _load(
         metrics = counted.result()
     star_store.write_notes(spark, folder, sizes, hot_ids, metrics, findings)
     _stop_on_broken(run_id, findings, strict)
-    star_store.publish(spark, out, run_id, base, tables)
+    star_store.publish(spark, out, run_id, base, tables, unique[0])
     star_store.remove_folder(spark, f"{folder}/staging")
     return star
 
 
+def _unique_orders(added: DataFrame, old: Star | None) -> bool:
+    """Whether no order_id has two rows in the orders of the star with those added."""
+    if old and not old.orders_are_unique():
+        return False
+    counts = added.groupBy("order_id").agg(F.count("*").alias("n"))
+    if not counts.where("n > 1").isEmpty():
+        return False
+    return not old or added.join(old.summary.rows, "order_id", "left_semi").isEmpty()
+
+
 def _misfits(
     raw: dict[str, DataFrame], raw_rows: dict[str, int], watch: Watch
 ) -> list[tuple[str, str, int]]:

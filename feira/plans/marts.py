@@ -2,7 +2,8 @@
 
 Grain notes: the fact has one row per item. Order-level values (paid value,
 instalments, review score, delivery days) repeat on every item of an order, so
-their sums and averages are weighted by items, as the reports define them.
+their sums and averages are weighted by items, as the reports define them. Reports on
+attributes of orders alone read one row per order (`Star.orders`) and weigh it.
 
 "Active" rows are those whose status is neither canceled nor unavailable; a row
 without a status is not active.
@@ -21,7 +22,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from feira.functions.rounding import mean, percent
+from feira.functions.rounding import mean, percent, rounded_ratio
 from feira.plans.star import Star
 from feira.schema import FACT_STATE, STAR_TABLES
 
@@ -38,9 +39,25 @@ def active() -> Column:
 
 
 def order_count() -> Column:
+    """Different orders of item rows."""
     return F.count_distinct("order_id")
 
 
+def by_items(column: str) -> Column:
+    """A value of an order's row times its items, as it repeats on each of them."""
+    return F.col(column) * F.col("itens").cast("decimal(12,0)")
+
+
+def mean_by_items(column: str, digits: int) -> Column:
+    """Aggregate over orders: the rounded average that their item rows have."""
+    return rounded_ratio(F.sum(by_items(column)), F.sum(F.when(F.col(column).isNotNull(), F.col("itens"))), digits)
+
+
+def mean_product(digits: int) -> Column:
+    """Aggregate over orders: the rounded average product value of their items."""
+    return rounded_ratio(F.sum("soma_produto"), F.sum("itens_produto"), digits)
+
+
 def largest_first(metric: str, *keys: str) -> list[Column]:
     """Descending metric with NULL as the largest, then keys to settle ties."""
     return [F.col(metric).desc_nulls_first(), *[F.col(k).asc_nulls_last() for k in keys]]
@@ -79,14 +96,14 @@ def row_counts(star: Star) -> DataFrame:
 
 def revenue_by_month(star: Star) -> DataFrame:
     return (
-        star.with_calendar("ano", "mes", "nome_mes", where=active())
+        star.join_calendar(star.orders().filter(active()), "ano", "mes", "nome_mes")
         .groupBy("ano", "mes", "nome_mes")
         .agg(
-            order_count().alias("qtd_pedidos"),
-            F.sum("valor_produto").alias("receita_produtos"),
-            F.sum("valor_frete").alias("receita_frete"),
-            F.sum("valor_total").alias("faturamento_total"),
-            mean("valor_produto", 2).alias("ticket_medio_produto"),
+            star.order_count().alias("qtd_pedidos"),
+            F.sum("soma_produto").alias("receita_produtos"),
+            F.sum("soma_frete").alias("receita_frete"),
+            F.sum("soma_total").alias("faturamento_total"),
+            mean_product(2).alias("ticket_medio_produto"),
         )
         .orderBy(*smallest_first("ano", "mes"))
     )
@@ -114,9 +131,9 @@ def top_categories(star: Star) -> DataFrame:
 def orders_by_status(star: Star) -> DataFrame:
     """Orders per status, rows without a status as their own group."""
     return (
-        star.facts()
+        star.orders()
         .groupBy("status_pedido")
-        .agg(order_count().alias("qtd_pedidos"))
+        .agg(star.order_count().alias("qtd_pedidos"))
         .withColumn("pct", share_of_all("qtd_pedidos"))
         .orderBy(*largest_first("qtd_pedidos", "status_pedido"))
     )
@@ -146,12 +163,12 @@ def delivery_by_state(star: Star) -> DataFrame:
     days = F.col("dias_para_entrega")
     delivered = (F.col("status_pedido") == DELIVERED) & days.isNotNull() & (days >= 0)
     return (
-        star.facts()
+        star.orders()
         .filter(delivered)
         .groupBy(F.col(FACT_STATE).alias("estado"))
         .agg(
-            order_count().alias("pedidos_entregues"),
-            mean("dias_para_entrega", 1).alias("prazo_medio_dias"),
+            star.order_count().alias("pedidos_entregues"),
+            mean_by_items("dias_para_entrega", 1).alias("prazo_medio_dias"),
             F.min("dias_para_entrega").alias("prazo_minimo"),
             F.max("dias_para_entrega").alias("prazo_maximo"),
         )
@@ -161,14 +178,14 @@ def delivery_by_state(star: Star) -> DataFrame:
 
 def top_states(star: Star) -> DataFrame:
     return (
-        star.facts()
+        star.orders()
         .filter(active())
         .groupBy(F.col(FACT_STATE).alias("estado"))
         .agg(
             F.count_distinct("id_cliente").alias("qtd_clientes"),
-            order_count().alias("qtd_pedidos"),
-            F.sum("valor_total").alias("faturamento_total"),
-            mean("valor_produto", 2).alias("ticket_medio"),
+            star.order_count().alias("qtd_pedidos"),
+            F.sum("soma_total").alias("faturamento_total"),
+            mean_product(2).alias("ticket_medio"),
         )
         .orderBy(*largest_first("faturamento_total", "estado"))
         .limit(TOP)
@@ -225,11 +242,11 @@ def top_sellers(star: Star) -> DataFrame:
 def orders_by_weekday(star: Star) -> DataFrame:
     """Monday to Sunday, canceled orders included."""
     return (
-        star.with_calendar("dia_semana_num", "dia_semana_nome")
+        star.join_calendar(star.orders(), "dia_semana_num", "dia_semana_nome")
         .groupBy("dia_semana_num", "dia_semana_nome")
         .agg(
-            order_count().alias("qtd_pedidos"),
-            mean("valor_produto", 2).alias("ticket_medio"),
+            star.order_count().alias("qtd_pedidos"),
+            mean_product(2).alias("ticket_medio"),
         )
         .orderBy(*smallest_first("dia_semana_num"))
     )
@@ -256,12 +273,12 @@ def score_vs_delivery(star: Star) -> DataFrame:
 
 def revenue_by_quarter(star: Star) -> DataFrame:
     return (
-        star.with_calendar("ano", "trimestre", where=active())
+        star.join_calendar(star.orders().filter(active()), "ano", "trimestre")
         .groupBy("ano", "trimestre")
         .agg(
-            order_count().alias("qtd_pedidos"),
-            F.sum("valor_total").alias("faturamento_total"),
-            mean("valor_produto", 2).alias("ticket_medio"),
+            star.order_count().alias("qtd_pedidos"),
+            F.sum("soma_total").alias("faturamento_total"),
+            mean_product(2).alias("ticket_medio"),
         )
         .orderBy(*smallest_first("ano", "trimestre"))
     )
@@ -271,13 +288,13 @@ def payment_methods(star: Star) -> DataFrame:
     """Paid value per payment type, weighted by items (see the grain notes)."""
     kind = F.col("tipo_pagamento")
     return (
-        star.facts()
+        star.orders()
         .filter(kind.isNotNull() & (kind != NO_PAYMENT_TEXT))
         .groupBy("tipo_pagamento")
         .agg(
-            order_count().alias("qtd_pedidos"),
-            F.sum("valor_pago").alias("valor_total_pago"),
-            mean("valor_pago", 2).alias("ticket_medio"),
+            star.order_count().alias("qtd_pedidos"),
+            F.sum(by_items("valor_pago")).alias("valor_total_pago"),
+            mean_by_items("valor_pago", 2).alias("ticket_medio"),
         )
         .withColumn("pct_pedidos", share_of_all("qtd_pedidos"))
         .orderBy(*largest_first("qtd_pedidos", "tipo_pagamento"))

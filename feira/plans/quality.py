@@ -8,10 +8,12 @@ its column can't hold stops the run too. The other raw rules only report.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feira.functions import clean
 from feira.operators import orders as order_ops
@@ -28,7 +30,15 @@ from feira.schema import (
     SMALLINT_RANGE,
     STAR_TABLES,
 )
+from feira.sources.local_rows import local_frame
 
+FINDINGS = T.StructType(
+    [
+        T.StructField("rule", T.StringType()),
+        T.StructField("table", T.StringType()),
+        T.StructField("violations", T.LongType()),
+    ]
+)
 # Rules whose violation makes reports wrong, or loses a value.
 BLOCKING = ("primary_key", "natural_key", "foreign_key", "not_null", "numeric_range")
 
@@ -75,27 +85,44 @@ def _id_bitmaps(df: DataFrame, key: str) -> DataFrame:
     )
 
 
+def _key_properties(df: DataFrame, table: str) -> DataFrame:
+    """rows, smallest, largest and distinct id of a table, one row."""
+    properties = _id_bitmaps(df, PRIMARY_KEYS[table]).agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.min("low").alias("smallest"),
+        F.max("high").alias("largest"),
+        F.coalesce(F.sum("d"), F.lit(0)).alias("distinct_ids"),
+    )
+    return properties.select(F.lit(table).alias("table"), "*")
+
+
 def surrogate_key_properties(star: Star) -> DataFrame:
     """rows, smallest, largest and distinct surrogate id per table."""
     return _union(
-        [
-            _id_bitmaps(star.tables[table], key)
-            .agg(
-                F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
-                F.min("low").alias("smallest"),
-                F.max("high").alias("largest"),
-                F.coalesce(F.sum("d"), F.lit(0)).alias("distinct_ids"),
-            )
-            .select(F.lit(table).alias("table"), "*")
-            for table, key in PRIMARY_KEYS.items()
-            if table != "dim_data"
-        ]
+        [_key_properties(star.tables[t], t) for t in PRIMARY_KEYS if t != "dim_data"]
     )
 
 
-def _primary_key(star: Star, table: str) -> DataFrame:
-    bitmaps = _id_bitmaps(star.tables[table], PRIMARY_KEYS[table])
-    return _finding(bitmaps, "primary_key", table, F.sum(F.col("n") - F.col("d")))
+@dataclass(frozen=True)
+class _Ids:
+    """The ids of a table: how many rows and different ids, and whether these are 1..n."""
+
+    rows: int
+    different: int
+    dense: bool
+
+
+def _ids(star: Star) -> dict[str, _Ids]:
+    """What the ids of every table are like, from one scan of its id column."""
+    found = _union([_key_properties(df, table) for table, df in star.tables.items()]).collect()
+    return {
+        r["table"]: _Ids(
+            r["rows"],
+            r["distinct_ids"],
+            (r["smallest"], r["largest"], r["rows"]) in ((1, r["distinct_ids"], r["distinct_ids"]), (None, None, 0)),
+        )
+        for r in found
+    }
 
 
 def _repeated(df: DataFrame, rule: str, table: str, key: str) -> DataFrame:
@@ -120,12 +147,38 @@ def _foreign_key(star: Star, column: str, dim: str, key: str) -> DataFrame:
     return _finding(orphans, f"foreign_key {column}", "fato_pedido", F.sum("n"))
 
 
+def _fact_rules(star: Star, ids: dict[str, _Ids]) -> list[DataFrame]:
+    """Rules on the rows of the fact, and its foreign keys, in one scan without a shuffle.
+
+    Ids of a dimension that are known to be 1..n need no lookup: a key is valid if it lies
+    in between. Days are looked up in a broadcast calendar of measured size. Only for a
+    dimension that is neither is the fact joined.
+    """
+    facts, rules, frames = star.tables["fato_pedido"], {}, []
+    for column, dim, key in FOREIGN_KEYS:
+        id_ = F.col(column)
+        if dim != "dim_data" and ids[dim].dense:
+            unknown = ~id_.between(1, ids[dim].rows)
+        elif dim == "dim_data" and star.sizes[dim].bytes <= star.max_broadcast_bytes:
+            days = star.tables[dim].select(F.col(key).alias(column)).distinct()
+            days = days.withColumn(f"_{column}", F.lit(True))
+            facts = facts.join(F.broadcast(days), column, "left")
+            unknown = F.col(f"_{column}").isNull()
+        else:
+            frames.append(_foreign_key(star, column, dim, key))
+            continue
+        rules[f"foreign_key {column}"] = F.coalesce(id_.isNotNull() & unknown, F.lit(False))
+    return [_row_rules(facts, "fato_pedido", rules), *frames]
+
+
 def dimension_rules(tables: dict[str, DataFrame]) -> DataFrame:
     """Rules that rows of dimensions can break on their own."""
     return _union([_row_rules(df, table) for table, df in tables.items()])
 
 
-def _row_rules(df: DataFrame, table: str) -> DataFrame:
+def _row_rules(
+    df: DataFrame, table: str, more: dict[str, Column] | None = None
+) -> DataFrame:
     rules = {"not_null": _any([F.col(c).isNull() for c in NOT_NULL[table]])}
     rules["text_length"] = _any(
         [F.coalesce(F.length(c) > n, F.lit(False)) for c, n in MAX_LENGTH[table].items()]
@@ -141,7 +194,7 @@ def _row_rules(df: DataFrame, table: str) -> DataFrame:
     if table == "fato_pedido":
         paid = F.col("valor_pago")
         rules["numeric_range valor_pago"] = F.coalesce(F.abs(paid) >= MONEY_LIMIT, F.lit(False))
-    return _findings(df, table, rules)
+    return _findings(df, table, rules | (more or {}))
 
 
 RANGE_RULES = {
@@ -167,15 +220,20 @@ def range_rules(raw: dict[str, DataFrame]) -> DataFrame:
 
 
 def star_rules(star: Star) -> DataFrame:
-    """Every rule over every star table; violations are rows breaking the rule."""
-    frames = [_primary_key(star, table) for table in STAR_TABLES]
+    """Every rule over every star table; violations are rows breaking the rule.
+
+    The id columns are scanned first; the fact is scanned once more for all other rules.
+    """
+    spark = star.tables["fato_pedido"].sparkSession
+    ids = _ids(star)
+    repeated = [("primary_key", table, found.rows - found.different) for table, found in ids.items()]
+    frames = [local_frame(spark, repeated, FINDINGS)]
     frames += [
         _repeated(star.tables[table], "natural_key", table, key)
         for table, key in NATURAL_KEYS.items()
     ]
-    frames += [_foreign_key(star, *edge) for edge in FOREIGN_KEYS]
-    frames += [_row_rules(star.tables[table], table) for table in STAR_TABLES]
-    return _union(frames)
+    frames += [_row_rules(star.tables[t], t) for t in STAR_TABLES if t != "fato_pedido"]
+    return _union([*frames, *_fact_rules(star, ids)])
 
 
 def raw_rules(raw: dict[str, DataFrame]) -> DataFrame:

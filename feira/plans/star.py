@@ -11,7 +11,14 @@ from pyspark.sql import functions as F
 
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys, spread_join
-from feira.schema import FACT_PARTITION, FACT_STATE, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES
+from feira.schema import (
+    FACT_PARTITION,
+    FACT_STATE,
+    NATURAL_KEYS,
+    ORDER_COLUMNS,
+    PRIMARY_KEYS,
+    STAR_TABLES,
+)
 
 
 def _day_key(day: str | datetime.date) -> int:
@@ -20,6 +27,26 @@ def _day_key(day: str | datetime.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
+def per_order(facts: DataFrame) -> DataFrame:
+    """One row per order of item rows, with their number and sums."""
+    return facts.groupBy(*ORDER_COLUMNS).agg(
+        F.count("*").alias("itens"),
+        F.sum("valor_produto").alias("soma_produto"),
+        F.count("valor_produto").alias("itens_produto"),
+        F.sum("valor_frete").alias("soma_frete"),
+        F.sum("valor_total").alias("soma_total"),
+    )
+
+
+@dataclass(frozen=True)
+class OrderSummary:
+    """The orders of a fact table. unique: no order_id has more than one row."""
+
+    of: DataFrame
+    rows: DataFrame
+    unique: bool
+
+
 @dataclass(frozen=True)
 class Star:
     """Star tables with their measured sizes and the hot dimension keys of the fact.
@@ -35,6 +62,7 @@ class Star:
     date_from: int | None = None
     date_to: int | None = None
     states: tuple[str | None, ...] | None = None
+    summary: OrderSummary | None = None
 
     def slice(
         self,
@@ -65,12 +93,37 @@ class Star:
 
     def facts(self) -> DataFrame:
         """Item rows within the slicers."""
-        facts = self._dated_facts()
+        return self._within_slicers(self.tables["fato_pedido"])
+
+    def orders(self) -> DataFrame:
+        """One row per order within the slicers, see `per_order`.
+
+        The load has written them, so reports that count orders read few rows and shuffle
+        none of them by order. A star whose fact is another one than that of the load
+        adds them up.
+        """
+        if self._has_summary():
+            return self._within_slicers(self.summary.rows)
+        return per_order(self.facts())
+
+    def orders_are_unique(self) -> bool:
+        """Whether every row of `orders` is an order_id of its own."""
+        return self._has_summary() and self.summary.unique
+
+    def order_count(self) -> F.Column:
+        """Aggregate over rows of `orders`: the different order_ids."""
+        return F.count("*") if self.orders_are_unique() else F.count_distinct("order_id")
+
+    def _has_summary(self) -> bool:
+        return self.summary is not None and self.summary.of is self.tables["fato_pedido"]
+
+    def _within_slicers(self, rows: DataFrame) -> DataFrame:
+        rows = self._dated(rows)
         if self.states is None:
-            return facts
+            return rows
         state = F.col(FACT_STATE)
         chosen = state.isin(*[s for s in self.states if s is not None])
-        return facts.filter(chosen | state.isNull() if None in self.states else chosen)
+        return rows.filter(chosen | state.isNull() if None in self.states else chosen)
 
     def with_product(self, *columns: str, where: F.Column | None = None) -> DataFrame:
         facts = self.facts()
@@ -108,8 +161,7 @@ class Star:
         ids = [PRIMARY_KEYS[dim] for dim in NATURAL_KEYS]
         return facts.drop("id_fato", FACT_STATE, FACT_PARTITION, *ids)
 
-    def _dated_facts(self) -> DataFrame:
-        facts = self.tables["fato_pedido"]
+    def _dated(self, facts: DataFrame) -> DataFrame:
         # the month repeats the condition for partition pruning
         if self.date_from is not None:
             facts = facts.filter(

@@ -105,6 +105,42 @@ FACT_PARTITION = "mes_compra"
 # state read it there. A reload rebuilds it together with the dimension.
 FACT_STATE = "estado_cliente"
 
+MONEY_TOTAL = T.DecimalType(22, 2)
+# One row per order, as its item rows describe it, with the sums of these. An order_id
+# that stands for several orders has a row for each. Derived from the fact by the load.
+ORDER_COLUMNS = (
+    "order_id",
+    "id_data_compra",
+    "id_data_entrega",
+    "id_cliente",
+    "status_pedido",
+    "tipo_pagamento",
+    "valor_pago",
+    "nota_avaliacao",
+    "dias_para_entrega",
+    FACT_STATE,
+    FACT_PARTITION,
+)
+_ORDER_SUMS = (
+    T.StructField("itens", T.LongType()),
+    T.StructField("soma_produto", MONEY_TOTAL),
+    T.StructField("itens_produto", T.LongType()),
+    T.StructField("soma_frete", MONEY_TOTAL),
+    T.StructField("soma_total", MONEY_TOTAL),
+)
+_PHYSICAL = {
+    FACT_STATE: T.StructField(FACT_STATE, T.StringType()),
+    FACT_PARTITION: T.StructField(FACT_PARTITION, T.IntegerType()),
+}
+RESUMO_PEDIDO = T.StructType(
+    [
+        *[_PHYSICAL.get(c) or FATO_PEDIDO[c] for c in ORDER_COLUMNS if c != FACT_PARTITION],
+        *_ORDER_SUMS,
+        _PHYSICAL[FACT_PARTITION],
+    ]
+)
+SUMMARY = "resumo_pedido"
+
 STAR_TABLES = {
     "dim_data": DIM_DATA,
     "dim_cliente": DIM_CLIENTE,

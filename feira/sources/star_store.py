@@ -25,8 +25,16 @@ from pyspark.sql import types as T
 
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys
-from feira.plans.star import Star
-from feira.schema import FACT_PARTITION, FACT_STATE, FATO_PEDIDO, PRIMARY_KEYS, STAR_TABLES
+from feira.plans.star import OrderSummary, Star
+from feira.schema import (
+    FACT_PARTITION,
+    FACT_STATE,
+    FATO_PEDIDO,
+    PRIMARY_KEYS,
+    RESUMO_PEDIDO,
+    STAR_TABLES,
+    SUMMARY,
+)
 from feira.sources.local_rows import local_frame
 
 METRICS = T.StructType(
@@ -58,6 +66,9 @@ HOT_KEYS = T.StructType(
     ]
 )
 
+# Tables with a folder per purchase month.
+BY_MONTH = ("fato_pedido", SUMMARY)
+
 # Rejected item rows: the fact without its id, then the natural keys.
 REJECTS = T.StructType(
     [f for f in FATO_PEDIDO if f.name != "id_fato"]
@@ -76,11 +87,13 @@ class Version:
 
     tables: the folders of each table, relative to the store or, for tables of another
     store, absolute. run_id: the run that made the version; its folder has the notes.
+    unique_orders: whether no order_id has more than one row in the order summary.
     """
 
     number: int
     run_id: str
     tables: dict[str, tuple[str, ...]]
+    unique_orders: bool = False
 
     def runs(self) -> set[str]:
         """Runs of this store that the version needs."""
@@ -117,7 +130,7 @@ def run_folder(out: str, run_id: str) -> str:
 
 def run_tables(run_id: str) -> dict[str, tuple[str, ...]]:
     """The folders of a run that wrote every table."""
-    return {table: (f"runs/{run_id}/{table}",) for table in STAR_TABLES}
+    return {table: (f"runs/{run_id}/{table}",) for table in (*STAR_TABLES, SUMMARY)}
 
 
 def table_paths(out: str, folders: tuple[str, ...]) -> list[str]:
@@ -125,6 +138,8 @@ def table_paths(out: str, folders: tuple[str, ...]) -> list[str]:
 
 
 def table_schema(table: str) -> T.StructType:
+    if table == SUMMARY:
+        return RESUMO_PEDIDO
     schema = STAR_TABLES[table]
     if table == "fato_pedido":
         physical = [
@@ -136,16 +151,22 @@ def table_schema(table: str) -> T.StructType:
 
 
 def write_table(df: DataFrame, folder: str, table: str) -> None:
-    """Full replacement of one table of a run."""
+    """Full replacement of one table of a run.
+
+    Rows of a month are stored by state, so a slicer by state passes over row groups and
+    pages of other states. The month's folders need the rows sorted in any case.
+    """
+    if table in BY_MONTH:
+        df = df.sortWithinPartitions(FACT_PARTITION, FACT_STATE)
     writer = df.write.mode("overwrite")
-    if table == "fato_pedido":
+    if table in BY_MONTH:
         writer = writer.partitionBy(FACT_PARTITION)
     writer.parquet(f"{folder}/{table}")
 
 
 def read_table(spark: SparkSession, table: str, *paths: str) -> DataFrame:
     reader = spark.read.schema(table_schema(table))
-    if table == "fato_pedido":
+    if table in BY_MONTH:
         # folders of months can't be found below several tables at once
         return reduce(DataFrame.union, [reader.parquet(path) for path in paths])
     return reader.parquet(*paths)
@@ -254,7 +275,7 @@ def read_version(spark: SparkSession, out: str, number: int) -> Version:
         stream.close()
     found = json.loads(text)
     tables = {table: tuple(folders) for table, folders in found["tables"].items()}
-    return Version(number, found["run_id"], tables)
+    return Version(number, found["run_id"], tables, found["unique_orders"])
 
 
 def newest_version(spark: SparkSession, out: str) -> Version | None:
@@ -268,13 +289,20 @@ def publish(
     run_id: str,
     base: Version | None,
     tables: dict[str, tuple[str, ...]] | None = None,
+    unique_orders: bool = False,
 ) -> Version:
     """Make the next version after `base`; PublishConflict if there is one already.
 
     tables: folders per table, by default those of the run.
     """
-    version = Version((base.number if base else 0) + 1, run_id, tables or run_tables(run_id))
-    content = {"run_id": run_id, "published_at": _now().isoformat(), "tables": version.tables}
+    number = (base.number if base else 0) + 1
+    version = Version(number, run_id, tables or run_tables(run_id), unique_orders)
+    content = {
+        "run_id": run_id,
+        "published_at": _now().isoformat(),
+        "unique_orders": unique_orders,
+        "tables": version.tables,
+    }
     if not create_if_free(spark, _version_path(out, version.number), json.dumps(content)):
         other = read_version(spark, out, version.number).run_id
         raise PublishConflict(
@@ -369,10 +397,11 @@ def load_star(
         if pieces:
             hot[key] = HotKeys(key, T.LongType(), pieces)
     tables = {
-        table: read_table(spark, table, *table_paths(out, version.tables[table]))
-        for table in STAR_TABLES
+        table: read_table(spark, table, *table_paths(out, folders))
+        for table, folders in version.tables.items()
     }
-    return Star(tables, sizes, hot, max_broadcast_bytes)
+    summary = OrderSummary(tables["fato_pedido"], tables.pop(SUMMARY), version.unique_orders)
+    return Star(tables, sizes, hot, max_broadcast_bytes, summary=summary)
 
 
 def open_star(
@@ -397,4 +426,4 @@ def branch(spark: SparkSession, out: str, target: str) -> Version:
     for name, schema in (("sizes", SIZES), ("hot_keys", HOT_KEYS)):
         spark.read.schema(schema).parquet(f"{notes}/{name}").coalesce(1).write.parquet(f"{copy}/{name}")
     tables = {table: tuple(table_paths(out, folders)) for table, folders in source.tables.items()}
-    return publish(spark, target, run_id, None, tables)
+    return publish(spark, target, run_id, None, tables, source.unique_orders)

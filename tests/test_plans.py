@@ -5,11 +5,12 @@ from __future__ import annotations
 import contextlib
 import io
 import re
+from dataclasses import replace
 
 import pytest
 
 import __spark_entry__ as entry
-from feira.plans import dashboard, marts
+from feira.plans import dashboard, marts, quality
 from feira.operators.sizing import Limits, count_rows
 from feira.plans.etl import DIMENSIONS
 from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows
@@ -30,11 +31,11 @@ def test_no_cartesian_product_and_no_python(spark, name):
     assert not re.search(r"EvalPython|MapInPandas|FlatMapGroups|PythonRDD|Scan ExistingRDD", text)
 
 
-def fact_scans(text: str) -> list[set[str]]:
-    """Columns read by each scan of the fact's files."""
+def fact_scans(text: str, table: str = "fato_pedido") -> list[set[str]]:
+    """Columns read by each scan of the files of the fact, or of the order summary."""
     scans = []
     for block in re.split(r"\n\n+", text):
-        if "Scan parquet" in block and "fato_pedido" in block:
+        if "Scan parquet" in block and table in block:
             read = re.search(r"ReadSchema: struct<(.*)>", block).group(1)
             scans.append({c.split(":")[0] for c in re.sub(r"\([^)]*\)", "", read).split(",")})
     return scans
@@ -42,9 +43,14 @@ def fact_scans(text: str) -> list[set[str]]:
 
 def test_scans_read_only_used_columns(star):
     assert fact_scans(plan(marts.review_mean(star))) == [{"nota_avaliacao"}]
-    assert fact_scans(plan(marts.revenue_by_quarter(star))) == [
-        {"order_id", "id_data_compra", "status_pedido", "valor_produto", "valor_total"}
+    text = plan(marts.revenue_by_quarter(star))
+    assert fact_scans(text) == []
+    assert fact_scans(text, "resumo_pedido") == [
+        {"id_data_compra", "status_pedido", "soma_produto", "itens_produto", "soma_total"}
     ]
+    from_items = plan(marts.revenue_by_quarter(replace(star, summary=None)))
+    (columns,) = fact_scans(from_items)
+    assert {"order_id", "id_data_compra", "status_pedido", "valor_produto", "valor_total"} <= columns
 
 
 def test_filters_reach_the_scan(star):
@@ -73,17 +79,55 @@ def test_orders_are_counted_for_the_top_sellers_only(star):
     assert sorted("order_id" in columns for columns in fact_scans(text)) == [False, True]
 
 
-def test_kpi_cards_shuffle_orders_once(star):
-    text = plan(dashboard.kpi_cards(star))
+ORDER_REPORTS = (
+    dashboard.kpi_cards,
+    dashboard.role_dates,
+    marts.orders_by_status,
+    marts.payment_methods,
+    marts.orders_by_weekday,
+    marts.revenue_by_month,
+    marts.revenue_by_quarter,
+    marts.delivery_by_state,
+    marts.top_states,
+)
+
+
+@pytest.mark.parametrize("report", ORDER_REPORTS, ids=lambda r: r.__name__)
+def test_orders_are_counted_without_a_shuffle_by_order(star, report):
+    """One row per order is stored, so nothing is exchanged by order_id."""
+    assert star.orders_are_unique()
+    text = plan(report(star))
+    assert not re.search(r"hashpartitioning\([^)]*order_id", text)
+    assert fact_scans(text) == [] and fact_scans(text, "resumo_pedido")
+
+
+def test_kpi_cards_of_repeated_orders_shuffle_them_once(star):
+    repeated = replace(star, summary=replace(star.summary, unique=False))
+    text = plan(dashboard.kpi_cards(repeated))
     assert len(re.findall(r"Arguments: hashpartitioning", text)) == 1
     assert "Expand" not in text
 
 
+def test_category_share_reads_the_fact_once(star):
+    text = plan(dashboard.category_share_top5(star))
+    assert len(fact_scans(text)) == 1
+    assert len(re.findall(r"\nExchange\n|\) Exchange\n", text)) <= 6
+    # what meets in one task was cut to the five largest of each bucket
+    assert re.search(r"Filter.*\n.*\n.*_rank#\d+ <= 5", text)
+
+
+def test_rules_scan_the_fact_twice_and_join_no_dimension(star):
+    text = plan(quality.star_rules(star))
+    scans = fact_scans(text)
+    assert len(scans) == 1  # the ids were scanned before
+    assert {"id_cliente", "id_produto", "id_vendedor", "id_data_compra"} <= scans[0]
+    assert "SortMergeJoin" not in text
+    assert not re.search(r"hashpartitioning\(id_(cliente|produto|vendedor)", text)
+
+
 def test_small_dimensions_are_broadcast_and_large_ones_are_not(spark, star):
     small = plan(marts.top_categories(star))
     assert "BroadcastHashJoin" in small
-    from dataclasses import replace
-
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         large = plan(marts.top_categories(replace(star, max_broadcast_bytes=0)))
@@ -117,12 +161,11 @@ def exchanges(text: str) -> list[tuple[str, str]]:
 
 
 def test_no_window_over_all_categories(star):
-    """Only the ten (or five) largest and one total reach a single task unaggregated."""
-    for report in (marts.top_categories, dashboard.category_share_top5):
-        text = plan(report(star))
-        assert "TakeOrderedAndProject" in text
-        for block in re.findall(r"Exchange\nInput.*\nArguments: SinglePartition.*", text):
-            assert "sum#" in block or "sum(" in block or "_total" in block or "count#" in block, block
+    """Only the ten largest and one total reach a single task unaggregated."""
+    text = plan(marts.top_categories(star))
+    assert "TakeOrderedAndProject" in text
+    for block in re.findall(r"Exchange\nInput.*\nArguments: SinglePartition.*", text):
+        assert "sum#" in block or "sum(" in block or "_total" in block or "count#" in block, block
 
 
 def test_order_side_is_shuffled_once_without_hot_keys(spark, raw, star):

@@ -5,17 +5,20 @@ from __future__ import annotations
 import datetime
 import json
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
+from pathlib import Path
 
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from feira import append_dimensions, append_etl, open_star, run_etl
+from feira import append_dimensions, append_etl, open_star, run_etl, run_etl_from_csv
 from feira.operators.watching import Watch
-from feira.plans import marts, quality
+from feira.plans import dashboard, marts, quality
 from feira.plans.etl import IntegrityError
-from feira.schema import NATURAL_KEYS, STAR_TABLES
+from feira.schema import NATURAL_KEYS, STAR_TABLES, SUMMARY
 from feira.sources import star_store
-from tests.test_load import as_rows
+from tests.test_load import PREFIX, as_rows, dirty_tables, write_csv
 
 
 def version_files(folder):
@@ -168,7 +171,7 @@ def first_run(spark, out):
 
 def test_branch_copies_nothing_and_changes_nothing(spark, star_out, store):
     version = star_store.newest_version(spark, str(store))
-    assert set(version.tables) == set(STAR_TABLES)
+    assert set(version.tables) == {*STAR_TABLES, SUMMARY}
     assert all(f.startswith(star_out) for folders in version.tables.values() for f in folders)
     content = json.loads((store / "versions" / "000000000001.json").read_text())
     assert content["run_id"] == version.run_id
@@ -194,3 +197,51 @@ def test_watch_counts_on_the_way_or_afterwards(spark, tmp_path):
     empty = rows.where("id < 0").join(watched, "id")
     empty.write.parquet(str(tmp_path / "e"))
     assert nothing.counts("t", 11, lambda: {"odd": 3}) == {"odd": 3}
+
+
+def test_order_summary_gives_what_the_items_give(spark, tmp_path):
+    """Repeated order_ids included: the dirty tables have many."""
+    write_csv(dirty_tables(3), tmp_path / "in")
+    out = str(tmp_path / "out")
+    run_etl_from_csv(spark, str(tmp_path / "in"), out, PREFIX)
+    star = open_star(spark, out)
+    assert not star.orders_are_unique()
+    unique = dirty_tables(3)
+    for k, order in enumerate(unique["pedidos"]):
+        order["order_id"] = f"o{k}"
+    write_csv(unique, tmp_path / "unique")
+    once = run_etl_from_csv(spark, str(tmp_path / "unique"), str(tmp_path / "once"), PREFIX)
+    assert once.orders_are_unique()
+    for whole in (star, once):
+        for seen in (whole, whole.slice("2018-01-01", "2018-03-31", ["SP", None])):
+            for report in (*marts.REPORTS.values(), *dashboard.METRICS.values()):
+                from_items = report(replace(seen, summary=None))
+                assert as_rows(report(seen)) == as_rows(from_items), report.__name__
+
+
+def test_a_changed_fact_is_not_answered_from_the_summary(star):
+    changed = replace(star, tables=star.tables | {"fato_pedido": star.tables["fato_pedido"].limit(5)})
+    assert star.orders_are_unique() and not changed.orders_are_unique()
+    assert marts.orders_by_status(changed).agg(F.sum("qtd_pedidos")).first()[0] <= 5
+
+
+def test_an_order_in_two_batches_counts_once(spark, raw, star, tmp_path):
+    """Items of an order that come in a second batch don't make it two orders."""
+    out = str(tmp_path / "out")
+    first = F.col("product_id").cast("long") % 2 == 0
+    run_etl(raw | {"itens": raw["itens"].where(first)}, out)
+    assert open_star(spark, out).orders_are_unique()
+    append_etl(raw | {"itens": raw["itens"].where(~first)}, out)
+    whole = open_star(spark, out)
+    assert not whole.orders_are_unique()
+    for report in (marts.orders_by_status, marts.revenue_by_month, dashboard.kpi_cards):
+        assert as_rows(report(whole)) == as_rows(report(star)), report.__name__
+
+
+def test_rows_of_a_month_are_stored_by_state(star_out, spark):
+    run = star_store.latest_run(spark, star_out)
+    files = list(Path(star_out, "runs", run, "fato_pedido").glob("*/*.parquet"))
+    assert files
+    for file in files:
+        states = [s or "" for s in pq.read_table(file, columns=["estado_cliente"])[0].to_pylist()]
+        assert states == sorted(states)
