@@ -11,7 +11,7 @@ the article; the smallest density on the path from the body to it is the thresho
 Without an article or main element the text of the body is the article, if all containers
 beside the path reach the threshold. Otherwise each neighbour of the path is judged by
 itself: it belongs to the article if it isn't mostly links and, being a container or list,
-has a tenth of the threshold or the density of the sparsest block of the article's node.
+has a tenth of the threshold, or two fifths of it if it is of a single part.
 Containers of links inside the article must reach the threshold to stay.
 
 Elements that are never main text by their tag, role or class (menus, headers, footers,
@@ -72,11 +72,12 @@ PLACES = frozenset(
     "message the and to".split()
 )
 WORD = re.compile(r"[a-z]+", re.IGNORECASE)
+OPEN_TAG = re.compile(r"<[a-z/!?]", re.IGNORECASE)
 
 
-#: Share of the threshold that a neighbour needs. Parts of one article differ by less, and
-#: lines such as a date or a copyright notice are below it.
-NEIGHBOUR = 0.1
+#: Share of the threshold that a neighbour needs, and one of a single part. Parts of one
+#: article differ by less, and lines such as a date or a copyright notice are below it.
+NEIGHBOUR, SINGLE = 0.1, 0.4
 
 
 def _marks_noise(mark: str) -> bool:
@@ -273,8 +274,16 @@ def _article(
     for node in path:
         if tree.tags[node] in ("article", "main"):
             return node, threshold, set()
-    blocks = [density[k] for k in tree.children[best] if tree.tags[k] in BLOCKS - HEADINGS]
-    floor = min([threshold * NEIGHBOUR, *(x for x in blocks if x > 0)])
+
+    def needed(node: int) -> float:
+        """Density of a neighbour that belongs to the article.
+
+        A node has fewer characters per tag than its parts, so one of a single part, as a
+        notice is, needs more.
+        """
+        parts = sum(tree.tags[k] in BLOCKS and chars[k] > 0 for k in tree.children[node])
+        return threshold * (NEIGHBOUR if parts > 1 else SINGLE)
+
     root = next(node for node in path if tree.tags[node] in CONTAINERS)
     out: set[int] = set()
     mixed = False  # some neighbour on the way is below the threshold
@@ -289,7 +298,7 @@ def _article(
                 if tree.tags[k] not in HEADINGS
                 and (
                     2 * link_chars[k] > chars[k]
-                    or (tree.tags[k] in CONTAINERS | LISTS and density[k] < floor)
+                    or (tree.tags[k] in CONTAINERS | LISTS and density[k] < needed(k))
                 )
             )
         root = parent
@@ -301,9 +310,13 @@ def main_text(html: str | None) -> str:
     if not html:
         return ""
     tree = _Tree()
-    tree.feed(html)
+    # no tag ends behind the last ">", and the parser would look for its end again and again
+    end = html.rfind(">") + 1
+    tree.feed(html[:end])
     if tree.rawdata.startswith("<!--"):  # a comment that never ends
         tree.rawdata = ""
+    elif not tree.cdata_elem:
+        tree.feed(OPEN_TAG.split(html[end:], maxsplit=1)[0])
     tree.close()
     tree.drop_doubted()
     density, sums, chars, link_chars = _densities(tree)

@@ -1,5 +1,11 @@
+import math
+import re
+import time
+
+import pyarrow.parquet as pq
 import pytest
 
+from feira.llm import html_text
 from feira.llm.html_text import extract, main_text
 
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{{}}</style><script>var a="</p><p>no";</script>
@@ -144,8 +150,109 @@ def test_many_rows_and_long_pages(spark):
 
 
 def test_unclosed_tags_take_linear_time():
-    import time
-
     start = time.perf_counter()
     main_text("<p><b>x<i>" * 20_000 + "</u></em>" * 20_000)
     assert time.perf_counter() - start < 10
+
+
+@pytest.mark.parametrize("piece", ["<p ", "</p ", "<!-- ", "<?", "<a href='", "<b a=\"x' ", "&#", "<script ", "<title><", "<", "<![CDATA["])
+@pytest.mark.parametrize("end", ["", ">"])
+def test_a_megabyte_of_unclosed_tags(piece, end):
+    start = time.perf_counter()
+    main_text(piece * (1_000_000 // len(piece)) + end)
+    assert time.perf_counter() - start < 5
+
+
+def test_text_before_a_tag_that_never_ends():
+    assert main_text("<p>one</p>two < three <p fo") == "one\ntwo < three"
+    assert main_text("<p>one</p><script>x <p") == "one"
+
+
+PARAGRAPHS = [f"<p>text{k} {'some words of it ' * 20}</p>" for k in range(5)]
+NOISE = {
+    "copyright": "<div>\u00a9 2024 The Site. All rights reserved.</div>",
+    "teasers": "<div>" + "<div><h3>Other</h3><p>Read this one.</p></div>" * 4 + "</div>",
+    "cookies": "<div><p>We use cookies to make this site better. Do you accept?</p></div>",
+    "menu": "<table><tr><td>Home<br>News<br>Sport</td></tr></table>",
+    "thread": "<div>" + "<div><p>So true!</p></div>" * 8 + "</div>",
+}
+
+
+@pytest.mark.parametrize("short", ["", "<p>In short</p>", "<p>He said</p>"])
+@pytest.mark.parametrize("noise", sorted(NOISE))
+@pytest.mark.parametrize("before", [True, False])
+def test_unmarked_noise_goes_short_paragraphs_stay(noise, before, short):
+    """No class, id or tag tells what is noise; a short paragraph doesn't let it in."""
+    article = f"<div><h1>Title</h1>{''.join(PARAGRAPHS[:3])}{short}{''.join(PARAGRAPHS[3:])}</div>"
+    parts = [NOISE[noise], article] if before else [article, NOISE[noise]]
+    lines = main_text(f"<body>{''.join(parts)}</body>").split("\n")
+    words = ["Title", *[f"text{k}" for k in range(3)], *([short[3:5]] if short else []), "text3", "text4"]
+    assert [line.split()[0] for line in lines] == words
+
+
+def bare(html):
+    """The page without article elements, classes and ids."""
+    return re.sub(r"\s(?:class|id)=\"[^\"]*\"", "", re.sub(r"<(/?)article", r"<\1div", html))
+
+
+@pytest.fixture(scope="module")
+def pages():
+    return pq.read_table("/root/testdata/sf0.01/pages.parquet").column("html").to_pylist()
+
+
+def test_density_finds_the_article_without_marks(pages):
+    """On 0.93 of the given pages; the rest have hardly more text than their advert."""
+    same = sum(main_text(bare(html)) == main_text(html) for html in pages)
+    assert same >= 0.9 * len(pages)
+
+
+def test_sums_of_densities_choose_the_article(pages, monkeypatch):
+    plain = html_text._densities
+
+    def without_sums(tree):
+        density, sums, chars, link_chars = plain(tree)
+        return density, [0.0] * len(sums), chars, link_chars
+
+    monkeypatch.setattr(html_text, "_densities", without_sums)
+    same = sum(main_text(bare(html)) == main_text(html) for html in pages)
+    assert same < 0.2 * len(pages)
+
+
+def test_densities_against_the_formula(pages):
+    """Counted from the nodes' own texts and ancestors, for every node."""
+    for html in [PAGE.format(tag="div"), *pages[:10]]:
+        tree = html_text._Tree()
+        tree.feed(html)
+        tree.close()
+        tree.drop_doubted()
+        density, sums, *_ = html_text._densities(tree)
+        n = len(tree.tags)
+
+        def above(k):
+            while k >= 0:
+                yield k
+                k = tree.parents[k]
+
+        live = [k for k in range(n) if not any(tree.dropped[a] for a in above(k))]
+        own = {k: sum(len("".join(t.split())) for _, t in tree.texts[k]) for k in live}
+        below = {k: [x for x in live if k in above(x)] for k in live}
+        links = {k for k in live if any(tree.tags[a] == "a" for a in above(k))}
+
+        def counts(k):
+            c = sum(own[x] for x in below[k])
+            t = len(below[k]) - 1
+            lc = sum(own[x] for x in below[k] if x in links)
+            lt = sum(tree.tags[x] == "a" for x in below[k] if x != k)
+            return c, t, lc, lt
+
+        body_c, _, body_lc, _ = counts(0)
+        for k in live:
+            c, t, lc, lt = counts(k)
+            if not c:
+                assert density[k] == 0
+                continue
+            base = math.log(c * lc / max(c - lc, 1) + c * body_lc / max(body_c, 1) + math.e)
+            value = max(c / (lc or 1) * (t or 1) / (lt or 1), 1.0)
+            assert density[k] == pytest.approx(c / (t or 1) * math.log(value) / max(math.log(base), 1.0))
+        for k in live:
+            assert sums[k] == pytest.approx(sum(density[x] for x in live if tree.parents[x] == k))
