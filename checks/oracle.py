@@ -622,9 +622,12 @@ def _times(factor: int) -> str:
 
 
 def planted_statements(
-    slicer: tuple[str, str, tuple[str, ...]], blank: tuple[str | None, ...]
+    slicer: tuple[str, str, tuple[str, ...]],
+    blank: tuple[str | None, ...],
+    delivered: tuple[str, str],
 ) -> dict[str, str]:
-    """Statements over planted defects, chained slicers and a blank state."""
+    """Statements over planted defects, chained slicers, a blank state and delivery dates."""
+    between = " AND ".join(f"DATE '{day}'" for day in delivered)
     no_type = f"fato AS (SELECT * REPLACE ({_when(13, 0, 'NULL', 'tipo_pagamento')}) FROM aceitos)"
     return {
         "quality_rules_planted": _join(_quality(BROKEN_NAMES, "repetida"), BROKEN_FACTS.strip()),
@@ -636,6 +639,10 @@ def planted_statements(
             DASHBOARD["revenue_by_state"], f"fato AS (SELECT * FROM aceitos WHERE {in_states(blank)})"
         ),
         "kpi_cards_chained": _join(DASHBOARD["kpi_cards"], sliced_facts(*slicer)),
+        "role_dates_delivered": _join(
+            DASHBOARD["role_dates"],
+            f"fato AS (SELECT * FROM aceitos WHERE data_entrega BETWEEN {between})",
+        ),
     }
 
 

@@ -17,7 +17,7 @@ from feira.operators.skew import HotKeys, counted_hot_keys, hot_keys
 from feira.operators.watching import Watch
 from feira.plans import dims, quality
 from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows, undated_orders
-from feira.plans.star import OrderSummary, Star, per_order
+from feira.plans.star import DeliveryDays, OrderSummary, Star, per_order
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES, SUMMARY
 from feira.sources import star_store
 from feira.sources.csv_files import land, read_raw
@@ -161,7 +161,7 @@ def append_dimensions(
     findings = [tuple(r) for r in quality.dimension_rules(new).collect()]
     metrics = [("added", dim, size.rows) for dim, size in added.items()]
     sizes = old.sizes | _with_old(added, old)
-    star_store.write_notes(spark, folder, sizes, old.hot, metrics, findings)
+    star_store.write_notes(spark, folder, sizes, old.hot, metrics, findings, old.deliveries)
     _stop_on_broken(run_id, findings, strict)
     version = star_store.publish(spark, out, run_id, base, tables, base.unique_orders)
     star_store.remove_folder(spark, f"{folder}/staging")
@@ -252,11 +252,13 @@ def _load(
         rejected.drop("rejeitado").write.mode("overwrite").parquet(f"{folder}/rejects")
 
     unique: list[bool] = []
+    deliveries: list[DeliveryDays] = []
 
     def write_summary() -> None:
         columns = star_store.table_schema(SUMMARY).fieldNames()
         star_store.write_table(per_order(accepted).select(*columns), folder, SUMMARY)
         unique.append(_unique_orders(added(SUMMARY), old))
+        deliveries.extend(_deliveries(added(SUMMARY), old))
 
     _together(write_fact, write_calendar, write_rejects, write_summary)
 
@@ -275,7 +277,14 @@ def _load(
         if sizes[dim].bytes > limits.max_broadcast_bytes
     }
     summary = OrderSummary(star_tables["fato_pedido"], whole(SUMMARY), unique[0])
-    star = Star(star_tables, sizes, hot_ids, limits.max_broadcast_bytes, summary=summary)
+    star = Star(
+        star_tables,
+        sizes,
+        hot_ids,
+        limits.max_broadcast_bytes,
+        summary=summary,
+        deliveries=tuple(deliveries),
+    )
     # of the fact only the new rows, whose ids lie behind the checked ones
     new_rows = Star(star_tables | {"fato_pedido": written["fato_pedido"]}, sizes)
     rejects = spark.read.schema(star_store.REJECTS).parquet(f"{folder}/rejects")
@@ -286,7 +295,7 @@ def _load(
         ranged = pool.submit(_misfits, raw, raw_rows, watch)
         findings = [*ranged.result(), *[tuple(r) for r in checked.result()]]
         metrics = counted.result()
-    star_store.write_notes(spark, folder, sizes, hot_ids, metrics, findings)
+    star_store.write_notes(spark, folder, sizes, hot_ids, metrics, findings, deliveries)
     _stop_on_broken(run_id, findings, strict)
     star_store.publish(spark, out, run_id, base, tables, unique[0])
     star_store.remove_folder(spark, f"{folder}/staging")
@@ -303,6 +312,17 @@ def _unique_orders(added: DataFrame, old: Star | None) -> bool:
     return not old or added.join(old.summary.rows, "order_id", "left_semi").isEmpty()
 
 
+def _deliveries(added: DataFrame, old: Star | None) -> list[DeliveryDays]:
+    """First and last delivery per month of purchase; one row per month."""
+    day = F.col("id_data_entrega")
+    months = added.where(day.isNotNull()).groupBy(FACT_PARTITION)
+    found = {r[0]: r[1:] for r in months.agg(F.min(day), F.max(day)).collect()}
+    for known in old.deliveries if old else ():
+        first, last = found.get(known.month, (known.first, known.last))
+        found[known.month] = (min(first, known.first), max(last, known.last))
+    return [DeliveryDays(month, *days) for month, days in sorted(found.items())]
+
+
 def _misfits(
     raw: dict[str, DataFrame], raw_rows: dict[str, int], watch: Watch
 ) -> list[tuple[str, str, int]]:

@@ -47,6 +47,15 @@ class OrderSummary:
     unique: bool
 
 
+@dataclass(frozen=True)
+class DeliveryDays:
+    """First and last day of delivery of what was bought in a month."""
+
+    month: int
+    first: int
+    last: int
+
+
 @dataclass(frozen=True)
 class Star:
     """Star tables with their measured sizes and the hot dimension keys of the fact.
@@ -63,27 +72,43 @@ class Star:
     date_to: int | None = None
     states: tuple[str | None, ...] | None = None
     summary: OrderSummary | None = None
+    delivered_from: int | None = None
+    delivered_to: int | None = None
+    deliveries: tuple[DeliveryDays, ...] | None = None
 
     def slice(
         self,
         date_from: str | datetime.date | None = None,
         date_to: str | datetime.date | None = None,
         states: Iterable[str | None] | None = None,
+        delivered_from: str | datetime.date | None = None,
+        delivered_to: str | datetime.date | None = None,
     ) -> Star:
-        """The same star seen through the slicers: purchase dates (both ends
-        included) and customer states, None among them for customers without one.
+        """The same star seen through the slicers: purchase and delivery dates (both ends
+        included; a row without a delivery date is in no range of these) and customer
+        states, None among them for customers without one.
         Every report takes the result. Slicing again narrows: the later start, the
         earlier end, the states named both times."""
-        bounds = [self.date_from, None if date_from is None else _day_key(date_from)]
-        ends = [self.date_to, None if date_to is None else _day_key(date_to)]
+
+        def later(*days: int | None) -> int | None:
+            return max((d for d in days if d is not None), default=None)
+
+        def earlier(*days: int | None) -> int | None:
+            return min((d for d in days if d is not None), default=None)
+
+        def key(day: str | datetime.date | None) -> int | None:
+            return None if day is None else _day_key(day)
+
         named = self.states if states is None else tuple(states)
         if states is not None and self.states is not None:
             named = tuple(s for s in named if s in self.states)
         return replace(
             self,
-            date_from=max((b for b in bounds if b is not None), default=None),
-            date_to=min((e for e in ends if e is not None), default=None),
+            date_from=later(self.date_from, key(date_from)),
+            date_to=earlier(self.date_to, key(date_to)),
             states=named,
+            delivered_from=later(self.delivered_from, key(delivered_from)),
+            delivered_to=earlier(self.delivered_to, key(delivered_to)),
         )
 
     def register_views(self) -> None:
@@ -118,7 +143,7 @@ class Star:
         return self.summary is not None and self.summary.of is self.tables["fato_pedido"]
 
     def _within_slicers(self, rows: DataFrame) -> DataFrame:
-        rows = self._dated(rows)
+        rows = self._delivered(self._dated(rows))
         if self.states is None:
             return rows
         state = F.col(FACT_STATE)
@@ -175,6 +200,17 @@ class Star:
             )
         return facts
 
+    def _delivered(self, facts: DataFrame) -> DataFrame:
+        """Rows within the delivery dates. Months of purchase that have no delivery in the
+        range aren't read, if the load has noted what they have."""
+        if self.delivered_from is None and self.delivered_to is None:
+            return facts
+        low, high = self.delivered_from or 0, self.delivered_to or 99991231
+        if self.deliveries is not None:
+            months = [d.month for d in self.deliveries if d.first <= high and d.last >= low]
+            facts = facts.filter(F.col(FACT_PARTITION).isin(months))
+        return facts.filter(F.col("id_data_entrega").between(low, high))
+
     def _sized(self, table: str) -> DataFrame:
         df = self.tables[table]
         return F.broadcast(df) if self._is_small(table) else df

@@ -16,7 +16,8 @@ import json
 import os
 import re
 import uuid
-from dataclasses import dataclass
+from collections.abc import Iterable
+from dataclasses import astuple, dataclass
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
@@ -25,7 +26,7 @@ from pyspark.sql import types as T
 
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys
-from feira.plans.star import OrderSummary, Star
+from feira.plans.star import DeliveryDays, OrderSummary, Star
 from feira.schema import (
     FACT_PARTITION,
     FACT_STATE,
@@ -66,6 +67,10 @@ HOT_KEYS = T.StructType(
     ]
 )
 
+DELIVERIES = T.StructType(
+    [T.StructField(c, T.IntegerType()) for c in ("month", "first", "last")]
+)
+
 # Tables with a folder per purchase month.
 BY_MONTH = ("fato_pedido", SUMMARY)
 
@@ -179,14 +184,17 @@ def write_notes(
     hot: dict[str, HotKeys],
     metrics: list[tuple[str, str, int]],
     findings: list[tuple[str, str, int]],
+    deliveries: Iterable[DeliveryDays],
 ) -> None:
-    """Small tables about a run: sizes, hot keys, row counts, rule results."""
+    """Small tables about a run: sizes, hot keys, row counts, rule results, and a row per
+    month of purchase with its days of delivery."""
     keys = [(key, value, n) for key, found in hot.items() for value, n in found.pieces]
     for name, rows, schema in (
         ("sizes", [(t, s.rows, s.bytes) for t, s in sizes.items()], SIZES),
         ("hot_keys", keys, HOT_KEYS),
         ("metrics", metrics, METRICS),
         ("quality", findings, QUALITY),
+        ("deliveries", [astuple(d) for d in deliveries], DELIVERIES),
     ):
         frame = local_frame(spark, rows, schema).coalesce(1)
         frame.write.mode("overwrite").parquet(f"{folder}/{name}")
@@ -401,7 +409,12 @@ def load_star(
         for table, folders in version.tables.items()
     }
     summary = OrderSummary(tables["fato_pedido"], tables.pop(SUMMARY), version.unique_orders)
-    return Star(tables, sizes, hot, max_broadcast_bytes, summary=summary)
+    # one row per month
+    noted = spark.read.schema(DELIVERIES).parquet(f"{folder}/deliveries").collect()
+    deliveries = tuple(DeliveryDays(*r) for r in noted)
+    return Star(
+        tables, sizes, hot, max_broadcast_bytes, summary=summary, deliveries=deliveries
+    )
 
 
 def open_star(
@@ -423,7 +436,7 @@ def branch(spark: SparkSession, out: str, target: str) -> Version:
     source = _published(spark, out)
     run_id = new_run_id()
     notes, copy = run_folder(out, source.run_id), run_folder(target, run_id)
-    for name, schema in (("sizes", SIZES), ("hot_keys", HOT_KEYS)):
+    for name, schema in (("sizes", SIZES), ("hot_keys", HOT_KEYS), ("deliveries", DELIVERIES)):
         spark.read.schema(schema).parquet(f"{notes}/{name}").coalesce(1).write.parquet(f"{copy}/{name}")
     tables = {table: tuple(table_paths(out, folders)) for table, folders in source.tables.items()}
     return publish(spark, target, run_id, None, tables, source.unique_orders)

@@ -13,6 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from feira import append_dimensions, append_etl, open_star, run_etl, run_etl_from_csv
+from feira.functions import clean
 from feira.operators.watching import Watch
 from feira.plans import dashboard, marts, quality
 from feira.plans.etl import IntegrityError
@@ -146,7 +147,7 @@ def test_append_needs_a_star(spark, raw, tmp_path):
 
 def test_load_in_two_batches_equals_one(spark, raw, star, tmp_path):
     out = str(tmp_path / "out")
-    early = F.col("order_purchase_timestamp") < "1995-01-01"
+    early = F.col("order_purchase_timestamp") < "1998-06-15"
     first = run_etl(raw | {"pedidos": raw["pedidos"].where(early)}, out)
     ids = {r[1]: r[0] for r in first.tables["dim_cliente"].collect()}
     late = raw["pedidos"].where(~F.coalesce(early, F.lit(False)))
@@ -238,6 +239,69 @@ def test_an_order_in_two_batches_counts_once(spark, raw, star, tmp_path):
         assert as_rows(report(whole)) == as_rows(report(star)), report.__name__
 
 
+def test_delivery_dates_read_few_months(spark, star, star_out):
+    """Months of purchase without a delivery in the range aren't scanned."""
+    seen = star.slice(delivered_from="1996-11-20", delivered_to="1997-02-10")
+    low, high = 19961120, 19970210
+    rows = star.tables["fato_pedido"].where(F.col("id_data_entrega").between(low, high))
+    assert as_rows(seen.facts()) == as_rows(rows)
+    months = {r[0] for r in rows.select("mes_compra").distinct().collect()}
+    read = {m.month for m in star.deliveries if m.first <= high and m.last >= low}
+    everything = {m.month for m in star.deliveries}
+    assert months <= read and len(read) < len(everything) / 4
+    files = [f for f in seen.facts().inputFiles() if "mes_compra=" in f]
+    assert {int(f.split("mes_compra=")[1].split("/")[0]) for f in files} == everything  # of the table
+    scanned = scan_metrics(seen.orders().select("itens"))
+    assert scanned["numPartitions"] == len(read)
+    reopened = open_star(spark, star_out)
+    assert sorted(reopened.deliveries, key=str) == sorted(star.deliveries, key=str)
+    # later slices narrow, and without notes the result is the same
+    narrow = seen.slice(delivered_from="1997-01-01")
+    assert (narrow.delivered_from, narrow.delivered_to) == (19970101, high)
+    assert as_rows(replace(seen, deliveries=None).orders()) == as_rows(seen.orders())
+
+
+def test_months_of_an_append_are_noted(spark, raw, star, tmp_path):
+    out = str(tmp_path / "out")
+    early = clean.parse_date(F.col("order_purchase_timestamp")) < "1998-06-15"
+    first = run_etl(raw | {"pedidos": raw["pedidos"].where(early)}, out)
+    assert len(first.deliveries) < len(star.deliveries)
+    late = raw["pedidos"].where(~F.coalesce(early, F.lit(False)))
+    whole = append_etl(raw | {"pedidos": late}, out)
+    assert set(whole.deliveries) == set(star.deliveries)
+
+
+def scan_metrics(df) -> dict[str, int]:
+    """Metrics of the only scan of a query, which is run for it."""
+    df.collect()
+    leaf = df._jdf.queryExecution().executedPlan().collectLeaves().apply(0)
+    metrics = leaf.metrics()
+    names = ("numOutputRows", "numFiles", "numPartitions")
+    return {n: metrics.apply(n).value() for n in names if metrics.contains(n)}
+
+
+def test_a_state_passes_over_pages_of_others(spark, star, tmp_path):
+    """Rows stored by state in small pages: a scan for one state reads about its share."""
+    options = spark.sparkContext._jsc.hadoopConfiguration()
+    options.set("parquet.page.row.count.limit", "20")
+    try:
+        rows = star.tables["fato_pedido"].withColumn("mes_compra", F.lit(199501)).coalesce(1)
+        star_store.write_table(rows, str(tmp_path), "fato_pedido")
+        rows.orderBy("order_id").write.parquet(str(tmp_path / "by_order"))
+    finally:
+        options.unset("parquet.page.row.count.limit")
+    state = rows.groupBy("estado_cliente").count().orderBy("count").where("estado_cliente is not null").first()
+    stored = star_store.read_table(spark, "fato_pedido", f"{tmp_path}/fato_pedido")
+    by_order = spark.read.parquet(str(tmp_path / "by_order"))
+
+    def read(df):
+        return scan_metrics(df.where(F.col("estado_cliente") == state[0]).select("id_fato"))["numOutputRows"]
+
+    total = rows.count()
+    assert state[1] <= read(stored) <= state[1] + 60 < total / 4
+    assert read(by_order) > total / 2
+
+
 def test_rows_of_a_month_are_stored_by_state(star_out, spark):
     run = star_store.latest_run(spark, star_out)
     files = list(Path(star_out, "runs", run, "fato_pedido").glob("*/*.parquet"))
