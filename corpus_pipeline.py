@@ -3,6 +3,22 @@
 Each stage takes the documents its predecessor kept and returns documents; the last one
 returns their encoding. Stages are written as Parquet and reread, so a lost executor
 never costs more than the running stage.
+
+Defined cases, for every stage: an empty table gives an empty one. Further columns are
+carried along, whatever their names. Null texts count as empty ones.
+
+quality: each row is judged by its text alone, so repeated rows and rows without doc_id
+    stay or go like any other; an empty text has a score too.
+near copies: rows equal in every column count once; rows that share a doc_id are one
+    document and stay or go together; a row without doc_id, and one without words, is no
+    copy of anything and stays.
+repeated spans: rows that share a doc_id take nothing from each other; a row without
+    doc_id is no reference and loses nothing; a document of which no word is left goes,
+    one that had no words before stays.
+mixing: a document is repeated as often as it is taken, up to twice, and in part if the
+    target of its source is met in it; one without words is never taken. A null source is
+    a source. Ties of position are settled by doc_id, nulls first.
+encoding: one row per document; an empty text has no ids and comes back as it was.
 """
 
 from __future__ import annotations
