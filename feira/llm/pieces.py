@@ -12,9 +12,10 @@ yields the max-plus transfer matrix from its entry pieces to its exit pieces (th
 entries as rows). Products of matrices are associative: blocks of chunks are multiplied
 first, then the blocks of a text, then the way back fixes the entry and exit piece of
 every block and of every chunk. Each chunk then traces its own path, independent of the
-others. Shorter texts are one chunk. Between places that no piece can cross (before a
-run of spaces, around a line break that no piece holds) the lattice falls apart into
-words, and the library encodes what lies between two such places.
+others, through its whole lattice. Shorter texts are one chunk, and the library encodes
+them. A matrix needs the lattice at the ends of its chunk only: between places that no
+piece can cross (before a run of spaces, around a line break that no piece holds) it falls
+apart, and any two such places are joined.
 
 U+2581, the model's mark for a space, is encoded as bytes where a text has it, so that
 decoding gives every text back. Defined cases: a null or empty text has no ids and
@@ -213,12 +214,7 @@ class Pieces:
         """Ids of the chunk between its entry piece (not included) and its exit piece."""
         seed = (a, a) if first else self.entries(text, a, False)[entry]
         goal = None if leave == END else _span(leave, b)
-        cut = self.cuts(text, a, b)
-        if not cut:
-            return self._path(text, seed, b, goal)
-        head = self._path(text, seed, cut[0], None)
-        tail = self._path(text, (cut[1], cut[1]), b, goal)
-        return head + self.encode([text[cut[0] : cut[1]]])[0] + tail
+        return self._path(text, seed, b, goal)
 
     def _path(self, text: str, seed: tuple[int, int], limit: int, goal) -> list[int]:
         met = self.walk(text, {seed: 1}, limit)
