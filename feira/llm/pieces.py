@@ -13,9 +13,9 @@ entries as rows). Products of matrices are associative: blocks of chunks are mul
 first, then the blocks of a text, then the way back fixes the entry and exit piece of
 every block and of every chunk. Each chunk then traces its own path, independent of the
 others, through its whole lattice. Shorter texts are one chunk, and the library encodes
-them. A matrix needs the lattice at the ends of its chunk only: between places that no
-piece can cross (before a run of spaces, around a line break that no piece holds) it falls
-apart, and any two such places are joined.
+them. At places that no piece can cross (before a run of spaces, around a line break that
+no piece holds) the lattice falls apart: a matrix needs it at the ends of its chunk only,
+and a trace finds the path of a word once and knows it where the word comes again.
 
 U+2581, the model's mark for a space, is encoded as bytes where a text has it, so that
 decoding gives every text back. Defined cases: a null or empty text has no ids and
@@ -84,6 +84,7 @@ class Pieces:
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.bytes = np.frombuffer(b"".join(self.surface), np.uint8)
         self.neighbours = lru_cache(1 << 18)(self._neighbours)
+        self.word_ids = lru_cache(1 << 18)(self._word_ids)
 
     def _merged(self, text: str) -> list[str]:
         """The model's merges over a short text: best score first, leftmost of equals."""
@@ -214,7 +215,17 @@ class Pieces:
         """Ids of the chunk between its entry piece (not included) and its exit piece."""
         seed = (a, a) if first else self.entries(text, a, False)[entry]
         goal = None if leave == END else _span(leave, b)
-        return self._path(text, seed, b, goal)
+        cut = self.cuts(text, a, b)
+        if not cut:
+            return self._path(text, seed, b, goal)
+        ids = self._path(text, seed, cut[0], None)
+        for word in self.words.findall(text, *cut):
+            ids += self.word_ids(word)
+        return ids + self._path(text, (cut[1], cut[1]), b, goal)
+
+    def _word_ids(self, word: str) -> tuple[int, ...]:
+        """The path through the lattice of a text that no piece crosses at either end."""
+        return tuple(self._path(word, (0, 0), len(word), None))
 
     def _path(self, text: str, seed: tuple[int, int], limit: int, goal) -> list[int]:
         met = self.walk(text, {seed: 1}, limit)
