@@ -418,7 +418,10 @@ STAR_PIECES["seller_append_published"] = f"""
     SELECT seller_id, cidade, estado, FALSE AS added, TRUE AS old_id FROM dim_vendedor
     UNION ALL SELECT seller_id, cidade, estado, TRUE, FALSE FROM ({STAR_PIECES["seller_append"].strip()})
 )
-SELECT *, (SELECT count(*) FROM todos) AS largest_id, CAST(2 AS BIGINT) AS versions FROM todos"""
+SELECT *, (SELECT count(*) FROM todos) AS largest_id,
+       -- without a new seller nothing is published
+       CAST(1 + (SELECT max(CAST(added AS INTEGER)) FROM todos) AS BIGINT) AS versions
+FROM todos"""
 
 
 def _row_rule(table: str, source: str, rule: str, condition: str) -> str:
