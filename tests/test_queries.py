@@ -35,3 +35,12 @@ def test_entry_has_rows(spark):
 
 def test_star_is_loaded_once(spark):
     assert entry.star_of(spark, SF) is entry.star_of(spark, SF)
+
+
+@pytest.mark.parametrize("name", ["fact_rows_appended", "csv_round_trip"])
+def test_stars_of_their_own_load_no_other(spark, con, monkeypatch, name):
+    def load(spark, sf_dir):
+        raise AssertionError("the star of the tables is not asked for")
+
+    monkeypatch.setattr(entry, "_load", load)
+    assert compare(spark, con, SF, name) is None
