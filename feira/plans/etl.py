@@ -71,16 +71,22 @@ def _with_old(new: dict[str, Size], old: Star | None) -> dict[str, Size]:
     return {t: Size(before[t].rows + s.rows, before[t].bytes + s.bytes) for t, s in new.items()}
 
 
-def _stage_items(spark: SparkSession, joined: DataFrame, folder: str) -> DataFrame:
-    """Write the joined item rows once; calendar, fact and rejects read them back.
+def _gathered(df: DataFrame, *columns: str) -> DataFrame:
+    """Rows rebalanced by `columns`, among them the month.
 
-    Rebalancing gathers each month's rows into files of the advisory size and
-    splits a month that is larger than that. Only adaptive execution can split,
-    so without it the rows are written where the join left them.
+    Gathers each month's rows into files of the advisory size and splits a month that is
+    larger than that. Only adaptive execution can split, so without it the rows stay where
+    they are.
     """
+    if df.sparkSession.conf.get("spark.sql.adaptive.enabled") != "true":
+        return df
+    return df.hint("rebalance", *columns)
+
+
+def _stage_items(spark: SparkSession, joined: DataFrame, folder: str) -> DataFrame:
+    """Write the joined item rows once; calendar, fact and rejects read them back."""
     path = f"{folder}/staging/items"
-    if spark.conf.get("spark.sql.adaptive.enabled") == "true":
-        joined = joined.hint("rebalance", "rejeitado", FACT_PARTITION)
+    joined = _gathered(joined, "rejeitado", FACT_PARTITION)
     joined.write.mode("overwrite").partitionBy("rejeitado").parquet(path)
     return spark.read.schema(joined.schema).parquet(path)
 
@@ -256,7 +262,9 @@ def _load(
 
     def write_summary() -> None:
         columns = star_store.table_schema(SUMMARY).fieldNames()
-        star_store.write_table(per_order(accepted).select(*columns), folder, SUMMARY)
+        # else every task of the grouping has orders, and so a file, of every month
+        orders = _gathered(per_order(accepted).select(*columns), FACT_PARTITION)
+        star_store.write_table(orders, folder, SUMMARY)
         unique.append(_unique_orders(added(SUMMARY), old))
         deliveries.extend(_deliveries(added(SUMMARY), old))
 

@@ -309,3 +309,14 @@ def test_rows_of_a_month_are_stored_by_state(star_out, spark):
     for file in files:
         states = [s or "" for s in pq.read_table(file, columns=["estado_cliente"])[0].to_pylist()]
         assert states == sorted(states)
+
+
+def test_orders_of_a_month_are_not_dealt_over_all_tasks(spark, raw, tmp_path):
+    """Without merged partitions, as on much data, every task used to write every month."""
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        run_etl(raw, str(tmp_path), run_id="r")
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    files = list((tmp_path / "runs" / "r" / SUMMARY).glob("mes_compra=*/*.parquet"))
+    assert len(files) == len({file.parent for file in files}) > 1
