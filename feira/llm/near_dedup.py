@@ -187,17 +187,15 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, percent: int) -> Data
     return pairs.mapInArrow(run, "u long, v long")
 
 
-def _in_blocks(stars: DataFrame, least: int) -> DataFrame:
+def _in_blocks(stars: DataFrame, groups: DataFrame) -> DataFrame:
     """Rows of (first, ...) with `low`, `high` and `own`: pairs of blocks of a group.
 
     A group of n documents has ceil(n / BLOCK_ROWS) blocks by a hash of doc_id; every two
-    of its documents meet in one pair of blocks. Groups of fewer than `least` are left out.
+    of its documents meet in one pair of blocks. groups: first and n of the groups that
+    count, one row each; the others are left out.
     """
-    sizes = stars.groupBy("first").agg(F.count("*").alias("n"))
-    sizes = sizes.where(F.col("n") >= least).select(
-        "first", F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
-    )
-    rows = stars.join(sizes, "first")
+    blocks = F.ceil(F.col("n") / BLOCK_ROWS).cast("int").alias("blocks")
+    rows = stars.join(groups.select("first", blocks), "first")
     rows = rows.withColumn("own", F.pmod(F.xxhash64("doc_id"), "blocks").cast("int"))
     rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     rows = rows.withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")})
@@ -216,7 +214,7 @@ def _sides(batch: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _suspects(rows: DataFrame, percent: int) -> DataFrame:
-    """(first, doc_id) that may be linked to a document of another component.
+    """(first, doc_id, component) that may be linked to a document of another component.
 
     Told by sizes and minhash values; one row per document and pair of blocks at most.
     """
@@ -233,9 +231,9 @@ def _suspects(rows: DataFrame, percent: int) -> DataFrame:
             near = far[_near(size[k], size[far], mins[k], mins[far], percent)]
             hit[near] = True
             hit[k] |= len(near) > 0
-        yield batch.select(["first", "doc_id"]).filter(pa.array(hit))
+        yield batch.select(["first", "doc_id", "component"]).filter(pa.array(hit))
 
-    return _per_group(rows, work, "first long, doc_id long").distinct()
+    return _per_group(rows, work, "first long, doc_id long, component long").distinct()
 
 
 def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
@@ -261,14 +259,14 @@ def _intersections(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarra
 
 
 def _missing_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
-    """Links (u, v) between components, told on full sets.
+    """Pairs (u, v) of components that have a link, told on full sets.
 
-    rows: first, low, high, own, doc_id, component, text. One link per document and other
-    component is enough to join them, so a group gives no more rows than that.
+    rows: first, low, high, own, doc_id, component, text. A pair of blocks gives each pair
+    of components once for every 256 documents at most.
     """
 
     def work(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        comp, ids = (batch.column(c).to_numpy() for c in ("component", "doc_id"))
+        comp = batch.column("component").to_numpy()
         if (comp == comp[0]).all():
             return
         sets = _sets_of(batch.column("text"), width)
@@ -282,10 +280,9 @@ def _missing_links(rows: DataFrame, width: int, percent: int) -> DataFrame:
             link &= comp[some][:, None] != comp[right][None, :]
             a, b = np.nonzero(link)
             if len(a):
-                one = np.unique(np.column_stack([a, comp[right][b]]), axis=0, return_index=True)[1]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids[some[a[one]]]), pa.array(ids[right[b[one]]])], ["u", "v"]
-                )
+                one = np.unique(np.column_stack([comp[some][a], comp[right][b]]), axis=0)
+                sides = [pa.array(one[:, k].copy()) for k in range(2)]
+                yield pa.RecordBatch.from_arrays(sides, ["u", "v"])
 
     return _per_group(rows, work, "u long, v long")
 
@@ -313,28 +310,30 @@ def near_components(docs: DataFrame, width: int, percent: int = 80) -> tuple[Dat
     texts = written(texts, "texts")
 
     pairs = stars.where("doc_id != first").toDF("u", "v")
-    pairs = written(_promising(pairs, nodes, percent), "pairs")
-    links = written(_links(pairs, texts, width, percent).unionByName(copies.toDF("u", "v")), "links")
-    comps = components(links)
+    links = _links(_promising(pairs, nodes, percent), texts, width, percent)
+    comps = components(links.unionByName(copies.toDF("u", "v")))
 
     light = nodes.select("doc_id", "n_shingles", "mins")
     component = F.coalesce("component", "doc_id").alias("component")
     placed = stars.join(comps, stars["doc_id"] == comps["node"], "left")
     placed = written(placed.select("first", "doc_id", component), "placed")
-    mixed = placed.groupBy("first").agg(
-        F.min("component").alias("low"), F.max("component").alias("high")
+    groups = placed.groupBy("first").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), F.count("*").alias("n")
     )
-    mixed = placed.join(mixed.where("low < high").select("first"), "first")
     # a whole group of two is its first and one other, a pair that was tried; two suspects
     # of a larger group may both be others
-    whole = _in_blocks(mixed, least=3).join(light, "doc_id")
+    whole = _in_blocks(placed, groups.where("low < high and n > 2")).join(light, "doc_id")
     suspects = written(_suspects(whole, percent), "suspects")
-    suspects = _in_blocks(placed.join(suspects, ["first", "doc_id"]), least=2)
-    suspects = unbounded(suspects).join(texts, "doc_id")
-    more = written(_missing_links(suspects, width, percent), "more-links")
-    if more.isEmpty():
+    groups = suspects.groupBy("first").agg(F.count("*").alias("n")).where("n > 1")
+    suspects = unbounded(_in_blocks(suspects, groups)).join(texts, "doc_id")
+    # these links join whole components, which move with their smallest document
+    joined = components(_missing_links(suspects, width, percent))
+    if joined.isEmpty():
         return drawn, comps
-    return drawn, components(links.unionByName(more))
+    moves = joined.toDF("component", "to")
+    moved = unbounded(comps).join(moves, "component", "left")
+    moved = moved.select("node", F.coalesce("to", "component").alias("component"))
+    return drawn, moved.unionByName(joined)
 
 
 def near_duplicates(docs: DataFrame, width: int, percent: int = 80) -> DataFrame:

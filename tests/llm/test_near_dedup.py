@@ -160,3 +160,35 @@ def test_no_pairs_are_sent_for_a_group_linked_to_its_first(documents):
     rows = [(k, " ".join([*text[:-1], f"e{k}"])) for k in range(200)]
     _, comps = near_dedup.near_components(documents(rows), 4)
     assert comps.where(F.col("component") == 0).count() == 199
+
+
+def test_no_round_is_run_on_stars(spark, monkeypatch):
+    rounds = []
+    large = components._large_star
+    monkeypatch.setattr(components, "_large_star", lambda e: rounds.append(0) or large(e))
+
+    def found(edges):
+        rounds.clear()
+        rows = components.components(spark.createDataFrame(edges, "a long, b long")).collect()
+        return {r.node: r.component for r in rows}, len(rounds)
+
+    stars = [(k % 3, k) for k in range(3, 40)]
+    assert found(stars) == ({k: k % 3 for k in range(3, 40)}, 0)
+    joined = {k: 2 if k % 3 == 2 else 0 for k in range(40) if k not in (0, 2)}
+    assert found([*stars, (3, 4)]) == (joined, 2)
+
+
+def test_links_found_late_join_whole_components(documents, monkeypatch):
+    """Components are gone through again as one node each, not with all their links."""
+    sizes, joined = [], components.components
+    monkeypatch.setattr(near_dedup, "components", lambda e: sizes.append(e.count()) or joined(e))
+    rows = []
+    for group in range(20):
+        base = [f"g{group}w{k}" for k in range(203)]
+        more = [f"g{group}x{k}" for k in range(32)]
+        texts = [base + more, base[:-19], base[19:], base[:-19], base[19:], base[19:]]
+        rows += [(group * 10 + k, " ".join(words)) for k, words in enumerate(texts)]
+    found = near_dedup.near_duplicates(documents(rows), 4).collect()
+    assert {r.doc_id: r.component_id for r in found} == brute(rows, 4)
+    # a pair of components may come in both orders
+    assert len(sizes) == 2 and 0 < sizes[1] <= 40 < sizes[0]
