@@ -75,6 +75,12 @@ def to_money(number: Column) -> Column:
     return number.try_cast(MONEY)
 
 
+def exact_money(number: Column) -> Column:
+    """The same number as money; NULL where that would change it."""
+    money = to_money(number)
+    return F.when(money == number, money)
+
+
 def is_number(text: Column) -> Column:
     return digits(text) != ""
 

@@ -21,6 +21,11 @@ def first_by(value: Column | str, *order: Column | str) -> Column:
     return F.min_by(value, F.struct(*order))
 
 
+def smallest_of(*columns: Column | str) -> Column:
+    """Aggregate: the columns of the row that sorts first, as a struct."""
+    return F.min(F.struct(*columns))
+
+
 def keep_first(df: DataFrame, key: str, columns: Sequence[str]) -> DataFrame:
     """First row per key by position: key plus `columns`."""
     survivor = first_by(F.struct(*columns), ROW_SEQ)

@@ -1,9 +1,10 @@
 """Joins that stay balanced when one key holds a large part of the rows.
 
-`hot_keys` counts the keys of a table (map-side combined, one row per key is
-shuffled) and returns those that hold more than one average task's worth of
-rows. There can be at most `slices` of them, so the list is small by
-construction and safe to hold on the driver and to broadcast.
+`hot_keys` returns the keys that hold more than one average task's worth of rows.
+It counts rows per bucket of keys first (map-side combined, a bounded number of
+rows per task is shuffled) and then single keys, but only of buckets that are
+large enough to hold a hot one. There can be at most `slices` of either, so the
+lists are small by construction and safe to hold on the driver and to broadcast.
 
 `spread_join` then gives each row of a hot key one of `pieces` salts, repeats
 only the matching rows of the other side once per salt, and joins on (key,
@@ -26,6 +27,10 @@ from feira.sources.local_rows import local_frame
 MIN_HOT_ROWS = 100_000
 # Lower bound of the number of slices a table is thought to be cut into.
 MIN_SLICES = 200
+# Buckets that keys are counted in, and at least so many per slice: far more than slices,
+# so that a bucket without a hot key is hardly ever as large as one.
+BUCKETS = 2**16
+BUCKETS_PER_SLICE = 16
 
 _LEFT_SALT, _RIGHT_SALT = "_left_salt", "_right_salt"
 _PIECES = "_pieces"
@@ -66,21 +71,19 @@ def hot_keys(
     """
     if total_rows < min_rows:
         return HotKeys(column, df.schema[column].dataType)
-    counts = df.groupBy(column).agg(F.count("*").alias("_rows"))
-    return counted_hot_keys(counts, column, "_rows", total_rows, min_rows)
-
-
-def counted_hot_keys(
-    counts: DataFrame, column: str, rows: str, total_rows: int, min_rows: int = MIN_HOT_ROWS
-) -> HotKeys:
-    """`hot_keys` from a table with one row per key and its number of rows."""
-    key_type = counts.schema[column].dataType
-    if total_rows < min_rows:
-        return HotKeys(column, key_type)
-    threshold = max(min_rows, -(-total_rows // slices_of(counts)))
-    found = counts.filter((F.col(rows) >= threshold) & F.col(column).isNotNull()).collect()
-    cut = tuple(sorted((row[column], -(-row[rows] // threshold) + 1) for row in found))
-    return HotKeys(column, key_type, cut)
+    slices = slices_of(df)
+    threshold = max(min_rows, -(-total_rows // slices))
+    keys = df.select(column).filter(F.col(column).isNotNull())
+
+    def at_least(rows: DataFrame, key: Column | str) -> list:
+        counts = rows.groupBy(key).agg(F.count("*").alias("_rows"))
+        return counts.filter(F.col("_rows") >= threshold).collect()
+
+    bucket = F.pmod(F.xxhash64(column), F.lit(max(BUCKETS, BUCKETS_PER_SLICE * slices)))
+    full = [row[0] for row in at_least(keys, bucket.alias("_bucket"))]
+    found = at_least(keys.filter(bucket.isin(full)), column) if full else []
+    cut = tuple(sorted((row[column], -(-row["_rows"] // threshold) + 1) for row in found))
+    return HotKeys(column, df.schema[column].dataType, cut)
 
 
 def _one_salt(df: DataFrame, hot: HotKeys, salt: str, spread_by: Column | str) -> DataFrame:

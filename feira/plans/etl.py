@@ -11,12 +11,19 @@ from pyspark.sql import functions as F
 
 from feira.operators.dedup import keep_first
 from feira.operators.keys import dense_keys, number_written_rows
-from feira.operators.orders import items_per_order
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Limits, Size, count_rows, table_sizes
-from feira.operators.skew import HotKeys, counted_hot_keys, hot_keys
+from feira.operators.skew import HotKeys, hot_keys
 from feira.operators.watching import Watch
 from feira.plans import dims, quality
-from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows, undated_orders
+from feira.plans.fact import (
+    ORDER_KEYS,
+    Inputs,
+    hot_key_of,
+    item_rows,
+    undated_orders,
+    with_natural_keys,
+    with_total,
+)
 from feira.plans.star import DeliveryDays, OrderSummary, Star, per_order
 from feira.schema import FACT_PARTITION, NATURAL_KEYS, PRIMARY_KEYS, STAR_TABLES, SUMMARY
 from feira.sources import star_store
@@ -29,6 +36,10 @@ DIMENSIONS = {
 }
 
 
+# Item rows of a month that one task adds up per order; more of them are shared out.
+MONTH_ROWS = 4_000_000
+
+
 class IntegrityError(ValueError):
     """The loaded tables break an integrity rule; nothing was published."""
 
@@ -50,7 +61,7 @@ def _write_new_keys(
         rows = rows.join(old.tables[dim].select(key), key, "left_anti").select(*rows.columns)
     # written before numbering, which reads the rows twice
     staged = f"{folder}/staging/{dim}"
-    rows.write.mode("overwrite").parquet(staged)
+    rows.write.mode("overwrite").parquet(staged, compression=star_store.COMPRESSION)
     rows = spark.read.schema(rows.schema).parquet(staged)
     numbered = dense_keys(rows, key, PRIMARY_KEYS[dim])
     star_store.write_table(_behind(numbered, dim, old), folder, dim)
@@ -87,8 +98,31 @@ def _stage_items(spark: SparkSession, joined: DataFrame, folder: str) -> DataFra
     """Write the joined item rows once; calendar, fact and rejects read them back."""
     path = f"{folder}/staging/items"
     joined = _gathered(joined, "rejeitado", FACT_PARTITION)
-    joined.write.mode("overwrite").partitionBy("rejeitado").parquet(path)
-    return spark.read.schema(joined.schema).parquet(path)
+    writer = joined.write.mode("overwrite").partitionBy("rejeitado")
+    writer.parquet(path, compression=star_store.COMPRESSION)
+    return with_total(spark.read.schema(joined.schema).parquet(path))
+
+
+def _orders_by_month(accepted: DataFrame, hot: bool) -> DataFrame:
+    """`per_order`, with the orders of a month together.
+
+    Without hot orders the rows meet where their order is to be written, so that they move
+    once: by month, and by parts of a month that has many rows. Rows of hot orders are
+    added up before they move; then the orders move again.
+    """
+    columns = star_store.table_schema(SUMMARY).fieldNames()
+    if hot:
+        # else every task of the grouping has orders, and so a file, of every month
+        return _gathered(per_order(accepted).select(*columns), FACT_PARTITION)
+    # one row per month
+    counts = accepted.groupBy(FACT_PARTITION).agg(F.count("*").alias("n")).collect()
+    large = {r[0]: -(-r["n"] // MONTH_ROWS) for r in counts if r["n"] > MONTH_ROWS}
+    parts = F.lit(1)
+    for month, n in large.items():
+        parts = F.when(F.col(FACT_PARTITION) == month, n).otherwise(parts)
+    part = F.pmod(F.xxhash64("order_id"), parts).alias("_part")
+    facts = accepted.select("*", part).repartition(FACT_PARTITION, "_part")
+    return per_order(facts, "_part").select(*columns)
 
 
 def run_etl(
@@ -211,35 +245,22 @@ def _load(
     raw_rows = count_rows(raw)
     hot: dict[tuple[str, str], HotKeys] = {}
 
-    counts_folder = f"{folder}/staging/items_per_order"
-
     def find_hot(table: str, column: str) -> None:
         hot[table, column] = hot_key_of(raw, raw_rows, table, column, limits)
 
-    def count_items() -> None:
-        """Items per order, counted once: for the rows and for their hot keys."""
-        counts = items_per_order(raw["itens"])
-        counts.write.mode("overwrite").parquet(counts_folder)
-        written = spark.read.schema(counts.schema).parquet(counts_folder)
-        hot["itens", "order_id"] = counted_hot_keys(
-            written, "order_id", "qtd_itens", raw_rows["itens"], limits.min_hot_rows
-        )
-
     def write_dimension(dim: str) -> None:
         _write_new_keys(spark, DIMENSIONS[dim](raw, limits), folder, dim, old)
 
     _together(
         *[partial(write_dimension, dim) for dim in DIMENSIONS],
-        count_items,
-        *[partial(find_hot, *key) for key in ORDER_KEYS if key[0] != "itens"],
+        *[partial(find_hot, *key) for key in ORDER_KEYS],
     )
     dim_tables = {dim: whole(dim) for dim in DIMENSIONS}
     sizes = _with_old(table_sizes({dim: added(dim) for dim in DIMENSIONS}), old)
 
     watch = Watch()
-    counts = spark.read.schema("order_id string, qtd_itens long").parquet(counts_folder)
-    joined = item_rows(Inputs(raw, raw_rows, dim_tables, sizes, hot, limits, counts, watch))
-    staged = _stage_items(spark, joined, folder)
+    inputs = Inputs(raw, raw_rows, dim_tables, sizes, hot, limits, watch)
+    staged = _stage_items(spark, item_rows(inputs), folder)
     accepted, rejected = staged.filter(~F.col("rejeitado")), staged.filter("rejeitado")
 
     def write_fact() -> None:
@@ -255,16 +276,15 @@ def _load(
         star_store.write_table(days, folder, "dim_data")
 
     def write_rejects() -> None:
-        rejected.drop("rejeitado").write.mode("overwrite").parquet(f"{folder}/rejects")
+        named = with_natural_keys(rejected.drop("rejeitado"), inputs)
+        named.write.mode("overwrite").parquet(f"{folder}/rejects", compression=star_store.COMPRESSION)
 
     unique: list[bool] = []
     deliveries: list[DeliveryDays] = []
 
     def write_summary() -> None:
-        columns = star_store.table_schema(SUMMARY).fieldNames()
-        # else every task of the grouping has orders, and so a file, of every month
-        orders = _gathered(per_order(accepted).select(*columns), FACT_PARTITION)
-        star_store.write_table(orders, folder, SUMMARY)
+        hot_orders = any(keys for (_, column), keys in hot.items() if column == "order_id")
+        star_store.write_table(_orders_by_month(accepted, hot_orders), folder, SUMMARY)
         unique.append(_unique_orders(added(SUMMARY), old))
         deliveries.extend(_deliveries(added(SUMMARY), old))
 

@@ -95,6 +95,32 @@ def priced_items(raw: dict[str, DataFrame], watch: Watcher = not_watched) -> Dat
     )
 
 
+# Dimensions that an item names itself.
+ITEM_DIMENSIONS = ("dim_produto", "dim_vendedor")
+
+# The total of item rows on their way, where it isn't what the rounded parts add up to.
+OTHER_TOTAL = "_other_total"
+
+
+def _sum_of_parts() -> Column:
+    return clean.to_money(F.col("valor_produto") + F.col("valor_frete"))
+
+
+def without_total(items: DataFrame) -> DataFrame:
+    """`OTHER_TOTAL`, nearly always NULL, in place of `valor_total`: one number less per row
+    in every shuffle."""
+    total = F.col("valor_total")
+    other = F.when(~total.eqNullSafe(_sum_of_parts()), F.struct(total.alias("is")))
+    return items.withColumn(OTHER_TOTAL, other).drop("valor_total")
+
+
+def with_total(items: DataFrame) -> DataFrame:
+    """Item rows with `valor_total` again."""
+    other = F.col(OTHER_TOTAL)
+    total = F.when(other.isNull(), _sum_of_parts()).otherwise(other["is"])
+    return items.withColumn("valor_total", total).drop(OTHER_TOTAL)
+
+
 # Keys whose weight decides how the orders and items are joined.
 ORDER_KEYS = (("pedidos", "customer_id"), ("pedidos", "order_id"), ("itens", "order_id"))
 
@@ -109,12 +135,10 @@ class Inputs:
     sizes: dict[str, Size]
     hot: dict[tuple[str, str], HotKeys]
     limits: Limits = Limits()
-    counts: DataFrame | None = None
     watch: Watcher = not_watched
 
-    def items_per_order(self) -> DataFrame:
-        """order_id, qtd_itens: as written by the load, else counted here."""
-        return self.counts or order_ops.items_per_order(self.raw["itens"])
+    def is_small(self, dim: str) -> bool:
+        return self.sizes[dim].bytes <= self.limits.max_broadcast_bytes
 
 
 def hot_key_of(
@@ -133,7 +157,7 @@ def lookup_id(
     """
     key, id_column = NATURAL_KEYS[dim], PRIMARY_KEYS[dim]
     ids = inputs.dims[dim].select(key, id_column, *columns)
-    if inputs.sizes[dim].bytes <= inputs.limits.max_broadcast_bytes:
+    if inputs.is_small(dim):
         return big.join(F.broadcast(ids), key, "left")
     hot = hot_key_of(inputs.raw, inputs.raw_rows, table, key, inputs.limits)
     return spread_join(big, ids, hot, "left", spread_by)
@@ -158,18 +182,22 @@ def item_rows(inputs: Inputs) -> DataFrame:
 
     The narrow item rows get their product and seller ids first; everything
     known per order is joined on the order side, so the wide row is built by one
-    join on order_id. Extra columns: `rejeitado`, the purchase month, and the
-    natural keys of rejected rows.
+    join on order_id. Extra columns: `rejeitado`, the purchase month, and of rejected
+    rows the customer and the natural keys that the dimensions lack; those that they have
+    follow from the ids, see `with_natural_keys`. The total is added by `with_total`.
     """
     raw = inputs.raw
-    items = priced_items(raw, inputs.watch)
-    for dim in ("dim_produto", "dim_vendedor"):
+    items = without_total(priced_items(raw, inputs.watch))
+    # the smallest first: its key is gone before a larger one moves the rows
+    for dim in sorted(ITEM_DIMENSIONS, key=lambda dim: inputs.sizes[dim].bytes):
+        key = NATURAL_KEYS[dim]
         items = lookup_id(items, dim, inputs, "itens", ROW_SEQ)
+        items = items.withColumn(key, F.when(F.col(PRIMARY_KEYS[dim]).isNull(), F.col(key)))
 
     orders = owned_orders(inputs)
     # the count is the base: an order without items has no item row
     per_order = (
-        inputs.items_per_order()
+        order_ops.items_per_order(raw["itens"])
         .join(order_ops.latest_review(raw["avaliacoes"], inputs.watch), "order_id", "left")
         .join(order_ops.order_payment(raw["pagamentos"], inputs.watch), "order_id", "left")
     )
@@ -199,8 +227,9 @@ def item_rows(inputs: Inputs) -> DataFrame:
             *[
                 F.col(f.name).cast(f.dataType).alias(f.name)
                 for f in FATO_PEDIDO
-                if f.name != "id_fato"
+                if f.name not in ("id_fato", "valor_total")
             ],
+            OTHER_TOTAL,
             *[F.when(F.col("rejeitado"), F.col(key)).alias(key) for key in natural_keys],
             FACT_STATE,
             F.floor(F.col("id_data_compra") / 100).cast("int").alias(FACT_PARTITION),
@@ -209,6 +238,26 @@ def item_rows(inputs: Inputs) -> DataFrame:
     )
 
 
+def with_natural_keys(rejected: DataFrame, inputs: Inputs) -> DataFrame:
+    """Rejected `item_rows` with the product and the seller also where only the id is given.
+
+    Rows without an id aren't joined, as they would all meet in one task.
+    """
+    columns = rejected.columns
+    for dim in ITEM_DIMENSIONS:
+        key, id_column = NATURAL_KEYS[dim], PRIMARY_KEYS[dim]
+        known = rejected.filter(F.col(id_column).isNotNull()).drop(key)
+        unknown = rejected.filter(F.col(id_column).isNull())
+        names = inputs.dims[dim].select(id_column, key)
+        if inputs.is_small(dim):
+            named = known.join(F.broadcast(names), id_column, "left")
+        else:
+            hot = hot_keys(known, id_column, known.count(), inputs.limits.min_hot_rows)
+            named = spread_join(known, names, hot, "left", F.struct(*known.columns))
+        rejected = named.select(columns).unionByName(unknown)
+    return rejected
+
+
 def reasons() -> dict[str, Column]:
     """Condition per reject reason of an item row; a row can have several."""
     return {

@@ -27,9 +27,10 @@ def _day_key(day: str | datetime.date) -> int:
     return day.year * 10000 + day.month * 100 + day.day
 
 
-def per_order(facts: DataFrame) -> DataFrame:
-    """One row per order of item rows, with their number and sums."""
-    return facts.groupBy(*ORDER_COLUMNS).agg(
+def per_order(facts: DataFrame, *more: str) -> DataFrame:
+    """One row per order of item rows, with their number and sums; more: columns that are
+    the same for all rows of an order."""
+    return facts.groupBy(*ORDER_COLUMNS, *more).agg(
         F.count("*").alias("itens"),
         F.sum("valor_produto").alias("soma_produto"),
         F.count("valor_produto").alias("itens_produto"),

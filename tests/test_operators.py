@@ -2,7 +2,7 @@ from __future__ import annotations
 
 import random
 from collections import Counter
-from decimal import Decimal
+from decimal import ROUND_HALF_UP, Decimal
 
 import pytest
 from pyspark.sql import functions as F
@@ -227,3 +227,47 @@ def test_rows_claiming_one_position_are_settled_by_content(spark):
     for parts in (1, 3):
         assert order_payment(payments.repartition(parts)).first()["tipo_pagamento"] == "boleto"
         assert latest_review(reviews.repartition(parts)).first()["review_score"] == 2
+
+
+def test_hot_keys_are_exact_when_buckets_are_full(spark, skewed, monkeypatch):
+    """A bucket can be large by many light keys; only keys that are heavy themselves count."""
+    wanted = hot_keys(skewed, "k", 30_000, min_rows=1000)
+    monkeypatch.setattr("feira.operators.skew.BUCKETS", 2)
+    monkeypatch.setattr("feira.operators.skew.BUCKETS_PER_SLICE", 0)
+    assert hot_keys(skewed, "k", 30_000, min_rows=1000) == wanted
+    light = skewed.filter("k >= 0")
+    assert not hot_keys(light, "k", 20_000, min_rows=1000)
+
+
+def test_hot_keys_group_buckets_not_keys(spark, monkeypatch):
+    """As many keys as rows, none of them hot: no row per key is shuffled."""
+    df = spark.range(400_000, numPartitions=2).select(F.col("id").cast("string").alias("k"))
+    grouped, group = [], type(df).groupBy
+    monkeypatch.setattr(type(df), "groupBy", lambda self, *by: grouped.append(str(by)) or group(self, *by))
+    assert not hot_keys(df, "k", 400_000)
+    assert len(grouped) == 1 and "_bucket" in grouped[0]
+
+
+def test_payments_of_any_width_are_exact(spark):
+    """Values with more than two decimals, or without room as money, count in full."""
+    rng = random.Random(5)
+    values = ["0.004", "0.005", "-0.005", "1.00", "-7.25", "9999999999.99", "10000000000", "1e12",
+              "-1e12", "3.3333333333333333", "0", "bad", "12"]
+    cells = [
+        (f"o{rng.randrange(60)}", f"t{rng.randrange(4)}", str(rng.randrange(4)), rng.choice(values), n)
+        for n in range(400)
+    ]
+    columns = "order_id string, payment_type string, payment_installments string, payment_value string, row_seq bigint"
+    df = spark.createDataFrame(cells, columns).repartition(7)
+    got = {r["order_id"]: (r["tipo_pagamento"], r["parcelas"], r["valor_pago"]) for r in order_payment(df).collect()}
+
+    def number(text):
+        return Decimal("0") if text == "bad" else Decimal(text)
+
+    wanted = {}
+    for order in {c[0] for c in cells}:
+        own = [c for c in cells if c[0] == order]
+        best = min(own, key=lambda c: (-number(c[3]), c[4]))
+        paid = sum(number(c[3]) for c in own).quantize(Decimal("0.01"), ROUND_HALF_UP)
+        wanted[order] = (best[1], max(1, *[int(c[2]) for c in own]), paid)
+    assert got == wanted

@@ -6,14 +6,27 @@ import contextlib
 import io
 import re
 from dataclasses import replace
+from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from feira.plans import dashboard, marts, quality
-from feira.operators.sizing import Limits, count_rows
+from feira.plans import dashboard, etl, marts, quality
+from feira.operators.sizing import MAX_BROADCAST_BYTES, Limits, count_rows
 from feira.plans.etl import DIMENSIONS
-from feira.plans.fact import ORDER_KEYS, Inputs, hot_key_of, item_rows
+from feira.plans.fact import (
+    ORDER_KEYS,
+    OTHER_TOTAL,
+    Inputs,
+    hot_key_of,
+    item_rows,
+    with_natural_keys,
+    with_total,
+    without_total,
+)
+from feira.plans.star import per_order
+from feira.schema import PRIMARY_KEYS
 from tests.conftest import SF
 
 
@@ -183,3 +196,59 @@ def test_order_side_is_shuffled_once_without_hot_keys(spark, raw, star):
     # items, orders, item counts, reviews, payments: one each
     assert len(by_order) == 5
     assert "Window" not in text
+
+
+def _item_inputs(raw, star, limits=Limits()):
+    rows = count_rows(raw)
+    dims = {dim: star.tables[dim] for dim in DIMENSIONS}
+    hot = {key: hot_key_of(raw, rows, *key, limits) for key in ORDER_KEYS}
+    return Inputs(raw, rows, dims, star.sizes, hot, limits)
+
+
+def test_item_rows_carry_ids_in_place_of_keys_and_totals(spark, raw, star):
+    """What the dimensions or the other columns tell isn't moved with the item rows."""
+    items = item_rows(_item_inputs(raw, star)).cache()
+    assert "valor_total" not in items.columns
+    known = items.filter("id_produto is not null and id_vendedor is not null")
+    assert known.filter("product_id is not null or seller_id is not null").isEmpty()
+    assert not items.filter("id_produto is null and product_id is not null").isEmpty()
+    # every total of these tables follows from its parts
+    assert items.filter(F.col(OTHER_TOTAL).isNotNull()).isEmpty()
+    items.unpersist()
+
+
+@pytest.mark.parametrize("max_bytes", [MAX_BROADCAST_BYTES, 0])
+def test_rejects_get_their_keys_back(spark, raw, star, max_bytes):
+    inputs = _item_inputs(raw, star, Limits(max_bytes, min_hot_rows=20))
+    rejected = item_rows(inputs).filter("rejeitado")
+    named = with_natural_keys(rejected, inputs)
+    assert named.columns == rejected.columns
+    assert named.count() == rejected.count()
+    assert named.filter("product_id is null or seller_id is null").isEmpty()
+    for key, dim in (("product_id", "dim_produto"), ("seller_id", "dim_vendedor")):
+        id_column = PRIMARY_KEYS[dim]
+        names = star.tables[dim].select(id_column, F.col(key).alias("name"))
+        assert named.join(names, id_column).filter(F.col(key) != F.col("name")).isEmpty()
+
+
+def test_totals_that_parts_do_not_give_are_kept(spark):
+    rows = [("1.00", "2.00", "3.00"), ("0.00", "0.00", "0.01"), ("1.00", None, None),
+            ("9999999999.99", "5.00", None), ("1.00", "2.00", None)]
+    money = ", ".join(f"{c} decimal(12,2)" for c in ("valor_produto", "valor_frete", "valor_total"))
+    cells = [tuple(v and Decimal(v) for v in row) for row in rows]
+    items = spark.createDataFrame(cells, money)
+    narrow = without_total(items)
+    assert narrow.filter(F.col(OTHER_TOTAL).isNull()).count() == 3
+    back = with_total(narrow).select(items.columns).collect()
+    assert [tuple(r) for r in back] == cells
+
+
+def test_orders_move_once_to_the_files_of_their_month(spark, star, monkeypatch):
+    monkeypatch.setattr(etl, "MONTH_ROWS", 40)
+    facts, columns = star.tables["fato_pedido"], star.summary.rows.columns
+    orders = etl._orders_by_month(facts, hot=False)
+    assert plan(orders).count("Exchange\n") == 1
+    for hot in (False, True):
+        got = etl._orders_by_month(facts, hot)
+        assert got.columns == columns
+        assert sorted(map(repr, got.collect())) == sorted(map(repr, per_order(facts).select(columns).collect()))
