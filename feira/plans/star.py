@@ -9,6 +9,7 @@ from dataclasses import dataclass, field, replace
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from feira.operators.packed import join_packed, packed, packed_size
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Size
 from feira.operators.skew import HotKeys, spread_join
 from feira.schema import (
@@ -62,7 +63,8 @@ class Star:
     """Star tables with their measured sizes and the hot dimension keys of the fact.
 
     The size decides how a dimension is joined: up to `max_broadcast_bytes` it is
-    broadcast, beyond that the fact is shuffled with its hot keys spread.
+    broadcast, as it is or else with the columns asked for packed by id; beyond that the
+    fact is shuffled with its hot keys spread.
     """
 
     tables: dict[str, DataFrame]
@@ -220,10 +222,16 @@ class Star:
         return self.sizes[table].bytes <= self.max_broadcast_bytes
 
     def _attach(self, facts: DataFrame, dim: str, columns: tuple[str, ...]) -> DataFrame:
-        """Inner join of dimension columns."""
+        """Inner join of dimension columns.
+
+        The order of columns may depend on the way: callers select what they need.
+        """
         key = PRIMARY_KEYS[dim]
         lookup = self.tables[dim].select(key, *columns)
         if self._is_small(dim):
             return facts.join(F.broadcast(lookup), key)
+        size = packed_size(lookup, key, columns)
+        if size is not None and size <= self.max_broadcast_bytes:
+            return join_packed(facts, packed(lookup, key, columns), key, columns)
         hot = self.hot.get(key, HotKeys(key, facts.schema[key].dataType))
         return spread_join(facts, lookup, hot, "inner", "id_fato")
