@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from feira.operators.dedup import keep_first
 from feira.operators.keys import dense_keys, number_written_rows
+from feira.operators.membership import KeyBits
 from feira.operators.sizing import MAX_BROADCAST_BYTES, Limits, Size, count_rows, table_sizes
 from feira.operators.skew import HotKeys, hot_keys
 from feira.operators.watching import Watch
@@ -20,6 +21,7 @@ from feira.plans.fact import (
     Inputs,
     hot_key_of,
     item_rows,
+    loaded_orders,
     undated_orders,
     with_natural_keys,
     with_total,
@@ -248,18 +250,24 @@ def _load(
     def find_hot(table: str, column: str) -> None:
         hot[table, column] = hot_key_of(raw, raw_rows, table, column, limits)
 
+    loaded: list[KeyBits | None] = []
+
+    def find_orders() -> None:
+        loaded.append(loaded_orders(raw, raw_rows, limits))
+
     def write_dimension(dim: str) -> None:
         _write_new_keys(spark, DIMENSIONS[dim](raw, limits), folder, dim, old)
 
     _together(
         *[partial(write_dimension, dim) for dim in DIMENSIONS],
         *[partial(find_hot, *key) for key in ORDER_KEYS],
+        find_orders,
     )
     dim_tables = {dim: whole(dim) for dim in DIMENSIONS}
     sizes = _with_old(table_sizes({dim: added(dim) for dim in DIMENSIONS}), old)
 
     watch = Watch()
-    inputs = Inputs(raw, raw_rows, dim_tables, sizes, hot, limits, watch)
+    inputs = Inputs(raw, raw_rows, dim_tables, sizes, hot, limits, watch, loaded[0])
     staged = _stage_items(spark, item_rows(inputs), folder)
     accepted, rejected = staged.filter(~F.col("rejeitado")), staged.filter("rejeitado")
 

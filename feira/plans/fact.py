@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from feira.functions import clean
 from feira.operators import orders as order_ops
 from feira.operators.dedup import keep_last
+from feira.operators.membership import KeyBits, key_bits
 from feira.operators.sizing import Limits, Size
 from feira.operators.skew import HotKeys, hot_keys, spread_join
 from feira.operators.watching import Watcher, not_watched
@@ -95,6 +96,10 @@ def priced_items(raw: dict[str, DataFrame], watch: Watcher = not_watched) -> Dat
     )
 
 
+# How many times as many orders the items must have as there are, for other orders' rows to
+# be looked for.
+MANY_MORE = 1.25
+
 # Dimensions that an item names itself.
 ITEM_DIMENSIONS = ("dim_produto", "dim_vendedor")
 
@@ -127,7 +132,8 @@ ORDER_KEYS = (("pedidos", "customer_id"), ("pedidos", "order_id"), ("itens", "or
 
 @dataclass(frozen=True)
 class Inputs:
-    """What the joins need to know: raw tables, dimensions with ids, sizes, hot keys."""
+    """What the joins need to know: raw tables, dimensions with ids, sizes, hot keys, and
+    (if the tables have rows of many other orders) which orders these are."""
 
     raw: dict[str, DataFrame]
     raw_rows: dict[str, int]
@@ -136,6 +142,15 @@ class Inputs:
     hot: dict[tuple[str, str], HotKeys]
     limits: Limits = Limits()
     watch: Watcher = not_watched
+    orders: KeyBits | None = None
+
+    def of_orders(self, rows: DataFrame) -> DataFrame:
+        """Rows without most of those whose order isn't loaded."""
+        return rows if self.orders is None else self.orders.keep(rows)
+
+    def watch_and_keep(self, name: str, rows: DataFrame, rules: dict[str, Column]) -> DataFrame:
+        """All rows are counted, those of other orders go no further."""
+        return self.of_orders(self.watch(name, rows, rules))
 
     def is_small(self, dim: str) -> bool:
         return self.sizes[dim].bytes <= self.limits.max_broadcast_bytes
@@ -147,6 +162,21 @@ def hot_key_of(
     return hot_keys(raw[table], column, rows[table], limits.min_hot_rows)
 
 
+def loaded_orders(
+    raw: dict[str, DataFrame], rows: dict[str, int], limits: Limits
+) -> KeyBits | None:
+    """Which orders are loaded, if the items are of many more orders than there are.
+
+    A batch of orders may come with the items of all orders. Where each item's order is
+    there, nothing would be dropped.
+    """
+    ordered = raw["itens"].agg(F.approx_count_distinct("order_id")).first()[0]
+    if ordered <= MANY_MORE * rows["pedidos"]:
+        return None
+    orders = dated_orders(raw).select("order_id")
+    return key_bits(orders, "order_id", rows["pedidos"], limits.max_broadcast_bytes)
+
+
 def lookup_id(
     big: DataFrame, dim: str, inputs: Inputs, table: str, spread_by: str, *columns: str
 ) -> DataFrame:
@@ -186,8 +216,8 @@ def item_rows(inputs: Inputs) -> DataFrame:
     rows the customer and the natural keys that the dimensions lack; those that they have
     follow from the ids, see `with_natural_keys`. The total is added by `with_total`.
     """
-    raw = inputs.raw
-    items = without_total(priced_items(raw, inputs.watch))
+    raw, watch = inputs.raw, inputs.watch_and_keep
+    items = without_total(priced_items(raw, watch))
     # the smallest first: its key is gone before a larger one moves the rows
     for dim in sorted(ITEM_DIMENSIONS, key=lambda dim: inputs.sizes[dim].bytes):
         key = NATURAL_KEYS[dim]
@@ -197,9 +227,9 @@ def item_rows(inputs: Inputs) -> DataFrame:
     orders = owned_orders(inputs)
     # the count is the base: an order without items has no item row
     per_order = (
-        order_ops.items_per_order(raw["itens"])
-        .join(order_ops.latest_review(raw["avaliacoes"], inputs.watch), "order_id", "left")
-        .join(order_ops.order_payment(raw["pagamentos"], inputs.watch), "order_id", "left")
+        order_ops.items_per_order(inputs.of_orders(raw["itens"].select("order_id")))
+        .join(order_ops.latest_review(raw["avaliacoes"], watch), "order_id", "left")
+        .join(order_ops.order_payment(raw["pagamentos"], watch), "order_id", "left")
     )
     hot_orders = inputs.hot["pedidos", "order_id"]
     orders = spread_join(orders, per_order, hot_orders, "inner", ROW_SEQ)

@@ -1,0 +1,49 @@
+"""Rows of keys that aren't there are dropped early, and no others."""
+
+from __future__ import annotations
+
+from dataclasses import replace
+
+from pyspark.sql import functions as F
+
+from feira.operators.membership import BLOCK_BITS, key_bits, size_bits
+from feira.operators.sizing import Limits, count_rows
+from feira.plans.fact import dated_orders, item_rows, loaded_orders
+from tests.test_operators import rows
+from tests.test_plans import _item_inputs
+
+
+def test_no_row_with_a_partner_is_dropped(spark):
+    keys = spark.range(0, 30_000, 3).select(F.col("id").cast("string").alias("k"))
+    keys = keys.unionByName(spark.createDataFrame([("",), (None,)], "k string"))
+    bits = key_bits(keys, "k", 10_002, 2**20)
+    assert bits.size_bits > BLOCK_BITS
+    df = spark.range(30_000).select(F.col("id").cast("string").alias("k"), "id")
+    df = df.unionByName(spark.createDataFrame([("", -1)], "k string, id bigint"))
+    kept = bits.keep(df)
+    assert kept.columns == df.columns
+    assert rows(kept.join(keys, "k", "left_semi")) == rows(df.join(keys, "k", "left_semi"))
+    others = kept.join(keys, "k", "left_anti").count()
+    assert others <= 20_000 / 10
+
+
+def test_bits_need_room(spark):
+    assert size_bits(0, 2**20) == size_bits(100, 2**20) == BLOCK_BITS
+    assert size_bits(10**6, 2**30) == 24
+    assert size_bits(10**6, 2**20) == 23
+    assert size_bits(10**7, 2**20) is None
+    assert size_bits(100, 0) is None
+
+
+def test_items_of_orders_that_are_not_loaded_are_dropped_before_the_joins(raw, star):
+    whole = _item_inputs(raw, star)
+    assert loaded_orders(raw, whole.raw_rows, Limits()) is None
+    few = raw | {"pedidos": raw["pedidos"].filter(F.col("order_id").cast("long") % 10 == 0)}
+    counts = count_rows(few)
+    bits = loaded_orders(few, counts, Limits())
+    inputs = replace(whole, raw=few, raw_rows=counts)
+    narrow = replace(inputs, orders=bits)
+    kept = narrow.of_orders(raw["itens"]).count()
+    own = raw["itens"].join(dated_orders(few), "order_id", "left_semi").count()
+    assert own <= kept < 0.3 * counts["itens"]
+    assert rows(item_rows(narrow)) == rows(item_rows(inputs))
