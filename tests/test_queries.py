@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+import csv
+from pathlib import Path
+
 import pytest
 
 import __spark_entry__ as entry
 from checks.compare import compare
+from feira.schema import ROW_SEQ
+from feira.sources.csv_files import csv_paths
 from tests.conftest import SF
 
 
@@ -44,3 +49,22 @@ def test_stars_of_their_own_load_no_other(spark, con, monkeypatch, name):
 
     monkeypatch.setattr(entry, "_load", load)
     assert compare(spark, con, SF, name) is None
+
+
+def test_csv_delivery_is_written_by_many_tasks_in_order(spark):
+    """The parts of a table, one after the other, have its rows by `row_seq`."""
+    sf_dir = f"{SF}/"  # a store of its own
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = entry.csv_round_trip(spark, sf_dir).count()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert got == entry.queries()["fact_rows"](spark, SF).count()
+    base = f"{entry.store_of(spark, sf_dir)}/csv_round_trip/files"
+    raw = entry.raw_of(spark, sf_dir)
+    for table, columns in (("pagamentos", 4), ("clientes", 4)):
+        parts = sorted(Path(csv_paths(base.removeprefix("file://"))[table]).glob("part-*.csv"))
+        assert len(parts) > 1
+        written = [tuple(r) for p in parts for r in list(csv.reader(p.open(newline="")))[1:]]
+        wanted = raw[table].orderBy(ROW_SEQ, *raw[table].columns[:columns]).drop(ROW_SEQ).collect()
+        assert written == [tuple(r) for r in wanted]
